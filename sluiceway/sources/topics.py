@@ -121,8 +121,8 @@ def _from_offsets(envelope: DataFrame, starts: DataFrame) -> DataFrame:
 
 
 def _text(col: Column) -> Column:
-    """Bytes as UTF-8 text (Spark shows bad bytes as replacement characters); text stays."""
-    return col.cast("string")
+    """Bytes as UTF-8 text, bad bytes replaced; text stays."""
+    return F.make_valid_utf8(col.cast("string"))
 
 
 def _stripped(col: Column) -> Column:
