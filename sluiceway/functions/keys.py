@@ -20,12 +20,13 @@ def key_list(key: str | Sequence[str] | None) -> list[str]:
 
 
 def key_set(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct key tuples of `rows`, as columns `__k0, __k1, …`.
+    """The key tuples of `rows`, as columns `__k0, __k1, …`, for semi and anti joins.
 
     A hot key collapses to one row per map task before anything is shuffled. The
     salt makes this aggregate's exchange different from the join's, so that both
     join inputs stay plain shuffle stages, which is what lets adaptive execution
-    split a skewed partition of the other side or switch to a broadcast.
+    split a skewed partition of the other side or switch to a broadcast. A key
+    occurs at most once per salt; add `distinct()` where each key must be single.
     """
     named = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
     salted = rows.select(*named, (F.spark_partition_id() % _SALTS).alias("__salt"))

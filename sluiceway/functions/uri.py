@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,47 +99,47 @@ def scheme_of(uri: Column) -> Column:
 
 
 def scheme_table(spark: SparkSession) -> DataFrame:
-    """The fixed list of schemes; its size does not depend on any data."""
-    return spark.createDataFrame(
-        SCHEMES, "scheme string, family string, is_source boolean, is_destination boolean, default_dataset string"
-    )
+    """The fixed list of schemes with their family's pattern and parts; its size depends on no data."""
+    rows = [
+        {"scheme": scheme, "family": family, "is_source": source, "is_destination": target, "default_dataset": dataset,
+         "pattern": PATTERNS[family][0], "parts": list(PATTERNS[family][1]),
+         "complaint": f"Invalid {PATTERNS[family][2]} URI format. Expected format: {PATTERNS[family][3]}"}
+        for scheme, family, source, target, dataset in SCHEMES
+    ]
+    return spark.createDataFrame(pa.Table.from_pylist(rows))
+
+
+def with_scheme(df: DataFrame, uri: str, prefix: str) -> DataFrame:
+    """Add `<prefix>_scheme` and, as `<prefix>_family`, `<prefix>_pattern`, …, what is known about it.
+
+    The scheme table is a fixed list of about two dozen rows, hence the broadcast.
+    """
+    known = scheme_table(df.sparkSession)
+    known = known.select(*[F.col(c).alias(f"{prefix}_{c}") for c in known.columns])
+    return df.withColumn(f"{prefix}_scheme", scheme_of(F.col(uri))).join(F.broadcast(known), f"{prefix}_scheme", "left")
 
 
-def family_of(scheme: Column) -> Column:
-    """Family of a scheme, NULL when the scheme is unknown; a chain of literals, no join."""
-    families: dict[str, list[str]] = {}
-    for name, family, *_ in SCHEMES:
-        families.setdefault(family, []).append(name)
-    chain = F.lit(None).cast("string")
-    for family, names in families.items():
-        chain = F.when(scheme.isin(names), F.lit(family)).otherwise(chain)
-    return chain
+def without_scheme(df: DataFrame, prefix: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Drop the columns `with_scheme` added, but for the scheme itself and those to keep."""
+    added = ("family", "is_source", "is_destination", "default_dataset", "pattern", "parts", "complaint")
+    return df.drop(*[f"{prefix}_{c}" for c in added if c not in keep])
 
 
-def uri_error(uri: Column) -> Column:
+def uri_error(uri: str, prefix: str) -> Column:
     """Why a URI is refused, or NULL. The text never repeats the URI, which may hold a password."""
-    scheme = scheme_of(uri)
-    family = family_of(scheme)
-    bad = F.lit(None).cast("string")
-    for name, (pattern, _, label, expected) in PATTERNS.items():
-        message = f"Invalid {label} URI format. Expected format: {expected}"
-        bad = F.when((family == name) & ~uri.rlike(pattern), F.lit(message)).otherwise(bad)
+    col = F.col(uri)
     return (
-        F.when(F.coalesce(F.trim(uri), F.lit("")) == "", F.lit("URI must be provided"))
-        .when(family.isNull(), F.concat(F.lit("Unsupported URI scheme: "), scheme))
-        .otherwise(bad)
+        F.when(F.coalesce(F.trim(col), F.lit("")) == "", F.lit("URI must be provided"))
+        .when(F.col(f"{prefix}_family").isNull(), F.concat(F.lit("Unsupported URI scheme: "), F.col(f"{prefix}_scheme")))
+        .when(~F.rlike(col, F.col(f"{prefix}_pattern")), F.col(f"{prefix}_complaint"))
     )
 
 
-def uri_part(uri: Column, part: str) -> Column:
+def uri_part(uri: str, prefix: str, part: str) -> Column:
     """One named part (host, port, user, database, path, …); NULL when absent or the URI is invalid."""
-    family = family_of(scheme_of(uri))
-    pieces = []
-    for name, (pattern, groups, _, _) in PATTERNS.items():
-        if part in groups:
-            piece = F.regexp_extract(uri, pattern, groups.index(part) + 1)
-            pieces.append(F.when((family == name) & (piece != ""), piece))
-    return reduce(lambda a, b: F.coalesce(a, b), pieces)
+    place = F.array_position(F.col(f"{prefix}_parts"), part).cast("int")
+    found = F.call_function("regexp_extract", F.col(uri), F.col(f"{prefix}_pattern"), place)
+    return F.when((place > 0) & (found != ""), found)
 
 
 def query_param(uri: Column, name: str, default: str | None = None) -> Column:

@@ -111,7 +111,9 @@ def _snapshot(active: DataFrame, fresh: DataFrame) -> tuple[DataFrame, DataFrame
 def _scoped(active: DataFrame, fresh: DataFrame, scope_keys: DataFrame, scope: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Only active versions inside the scope can change or already exist."""
     seen = fresh.select(F.col("__hash").alias("__seen"))
-    old = active.join(scope_keys.withColumn("__in", F.lit(True)), on_keys(scope), "left")
+    # a key set may repeat a key, which an outer join must not see
+    marks = scope_keys.distinct().withColumn("__in", F.lit(True))
+    old = active.join(marks, on_keys(scope), "left")
     old = old.join(seen, F.col("__hash") == F.col("__seen"), "left")
     old = old.withColumn("__retire", F.col("__in").isNotNull() & F.col("__seen").isNull())
     old = old.drop("__in", "__seen", *[f"__k{i}" for i in range(len(scope))])

@@ -6,13 +6,14 @@ same plan. Every rule yields an error text or NULL; `check` gathers them.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from sluiceway.functions.uri import scheme_of, scheme_table, uri_error
+from sluiceway.functions.uri import uri_error, with_scheme, without_scheme
 
-MANIFEST_SCHEMA = T.StructType.fromDDL(
+MANIFEST_SCHEMA = (
     "identity string, source_uri string, destination_uri string, dataset_name string, resource_no int, "
     "source_table_name string, destination_table_name string, exclude_columns array<string>, "
     "pseudonymizing_columns array<string>, incremental_key string, start_position string, end_position string, "
@@ -54,16 +55,37 @@ def effective_strategy() -> Column:
     return F.coalesce("wd_strategy", default)
 
 
-def _block(strategy: str) -> Column:
-    """The settings of one strategy: its nested block, else the flat document."""
-    return F.coalesce(F.get_json_object("wd_config", f"$.{CONFIG_BLOCKS[strategy]}"), F.col("wd_config"))
+_NO_TEXTS = "cast(array() as array<string>)"
+
 
+def with_config(manifest: DataFrame) -> DataFrame:
+    """Add the effective disposition and its parsed settings, each computed once.
 
-def _keys(strategy: str, name: str) -> Column:
+    Settings stand in the strategy's nested block, else in the flat document.
+    """
+    rows = manifest.withColumns({"__kind": effective_type(), "__strategy": effective_strategy()})
+    name = F.when(F.col("__kind") == "merge", _per_strategy(CONFIG_BLOCKS))
+    rows = rows.withColumns({"__block_name": name, "__top": F.json_object_keys("wd_config")})
+    nested = F.when(F.array_contains(F.col("__top"), F.col("__block_name")),
+                    F.call_function("get_json_object", F.col("wd_config"), F.concat(F.lit("$."), F.col("__block_name"))))
+    rows = rows.withColumn("__nested", nested)
+    rows = rows.withColumn("__block", F.when(F.col("__kind") == "merge", F.coalesce("__nested", "wd_config")))
+    rows = rows.withColumn("__doc", F.try_parse_json("__block"))
+    keys = ("primary_key", "merge_key", "natural_merge_key", "partition_merge_key", "validity_column_names")
+    return rows.withColumns({f"__{k}": _keys(k) for k in keys})
+
+
+def _per_strategy(values: Mapping[str, str]) -> Column:
+    chain = F.lit(None).cast("string")
+    for strategy, value in values.items():
+        chain = F.when(F.col("__strategy") == strategy, F.lit(value)).otherwise(chain)
+    return chain
+
+
+def _keys(name: str) -> Column:
     """A key given as text or list, as a list; NULL when absent or empty."""
-    doc = F.try_parse_json(_block(strategy))
-    many = F.try_variant_get(doc, f"$.{name}", "array<string>")
-    one = F.try_variant_get(doc, f"$.{name}", "string")
+    many = F.try_variant_get(F.col("__doc"), f"$.{name}", "array<string>")
+    one = F.try_variant_get(F.col("__doc"), f"$.{name}", "string")
     given = F.coalesce(many, F.when(one.isNotNull(), F.array(one)))
     return F.when(F.size(given) > 0, given)
 
@@ -79,72 +101,56 @@ def required_rules() -> list[Column]:
 def uri_rules() -> list[Column]:
     out = []
     for name in ("source_uri", "destination_uri"):
-        error = uri_error(F.col(name))
+        error = uri_error(name, name.removesuffix("_uri"))
         out.append(F.when(~_blank(name) & error.isNotNull(), F.concat(F.lit(f"{name}: "), error)))
     return out
 
 
 def disposition_rules() -> list[Column]:
-    kind, strategy = effective_type(), effective_strategy()
-    config = F.col("wd_config")
-    merge = kind == "merge"
-    rules = [
+    kind, strategy, config = F.col("__kind"), F.col("__strategy"), F.col("wd_config")
+    merge, di, up, hist = kind == "merge", strategy == "delete-insert", strategy == "upsert", strategy == "scd2"
+    pk, mk = F.col("__primary_key"), F.col("__merge_key")
+    natural, partition, validity = F.col("__natural_merge_key"), F.col("__partition_merge_key"), F.col("__validity_column_names")
+    block, top, none = F.col("__block_name"), F.col("__top"), F.expr(_NO_TEXTS)
+    blocks = F.array(*[F.lit(b) for b in CONFIG_BLOCKS.values()])
+    foreign = F.array_remove(F.array_intersect(top, blocks), block)
+    allowed = F.split(_per_strategy({s: ",".join(keys) for s, keys in CONFIG_KEYS.items()}), ",")
+    used = F.json_object_keys("__block")
+    stray = F.when(F.col("__nested").isNotNull(), F.array_except(top, blocks)).otherwise(none)
+    unknown = F.array_sort(F.concat(F.array_except(F.array_except(used, allowed), blocks), stray))
+    sort = F.from_json(F.get_json_object("__block", "$.dedup_sort_column"), "map<string,string>")
+    needed = F.array_union(F.coalesce(pk, none), F.array_union(F.coalesce(mk, none), F.coalesce(natural, partition, none)))
+    lost = F.array_sort(F.array_intersect(needed, F.coalesce("exclude_columns", none)))
+    strategy_name = F.concat(F.lit(" merge_strategy is '"), strategy, F.lit("'"))
+    return [
         F.when(~kind.isin(*WD_TYPES), F.concat(F.lit("Unsupported write disposition type: "), kind)),
         F.when((kind == "append") & (F.col("wd_strategy").isNotNull() | config.isNotNull()),
                "No strategy or config is accepted when write_disposition type is 'append'"),
         F.when((kind == "replace") & config.isNotNull(), "Config is not accepted when write_disposition is 'replace'"),
         F.when((kind == "replace") & ~strategy.isin(*REPLACE_STRATEGIES), "Invalid replace strategy"),
         F.when(merge & ~strategy.isin(*MERGE_STRATEGIES), "Invalid merge strategy"),
-        F.when(merge & config.isNotNull() & F.json_object_keys(config).isNull(), "config must be a JSON object"),
+        F.when(merge & config.isNotNull() & top.isNull(), "config must be a JSON object"),
+        F.when(merge & block.isNotNull() & config.isNull(), F.concat(block, F.lit(" is required when"), strategy_name)),
+        F.when(merge & (F.size(foreign) > 0), F.concat(F.lit("Only "), block, F.lit(" is accepted when"), strategy_name)),
+        F.when(merge & (F.size(unknown) > 0), F.concat(F.lit("Unknown config keys: "), F.array_join(unknown, ", "))),
+        F.when(merge & di & top.isNotNull() & pk.isNull() & mk.isNull(),
+               "At least one of 'primary' or 'merge' key(s) must be provided for delete-insert strategy"),
+        F.when(merge & up & top.isNotNull() & (pk.isNull() | _blank_key(pk)), "Primary key must be provided"),
+        F.when(merge & hist & natural.isNotNull() & partition.isNotNull(),
+               "Only one of 'natural' or 'partition' merge key(s) must be provided for scd2 strategy"),
+        F.when(merge & hist & (F.size(validity) != 2), "Validity column names must contain exactly two strings"),
+        F.when(merge & di & F.exists(F.map_values(sort), lambda d: ~d.isin("asc", "desc")), "dedup_sort_column must be 'asc' or 'desc'"),
+        F.when(merge & (F.size(lost) > 0), F.concat(F.lit("Key columns cannot be excluded: "), F.array_join(lost, ", "))),
     ]
-    for name, block in CONFIG_BLOCKS.items():
-        mine = merge & (strategy == name)
-        top = F.json_object_keys(config)
-        others = [b for b in CONFIG_BLOCKS.values() if b != block]
-        foreign = F.size(F.array_intersect(top, F.array(*[F.lit(b) for b in others]))) > 0
-        nested = F.get_json_object(config, f"$.{block}")
-        used = F.json_object_keys(F.coalesce(nested, config))
-        allowed = F.array(*[F.lit(k) for k in CONFIG_KEYS[name]])
-        blocks = F.array(*[F.lit(b) for b in CONFIG_BLOCKS.values()])
-        stray = F.when(nested.isNotNull(), F.array_except(top, blocks))
-        unknown = F.array_except(used, F.array_union(allowed, F.array(*[F.lit(b) for b in others])))
-        unknown = F.concat(unknown, F.coalesce(stray, F.array().cast("array<string>")))
-        rules.append(F.when(mine & foreign, f"Only {block} is accepted when merge_strategy is '{name}'"))
-        rules.append(F.when(mine & (F.size(unknown) > 0),
-                            F.concat(F.lit("Unknown config keys: "), F.array_join(F.array_sort(unknown), ", "))))
-        rules.append(F.when(mine & config.isNull(), f"{block} is required when merge_strategy is '{name}'"))
-    pk, mk = _keys("delete-insert", "primary_key"), _keys("delete-insert", "merge_key")
-    has_config = merge & config.isNotNull()
-    rules.append(F.when(has_config & (strategy == "delete-insert") & pk.isNull() & mk.isNull(),
-                        "At least one of 'primary' or 'merge' key(s) must be provided for delete-insert strategy"))
-    up = _keys("upsert", "primary_key")
-    rules.append(F.when(has_config & (strategy == "upsert") & (up.isNull() | _blank_key(up)), "Primary key must be provided"))
-    natural, partition = _keys("scd2", "natural_merge_key"), _keys("scd2", "partition_merge_key")
-    rules.append(F.when(merge & (strategy == "scd2") & natural.isNotNull() & partition.isNotNull(),
-                        "Only one of 'natural' or 'partition' merge key(s) must be provided for scd2 strategy"))
-    validity = _keys("scd2", "validity_column_names")
-    rules.append(F.when(merge & (strategy == "scd2") & (F.size(validity) != 2),
-                        "Validity column names must contain exactly two strings"))
-    sort = F.from_json(F.get_json_object(_block("delete-insert"), "$.dedup_sort_column"), "map<string,string>")
-    wrong = F.exists(F.map_values(sort), lambda d: ~d.isin("asc", "desc"))
-    rules.append(F.when(merge & (strategy == "delete-insert") & F.coalesce(wrong, F.lit(False)),
-                        "dedup_sort_column must be 'asc' or 'desc'"))
-    needed = F.coalesce(F.when(strategy == "delete-insert", F.array_union(F.coalesce(pk, F.array()), F.coalesce(mk, F.array())))
-                        .when(strategy == "upsert", up)
-                        .when(strategy == "scd2", F.coalesce(natural, partition)), F.array().cast("array<string>"))
-    needed = F.when(merge, needed).otherwise(F.array().cast("array<string>"))
-    lost = F.array_intersect(needed, F.coalesce("exclude_columns", F.array().cast("array<string>")))
-    rules.append(F.when(F.size(lost) > 0, F.concat(F.lit("Key columns cannot be excluded: "), F.array_join(F.array_sort(lost), ", "))))
-    return rules
 
 
 def source_rules() -> list[Column]:
     start = F.col("start_from")
     stamped = start.startswith("timestamp:")
     used = F.when(F.col("incremental_key").isNotNull(), F.concat(
-        F.array(F.lit("$gte")), F.when(F.col("end_position").isNotNull(), F.array(F.lit("$lt"))).otherwise(F.array().cast("array<string>"))
+        F.array(F.lit("$gte")), F.when(F.col("end_position").isNotNull(), F.array(F.lit("$lt"))).otherwise(F.expr(_NO_TEXTS))
     ))
-    clash = F.array_intersect(F.coalesce("filter_operators", F.array().cast("array<string>")), used)
+    clash = F.array_intersect(F.coalesce("filter_operators", F.expr(_NO_TEXTS)), used)
     return [
         F.when(F.col("incremental_key").isNotNull() & _blank("incremental_key"), "incremental_key: Field must be provided"),
         F.when(F.col("boundary_mode").isNotNull() & ~F.col("boundary_mode").isin(*BOUNDARIES), "Invalid boundary mode"),
@@ -156,23 +162,18 @@ def source_rules() -> list[Column]:
 
 
 def with_routes(manifest: DataFrame) -> DataFrame:
-    """Add the schemes, whether each has a route, and the default dataset.
-
-    The scheme table is a fixed list of about two dozen rows, hence the broadcast.
-    """
-    schemes = scheme_table(manifest.sparkSession)
-    sources = schemes.select(F.col("scheme").alias("source_scheme"), F.col("is_source").alias("__source"))
-    targets = schemes.select(F.col("scheme").alias("destination_scheme"), F.col("is_destination").alias("__target"),
-                             F.col("default_dataset").alias("__dataset"))
-    rows = manifest.withColumn("source_scheme", scheme_of(F.col("source_uri")))
-    rows = rows.withColumn("destination_scheme", scheme_of(F.col("destination_uri")))
-    rows = rows.join(F.broadcast(sources), "source_scheme", "left").join(F.broadcast(targets), "destination_scheme", "left")
+    """Add what is known about both schemes and whether each has a route."""
+    rows = with_scheme(with_scheme(manifest, "source_uri", "source"), "destination_uri", "destination")
     return rows.withColumns({
-        "source_routable": F.coalesce("__source", F.lit(False)),
-        "destination_routable": F.coalesce("__target", F.lit(False)),
+        "source_routable": F.coalesce("source_is_source", F.lit(False)),
+        "destination_routable": F.coalesce("destination_is_destination", F.lit(False)),
     })
 
 
+def _tidy(rows: DataFrame) -> DataFrame:
+    return without_scheme(without_scheme(rows, "source"), "destination")
+
+
 def route_rules() -> list[Column]:
     return [
         F.when(~_blank("source_uri") & ~F.col("source_routable"), F.concat(F.lit("Invalid source URI scheme: "), F.col("source_scheme"))),
@@ -181,20 +182,20 @@ def route_rules() -> list[Column]:
     ]
 
 
-def _gather(rules: list[Column]) -> Column:
-    return F.array_compact(F.array(*rules))
+def _with_errors(rows: DataFrame, rules: list[Column]) -> DataFrame:
+    checked = rows.withColumn("errors", F.array_compact(F.array(*rules)))
+    return _tidy(checked.drop(*[c for c in rows.columns if c.startswith("__")]))
 
 
 def check(manifest: DataFrame) -> DataFrame:
     """The manifest with `errors`, an empty list for a good row."""
     rules = required_rules() + uri_rules() + route_rules() + disposition_rules() + source_rules()
-    checked = with_routes(manifest).withColumn("errors", _gather(rules))
-    return checked.drop("__source", "__target", "__dataset")
+    return _with_errors(with_config(with_routes(manifest)), rules)
 
 
 def with_errors(manifest: DataFrame, rules: list[Column]) -> DataFrame:
     """The manifest with the errors of some rules only."""
-    return manifest.withColumn("errors", _gather(rules))
+    return _with_errors(with_config(with_routes(manifest)), rules)
 
 
 def with_defaults(manifest: DataFrame) -> DataFrame:
@@ -202,11 +203,11 @@ def with_defaults(manifest: DataFrame) -> DataFrame:
     rows = with_routes(manifest)
     filled = rows.withColumns({
         "destination_table_name": F.coalesce("destination_table_name", "source_table_name"),
-        "dataset_name": F.when(~_blank("dataset_name"), F.col("dataset_name")).otherwise(F.coalesce("__dataset", F.lit(""))),
+        "dataset_name": F.when(~_blank("dataset_name"), F.col("dataset_name")).otherwise(F.coalesce("destination_default_dataset", F.lit(""))),
         "wd_strategy": effective_strategy(),
         "wd_type": effective_type(),
         "start_from": F.coalesce("start_from", F.lit("earliest")),
         "batch_size": F.coalesce("batch_size", F.lit(100)),
         "batch_timeout": F.coalesce("batch_timeout", F.lit(5)),
     })
-    return filled.drop("__source", "__target", "__dataset")
+    return _tidy(filled)

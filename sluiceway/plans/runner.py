@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluiceway.functions.keys import key_set, with_keys, without_keys
 from sluiceway.functions.names import snake_case, snake_columns
 from sluiceway.operators import merge as merges
-from sluiceway.operators.incremental import cursor_metrics, new_rows
+from sluiceway.operators.dedup import dedup
+from sluiceway.operators.incremental import new_rows
 from sluiceway.operators.normalize import flatten, relational, with_load_id, with_row_id
 from sluiceway.operators.rules import apply_rules
 from sluiceway.operators.scd2 import boundary_time
@@ -56,7 +58,7 @@ class _Trace:
         self.rows.append((*self._about, step, name, rows, size, started, _now(), error))
 
     def write(self, spark: SparkSession, base: str) -> None:
-        spark.createDataFrame(self.rows, METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/_run_metrics")
+        storage.small_frame(spark, self.rows, METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/_run_metrics")
 
 
 def dataset_of(spark: SparkSession, spec: Mapping) -> Dataset:
@@ -69,7 +71,7 @@ def dataset_of(spark: SparkSession, spec: Mapping) -> Dataset:
 
 def run(
     spark: SparkSession, spec: Mapping, run_time: datetime | None = None, reader: Reader = open_source,
-    transform: Callable[[DataFrame], DataFrame] | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None, dataset: Dataset | None = None,
 ) -> dict:
     """Load every resource of a job; returns status, message, load id and rows per table.
 
@@ -81,7 +83,7 @@ def run(
     validate(spark, spec)
     run_time = run_time or _now()
     load_id = f"{run_time:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
-    dataset = dataset_of(spark, spec)
+    dataset = dataset or dataset_of(spark, spec)
     trace = _Trace(load_id, spec)
     counts: dict[str, int] = {}
     try:
@@ -104,15 +106,19 @@ def _load(spark, spec, res: Resource, dataset: Dataset, load_id, run_time, reade
         last = ledger.stored_cursor(dataset, resource_id) if res.cursor else None
         observe: list[Column] = []
         if res.cursor:
+            key = F.col(f"`{res.cursor.key}`")
             cursor_type = df.schema[res.cursor.key].dataType.simpleString()
-            df = df.withColumn("__cursor", F.col(f"`{res.cursor.key}`"))
-            df = new_rows(df, res.cursor, last)
+            # a pushed-down IS NULL count, mostly answered from file statistics
+            trace.add(step, f"{res.source}:null_cursor", started, df.filter(key.isNull()).count(), None)
+            df = new_rows(df, res.cursor, last).withColumn("__cursor", key)
             pick = F.max if res.cursor.direction == "max" else F.min
             observe = [pick("__cursor").cast("string").alias("cursor")]
         if transform:
             df = transform(df)
         df = apply_rules(df, res.exclude, res.pseudonymize, spec.get("salt", ""))
-        # the copy of the cursor only feeds the observation; it is not stored
+        if _nested(df.schema) and res.disposition == "merge" and res.strategy == "delete-insert" and res.keys("primary_key"):
+            # children are split off below, so repeated roots have to go first
+            df = dedup(df, res.keys("primary_key"), res.config.get("dedup_sort_column"))
         package = _package(dataset, df, observe)
         trace.add(step, res.source, started, package.rows_written, package.bytes_written)
         state = _next_state(res, resource_id, package, last, cursor_type if res.cursor else "")
@@ -137,8 +143,8 @@ def _load(spark, spec, res: Resource, dataset: Dataset, load_id, run_time, reade
 
 
 def _package(dataset: Dataset, df: DataFrame, observe: list[Column]) -> TableState:
-    observed = df.drop("__cursor") if not observe else df
-    staged = dataset.stage(f"_packages/{uuid.uuid4().hex[:12]}", observed, observe=observe)
+    """Staged rows. The copy of the cursor only feeds the observation and is not read back."""
+    staged = dataset.stage(f"_packages/{uuid.uuid4().hex[:12]}", df, observe=observe)
     fields = [f for f in staged.schema.fields if f.name != "__cursor"]
     return TableState(staged.name, T.StructType(fields), staged.paths, rows_written=staged.rows_written,
                       bytes_written=staged.bytes_written, metrics=staged.metrics)
@@ -204,23 +210,33 @@ def _write(dataset: Dataset, res: Resource, tables: dict[str, DataFrame], load_i
 
         def fn(old, new):
             return merges.delete_insert(old, new, pk, mk, hard_delete, sort)
-    scope = [] if (pk and mk and res.strategy != "upsert") else (pk or mk)
+    # with both keys a row can meet its match in any bucket; with a primary key its
+    # hash, the row id, is the scope, so that child rows share their root's bucket
+    scope = [] if (pk and mk) else (["_row_id"] if pk else mk)
+    before = dataset.table(root)
     change = dataset.merge(root, tables[root], fn, scope, buckets)
-    changes = [change] + _child_changes(dataset, change, tables, children)
+    changes = [change] + _child_changes(dataset, before, change, tables, children, buckets if pk and not mk else 1)
     dataset.commit(changes, **about)
     return {c.name: c.rows_written for c in changes}
 
 
-def _child_changes(dataset: Dataset, root: TableState, tables: dict[str, DataFrame], children: list[str]) -> list[TableState]:
-    """Child tables follow their root: only children of rows that are still in the root table stay."""
+def _child_changes(
+    dataset: Dataset, before: TableState | None, after: TableState, tables: dict[str, DataFrame], children: list[str], buckets: int
+) -> list[TableState]:
+    """Child tables follow their root: children of replaced or removed roots go, those of inserted roots come."""
     if not children:
         return []
-    alive = dataset.rows(root, root.paths).select("_row_id")
-    changes = []
-    for name in children:
-        def follow(old: DataFrame | None, new: DataFrame) -> DataFrame:
-            both = new if old is None else merges.evolve_union(old, new)
-            return both.join(alive, both["_root_id"] == alive["_row_id"], "left_semi")
-
-        changes.append(dataset.merge(name, tables[name], follow))
-    return changes
+    incoming = tables[after.name].select("_row_id")
+    written = dataset.rows(after, [p for p in after.paths if before is None or p not in set(before.paths)]).select("_row_id")
+    removed = incoming
+    if before is not None:
+        dropped = dataset.rows(before, [p for p in before.paths if p not in set(after.paths)]).select("_row_id")
+        removed = incoming.union(without_keys(dropped, key_set(written, ["_row_id"]), ["_row_id"]))
+    touch = removed.withColumnRenamed("_row_id", "_root_id")
+
+    def follow(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        live = with_keys(new, key_set(written, ["_row_id"]), ["_root_id"])
+        return live if old is None else merges.merge_children(old, live, removed)
+
+    scope = ["_root_id"] if buckets > 1 else []
+    return [dataset.merge(n, tables[n], follow, scope, buckets, touch=touch) for n in children]

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.functions.keys import key_list
+from sluiceway.sinks.storage import small_frame
 from sluiceway.operators.incremental import Cursor
 from sluiceway.operators.scd2 import ACTIVE_UNTIL, VALIDITY_COLUMNS, Scd2
 from sluiceway.plans.manifest import CONFIG_BLOCKS, MANIFEST_SCHEMA
@@ -81,17 +82,21 @@ def manifest_rows(spark: SparkSession, spec: Mapping) -> DataFrame:
             spec.get("identity"), spec.get("source_uri"), spec.get("destination_uri"), spec.get("dataset_name"), i,
             res.get("source_table_name"), res.get("destination_table_name"), list(rules.get("exclude_columns", [])),
             list(rules.get("pseudonymizing_columns", [])), inc.get("incremental_key"), _text(inc.get("start_position")),
-            _text(inc.get("end_position")), inc.get("lag_window"), inc.get("boundary_mode"), None, wd.get("type"),
+            _text(inc.get("end_position")), _number(inc.get("lag_window")), inc.get("boundary_mode"), None, wd.get("type"),
             wd.get("strategy"), None if config is None else json.dumps(config), opts.get("start_from"),
             opts.get("batch_size"), opts.get("batch_timeout"),
         ))
-    return spark.createDataFrame(rows, MANIFEST_SCHEMA)
+    return small_frame(spark, rows, MANIFEST_SCHEMA)
 
 
 def _text(value) -> str | None:
     return None if value is None else str(value)
 
 
+def _number(value) -> float | None:
+    return None if value is None else float(value)
+
+
 def resources(spec: Mapping) -> list[Resource]:
     """The settings of every resource, with defaults; config may be flat or nested per strategy."""
     out = []

@@ -210,12 +210,13 @@ class Dataset:
 
     def merge(
         self, name: str, incoming: DataFrame, fn: Callable[[DataFrame | None, DataFrame], DataFrame],
-        scope: Sequence[str] = (), buckets: int = 1, observe: Sequence[Column] = (),
+        scope: Sequence[str] = (), buckets: int = 1, observe: Sequence[Column] = (), touch: DataFrame | None = None,
     ) -> TableState:
         """Apply a merge function to the part of the table that incoming rows can affect.
 
         `scope` must be part of the match key of `fn`: rows of one key then always
         share a bucket, and only buckets with incoming rows are read and rewritten.
+        `touch` names other rows whose scope decides that.
         """
         old = self.table(name)
         bucket = bucket_of(scope, buckets) if scope and buckets > 1 else None
@@ -225,7 +226,7 @@ class Dataset:
             return replace(new, scope=tuple(scope), buckets=buckets, based_on=())
         touched = old.paths
         if bucket is not None and self._same_split(old, incoming, scope, buckets):
-            hit = {r[0] for r in incoming.select(bucket).distinct().collect()}  # at most `buckets` integers
+            hit = {r[0] for r in (incoming if touch is None else touch).select(bucket).distinct().collect()}  # at most `buckets` integers
             touched = tuple(p for p in old.paths if _bucket_in(p) in hit)
         result = fn(self.rows(old, touched), incoming)
         left = tuple(p for p in old.paths if p not in set(touched))

@@ -5,7 +5,10 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def _path(spark: SparkSession, name: str):
@@ -64,3 +67,10 @@ def write_json_once(spark: SparkSession, name: str, content: dict) -> None:
     if fs.exists(final) or not fs.rename(temp, final):
         fs.delete(temp, False)
         raise FileExistsError(f"{name} was committed by another writer")
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows of job or run facts as a local relation, without a Python worker."""
+    fields = T.StructType.fromDDL(schema)
+    records = [dict(zip(fields.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, to_arrow_schema(fields)), fields)
