@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluiceway.operators.rules import split_rejects
+
 # File extension -> Spark format.
 FORMATS = {".csv": "csv", ".jsonl": "json", ".parquet": "parquet"}
 # URI scheme -> Hadoop file-system scheme.
@@ -46,8 +48,17 @@ def read_files(
         reader = reader.schema(schema)
     if modified_after is not None:
         reader = reader.option("modifiedAfter", str(modified_after).replace(" ", "T"))
-    df = reader.load(f"{base.rstrip('/')}/{name}*")
-    return df
+    return reader.load(f"{base.rstrip('/')}/{name}*")
+
+
+def read_json_lines(spark: SparkSession, base: str, name: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected lines with their text and reason) of JSON-lines files of a declared schema."""
+    lines = spark.read.text(f"{base.rstrip('/')}/{name}*")
+    parsed = F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    rows = lines.withColumn("_row", parsed)
+    reason = F.when(F.col("_row").isNull() | F.col("_row._corrupt").isNotNull(), "malformed")
+    good, bad = split_rejects(rows, reason)
+    return good.select("_row.*").drop("_corrupt"), bad.drop("_row")
 
 
 def modified_at() -> Column:

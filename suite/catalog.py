@@ -2,4 +2,8 @@
 
 from suite import rules  # noqa: F401
 from suite import merging  # noqa: F401
+from suite import reading  # noqa: F401
+from suite import normalizing  # noqa: F401
+from suite import observing  # noqa: F401
+from suite import jobs  # noqa: F401
 from suite.common import ORACLES, QUERIES  # noqa: F401

@@ -34,13 +34,14 @@ def _replaced(spark, sf_dir, strategy):
     replace_tables(dataset, {"root": new_root, "root__child": new_child}, strategy)
     root = dataset.read("root")
     children = dataset.read("root__child").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("children"))
+    root = root.fillna({"o_orderstatus": "-"}) if "o_orderstatus" in root.columns else root
     joined = root.join(children, root["o_orderkey"] == children["l_orderkey"], "left").drop("l_orderkey")
     return joined.withColumn("children", F.coalesce("children", F.lit(0).cast("long")))
 
 
 _REPLACED = """SELECT c_custkey AS o_orderkey, {kept} c_acctbal AS balance,
     (SELECT count(*) FROM events WHERE user_id = c_custkey) AS children FROM customer"""
-_KEPT = "NULL::VARCHAR AS o_orderstatus,"
+_KEPT = "'-' AS o_orderstatus,"
 
 
 @query("write_replace_truncate", _REPLACED.format(kept=_KEPT))
@@ -179,31 +180,36 @@ def _user_facts(spark, sf_dir):
     return users.unionByName(suppliers)
 
 
+_FACTS_OUT = "SELECT c_custkey, coalesce(c_name, '-') AS c_name, coalesce(c_nationkey, -1) AS c_nationkey, c_acctbal, coalesce(c_mktsegment, '-') AS c_mktsegment"
 _FACTS = """facts AS (
     SELECT user_id AS c_custkey, max(value) AS c_acctbal, arg_max(event_type, (ts, event_id)) AS last_type FROM events GROUP BY user_id
     UNION ALL SELECT -1 - s_suppkey, s_acctbal, CASE WHEN s_acctbal < 0 THEN 'error' ELSE 'supplier' END FROM supplier)"""
 _OLD_CUSTOMERS = "SELECT * FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM facts)"
 
 
+def _shown(customers):
+    return customers.fillna({"c_name": "-", "c_nationkey": -1, "c_mktsegment": "-"})
+
+
 @query("merge_upsert", f"""
-    WITH {_FACTS} {_OLD_CUSTOMERS}
+    WITH {_FACTS} {_FACTS_OUT} FROM ({_OLD_CUSTOMERS}
     UNION ALL SELECT f.c_custkey, c.c_name, c.c_nationkey, f.c_acctbal, c.c_mktsegment
-    FROM facts f LEFT JOIN customer c USING (c_custkey)
+    FROM facts f LEFT JOIN customer c USING (c_custkey))
 """)
 def merge_upsert(spark, sf_dir):
     """Known keys are updated in the columns that arrive, unknown keys inserted."""
-    return merges.upsert(table(spark, sf_dir, "customer"), _user_facts(spark, sf_dir).drop("last_type"), "c_custkey")
+    return _shown(merges.upsert(table(spark, sf_dir, "customer"), _user_facts(spark, sf_dir).drop("last_type"), "c_custkey"))
 
 
 @query("merge_upsert_hard_delete", f"""
-    WITH {_FACTS} {_OLD_CUSTOMERS}
+    WITH {_FACTS} {_FACTS_OUT} FROM ({_OLD_CUSTOMERS}
     UNION ALL SELECT f.c_custkey, c.c_name, c.c_nationkey, f.c_acctbal, c.c_mktsegment
-    FROM facts f LEFT JOIN customer c USING (c_custkey) WHERE last_type <> 'error'
+    FROM facts f LEFT JOIN customer c USING (c_custkey) WHERE last_type <> 'error')
 """)
 def merge_upsert_hard_delete(spark, sf_dir):
     """Users whose last event is an error are deleted; flagged unknown suppliers have no effect."""
     facts = _user_facts(spark, sf_dir).withColumn("gone", F.col("last_type") == "error").drop("last_type")
-    return merges.upsert(table(spark, sf_dir, "customer"), facts, "c_custkey", "gone").drop("gone")
+    return _shown(merges.upsert(table(spark, sf_dir, "customer"), facts, "c_custkey", "gone").drop("gone"))
 
 
 @query("merge_composite_key", f"""
@@ -372,10 +378,10 @@ def scd2_active_sentinel(spark, sf_dir):
 
 @query("scd2_active_null", f"""
     WITH {_DAY1}, state AS ({_SNAPSHOT.format(far='open')})
-    SELECT * REPLACE (nullif(valid_to, 'open') AS valid_to) FROM state
+    SELECT * FROM state
 """)
 def scd2_active_null(spark, sf_dir):
-    return plain(_two_days(spark, sf_dir, Scd2(active_until=None)))
+    return plain(_two_days(spark, sf_dir, Scd2(active_until=None))).fillna({"valid_to": "open"})
 
 
 @query("scd2_boundary_minute", f"""
