@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.functions.keys import key_list, key_set, on_keys, one_row_per_key, without_keys
+from sluiceway.functions.keys import key_list, key_set, one_row_per_key, with_keys, without_keys
 from sluiceway.operators.normalize import evolve_union
 
 # Default validity columns and the end of an active version.
@@ -38,23 +38,22 @@ class Scd2:
 
 @dataclass(frozen=True)
 class Scd2Change:
-    """The parts of a new state. `history` is untouched and need not be rewritten."""
+    """A new state in two parts: `history` is untouched and need not be rewritten; `versions`
+    holds the active ones and, marked by `__retired`, those this run has closed."""
 
     history: DataFrame | None
-    retired: DataFrame | None
-    active: DataFrame
+    versions: DataFrame
 
     def state(self) -> DataFrame:
-        parts = [p for p in (self.history, self.retired) if p is not None]
-        out = self.active
-        for part in parts:
-            out = evolve_union(part, out)
-        return out
+        versions = self.versions.drop("__retired")
+        return versions if self.history is None else evolve_union(self.history, versions)
 
 
-def row_hash(columns: Sequence[str]) -> Column:
-    """Content hash of a row over the given columns, NULLs included."""
-    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"}), 256)
+def version_id(columns: Sequence[str], start: str) -> Column:
+    """Unique id of a row version: its content and its start. A NULL column does not count, so
+    a column added later leaves the ids of older versions alone."""
+    content = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(columns)]))
+    return F.sha2(F.concat_ws("|", content, F.col(f"`{start}`").cast("string")), 256)
 
 
 def boundary_time(run_time: datetime | str, to_minute: bool = False) -> Column:
@@ -66,66 +65,51 @@ def boundary_time(run_time: datetime | str, to_minute: bool = False) -> Column:
 def scd2_change(target: DataFrame | None, incoming: DataFrame, boundary: Column, cfg: Scd2 = Scd2()) -> Scd2Change:
     """Compare a snapshot or batch with the active versions.
 
-    A row version is identified by its content hash. Active versions missing from
+    A row version is identified by its whole content. Active versions missing from
     the incoming rows are retired when they are in scope: every one for a full
     snapshot, those whose natural key arrived, or those of a loaded partition.
-    Unknown contents become new active versions.
+    Unknown contents become new active versions; columns one side lacks are NULL.
+
+    One shuffle does it all: active and incoming rows are grouped by content, and
+    which sides a group came from tells its fate. Repeated incoming rows collapse
+    before the shuffle, so no content is hot.
     """
     start, end = cfg.columns
-    business = [c for c in incoming.columns if c != cfg.hash_column]
     open_end = F.lit(cfg.active_until).cast("timestamp_ntz")
     if cfg.natural_key:
         incoming = one_row_per_key(incoming, cfg.natural_key, "scd2")
-    fresh = incoming.select(*[F.col(f"`{c}`") for c in business], row_hash(business).alias("__hash"))
-    fresh = fresh.dropDuplicates(["__hash"])
+    own = [start, end] + ([cfg.hash_column] if cfg.hash_column else [])
+    new = incoming.withColumns({"__old": F.lit(0), "__new": F.lit(1)})
     if target is None:
-        return Scd2Change(None, None, _versions(fresh, boundary, open_end, cfg))
+        first = incoming.distinct().withColumns({start: boundary, end: open_end, "__retired": F.lit(False)})
+        return Scd2Change(None, _with_id(first, incoming.columns, cfg))
 
     is_open = F.col(f"`{end}`").isNull() if cfg.active_until is None else F.col(f"`{end}`").eqNullSafe(open_end)
-    history = target.filter(~is_open)
-    known = F.col(f"`{cfg.hash_column}`") if cfg.hash_column in target.columns else row_hash(
-        [c for c in business if c in target.columns])
-    active = target.filter(is_open).withColumn("__hash", known)
-
+    history, active = target.filter(~is_open), target.filter(is_open)
+    outside = None
     scope = cfg.natural_key or cfg.partition_key
     if scope:
-        change = _scoped(active, fresh, key_set(incoming, scope), scope)
-    else:
-        change = _snapshot(active, fresh)
-    old, new = change
-    retired = old.filter(F.col("__retire")).withColumn(end, boundary).drop("__retire", "__hash")
-    kept = old.filter(~F.col("__retire")).drop("__retire", "__hash")
-    active_now = evolve_union(kept, _versions(new, boundary, open_end, cfg))
-    return Scd2Change(history, retired, active_now)
-
-
-def _snapshot(active: DataFrame, fresh: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides are of like size and unique by hash, so two equal-key joins have no hot key."""
-    seen = fresh.select(F.col("__hash").alias("__seen"))
-    old = active.join(seen, F.col("__hash") == F.col("__seen"), "left")
-    old = old.withColumn("__retire", F.col("__seen").isNull()).drop("__seen")
-    have = active.select(F.col("__hash").alias("__have"))
-    return old, fresh.join(have, F.col("__hash") == F.col("__have"), "left_anti")
-
-
-def _scoped(active: DataFrame, fresh: DataFrame, scope_keys: DataFrame, scope: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Only active versions inside the scope can change or already exist."""
-    seen = fresh.select(F.col("__hash").alias("__seen"))
-    # a key set may repeat a key, which an outer join must not see
-    marks = scope_keys.distinct().withColumn("__in", F.lit(True))
-    old = active.join(marks, on_keys(scope), "left")
-    old = old.join(seen, F.col("__hash") == F.col("__seen"), "left")
-    old = old.withColumn("__retire", F.col("__in").isNotNull() & F.col("__seen").isNull())
-    old = old.drop("__in", "__seen", *[f"__k{i}" for i in range(len(scope))])
-    inside = active.join(scope_keys, on_keys(scope), "left_semi")
-    have = inside.select(F.col("__hash").alias("__have"))
-    return old, fresh.join(have, F.col("__hash") == F.col("__have"), "left_anti")
-
-
-def _versions(rows: DataFrame, boundary: Column, open_end: Column, cfg: Scd2) -> DataFrame:
-    start, end = cfg.columns
-    rows = rows.withColumnsRenamed({"__hash": cfg.hash_column}) if cfg.hash_column else rows.drop("__hash")
-    return rows.withColumn(start, boundary).withColumn(end, open_end)
+        loaded = key_set(incoming, scope)
+        outside = without_keys(active, loaded, scope)
+        active = with_keys(active, loaded, scope)
+    old = active.drop(*[c for c in own if c != start]).withColumns({"__old": F.lit(1), "__new": F.lit(0)})
+    both = evolve_union(old, new)
+    business = [c for c in both.columns if c not in (start, "__old", "__new")]
+    rows = both.groupBy(*[F.col(f"`{c}`") for c in business]).agg(
+        F.max("__old").alias("__old"), F.max("__new").alias("__new"), F.min(F.col(f"`{start}`")).alias(start))
+    versions = rows.withColumns({
+        start: F.when(F.col("__old") == 0, boundary).otherwise(F.col(f"`{start}`")),
+        end: F.when(F.col("__new") == 1, open_end).otherwise(boundary),
+        "__retired": F.col("__new") == 0,
+    }).drop("__old", "__new")
+    versions = _with_id(versions, business, cfg)
+    if outside is not None:
+        versions = evolve_union(outside.withColumn("__retired", F.lit(False)), versions)
+    return Scd2Change(history, versions)
+
+
+def _with_id(rows: DataFrame, business: Sequence[str], cfg: Scd2) -> DataFrame:
+    return rows.withColumn(cfg.hash_column, version_id(business, cfg.columns[0])) if cfg.hash_column else rows
 
 
 def scd2(target: DataFrame | None, incoming: DataFrame, boundary: Column, cfg: Scd2 = Scd2()) -> DataFrame:

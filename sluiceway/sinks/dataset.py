@@ -123,23 +123,25 @@ class Dataset:
 
     def stage(
         self, name: str, df: DataFrame, bucket: Column | None = None, spread: Sequence[str] = (),
-        observe: Sequence[Column] = (),
+        observe: Sequence[Column] = (), without: Sequence[str] = (),
     ) -> TableState:
         """Write rows into new folders; counts and asked-for aggregates come from the same pass.
 
+        Columns named in `without` may decide the bucket but are not stored.
+
         `spread` asks for a rebalance on the bucket so that each bucket becomes a few
         full-size files; adaptive execution splits a bucket that is too large.
         """
         token = uuid.uuid4().hex[:12]
         seen = Observation(f"stage-{token}")
         rows = df.observe(seen, F.count(F.lit(1)).alias("rows"), *observe)
-        rows = rows.withColumn("__bucket", F.lit(0) if bucket is None else bucket).withColumn("__v", F.lit(token))
+        rows = rows.withColumn("__bucket", F.lit(0) if bucket is None else bucket).withColumn("__v", F.lit(token)).drop(*without)
         if spread:
             rows = rows.hint("rebalance", *[F.col(c) for c in spread])
         rows.write.mode("append").partitionBy(*_LAYOUT).parquet(f"{self.base}/{name}")
         paths = storage.matching(self.spark, f"{self.base}/{name}/__bucket=*/__v={token}")
         metrics = dict(seen.get)
-        nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+        nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name not in without])
         return TableState(name, nullable, tuple(paths), rows_written=metrics.pop("rows"),
                           bytes_written=storage.size_of(self.spark, paths), metrics=metrics)
 
@@ -256,26 +258,21 @@ class Dataset:
         active_bucket = bucket_of(scope, buckets) if scope and buckets > 1 else F.lit(0)
         spread = ["__bucket"] if scope and buckets > 1 else []
         old = self.table(name)
-        if old is None:
-            change = scd2_change(None, incoming, boundary, cfg)
-            new = self.stage(name, change.active, active_bucket, spread, observe)
-            return replace(new, scope=scope, buckets=buckets, based_on=())
-        live = tuple(p for p in old.paths if _bucket_in(p) != HISTORY_BUCKET)
-        touched = live
-        if spread and self._same_split(old, incoming, scope, buckets):
-            hit = {r[0] for r in incoming.select(active_bucket).distinct().collect()}  # at most `buckets` integers
-            touched = tuple(p for p in live if _bucket_in(p) in hit)
-        change = scd2_change(self.rows(old, touched), incoming, boundary, cfg)
-        parts = evolve_union(change.retired.withColumn("__b", F.lit(HISTORY_BUCKET)),
-                             change.active.withColumn("__b", active_bucket))
-        new = self._stage_tagged(name, parts, spread, observe)
-        left = tuple(p for p in old.paths if p not in set(touched))
-        return replace(new, schema=self._merged_schema(old, new), paths=left + new.paths, scope=scope,
-                       buckets=buckets, based_on=old.paths)
-
-    def _stage_tagged(self, name: str, df: DataFrame, spread: Sequence[str], observe: Sequence[Column]) -> TableState:
-        staged = self.stage(name, df, F.col("__b"), spread, observe)
-        return replace(staged, schema=T.StructType([f for f in staged.schema.fields if f.name != "__b"]))
+        touched, left = (), ()
+        if old is not None:
+            live = tuple(p for p in old.paths if _bucket_in(p) != HISTORY_BUCKET)
+            touched = live
+            if spread and self._same_split(old, incoming, scope, buckets):
+                hit = {r[0] for r in incoming.select(active_bucket).distinct().collect()}  # at most `buckets` integers
+                touched = tuple(p for p in live if _bucket_in(p) in hit)
+            left = tuple(p for p in old.paths if p not in set(touched))
+        target = None if old is None else self.rows(old, touched)
+        versions = scd2_change(target, incoming, boundary, cfg).versions
+        bucket = F.when(F.col("__retired"), HISTORY_BUCKET).otherwise(active_bucket)
+        new = self.stage(name, versions, bucket, spread, observe, without=("__retired",))
+        schema = self._merged_schema(old, new) if left else new.schema
+        return replace(new, schema=schema, paths=left + new.paths, scope=scope, buckets=buckets,
+                       based_on=() if old is None else old.paths)
 
     def expire(self, keep: int = 1) -> list[str]:
         """Delete data folders that none of the last `keep` commits names, except staged newer ones."""

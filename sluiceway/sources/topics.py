@@ -130,36 +130,39 @@ def _stripped(col: Column) -> Column:
 
 
 def classify(envelope: DataFrame) -> DataFrame:
-    """Add `_kind`: json, csv, raw or rejected; with the parsed helpers for decoding.
+    """Add `_m`: the kind of each message (json, csv, raw or rejected) and its parsed parts.
 
     A JSON object is decoded by field. Text that is not JSON is a CSV line when the
     key reads `header:a,b` and the counts agree, else raw text. JSON scalars,
     arrays and NULL values are rejected.
     """
-    text = _text(F.col("value"))
-    key = _text(F.col("key"))
+    text, key = _text(F.col("value")), _text(F.col("key"))
     rows = envelope.withColumns({"_text": text, "_key": F.when(key != "", key)})
     rows = rows.withColumn("_json", F.try_parse_json("_text"))
     headers = F.split(F.replace(F.col("_key"), F.lit(HEADER_PREFIX), F.lit("")), ",")
     rows = rows.withColumn("_headers", F.when(F.col("_key").startswith(HEADER_PREFIX), headers))
     rows = rows.withColumn("_values", F.when(F.col("_headers").isNotNull(), F.split(_stripped(F.col("_text")), ",")))
     kind = (
-        F.when(F.col("value").isNull(), "rejected")
+        F.when(F.col("_text").isNull(), "rejected")
         .when(F.schema_of_variant("_json").startswith("OBJECT"), "json")
         .when(F.col("_json").isNotNull(), "rejected")
         .when(F.size("_headers") == F.size("_values"), "csv")
         .otherwise("raw")
     )
-    return rows.withColumn("_kind", kind)
+    parts = F.struct(kind.alias("kind"), F.col("_text").alias("text"), F.col("_key").alias("key"), F.col("_json").alias("json"),
+                     F.col("_headers").alias("headers"), F.col("_values").alias("values"))
+    # a one-element generator: filters on the outcome stay above it instead of being
+    # pushed into the scan with a copy of the whole parse for every mention
+    return rows.select(*envelope.columns, F.explode_outer(F.array(parts)).alias("_m"))
 
 
 def _field(name: str, dtype: T.DataType) -> Column:
     """A payload field from either form; of repeated CSV headers the last one counts."""
     path = "$['" + name.replace("'", "\\'") + "']"
-    from_json = F.try_variant_get(F.col("_json"), path, dtype.simpleString())
-    from_end = F.array_position(F.reverse("_headers"), name)
-    from_csv = F.when(from_end > 0, F.try_element_at(F.col("_values"), (-from_end).cast("int")))
-    return F.when(F.col("_kind") == "json", from_json).when(F.col("_kind") == "csv", from_csv.try_cast(dtype))
+    from_json = F.try_variant_get(F.col("_m.json"), path, dtype.simpleString())
+    from_end = F.array_position(F.reverse("_m.headers"), name)
+    from_csv = F.when(from_end > 0, F.try_element_at(F.col("_m.values"), (-from_end).cast("int")))
+    return F.when(F.col("_m.kind") == "json", from_json).when(F.col("_m.kind") == "csv", from_csv.try_cast(dtype))
 
 
 def decode(envelope: DataFrame, payload: T.StructType | str) -> DataFrame:
@@ -169,20 +172,20 @@ def decode(envelope: DataFrame, payload: T.StructType | str) -> DataFrame:
     Envelope columns win over payload fields of the same name.
     """
     schema = T.StructType.fromDDL(payload) if isinstance(payload, str) else payload
-    rows = classify(envelope).filter(F.col("_kind") != "rejected")
+    rows = classify(envelope).filter(F.col("_m.kind") != "rejected")
     taken = set(ENVELOPE) | {"raw"}
     fields = [_field(f.name, f.dataType).alias(f.name) for f in schema.fields if f.name not in taken]
-    raw = F.when(F.col("_kind") == "raw", F.col("_text"))
+    raw = F.when(F.col("_m.kind") == "raw", F.col("_m.text"))
     if "raw" in schema.names:
         raw = F.coalesce(raw, _field("raw", T.StringType()))
-    return rows.select(*fields, raw.alias("raw"), "offset", "partition", "timestamp", F.col("_key").alias("key"))
+    return rows.select(*fields, raw.alias("raw"), "offset", "partition", "timestamp", F.col("_m.key").alias("key"))
 
 
 def rejects(envelope: DataFrame) -> DataFrame:
     """The messages `decode` leaves out, with the reason."""
-    rows = classify(envelope).filter(F.col("_kind") == "rejected")
-    reason = F.when(F.col("value").isNull(), "null value").otherwise("not an object")
-    return rows.select("topic", "partition", "offset", F.col("_text").alias("value"), reason.alias("_reject_reason"))
+    rows = classify(envelope).filter(F.col("_m.kind") == "rejected")
+    reason = F.when(F.col("_m.text").isNull(), "null value").otherwise("not an object")
+    return rows.select("topic", "partition", "offset", F.col("_m.text").alias("value"), reason.alias("_reject_reason"))
 
 
 def decode_avro(envelope: DataFrame, avro_schema: str) -> DataFrame:
