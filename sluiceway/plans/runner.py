@@ -17,7 +17,7 @@ from sluiceway.functions.names import snake_case, snake_columns
 from sluiceway.operators import merge as merges
 from sluiceway.operators.dedup import dedup
 from sluiceway.operators.incremental import new_rows
-from sluiceway.operators.normalize import flatten, relational, with_load_id, with_row_id
+from sluiceway.operators.normalize import detect_iso_timestamps, flatten, relational, with_load_id, with_row_id
 from sluiceway.operators.rules import apply_rules
 from sluiceway.operators.scd2 import boundary_time
 from sluiceway.plans import manifest
@@ -30,12 +30,6 @@ from sluiceway.sources.registry import open_source
 
 Reader = Callable[[SparkSession, str, str, Mapping], DataFrame]
 
-METRICS_SCHEMA = (
-    "run_id string, pipeline_name string, source_type string, destination_type string, step string, name string, "
-    "row_count long, file_size long, started_at timestamp_ntz, finished_at timestamp_ntz, error string"
-)
-
-
 _ACCEPTED: set[str] = set()
 
 
@@ -67,7 +61,8 @@ class _Trace:
         self.rows.append((*self._about, step, name, rows, size, started, _now(), error))
 
     def write(self, spark: SparkSession, base: str) -> None:
-        storage.small_frame(spark, self.rows, METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/_run_metrics")
+        rows = storage.small_frame(spark, self.rows, ledger.METRICS_SCHEMA)
+        rows.coalesce(1).write.parquet(f"{base}/_run_metrics/{self._about[0]}")  # a folder of its own per run
 
 
 def dataset_of(spark: SparkSession, spec: Mapping) -> Dataset:
@@ -109,7 +104,7 @@ def run(
 def _load(spark, spec, res: Resource, dataset: Dataset, load_id, run_time, reader, transform, trace: _Trace) -> dict[str, int]:
     resource_id = f"{spec['identity']}.{res.destination}"
     started, step = _now(), "extract"
-    package = None
+    packages: list[TableState] = []
     try:
         df = reader(spark, spec["source_uri"], res.source, res.options)
         last = ledger.stored_cursor(dataset, resource_id) if res.cursor else None
@@ -129,11 +124,19 @@ def _load(spark, spec, res: Resource, dataset: Dataset, load_id, run_time, reade
             # children are split off below, so repeated roots have to go first
             df = dedup(df, res.keys("primary_key"), res.config.get("dedup_sort_column"))
         package = _package(dataset, df, observe)
+        packages.append(package)
         trace.add(step, res.source, started, package.rows_written, package.bytes_written)
         state = _next_state(res, resource_id, package, last, cursor_type if res.cursor else "")
 
         started, step = _now(), "normalize"
         rows = dataset.rows(package, package.paths)
+        if res.options.get("detect_timestamps"):
+            rows = detect_iso_timestamps(rows)
+        if _needs_ordinals(res) and _nested(rows.schema):
+            # ids of keyless rows cost a shuffle: do it once for the root and all its children
+            numbered = _package(dataset, _identified(rows, res, load_id), [])
+            packages.append(numbered)
+            rows = dataset.rows(numbered, numbered.paths)
         tables = _normalized(rows, res, load_id)
         trace.add(step, res.destination, started, package.rows_written, package.bytes_written)
 
@@ -146,9 +149,8 @@ def _load(spark, spec, res: Resource, dataset: Dataset, load_id, run_time, reade
         trace.add(step, res.destination, started, None, None, str(failure).split("\n")[0][:500])
         raise
     finally:
-        if package is not None:
-            for path in package.paths:
-                storage.remove(spark, path)
+        for used in packages:
+            storage.remove(spark, f"{dataset.base}/{used.name}")
 
 
 def _package(dataset: Dataset, df: DataFrame, observe: list[Column]) -> TableState:
@@ -178,15 +180,26 @@ def _nested(schema: T.StructType) -> bool:
     return any(has(f.dataType) for f in schema.fields)
 
 
+def _row_keys(res: Resource) -> list[str]:
+    given = list(res.options.get("row_id_keys") or [])
+    return [snake_case(k) for k in given or (res.keys("primary_key") if res.disposition == "merge" else [])]
+
+
+def _needs_ordinals(res: Resource) -> bool:
+    return not _row_keys(res) and res.strategy != "scd2"
+
+
+def _identified(rows: DataFrame, res: Resource, load_id: str) -> DataFrame:
+    return with_row_id(snake_columns(rows), load_id, _row_keys(res))
+
+
 def _normalized(rows: DataFrame, res: Resource, load_id: str) -> dict[str, DataFrame]:
     """Flat tables with row and load ids; the root comes first."""
     root = snake_case(res.destination)
     if res.disposition == "merge" and res.strategy == "scd2":
         # the row id of a type-2 table is its content hash, added by the merge
         return {root: flatten(rows)}
-    keys = list(res.options.get("row_id_keys") or []) or (res.keys("primary_key") if res.disposition == "merge" else [])
-    rows = snake_columns(rows)
-    identified = with_row_id(rows, load_id, [snake_case(k) for k in keys])
+    identified = rows if "_row_id" in rows.columns else _identified(rows, res, load_id)
     tables = relational(identified, root) if _nested(rows.schema) else {root: flatten(identified)}
     return {name: with_load_id(df, load_id) for name, df in tables.items()}
 

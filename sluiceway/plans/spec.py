@@ -23,7 +23,7 @@ _RULE_KEYS = {"exclude_columns", "pseudonymizing_columns"}
 _INCREMENTAL_KEYS = {"incremental_key", "start_position", "end_position", "lag_window", "boundary_mode", "direction"}
 _OPTION_KEYS = {
     "batch_size", "batch_timeout", "start_from", "filter", "limit", "schema", "buckets", "row_id_keys", "split_column",
-    "bounds", "splits", "payload",
+    "bounds", "splits", "payload", "detect_timestamps",
 }
 
 

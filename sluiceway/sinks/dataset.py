@@ -29,7 +29,7 @@ from sluiceway.operators.scd2 import Scd2, scd2_change
 from sluiceway.sinks import storage
 
 HISTORY_BUCKET = -1
-_LAYOUT = ("__bucket", "__v")
+_LAYOUT = ("__v", "__bucket")
 
 
 @dataclass(frozen=True)
@@ -113,7 +113,7 @@ class Dataset:
     def rows(self, state: TableState, paths: Sequence[str]) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], state.schema)
-        layout = T.StructType([T.StructField("__bucket", T.IntegerType()), T.StructField("__v", T.StringType())])
+        layout = T.StructType([T.StructField("__v", T.StringType()), T.StructField("__bucket", T.IntegerType())])
         stored = T.StructType(state.schema.fields + layout.fields)
         return (
             self.spark.read.schema(stored).option("basePath", f"{self.base}/{state.name}").parquet(*paths).drop(*_LAYOUT)
@@ -125,21 +125,23 @@ class Dataset:
         self, name: str, df: DataFrame, bucket: Column | None = None, spread: Sequence[str] = (),
         observe: Sequence[Column] = (), without: Sequence[str] = (),
     ) -> TableState:
-        """Write rows into new folders; counts and asked-for aggregates come from the same pass.
+        """Write rows into a new folder; counts and asked-for aggregates come from the same pass.
 
-        Columns named in `without` may decide the bucket but are not stored.
-
-        `spread` asks for a rebalance on the bucket so that each bucket becomes a few
-        full-size files; adaptive execution splits a bucket that is too large.
+        Columns named in `without` may decide the bucket but are not stored. `spread`
+        asks for a rebalance on the bucket so that each bucket becomes a few full-size
+        files; adaptive execution splits a bucket that is too large. The aggregates are
+        taken after it, in the writing stage, where a task counts once however often
+        it has to run.
         """
         token = uuid.uuid4().hex[:12]
         seen = Observation(f"stage-{token}")
-        rows = df.observe(seen, F.count(F.lit(1)).alias("rows"), *observe)
-        rows = rows.withColumn("__bucket", F.lit(0) if bucket is None else bucket).withColumn("__v", F.lit(token)).drop(*without)
+        rows = df.withColumn("__bucket", F.lit(0) if bucket is None else bucket)
         if spread:
             rows = rows.hint("rebalance", *[F.col(c) for c in spread])
-        rows.write.mode("append").partitionBy(*_LAYOUT).parquet(f"{self.base}/{name}")
-        paths = storage.matching(self.spark, f"{self.base}/{name}/__bucket=*/__v={token}")
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *observe).drop(*without)
+        folder = f"{self.base}/{name}/__v={token}"
+        rows.write.partitionBy("__bucket").parquet(folder)
+        paths = storage.matching(self.spark, f"{folder}/__bucket=*")
         metrics = dict(seen.get)
         nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name not in without])
         return TableState(name, nullable, tuple(paths), rows_written=metrics.pop("rows"),

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from sluiceway.sinks.dataset import Dataset
 
+METRICS_SCHEMA = (
+    "run_id string, pipeline_name string, source_type string, destination_type string, step string, name string, "
+    "row_count long, file_size long, started_at timestamp_ntz, finished_at timestamp_ntz, error string"
+)
 _COMMIT = (
     "version long, load_id string, pipeline string, status int, committed_at string, "
     "tables array<struct<name string, schema string, schema_hash string, schema_version long, "
@@ -68,3 +72,8 @@ def job_result(dataset: Dataset) -> DataFrame:
         F.col("pipeline").alias("pipeline_name"), F.col("r.load_id").alias("load_id"),
         F.sha2(F.concat_ws(",", hashes), 256).alias("schema_version_hash"),
     )
+
+
+def run_metrics(dataset: Dataset) -> DataFrame:
+    """One row per run, step and table; the input of the functions in `operators.observe`."""
+    return dataset.spark.read.schema(METRICS_SCHEMA).parquet(f"{dataset.base}/_run_metrics/*")
