@@ -149,7 +149,7 @@ class Dataset:
 
     def commit(
         self, changes: Sequence[TableState], load_id: str = "", pipeline: str = "", drop: Sequence[str] = (),
-        state: Mapping[str, dict] | None = None, stream: tuple[str, int] | None = None,
+        state: Mapping[str, dict] | None = None, stream: Mapping[str, object] | None = None,
     ) -> dict:
         """Publish new table states, incremental state and stream progress in one step.
 
@@ -175,7 +175,7 @@ class Dataset:
             states[resource] = {"resource": resource, **value}
         streams = {s["name"]: s for s in before["streams"]}
         if stream:
-            streams[stream[0]] = {"name": stream[0], "batch_id": stream[1]}
+            streams[stream["name"]] = dict(stream)
         doc = {
             "version": before["version"] + 1, "load_id": load_id, "pipeline": pipeline, "status": 0,
             "committed_at": datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"),

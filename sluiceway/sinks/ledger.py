@@ -16,7 +16,7 @@ _COMMIT = (
     "tables array<struct<name string, schema string, schema_hash string, schema_version long, "
     "previous_hashes array<string>, rows_written long, bytes_written long, changed boolean>>, "
     "state array<struct<resource string, cursor string, cursor_type string>>, "
-    "streams array<struct<name string, batch_id long>>"
+    "streams array<struct<name string, checkpoint_id string, batch_id long>>"
 )
 
 

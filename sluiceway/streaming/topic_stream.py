@@ -11,6 +11,7 @@ from sluiceway.operators import merge as merges
 from sluiceway.operators.dedup import dedup
 from sluiceway.operators.normalize import evolve_union
 from sluiceway.operators.scd2 import Scd2, boundary_time
+from sluiceway.sinks import storage
 from sluiceway.sinks.dataset import Dataset, TableState
 
 MESSAGE_KEY = ("topic", "partition", "offset")
@@ -63,17 +64,20 @@ def start(
 ) -> StreamingQuery:
     """Start the stream: bounded (all that exists now) unless a processing interval is given.
 
-    The batch id is published in the same commit as the batch's rows, so a batch
-    that is run again after a failure is recognised and skipped.
+    The checkpoint's id and the batch id are published in the same commit as the
+    batch's rows, so a batch that is run again after a failure is recognised and
+    skipped. A new checkpoint is a new stream and reads from its start position.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         dataset = Dataset(batch.sparkSession, base)
-        done = [s["batch_id"] for s in dataset.latest()["streams"] if s["name"] == name]
-        if done and batch_id <= done[0]:
+        checkpoint_id = storage.read_json(batch.sparkSession, f"{checkpoint}/metadata")["id"]
+        done = [s for s in dataset.latest()["streams"] if s["name"] == name and s["checkpoint_id"] == checkpoint_id]
+        if done and batch_id <= done[0]["batch_id"]:
             return
         change = write(dataset, prepare(batch) if prepare else batch, batch_id)
-        dataset.commit([change], load_id=f"{name}-{batch_id}", pipeline=name, stream=(name, batch_id))
+        progress = {"name": name, "checkpoint_id": checkpoint_id, "batch_id": batch_id}
+        dataset.commit([change], load_id=f"{name}-{batch_id}", pipeline=name, stream=progress)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).queryName(name)
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
