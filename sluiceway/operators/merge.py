@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.functions.keys import key_list, key_set, on_keys, one_row_per_key, without_keys
+from sluiceway.functions.keys import key_list, key_set, on_keys, one_row_per_key, with_keys, without_keys
 from sluiceway.operators.dedup import dedup
 from sluiceway.operators.normalize import evolve_union
 
@@ -77,7 +77,9 @@ def upsert(target: DataFrame | None, incoming: DataFrame, primary_key: Key, hard
     kept = without_keys(target, key_set(incoming, keys), keys)
     carried = [c for c in target.columns if c not in incoming.columns]
     if carried:
-        old = target.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)],
+        # only the matching target rows, found by the (broadcastable) keys, take part in the outer join
+        matched = with_keys(target, key_set(incoming, keys), keys)
+        old = matched.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)],
                             *[F.col(f"`{c}`") for c in carried])
         live = live.join(old, on_keys(keys), "left").drop(*[f"__k{i}" for i in range(len(keys))])
     return evolve_union(kept, live)

@@ -6,9 +6,11 @@ import hashlib
 import json
 import uuid
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 from datetime import datetime, timezone
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,13 +18,13 @@ from sluiceway.functions.keys import key_set, with_keys, without_keys
 from sluiceway.functions.names import snake_case, snake_columns
 from sluiceway.operators import merge as merges
 from sluiceway.operators.dedup import dedup
-from sluiceway.operators.incremental import new_rows
+from sluiceway.operators.incremental import cursor_predicate
 from sluiceway.operators.normalize import detect_iso_timestamps, flatten, relational, with_load_id, with_row_id
 from sluiceway.operators.rules import apply_rules
-from sluiceway.operators.scd2 import boundary_time
+from sluiceway.operators.scd2 import boundary_time, scd2
 from sluiceway.plans import manifest
 from sluiceway.plans.spec import Resource, manifest_rows, resources
-from sluiceway.sinks import ledger, storage
+from sluiceway.sinks import external, ledger, storage
 from sluiceway.sinks.dataset import Dataset, TableState
 from sluiceway.sinks.external import DEFAULT_DATASET, destination
 from sluiceway.sinks.replace import replace_tables
@@ -66,33 +68,40 @@ class _Trace:
 
 
 def dataset_of(spark: SparkSession, spec: Mapping) -> Dataset:
+    """The dataset a job loads into; for other destinations the one that keeps its state and ledger."""
     kind, options = destination(spec["destination_uri"])
     if kind != "dataset":
-        raise ValueError(f"run() loads into folders; write {kind} destinations with write_external")
-    name = spec.get("dataset_name") or DEFAULT_DATASET[spec["destination_uri"].split(":")[0].lower()]
+        if not spec.get("state_folder"):
+            raise ValueError(f"a job into a {kind} destination needs a state_folder for its packages, state and ledger")
+        return Dataset(spark, spec["state_folder"])
+    name = dataset_name(spec)
     return Dataset(spark, f"{options['path']}/{name}" if name else options["path"])
 
 
+def dataset_name(spec: Mapping) -> str:
+    return spec.get("dataset_name") or DEFAULT_DATASET[spec["destination_uri"].split(":")[0].lower()]
+
+
 def run(
     spark: SparkSession, spec: Mapping, run_time: datetime | None = None, reader: Reader = open_source,
     transform: Callable[[DataFrame], DataFrame] | None = None, dataset: Dataset | None = None,
 ) -> dict:
     """Load every resource of a job; returns status, message, load id and rows per table.
 
-    Per resource: read, keep new rows, apply column rules, normalise names, write a
-    load package to the shared folder (which cuts the lineage and yields counts and
-    the next cursor in the same pass), then merge the package into the dataset. Data,
+    Per resource: read, keep new rows, apply column rules, normalise, write. Data,
     state and ledger are published by one commit per resource.
     """
     validate(spark, spec)
     run_time = run_time or _now()
     load_id = f"{run_time:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
+    external = dataset is None and destination(spec["destination_uri"])[0] != "dataset"
     dataset = dataset or dataset_of(spark, spec)
     trace = _Trace(load_id, spec)
     counts: dict[str, int] = {}
     try:
         for res in resources(spec):
-            counts.update(_load(spark, spec, res, dataset, load_id, run_time, reader, transform, trace))
+            load = _Load(spark, spec, res, dataset, load_id, run_time, trace, external)
+            counts.update(load.run(reader, transform))
     finally:
         if trace.rows:
             trace.write(spark, dataset.base)
@@ -101,76 +110,6 @@ def run(
             "load_id": load_id, "rows": counts, "schema_hashes": hashes}
 
 
-def _load(spark, spec, res: Resource, dataset: Dataset, load_id, run_time, reader, transform, trace: _Trace) -> dict[str, int]:
-    resource_id = f"{spec['identity']}.{res.destination}"
-    started, step = _now(), "extract"
-    packages: list[TableState] = []
-    try:
-        df = reader(spark, spec["source_uri"], res.source, res.options)
-        last = ledger.stored_cursor(dataset, resource_id) if res.cursor else None
-        observe: list[Column] = []
-        if res.cursor:
-            key = F.col(f"`{res.cursor.key}`")
-            cursor_type = df.schema[res.cursor.key].dataType.simpleString()
-            # a pushed-down IS NULL count, mostly answered from file statistics
-            trace.add(step, f"{res.source}:null_cursor", started, df.filter(key.isNull()).count(), None)
-            df = new_rows(df, res.cursor, last).withColumn("__cursor", key)
-            pick = F.max if res.cursor.direction == "max" else F.min
-            observe = [pick("__cursor").cast("string").alias("cursor")]
-        if transform:
-            df = transform(df)
-        df = apply_rules(df, res.exclude, res.pseudonymize, spec.get("salt", ""))
-        if _nested(df.schema) and res.disposition == "merge" and res.strategy == "delete-insert" and res.keys("primary_key"):
-            # children are split off below, so repeated roots have to go first
-            df = dedup(df, res.keys("primary_key"), res.config.get("dedup_sort_column"))
-        package = _package(dataset, df, observe)
-        packages.append(package)
-        trace.add(step, res.source, started, package.rows_written, package.bytes_written)
-        state = _next_state(res, resource_id, package, last, cursor_type if res.cursor else "")
-
-        started, step = _now(), "normalize"
-        rows = dataset.rows(package, package.paths)
-        if res.options.get("detect_timestamps"):
-            rows = detect_iso_timestamps(rows)
-        if _needs_ordinals(res) and _nested(rows.schema):
-            # ids of keyless rows cost a shuffle: do it once for the root and all its children
-            numbered = _package(dataset, _identified(rows, res, load_id), [])
-            packages.append(numbered)
-            rows = dataset.rows(numbered, numbered.paths)
-        tables = _normalized(rows, res, load_id)
-        trace.add(step, res.destination, started, package.rows_written, package.bytes_written)
-
-        started, step = _now(), "load"
-        counts = _write(dataset, res, tables, load_id, spec["identity"], run_time, state)
-        for name, rows_written in counts.items():
-            trace.add(step, name, started, rows_written, None)
-        return counts
-    except Exception as failure:
-        trace.add(step, res.destination, started, None, None, str(failure).split("\n")[0][:500])
-        raise
-    finally:
-        for used in packages:
-            storage.remove(spark, f"{dataset.base}/{used.name}")
-
-
-def _package(dataset: Dataset, df: DataFrame, observe: list[Column]) -> TableState:
-    """Staged rows. The copy of the cursor only feeds the observation and is not read back."""
-    staged = dataset.stage(f"_packages/{uuid.uuid4().hex[:12]}", df, observe=observe)
-    fields = [f for f in staged.schema.fields if f.name != "__cursor"]
-    return TableState(staged.name, T.StructType(fields), staged.paths, rows_written=staged.rows_written,
-                      bytes_written=staged.bytes_written, metrics=staged.metrics)
-
-
-def _next_state(res: Resource, resource_id: str, package: TableState, last: str | None, cursor_type: str) -> dict | None:
-    """The cursor to store: none for a backfill, unchanged when no row was new."""
-    if res.cursor is None or res.cursor.is_backfill:
-        return None
-    seen = package.metrics.get("cursor")
-    if seen is None:
-        return None
-    return {resource_id: {"cursor": seen, "cursor_type": cursor_type}}
-
-
 def _nested(schema: T.StructType) -> bool:
     def has(t: T.DataType) -> bool:
         if isinstance(t, (T.ArrayType, T.MapType)):
@@ -180,66 +119,215 @@ def _nested(schema: T.StructType) -> bool:
     return any(has(f.dataType) for f in schema.fields)
 
 
-def _row_keys(res: Resource) -> list[str]:
-    given = list(res.options.get("row_id_keys") or [])
-    return [snake_case(k) for k in given or (res.keys("primary_key") if res.disposition == "merge" else [])]
-
-
-def _needs_ordinals(res: Resource) -> bool:
-    return not _row_keys(res) and res.strategy != "scd2"
-
-
-def _identified(rows: DataFrame, res: Resource, load_id: str) -> DataFrame:
-    return with_row_id(snake_columns(rows), load_id, _row_keys(res))
-
-
-def _normalized(rows: DataFrame, res: Resource, load_id: str) -> dict[str, DataFrame]:
-    """Flat tables with row and load ids; the root comes first."""
-    root = snake_case(res.destination)
-    if res.disposition == "merge" and res.strategy == "scd2":
-        # the row id of a type-2 table is its content hash, added by the merge
-        return {root: flatten(rows)}
-    identified = rows if "_row_id" in rows.columns else _identified(rows, res, load_id)
-    tables = relational(identified, root) if _nested(rows.schema) else {root: flatten(identified)}
-    return {name: with_load_id(df, load_id) for name, df in tables.items()}
-
-
-def _write(dataset: Dataset, res: Resource, tables: dict[str, DataFrame], load_id, pipeline, run_time, state) -> dict[str, int]:
-    about = {"load_id": load_id, "pipeline": pipeline, "state": state}
-    root, *children = tables
-    if res.disposition == "replace":
-        staged = replace_tables(dataset, tables, res.strategy, **about)
-        return {n: s.rows_written for n, s in staged.items()}
-    if res.disposition == "append":
-        changes = [dataset.append(n, df) for n, df in tables.items()]
+def _later(a: str, b: str, direction: str) -> str:
+    """The further of two cursor texts: numbers as numbers, dates and times as their ISO text."""
+    try:
+        key = Decimal
+        Decimal(a), Decimal(b)
+    except ArithmeticError:
+        key = str
+    return max(a, b, key=key) if direction == "max" else min(a, b, key=key)
+
+
+@dataclass
+class _Load:
+    """One resource of one run."""
+
+    spark: SparkSession
+    spec: Mapping
+    res: Resource
+    dataset: Dataset
+    load_id: str
+    run_time: datetime
+    trace: _Trace
+    external: bool
+
+    def run(self, reader: Reader, transform: Callable[[DataFrame], DataFrame] | None) -> dict[str, int]:
+        res, started, step = self.res, _now(), "extract"
+        packages: list[TableState] = []
+        try:
+            df = reader(self.spark, self.spec["source_uri"], res.source, res.options)
+            observe: list[Column] = []
+            nulls = None
+            if res.cursor:
+                df, nulls, observe = self._new_rows(df)
+            if transform:
+                df = transform(df)
+            df = apply_rules(df, res.exclude, res.pseudonymize, self.spec.get("salt", ""))
+            if self._is_direct(df):
+                # keyed flat rows need no package: they are written once, where they stay
+                step = "load"
+                counts, metrics = self._write_direct(self._normalized(df), observe)
+                self.trace.add("extract", res.source, started, sum(counts.values()), None)
+            else:
+                package = self._package(df, observe)
+                packages.append(package)
+                metrics = package.metrics
+                self.trace.add(step, res.source, started, package.rows_written, package.bytes_written)
+                started, step = _now(), "normalize"
+                rows = self.dataset.rows(package, package.paths)
+                if res.options.get("detect_timestamps"):
+                    rows = detect_iso_timestamps(rows)
+                tables = self._normalized(rows, empty=not package.paths)
+                self.trace.add(step, res.destination, started, package.rows_written, package.bytes_written)
+                started, step = _now(), "load"
+                counts = self._write(tables, self._about(metrics))
+            for name, rows_written in counts.items():
+                self.trace.add("load", name, started, rows_written, None)
+            if nulls is not None:
+                self.trace.add("extract", f"{res.source}:null_cursor", started, nulls.get["nulls"], None)
+            return counts
+        except Exception as failure:
+            self.trace.add(step, res.destination, started, None, None, str(failure).split("\n")[0][:500])
+            raise
+        finally:
+            for used in packages:
+                storage.remove(self.spark, f"{self.dataset.base}/{used.name}")
+
+    # ---- extract ----
+
+    @property
+    def _resource_id(self) -> str:
+        return f"{self.spec['identity']}.{self.res.destination}"
+
+    def _new_rows(self, df: DataFrame) -> tuple[DataFrame, Observation, list[Column]]:
+        """New rows and, from the same pass, how many rows have no cursor and the next cursor.
+
+        `new or NULL` still reaches the scan; the NULLs are counted and left out. A copy
+        of the cursor feeds the observation, as the rules may drop or hash the column.
+        """
+        cursor = self.res.cursor
+        key = F.col(f"`{cursor.key}`")
+        last = ledger.stored_cursor(self.dataset, self._resource_id)
+        keep = cursor_predicate(cursor, df.schema[cursor.key].dataType, last)
+        nulls = Observation(f"nulls-{uuid.uuid4().hex[:8]}")
+        rows = df.filter(keep | key.isNull()).observe(nulls, F.count_if(key.isNull()).alias("nulls"))
+        pick = F.max if cursor.direction == "max" else F.min
+        rows = rows.filter(key.isNotNull()).withColumn("__cursor", key)
+        self._cursor_type = df.schema[cursor.key].dataType.simpleString()
+        return rows, nulls, [pick("__cursor").cast("string").alias("cursor")]
+
+    def _package(self, df: DataFrame, observe: list[Column]) -> TableState:
+        """The rows as written files, which cuts the lineage: they are read by several plans."""
+        res = self.res
+        if _nested(df.schema) and res.disposition == "merge" and res.strategy == "delete-insert" and res.keys("primary_key"):
+            # children are split off later, so repeated roots have to go first
+            df = dedup(df, res.keys("primary_key"), res.config.get("dedup_sort_column"))
+        return self.dataset.stage(f"_packages/{uuid.uuid4().hex[:12]}", df, observe=observe, without=("__cursor",))
+
+    def _about(self, metrics: Mapping) -> dict:
+        """What the commit says about this load. A backfill or a load without new rows keeps the state."""
+        about = {"load_id": self.load_id, "pipeline": self.spec["identity"], "state": None}
+        cursor, seen = self.res.cursor, metrics.get("cursor")
+        if cursor is not None and not cursor.is_backfill and seen is not None:
+            last = ledger.stored_cursor(self.dataset, self._resource_id)
+            furthest = seen if last is None else _later(seen, last, cursor.direction)
+            about["state"] = {self._resource_id: {"cursor": furthest, "cursor_type": self._cursor_type}}
+        return about
+
+    # ---- normalise ----
+
+    def _row_keys(self) -> list[str]:
+        given = list(self.res.options.get("row_id_keys") or [])
+        return [snake_case(k) for k in given or (self.res.keys("primary_key") if self.res.disposition == "merge" else [])]
+
+    def _normalized(self, rows: DataFrame, empty: bool = False) -> dict[str, DataFrame]:
+        """Flat tables with row and load ids; the root comes first."""
+        root = snake_case(self.res.destination)
+        if self.res.strategy == "scd2":
+            return {root: flatten(rows)}  # its row id, of content and start, is added by the merge
+        keys = self._row_keys()
+        if keys or empty:
+            identified = with_row_id(snake_columns(rows), self.load_id, keys)
+        else:
+            # the place in the package's files is unique and does not change: no shuffle
+            place = F.concat_ws("|", F.lit(self.load_id), "_metadata.file_name", F.col("_metadata.row_index").cast("string"))
+            identified = snake_columns(rows.withColumn("_row_id", F.sha2(place, 256)))
+        tables = relational(identified, root) if _nested(rows.schema) else {root: flatten(identified)}
+        return {name: with_load_id(df, self.load_id) for name, df in tables.items()}
+
+    # ---- load ----
+
+    def _is_direct(self, df: DataFrame) -> bool:
+        plain = self.res.disposition in ("append", "replace") and not self.external
+        return plain and bool(self._row_keys()) and not _nested(df.schema) and not self.res.options.get("detect_timestamps")
+
+    def _write_direct(self, tables: dict[str, DataFrame], observe: list[Column]) -> tuple[dict[str, int], Mapping]:
+        (name, df), = tables.items()
+        if self.res.disposition == "append":
+            change = self.dataset.append(name, df, observe, without=("__cursor",))
+            self.dataset.commit([change], **self._about(change.metrics))
+        else:
+            change = replace_tables(self.dataset, tables, self.res.strategy, observe=observe, without=("__cursor",), about=self._about)[name]
+        return {name: change.rows_written}, change.metrics
+
+    def _write(self, tables: dict[str, DataFrame], about: dict) -> dict[str, int]:
+        if self.external:
+            return self._write_external(tables, about)
+        res, dataset = self.res, self.dataset
+        root, *children = tables
+        if res.disposition == "replace":
+            staged = replace_tables(dataset, tables, res.strategy, **about)
+            return {n: s.rows_written for n, s in staged.items()}
+        if res.disposition == "append":
+            changes = [dataset.append(n, df) for n, df in tables.items()]
+            dataset.commit(changes, **about)
+            return {c.name: c.rows_written for c in changes}
+        buckets = int(res.options.get("buckets", 1))
+        if res.strategy == "scd2":
+            change = dataset.merge_scd2(root, tables[root], self._boundary(), res.scd2(), buckets)
+            dataset.commit([change], **about)
+            return {root: change.rows_written}
+        pk, mk = ([snake_case(k) for k in res.keys(name)] for name in ("primary_key", "merge_key"))
+        # with both keys a row can meet its match in any bucket; with a primary key its
+        # hash, the row id, is the scope, so that child rows share their root's bucket
+        scope = [] if (pk and mk) else (["_row_id"] if pk else mk)
+        before = dataset.table(root)
+        change = dataset.merge(root, tables[root], self._merge_function(), scope, buckets)
+        changes = [change] + _child_changes(dataset, before, change, tables, children, buckets if pk and not mk else 1)
         dataset.commit(changes, **about)
         return {c.name: c.rows_written for c in changes}
-    buckets = int(res.options.get("buckets", 1))
-    if res.strategy == "scd2":
-        at = boundary_time(run_time, bool(res.config.get("use_boundary_timestamp", False)))
-        change = dataset.merge_scd2(root, tables[root], at, res.scd2(), buckets)
-        dataset.commit([change], **about)
-        return {root: change.rows_written}
-    hard_delete = res.config.get("hard_delete_column")
-    hard_delete = snake_case(hard_delete) if hard_delete else None
-    pk = [snake_case(k) for k in res.keys("primary_key")]
-    mk = [snake_case(k) for k in res.keys("merge_key")]
-    if res.strategy == "upsert":
-        def fn(old, new):
-            return merges.upsert(old, new, pk, hard_delete)
-    else:
-        sort = {snake_case(k): v for k, v in (res.config.get("dedup_sort_column") or {}).items()}
-
-        def fn(old, new):
-            return merges.delete_insert(old, new, pk, mk, hard_delete, sort)
-    # with both keys a row can meet its match in any bucket; with a primary key its
-    # hash, the row id, is the scope, so that child rows share their root's bucket
-    scope = [] if (pk and mk) else (["_row_id"] if pk else mk)
-    before = dataset.table(root)
-    change = dataset.merge(root, tables[root], fn, scope, buckets)
-    changes = [change] + _child_changes(dataset, before, change, tables, children, buckets if pk and not mk else 1)
-    dataset.commit(changes, **about)
-    return {c.name: c.rows_written for c in changes}
+
+    def _boundary(self) -> Column:
+        return boundary_time(self.run_time, bool(self.res.config.get("use_boundary_timestamp", False)))
+
+    def _merge_function(self) -> Callable[[DataFrame | None, DataFrame], DataFrame]:
+        config = self.res.config
+        hard_delete = snake_case(config["hard_delete_column"]) if config.get("hard_delete_column") else None
+        pk, mk = ([snake_case(k) for k in self.res.keys(name)] for name in ("primary_key", "merge_key"))
+        sort = {snake_case(k): v for k, v in (config.get("dedup_sort_column") or {}).items()}
+        if self.res.strategy == "scd2":
+            return lambda old, new: scd2(old, new, self._boundary(), self.res.scd2())
+        if self.res.strategy == "upsert":
+            return lambda old, new: merges.upsert(old, new, pk, hard_delete)
+        return lambda old, new: merges.delete_insert(old, new, pk, mk, hard_delete, sort)
+
+    def _write_external(self, tables: dict[str, DataFrame], about: dict) -> dict[str, int]:
+        """Tables of another system: appended, replaced, or merged by computing the new state here.
+
+        The ledger in the state folder knows which tables this job has created; a first
+        merge creates its table and fails when one is already there.
+        """
+        uri, name, disposition = self.spec["destination_uri"], dataset_name(self.spec), self.res.disposition
+        if disposition == "merge" and len(tables) > 1:
+            raise ValueError("nested rows merge only into folders")
+        changes = []
+        for table, df in tables.items():
+            known = self.dataset.table(table) is not None
+            if disposition == "append":
+                external.write_external(df, uri, name, table, "append")
+            elif disposition == "replace" and self.res.strategy == "truncate-and-insert":
+                external.write_external(df, uri, name, table, "overwrite")
+            elif disposition == "replace":
+                external.replace_staged(df, uri, name, table)
+            elif known:
+                old = external.read_external(self.spark, uri, name, table)
+                external.replace_staged(self._merge_function()(old, df), uri, name, table)
+            else:
+                external.write_external(self._merge_function()(None, df), uri, name, table, "errorifexists")
+            changes.append(TableState(table, df.schema))
+        self.dataset.commit(changes, **about)
+        return {c.name: c.rows_written for c in changes}
 
 
 def _child_changes(

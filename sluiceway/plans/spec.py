@@ -14,7 +14,7 @@ from sluiceway.operators.incremental import Cursor
 from sluiceway.operators.scd2 import ACTIVE_UNTIL, VALIDITY_COLUMNS, Scd2
 from sluiceway.plans.manifest import CONFIG_BLOCKS, MANIFEST_SCHEMA
 
-_JOB_KEYS = {"identity", "source_uri", "destination_uri", "dataset_name", "resources", "salt"}
+_JOB_KEYS = {"identity", "source_uri", "destination_uri", "dataset_name", "resources", "salt", "state_folder"}
 _RESOURCE_KEYS = {
     "source_table_name", "destination_table_name", "column_rules", "incremental_config", "write_disposition_config",
     "source_options",

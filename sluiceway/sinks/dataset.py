@@ -186,13 +186,15 @@ class Dataset:
 
     # ---- dispositions: each returns the staged state to commit ----
 
-    def append(self, name: str, df: DataFrame, observe: Sequence[Column] = ()) -> TableState:
+    def append(
+        self, name: str, df: DataFrame, observe: Sequence[Column] = (), without: Sequence[str] = ()
+    ) -> TableState:
         """New folders next to the old ones; nothing is read or rewritten."""
         old = self.table(name)
         if old is None:
-            return replace(self.stage(name, df, observe=observe), based_on=())
+            return replace(self.stage(name, df, observe=observe, without=without), based_on=())
         bucket = bucket_of(old.scope, old.buckets) if old.scope else None
-        new = self.stage(name, self._fitted(old, df), bucket, ["__bucket"] if old.scope else [], observe)
+        new = self.stage(name, self._fitted(old, df), bucket, ["__bucket"] if old.scope else [], observe, without)
         return replace(new, schema=self._merged_schema(old, new), paths=old.paths + new.paths,
                        scope=old.scope, buckets=old.buckets, based_on=old.paths)
 
@@ -276,6 +278,14 @@ class Dataset:
         return replace(new, schema=schema, paths=left + new.paths, scope=scope, buckets=buckets,
                        based_on=() if old is None else old.paths)
 
+    def compact(self, name: str) -> TableState:
+        """The same rows in fewer, larger files, for tables that many small appends have cut up."""
+        state = self.table(name)
+        in_history = F.col("_metadata.file_path").contains(f"__bucket={HISTORY_BUCKET}/")
+        bucket = F.when(in_history, HISTORY_BUCKET).otherwise(bucket_of(state.scope, state.buckets))
+        new = self.stage(name, self.rows(state, state.paths).withColumn("__b", bucket), F.col("__b"), ["__bucket"], without=("__b",))
+        return replace(state, paths=new.paths, rows_written=new.rows_written, bytes_written=new.bytes_written, based_on=state.paths)
+
     def expire(self, keep: int = 1) -> list[str]:
         """Delete data folders that none of the last `keep` commits names, except staged newer ones."""
         names = self.commits()

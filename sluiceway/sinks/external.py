@@ -43,7 +43,7 @@ def qualified(dataset: str | None, table: str) -> str:
 
 
 def write_external(df: DataFrame, uri: str, dataset: str | None, table: str, mode: str) -> None:
-    """Append to or replace a table at an external destination."""
+    """Append to, replace or (`errorifexists`) create a table at an external destination."""
     kind, options = destination(uri)
     name = qualified(dataset, table)
     if kind == "jdbc":

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from sluiceway.sinks.dataset import Dataset, TableState
 
@@ -14,7 +14,8 @@ REPLACE_STRATEGIES = ("truncate-and-insert", "insert-from-staging", "staging-opt
 
 
 def replace_tables(
-    dataset: Dataset, tables: Mapping[str, DataFrame], strategy: str = REPLACE_STRATEGIES[0], **commit
+    dataset: Dataset, tables: Mapping[str, DataFrame], strategy: str = REPLACE_STRATEGIES[0],
+    observe: Sequence[Column] = (), without: Sequence[str] = (), about: Callable[[Mapping], dict] | None = None, **commit
 ) -> dict[str, TableState]:
     """Replace tables by the given rows.
 
@@ -22,7 +23,8 @@ def replace_tables(
     empty until the insert is committed. insert-from-staging: everything is
     written aside, then root and child tables switch in one commit; the table
     keeps its known columns. staging-optimized: as before, but the table is
-    dropped and created anew with the incoming schema.
+    dropped and created anew with the incoming schema. `about` makes the commit's
+    facts from what was observed while the first table was written.
     """
     if strategy not in REPLACE_STRATEGIES:
         raise ValueError(f"invalid replace strategy: {strategy}")
@@ -32,7 +34,9 @@ def replace_tables(
         emptied = [TableState(n, t.schema) for n, t in old.items() if t is not None]
         if emptied:
             dataset.commit(emptied)
-    staged = {n: dataset.stage(n, df) for n, df in tables.items()}
+    staged = {n: dataset.stage(n, df, observe=observe, without=without) for n, df in tables.items()}
+    if about is not None:
+        commit = about(next(iter(staged.values())).metrics)
     if strategy == "staging-optimized":
         dataset.commit(list(staged.values()), drop=list(tables), **commit)
         return staged

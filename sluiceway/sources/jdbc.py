@@ -86,8 +86,8 @@ def read_table(
 
 
 def write_table(df: DataFrame, uri: str, table: str, mode: str, batch_size: int = 10_000) -> None:
-    """Append, or replace by truncating (which keeps the table's definition, grants and views)."""
-    if mode not in ("append", "overwrite"):
-        raise ValueError(f"mode must be 'append' or 'overwrite', got {mode!r}")
+    """Append, create, or replace by truncating (which keeps the table's definition, grants and views)."""
+    if mode not in ("append", "overwrite", "errorifexists"):
+        raise ValueError(f"mode must be 'append', 'overwrite' or 'errorifexists', got {mode!r}")
     writer = df.write.format("jdbc").options(**jdbc_options(uri), dbtable=table, batchsize=str(batch_size))
     writer.option("truncate", str(mode == "overwrite").lower()).mode(mode).save()

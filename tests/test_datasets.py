@@ -135,3 +135,16 @@ def test_type_two_stream(spark, dataset):
         spark.createDataFrame([(1, v)], "k int, v int").coalesce(1).write.mode("append").parquet(folder)
         topic_stream.start(_stream(spark, folder), dataset.base, "h", write, checkpoint).awaitTermination()
     assert dataset.read("t").count() == 2 and dataset.read("t").filter("valid_to = timestamp_ntz'2024-01-02'").count() == 1
+
+
+def test_compact_keeps_rows_and_history_apart(spark, dataset):
+    from sluiceway.operators.scd2 import Scd2, boundary_time
+
+    for i, values in enumerate([(1, 2, 3), (1, 2), (1,)]):
+        dataset.commit([dataset.merge_scd2("t", ints(spark, *values), boundary_time(f"2024-01-0{i + 1}"), Scd2())])
+    before = sorted(map(tuple, dataset.read("t").collect()))
+    dataset.commit([dataset.compact("t")])
+    assert sorted(map(tuple, dataset.read("t").collect())) == before
+    assert sorted(p.rsplit("=", 1)[1] for p in dataset.table("t").paths) == ["-1", "0"]
+    dataset.commit([dataset.merge_scd2("t", ints(spark, 1, 9), boundary_time("2024-01-05"), Scd2())])
+    assert dataset.read("t").count() == 4

@@ -167,3 +167,43 @@ def test_failed_run_changes_nothing_but_is_recorded(spark, dataset):
 def test_bad_jobs_are_refused(spark, dataset, change, message):
     with pytest.raises(ValueError, match=message):
         run(spark, {**job({"type": "append"}), **change}, dataset=dataset)
+
+
+@pytest.fixture
+def warehouse(spark, monkeypatch):
+    """Stands in for a database: tables as parquet folders."""
+    from sluiceway.session import scratch_dir
+    from sluiceway.sinks import external
+
+    base = scratch_dir(spark, "warehouse")
+
+    def write(df, uri, dataset, table, mode):
+        df.write.mode("overwrite" if mode == "overwrite" else mode).parquet(f"{base}/{dataset}.{table}")
+
+    monkeypatch.setattr(external, "write_external", write)
+    monkeypatch.setattr(external, "read_external", lambda spark, uri, dataset, table: spark.read.parquet(f"{base}/{dataset}.{table}"))
+    return lambda: spark.read.parquet(f"{base}/public.prices")
+
+
+@pytest.mark.parametrize("disposition, first, second", [
+    ({"type": "append"}, 3, 9), ({"type": "replace"}, 3, 6), ({"type": "replace", "strategy": "insert-from-staging"}, 3, 6),
+    ({"type": "merge", "strategy": "upsert", "config": {"primary_key": "date"}}, 3, 6),
+    ({"type": "merge", "strategy": "scd2", "config": {"scd2_config": {}}}, 3, 6),
+])
+def test_other_destinations(spark, dataset, warehouse, disposition, first, second):
+    spec = {**job(disposition), "destination_uri": "postgresql://u:p@db:5432/sales", "state_folder": dataset.base}
+    run(spark, spec, reader=lambda *_: frame(spark, ROWS[:3]))
+    assert warehouse().count() == first
+    run(spark, spec, reader=lambda *_: frame(spark, ROWS))
+    assert warehouse().count() == second
+    with pytest.raises(ValueError, match="state_folder"):
+        run(spark, {**spec, "state_folder": None}, reader=lambda *_: frame(spark, ROWS))
+
+
+def test_cursor_never_moves_back(spark, dataset):
+    spec = job({"type": "append"}, incremental_config={"incremental_key": "date", "lag_window": 10, "boundary_mode": "start"},
+               source_options={"row_id_keys": ["date"]})
+    load(spark, dataset, spec, frame(spark, ROWS))
+    load(spark, dataset, spec, frame(spark, ROWS[:2]))
+    assert ledger.stored_cursor(dataset, "prices_job.prices") == "2021-01-06"
+    assert "__cursor" not in dataset.read("prices").columns
