@@ -18,7 +18,7 @@ from sluiceway.functions.keys import key_set, with_keys, without_keys
 from sluiceway.functions.names import snake_case, snake_columns
 from sluiceway.operators import merge as merges
 from sluiceway.operators.dedup import dedup
-from sluiceway.operators.incremental import cursor_predicate
+from sluiceway.operators.incremental import cursor_predicate, ordered
 from sluiceway.operators.normalize import detect_iso_timestamps, flatten, relational, with_load_id, with_row_id
 from sluiceway.operators.rules import apply_rules
 from sluiceway.operators.scd2 import boundary_time, scd2
@@ -28,10 +28,14 @@ from sluiceway.sinks import external, ledger, storage
 from sluiceway.sinks.dataset import Dataset, TableState
 from sluiceway.sinks.external import DEFAULT_DATASET, destination
 from sluiceway.sinks.replace import replace_tables
+from sluiceway.sources.documents import limited
+from sluiceway.sources.files import NoNewFiles
+from sluiceway.sources.predicates import predicate
 from sluiceway.sources.registry import open_source
 
 Reader = Callable[[SparkSession, str, str, Mapping], DataFrame]
 
+_HELPERS = ("__cursor", "__modified")  # columns that only feed observations
 _ACCEPTED: set[str] = set()
 
 
@@ -146,11 +150,12 @@ class _Load:
         res, started, step = self.res, _now(), "extract"
         packages: list[TableState] = []
         try:
-            df = reader(self.spark, self.spec["source_uri"], res.source, res.options)
-            observe: list[Column] = []
+            df, observe = self._read(reader)
             nulls = None
             if res.cursor:
-                df, nulls, observe = self._new_rows(df)
+                df, nulls, pick = self._new_rows(df)
+                observe.append(pick)
+            df = self._limited(df)
             if transform:
                 df = transform(df)
             df = apply_rules(df, res.exclude, res.pseudonymize, self.spec.get("salt", ""))
@@ -175,8 +180,11 @@ class _Load:
             for name, rows_written in counts.items():
                 self.trace.add("load", name, started, rows_written, None)
             if nulls is not None:
-                self.trace.add("extract", f"{res.source}:null_cursor", started, nulls.get["nulls"], None)
+                self.trace.add("extract", f"{res.source}:null_cursor", started, nulls.get.get("nulls", 0), None)
             return counts
+        except NoNewFiles:
+            self.trace.add("extract", res.source, started, 0, 0)
+            return {}
         except Exception as failure:
             self.trace.add(step, res.destination, started, None, None, str(failure).split("\n")[0][:500])
             raise
@@ -190,7 +198,20 @@ class _Load:
     def _resource_id(self) -> str:
         return f"{self.spec['identity']}.{self.res.destination}"
 
-    def _new_rows(self, df: DataFrame) -> tuple[DataFrame, Observation, list[Column]]:
+    def _read(self, reader: Reader) -> tuple[DataFrame, list[Column]]:
+        """The source rows after its own filter; with `new_files`, only of files newer than the last load's."""
+        options, observe = dict(self.res.options), []
+        if options.get("new_files"):
+            options["modified_after"] = ledger.stored_cursor(self.dataset, f"{self._resource_id}:files")
+        df = reader(self.spark, self.spec["source_uri"], self.res.source, options)
+        if options.get("new_files"):
+            df = df.withColumn("__modified", F.col("_metadata.file_modification_time"))
+            observe.append(F.date_format(F.max("__modified"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("files"))
+        if options.get("filter"):
+            df = df.filter(predicate(options["filter"]))
+        return df, observe
+
+    def _new_rows(self, df: DataFrame) -> tuple[DataFrame, Observation, Column]:
         """New rows and, from the same pass, how many rows have no cursor and the next cursor.
 
         `new or NULL` still reaches the scan; the NULLs are counted and left out. A copy
@@ -205,7 +226,16 @@ class _Load:
         pick = F.max if cursor.direction == "max" else F.min
         rows = rows.filter(key.isNotNull()).withColumn("__cursor", key)
         self._cursor_type = df.schema[cursor.key].dataType.simpleString()
-        return rows, nulls, [pick("__cursor").cast("string").alias("cursor")]
+        return rows, nulls, pick("__cursor").cast("string").alias("cursor")
+
+    def _limited(self, df: DataFrame) -> DataFrame:
+        """The source limit: in cursor order when there is a cursor, so that the state stays right."""
+        limit, cursor = self.res.options.get("limit"), self.res.cursor
+        if not limit:
+            return df
+        if cursor is None:
+            return limited(df, (), limit)
+        return ordered(df, cursor, self.res.options.get("row_order"), [], limit)
 
     def _package(self, df: DataFrame, observe: list[Column]) -> TableState:
         """The rows as written files, which cuts the lineage: they are read by several plans."""
@@ -213,17 +243,19 @@ class _Load:
         if _nested(df.schema) and res.disposition == "merge" and res.strategy == "delete-insert" and res.keys("primary_key"):
             # children are split off later, so repeated roots have to go first
             df = dedup(df, res.keys("primary_key"), res.config.get("dedup_sort_column"))
-        return self.dataset.stage(f"_packages/{uuid.uuid4().hex[:12]}", df, observe=observe, without=("__cursor",))
+        return self.dataset.stage(f"_packages/{uuid.uuid4().hex[:12]}", df, observe=observe, without=_HELPERS)
 
     def _about(self, metrics: Mapping) -> dict:
         """What the commit says about this load. A backfill or a load without new rows keeps the state."""
-        about = {"load_id": self.load_id, "pipeline": self.spec["identity"], "state": None}
+        states: dict[str, dict] = {}
+        if metrics.get("files"):
+            states[f"{self._resource_id}:files"] = {"cursor": metrics["files"], "cursor_type": "timestamp"}
         cursor, seen = self.res.cursor, metrics.get("cursor")
         if cursor is not None and not cursor.is_backfill and seen is not None:
             last = ledger.stored_cursor(self.dataset, self._resource_id)
             furthest = seen if last is None else _later(seen, last, cursor.direction)
-            about["state"] = {self._resource_id: {"cursor": furthest, "cursor_type": self._cursor_type}}
-        return about
+            states[self._resource_id] = {"cursor": furthest, "cursor_type": self._cursor_type}
+        return {"load_id": self.load_id, "pipeline": self.spec["identity"], "state": states}
 
     # ---- normalise ----
 
@@ -255,10 +287,10 @@ class _Load:
     def _write_direct(self, tables: dict[str, DataFrame], observe: list[Column]) -> tuple[dict[str, int], Mapping]:
         (name, df), = tables.items()
         if self.res.disposition == "append":
-            change = self.dataset.append(name, df, observe, without=("__cursor",))
+            change = self.dataset.append(name, df, observe, without=_HELPERS)
             self.dataset.commit([change], **self._about(change.metrics))
         else:
-            change = replace_tables(self.dataset, tables, self.res.strategy, observe=observe, without=("__cursor",), about=self._about)[name]
+            change = replace_tables(self.dataset, tables, self.res.strategy, observe=observe, without=_HELPERS, about=self._about)[name]
         return {name: change.rows_written}, change.metrics
 
     def _write(self, tables: dict[str, DataFrame], about: dict) -> dict[str, int]:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.functions.keys import key_list
 from sluiceway.sinks.storage import small_frame
+from sluiceway.sources.predicates import operators_on
 from sluiceway.operators.incremental import Cursor
 from sluiceway.operators.scd2 import ACTIVE_UNTIL, VALIDITY_COLUMNS, Scd2
 from sluiceway.plans.manifest import CONFIG_BLOCKS, MANIFEST_SCHEMA
@@ -22,7 +23,7 @@ _RESOURCE_KEYS = {
 _RULE_KEYS = {"exclude_columns", "pseudonymizing_columns"}
 _INCREMENTAL_KEYS = {"incremental_key", "start_position", "end_position", "lag_window", "boundary_mode", "direction"}
 _OPTION_KEYS = {
-    "batch_size", "batch_timeout", "start_from", "filter", "limit", "schema", "buckets", "row_id_keys", "split_column",
+    "batch_size", "batch_timeout", "start_from", "filter", "limit", "row_order", "new_files", "schema", "buckets", "row_id_keys", "split_column",
     "bounds", "splits", "payload", "detect_timestamps",
 }
 
@@ -82,7 +83,8 @@ def manifest_rows(spark: SparkSession, spec: Mapping) -> DataFrame:
             spec.get("identity"), spec.get("source_uri"), spec.get("destination_uri"), spec.get("dataset_name"), i,
             res.get("source_table_name"), res.get("destination_table_name"), list(rules.get("exclude_columns", [])),
             list(rules.get("pseudonymizing_columns", [])), inc.get("incremental_key"), _text(inc.get("start_position")),
-            _text(inc.get("end_position")), _number(inc.get("lag_window")), inc.get("boundary_mode"), None, wd.get("type"),
+            _text(inc.get("end_position")), _number(inc.get("lag_window")), inc.get("boundary_mode"),
+            operators_on(opts.get("filter") or {}, inc.get("incremental_key")), wd.get("type"),
             wd.get("strategy"), None if config is None else json.dumps(config), opts.get("start_from"),
             opts.get("batch_size"), opts.get("batch_timeout"),
         ))

@@ -144,7 +144,7 @@ class Dataset:
         paths = storage.matching(self.spark, f"{folder}/__bucket=*")
         metrics = dict(seen.get)
         nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name not in without])
-        return TableState(name, nullable, tuple(paths), rows_written=metrics.pop("rows"),
+        return TableState(name, nullable, tuple(paths), rows_written=metrics.pop("rows", 0),
                           bytes_written=storage.size_of(self.spark, paths), metrics=metrics)
 
     def commit(

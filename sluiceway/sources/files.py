@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,10 @@ FORMATS = {".csv": "csv", ".jsonl": "json", ".parquet": "parquet"}
 FILE_SYSTEMS = {"s3": "s3a", "gs": "gs", "az": "abfss", "file": "file"}
 
 
+class NoNewFiles(Exception):
+    """No file is newer than the stored time, so there is nothing to read or infer a schema from."""
+
+
 def format_of(name: str) -> str:
     lowered = name.lower()
     for extension, fmt in FORMATS.items():
@@ -48,7 +53,12 @@ def read_files(
         reader = reader.schema(schema)
     if modified_after is not None:
         reader = reader.option("modifiedAfter", str(modified_after).replace(" ", "T"))
-    return reader.load(f"{base.rstrip('/')}/{name}*")
+    try:
+        return reader.load(f"{base.rstrip('/')}/{name}*")
+    except AnalysisException as failure:
+        if modified_after is not None and failure.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            raise NoNewFiles(f"no file {name}* is newer than {modified_after}") from failure
+        raise
 
 
 def read_json_lines(spark: SparkSession, base: str, name: str, schema: str) -> tuple[DataFrame, DataFrame]:

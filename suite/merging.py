@@ -238,31 +238,25 @@ def merge_composite_key(spark, sf_dir):
 
 
 @query("merge_child_tables", """
-    WITH updates AS (SELECT conv_id, count(*) AS turns FROM conversations GROUP BY conv_id)
-    SELECT conv_id, -1 AS list_idx, '(doc)' AS role, title AS text FROM (
-        SELECT doc_id AS conv_id, lang AS title FROM documents WHERE doc_id NOT IN (SELECT conv_id FROM updates)
-        UNION ALL SELECT conv_id, 'conversation' FROM updates)
-    UNION ALL
-    SELECT doc_id, 0, 'doc', source FROM documents WHERE doc_id NOT IN (SELECT conv_id FROM updates)
-    UNION ALL
-    SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1)::INT, role, text FROM conversations
+    WITH roots AS (
+        SELECT doc_id AS id, lang AS title, string_split(text, chr(10)) AS l FROM documents WHERE doc_id NOT IN (SELECT page_id FROM pages)
+        UNION ALL SELECT page_id, url, string_split(html, '>') FROM pages)
+    SELECT id, -1 AS list_idx, title AS line FROM roots
+    UNION ALL SELECT id, unnest(range(len(l)))::INT, unnest(l) FROM roots
 """)
 def merge_child_tables(spark, sf_dir):
-    """Roots with one child each, then a delete-insert of conversations under the same keys; children follow."""
+    """Documents and their lines, then a delete-insert of pages and their pieces under the same keys; children follow."""
     docs = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("conv_id"), F.col("lang").alias("title"),
-        F.array(F.struct(F.lit(0).cast("long").alias("turn"), F.lit("doc").alias("role"), F.col("source").alias("text"))).alias("turns"))
-    talks = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
-        F.lit("conversation").alias("title"), F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    old = relational(with_row_id(docs, keys=["conv_id"]), "talk")
-    new = relational(with_row_id(talks, keys=["conv_id"]), "talk")
-    root = merges.delete_insert(old["talk"], new["talk"], "conv_id")
-    children = merges.merge_children(old["talk__turns"], new["talk__turns"], new["talk"].select("_row_id"))
-    ids = root.select("conv_id", F.col("_row_id").alias("__id"))
-    flat = children.join(ids, F.col("_root_id") == F.col("__id")).select(
-        "conv_id", F.col("_list_idx").alias("list_idx"), "role", "text")
-    heads = root.select("conv_id", F.lit(-1).alias("list_idx"), F.lit("(doc)").alias("role"), F.col("title").alias("text"))
-    return heads.unionByName(flat)
+        F.col("doc_id").alias("id"), F.col("lang").alias("title"), F.split("text", "\n").alias("body"))
+    pages = table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("id"), F.col("url").alias("title"), F.split("html", ">").alias("body"))
+    old = relational(with_row_id(docs, keys=["id"]), "text")
+    new = relational(with_row_id(pages, keys=["id"]), "text")
+    root = merges.delete_insert(old["text"], new["text"], "id")
+    children = merges.merge_children(old["text__body"], new["text__body"], new["text"].select("_row_id"))
+    ids = root.select("id", F.col("_row_id").alias("__id"))
+    lines = children.join(ids, F.col("_root_id") == F.col("__id")).select("id", F.col("_list_idx").alias("list_idx"), F.col("value").alias("line"))
+    return root.select("id", F.lit(-1).alias("list_idx"), F.col("title").alias("line")).unionByName(lines)
 
 
 # ---- type 2 --------------------------------------------------------------------------

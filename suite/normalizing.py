@@ -42,17 +42,17 @@ def norm_flatten(spark, sf_dir):
 
 
 @query("norm_child_table", """
-    SELECT conv_id, turn, role, text,
-           (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1)::INT AS list_idx FROM conversations
+    SELECT doc_id, unnest(range(len(l)))::INT AS list_idx, unnest(l) AS line, len(l) AS lines
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)
 """)
 def norm_child_table(spark, sf_dir):
-    """Conversations with their turns as a list; the child table gives back every turn."""
-    talks = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    tables = relational(with_row_id(talks, keys=["conv_id"]), "talk")
-    roots = tables["talk"].select("conv_id", F.col("_row_id").alias("__id"))
-    return tables["talk__turns"].join(roots, F.col("_parent_id") == F.col("__id")).select(
-        "conv_id", "turn", "role", "text", F.col("_list_idx").alias("list_idx"))
+    """Documents with their lines as a list of objects; the child table gives back every line."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.split("text", "\n").alias("parts"))
+    nested = docs.select("doc_id", F.transform("parts", lambda p: F.struct(p.alias("line"), F.size("parts").cast("long").alias("lines"))).alias("body"))
+    tables = relational(with_row_id(nested, keys=["doc_id"]), "doc")
+    roots = tables["doc"].select("doc_id", F.col("_row_id").alias("__id"))
+    return tables["doc__body"].join(roots, F.col("_parent_id") == F.col("__id")).select(
+        "doc_id", F.col("_list_idx").alias("list_idx"), "line", "lines")
 
 
 @query("norm_row_id", """

@@ -207,3 +207,26 @@ def test_cursor_never_moves_back(spark, dataset):
     load(spark, dataset, spec, frame(spark, ROWS[:2]))
     assert ledger.stored_cursor(dataset, "prices_job.prices") == "2021-01-06"
     assert "__cursor" not in dataset.read("prices").columns
+
+
+def test_source_filter_and_limit(spark, dataset):
+    spec = job({"type": "append"}, incremental_config={"incremental_key": "date"},
+               source_options={"filter": {"high": {"$gt": 11.5, "$in": [12.0, 13.0, 14.0]}, "symbol": "C"}, "limit": -2})
+    load(spark, dataset, spec, frame(spark, ROWS))
+    load(spark, dataset, spec, frame(spark, ROWS))
+    assert sorted(r.high for r in dataset.read("prices").collect()) == [12.0, 13.0, 14.0]
+    clash = job({"type": "append"}, incremental_config={"incremental_key": "date"}, source_options={"filter": {"date": {"$gte": "2021-01-01"}}})
+    with pytest.raises(ValueError, match="already used by the cursor"):
+        load(spark, dataset, clash, frame(spark, ROWS))
+
+
+def test_only_new_files(spark, dataset):
+    from sluiceway.session import scratch_dir
+
+    base = scratch_dir(spark, "files")
+    spec = {**job({"type": "append"}, source_options={"new_files": True}), "source_uri": f"file://{base.removeprefix('file:')}"}
+    for i in range(2):
+        frame(spark, ROWS[i:i + 1]).write.parquet(f"{base}/prices.parquet.{i}")
+        run(spark, spec, dataset=dataset)
+    run(spark, spec, dataset=dataset)
+    assert sorted(r.high for r in dataset.read("prices").collect()) == [11.0, 12.0]
