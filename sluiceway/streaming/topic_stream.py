@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -15,12 +17,22 @@ from sluiceway.sinks import storage
 from sluiceway.sinks.dataset import Dataset, TableState
 
 MESSAGE_KEY = ("topic", "partition", "offset")
-Write = Callable[[Dataset, DataFrame, int], TableState]
+
+
+@dataclass(frozen=True)
+class Write:
+    """What to do with a batch. One that is read more than once (by a merge) is first written as
+    a package, so that its source is read once, and then merged with the session's own
+    settings, adaptive execution included, which a streaming batch does not have.
+    """
+
+    apply: Callable[[Dataset, DataFrame, int], TableState]
+    packaged: bool = True
 
 
 def appender(table: str) -> Write:
     """Add every row of the batch."""
-    return lambda dataset, rows, batch_id: dataset.append(table, rows)
+    return Write(lambda dataset, rows, batch_id: dataset.append(table, rows), packaged=False)
 
 
 def upserter(
@@ -36,7 +48,7 @@ def upserter(
             return merges.upsert(old, new, keys, hard_delete)
         return dedup(new if old is None else evolve_union(old, new), keys, newest)
 
-    return lambda dataset, rows, batch_id: dataset.merge(table, rows, fn, list(keys), buckets)
+    return Write(lambda dataset, rows, batch_id: dataset.merge(table, rows, fn, list(keys), buckets))
 
 
 def delete_inserter(table: str, primary_key: Sequence[str] = MESSAGE_KEY, buckets: int = 1, **settings) -> Write:
@@ -45,12 +57,12 @@ def delete_inserter(table: str, primary_key: Sequence[str] = MESSAGE_KEY, bucket
     def fn(old: DataFrame | None, new: DataFrame) -> DataFrame:
         return merges.delete_insert(old, new, primary_key, **settings)
 
-    return lambda dataset, rows, batch_id: dataset.merge(table, rows, fn, list(primary_key), buckets)
+    return Write(lambda dataset, rows, batch_id: dataset.merge(table, rows, fn, list(primary_key), buckets))
 
 
 def historian(table: str, run_time: Callable[[int], str], cfg: Scd2, buckets: int = 1) -> Write:
     """Type-2 merge per batch; `run_time` gives the boundary of a batch."""
-    return lambda dataset, rows, batch_id: dataset.merge_scd2(table, rows, boundary_time(run_time(batch_id)), cfg, buckets)
+    return Write(lambda dataset, rows, batch_id: dataset.merge_scd2(table, rows, boundary_time(run_time(batch_id)), cfg, buckets))
 
 
 def start(
@@ -69,15 +81,25 @@ def start(
     skipped. A new checkpoint is a new stream and reads from its start position.
     """
 
+    spark = stream.sparkSession
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        dataset = Dataset(batch.sparkSession, base)
-        checkpoint_id = storage.read_json(batch.sparkSession, f"{checkpoint}/metadata")["id"]
+        dataset = Dataset(spark, base)
+        checkpoint_id = storage.read_json(spark, f"{checkpoint}/metadata")["id"]
         done = [s for s in dataset.latest()["streams"] if s["name"] == name and s["checkpoint_id"] == checkpoint_id]
         if done and batch_id <= done[0]["batch_id"]:
             return
-        change = write(dataset, prepare(batch) if prepare else batch, batch_id)
-        progress = {"name": name, "checkpoint_id": checkpoint_id, "batch_id": batch_id}
-        dataset.commit([change], load_id=f"{name}-{batch_id}", pipeline=name, stream=progress)
+        rows, package = prepare(batch) if prepare else batch, None
+        try:
+            if write.packaged:
+                package = Dataset(batch.sparkSession, base).stage(f"_packages/{uuid.uuid4().hex[:12]}", rows)
+                rows = dataset.rows(package, package.paths)
+            change = write.apply(dataset, rows, batch_id)
+            progress = {"name": name, "checkpoint_id": checkpoint_id, "batch_id": batch_id}
+            dataset.commit([change], load_id=f"{name}-{batch_id}", pipeline=name, stream=progress)
+        finally:
+            if package is not None:
+                storage.remove(spark, f"{base}/{package.name}")
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).queryName(name)
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,15 @@ SALT = "harbour-salt"
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query and, where SQL can state it, its oracle."""
+    """Register a query and, where SQL can state it, its oracle. Results are stated in UTC."""
 
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @wraps(fn)
+        def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = in_utc
         if sql is not None:
             ORACLES[name] = sql
         return fn

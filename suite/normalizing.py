@@ -141,8 +141,9 @@ def job_result(spark, sf_dir):
     dataset = _two_loads(spark, sf_dir)
     result = ledger.job_result(dataset)
     loads = ledger.loads(dataset)
-    newest = loads.agg(F.max_by("load_id", "inserted_at").alias("last"), F.max_by("rows_written", "inserted_at").alias("rows_written"))
-    return result.join(F.broadcast(newest)).select(
+    newest = loads.groupBy(F.col("schema_name").alias("pipeline_name")).agg(
+        F.max_by("load_id", "inserted_at").alias("last"), F.max_by("rows_written", "inserted_at").alias("rows_written"))
+    return result.join(newest, "pipeline_name").select(
         "status", "message", "pipeline_name", (F.length("schema_version_hash") == 64).alias("hashed"),
         (F.col("load_id") == F.col("last")).alias("newest"), "rows_written")
 

@@ -161,10 +161,8 @@ def incr_two_runs_state(spark, sf_dir):
 
     run(spark, spec, reader=early, dataset=dataset)
     run(spark, spec, reader=everything, dataset=dataset)
-    state = ledger.pipeline_state(dataset).select(
-        F.date_format(F.col("cursor").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("stored_cursor"))
-    rows = dataset.read("orders").drop("_row_id", "_load_id")
-    return plain(rows.join(F.broadcast(state)))
+    stored = F.lit(ledger.stored_cursor(dataset, "two-runs.orders")).cast("timestamp_ntz")
+    return plain(dataset.read("orders").drop("_row_id", "_load_id").withColumn("stored_cursor", stored))
 
 
 @query("incr_file_rows", f"SELECT {ORDERS_COLUMNS} FROM orders WHERE o_orderdate >= TIMESTAMP '1997-05-01'")

@@ -45,7 +45,7 @@ PURE = [q for q in QUERIES if q.startswith(("rule", "incr_cursor", "incr_lag", "
 @pytest.mark.parametrize("name", PURE)
 def test_no_python_in_the_plan(spark, sf, name):
     text = plan(QUERIES[name](spark, sf))
-    for node in ("EvalPython", "MapInPandas", "MapInArrow", "FlatMapGroups", "CartesianProduct"):
+    for node in ("EvalPython", "MapInPandas", "MapInArrow", "FlatMapGroups", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text
 
 
@@ -145,3 +145,10 @@ def test_history_is_not_rewritten(spark, dataset):
     assert len(history) == 1 and history <= third
     stored = dataset.read("d")
     assert stored.filter("valid_to = timestamp_ntz'9999-12-31'").count() == 50 and stored.count() == 52
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(PURE)))
+def test_no_cross_join_anywhere(spark, sf, name):
+    text = plan(QUERIES[name](spark, sf))
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython"):
+        assert node not in text
