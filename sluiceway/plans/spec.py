@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.functions.keys import key_list
+from sluiceway.functions.names import snake_case
 from sluiceway.sinks.storage import small_frame
 from sluiceway.sources.predicates import operators_on
 from sluiceway.operators.incremental import Cursor
@@ -53,8 +54,8 @@ class Resource:
 
     def scd2(self) -> Scd2:
         return Scd2(
-            natural_key=self.keys("natural_merge_key"),
-            partition_key=self.keys("partition_merge_key"),
+            natural_key=[snake_case(k) for k in self.keys("natural_merge_key")],
+            partition_key=[snake_case(k) for k in self.keys("partition_merge_key")],
             columns=tuple(self.config.get("validity_column_names") or VALIDITY_COLUMNS),
             active_until=self.config.get("active_record_timestamp", ACTIVE_UNTIL),
             hash_column="_row_id",

@@ -30,6 +30,7 @@ from sluiceway.sinks import storage
 
 HISTORY_BUCKET = -1
 _LAYOUT = ("__v", "__bucket")
+_COMMIT_TRIES = 10
 
 
 @dataclass(frozen=True)
@@ -135,12 +136,15 @@ class Dataset:
         """
         token = uuid.uuid4().hex[:12]
         seen = Observation(f"stage-{token}")
-        rows = df.withColumn("__bucket", F.lit(0) if bucket is None else bucket)
+        rows = df if bucket is None else df.withColumn("__bucket", bucket)
         if spread:
             rows = rows.hint("rebalance", *[F.col(c) for c in spread])
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *observe).drop(*without)
         folder = f"{self.base}/{name}/__v={token}"
-        rows.write.partitionBy("__bucket").parquet(folder)
+        if bucket is None:
+            rows.write.parquet(f"{folder}/__bucket=0")
+        else:
+            rows.write.partitionBy("__bucket").parquet(folder)
         paths = storage.matching(self.spark, f"{folder}/__bucket=*")
         metrics = dict(seen.get)
         nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name not in without])
@@ -155,6 +159,16 @@ class Dataset:
 
         Refused when a table moved on since its new state was computed.
         """
+        for _ in range(_COMMIT_TRIES):
+            doc = self._next_commit(changes, load_id, pipeline, drop, state, stream)
+            try:
+                storage.write_json_once(self.spark, f"{self.base}/_commits/{doc['version']:012d}.json", doc)
+                return doc
+            except FileExistsError:
+                continue  # another load was first; on top of it, if it left our tables alone
+        raise RuntimeError(f"{self.base} is being committed to all the time; run again")
+
+    def _next_commit(self, changes, load_id, pipeline, drop, state, stream) -> dict:
         before = self.latest()
         known = {t["name"]: t for t in before["tables"]}
         tables = {n: {**t, "changed": False} for n, t in known.items() if n not in drop}
@@ -176,13 +190,11 @@ class Dataset:
         streams = {s["name"]: s for s in before["streams"]}
         if stream:
             streams[stream["name"]] = dict(stream)
-        doc = {
+        return {
             "version": before["version"] + 1, "load_id": load_id, "pipeline": pipeline, "status": 0,
             "committed_at": datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"),
             "tables": list(tables.values()), "state": list(states.values()), "streams": list(streams.values()),
         }
-        storage.write_json_once(self.spark, f"{self.base}/_commits/{doc['version']:012d}.json", doc)
-        return doc
 
     # ---- dispositions: each returns the staged state to commit ----
 
@@ -193,8 +205,8 @@ class Dataset:
         old = self.table(name)
         if old is None:
             return replace(self.stage(name, df, observe=observe, without=without), based_on=())
-        bucket = bucket_of(old.scope, old.buckets) if old.scope else None
-        new = self.stage(name, self._fitted(old, df), bucket, ["__bucket"] if old.scope else [], observe, without)
+        bucket = bucket_of(old.scope, old.buckets) if old.scope and old.buckets > 1 else None
+        new = self.stage(name, self._fitted(old, df), bucket, [] if bucket is None else ["__bucket"], observe, without)
         return replace(new, schema=self._merged_schema(old, new), paths=old.paths + new.paths,
                        scope=old.scope, buckets=old.buckets, based_on=old.paths)
 

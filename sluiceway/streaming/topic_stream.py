@@ -22,9 +22,7 @@ MESSAGE_KEY = ("topic", "partition", "offset")
 @dataclass(frozen=True)
 class Write:
     """What to do with a batch. One that is read more than once (by a merge) is first written as
-    a package, so that its source is read once, and then merged with the session's own
-    settings, adaptive execution included, which a streaming batch does not have.
-    """
+    a package, so that its source is read once."""
 
     apply: Callable[[Dataset, DataFrame, int], TableState]
     packaged: bool = True

@@ -148,3 +148,21 @@ def test_compact_keeps_rows_and_history_apart(spark, dataset):
     assert sorted(p.rsplit("=", 1)[1] for p in dataset.table("t").paths) == ["-1", "0"]
     dataset.commit([dataset.merge_scd2("t", ints(spark, 1, 9), boundary_time("2024-01-05"), Scd2())])
     assert dataset.read("t").count() == 4
+
+
+def test_concurrent_loads_of_different_tables_both_commit(spark, dataset, monkeypatch):
+    dataset.commit([dataset.append("a", ints(spark, 1))])
+    b, c = dataset.append("b", ints(spark, 2)), dataset.append("c", ints(spark, 3))
+    stale, once = dataset.latest(), []
+
+    def latest():
+        if not once:
+            once.append(1)
+            dataset_now.commit([c])  # the other load commits in between
+            return stale
+        return type(dataset).latest(dataset)
+
+    dataset_now = type(dataset)(spark, dataset.base)
+    monkeypatch.setattr(dataset, "latest", latest)
+    dataset.commit([b])
+    assert [seen(dataset_now, t) for t in ("a", "b", "c")] == [[1], [2], [3]]
