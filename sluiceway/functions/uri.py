@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Scheme, family, usable as source, usable as destination, default dataset.
@@ -98,31 +99,36 @@ def scheme_of(uri: Column) -> Column:
     return F.lower(F.regexp_extract(uri, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
 
 
-def scheme_table(spark: SparkSession) -> DataFrame:
-    """The fixed list of schemes with their family's pattern and parts; its size depends on no data."""
-    rows = [
-        {"scheme": scheme, "family": family, "is_source": source, "is_destination": target, "default_dataset": dataset,
-         "pattern": PATTERNS[family][0], "parts": list(PATTERNS[family][1]),
-         "complaint": f"Invalid {PATTERNS[family][2]} URI format. Expected format: {PATTERNS[family][3]}"}
-        for scheme, family, source, target, dataset in SCHEMES
-    ]
-    return spark.createDataFrame(pa.Table.from_pylist(rows))
+_FACTS = {
+    "family": "string", "is_source": "boolean", "is_destination": "boolean", "default_dataset": "string", "pattern": "string",
+    "parts": "array<string>", "complaint": "string",
+}
 
 
-def with_scheme(df: DataFrame, uri: str, prefix: str) -> DataFrame:
-    """Add `<prefix>_scheme` and, as `<prefix>_family`, `<prefix>_pattern`, …, what is known about it.
+def scheme_facts() -> Column:
+    """The fixed list of schemes as one literal map; the optimizer reads it once, nothing is joined."""
+    known = {}
+    for scheme, family, source, target, dataset in SCHEMES:
+        pattern, parts, label, expected = PATTERNS[family]
+        known[scheme] = {
+            "family": family, "is_source": source, "is_destination": target, "default_dataset": dataset, "pattern": pattern,
+            "parts": parts, "complaint": f"Invalid {label} URI format. Expected format: {expected}",
+        }
+    fields = ",".join(f"{name}:{dtype}" for name, dtype in _FACTS.items())
+    return F.from_json(F.lit(json.dumps(known)), f"map<string,struct<{fields}>>")
 
-    The scheme table is a fixed list of about two dozen rows, hence the broadcast.
-    """
-    known = scheme_table(df.sparkSession)
-    known = known.select(*[F.col(c).alias(f"{prefix}_{c}") for c in known.columns])
-    return df.withColumn(f"{prefix}_scheme", scheme_of(F.col(uri))).join(F.broadcast(known), f"{prefix}_scheme", "left")
+
+def with_scheme(df: DataFrame, uri: str, prefix: str) -> DataFrame:
+    """Add `<prefix>_scheme` and, as `<prefix>_family`, `<prefix>_pattern`, …, what is known about it."""
+    scheme = f"{prefix}_scheme"
+    rows = df.withColumn(scheme, scheme_of(F.col(uri)))
+    rows = rows.withColumn("__facts", F.try_element_at(scheme_facts(), F.col(scheme)))
+    return rows.withColumns({f"{prefix}_{name}": F.col(f"__facts.{name}") for name in _FACTS}).drop("__facts")
 
 
 def without_scheme(df: DataFrame, prefix: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Drop the columns `with_scheme` added, but for the scheme itself and those to keep."""
-    added = ("family", "is_source", "is_destination", "default_dataset", "pattern", "parts", "complaint")
-    return df.drop(*[f"{prefix}_{c}" for c in added if c not in keep])
+    return df.drop(*[f"{prefix}_{name}" for name in _FACTS if name not in keep])
 
 
 def uri_error(uri: str, prefix: str) -> Column:
