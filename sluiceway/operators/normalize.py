@@ -88,15 +88,15 @@ def with_load_id(df: DataFrame, load_id: str) -> DataFrame:
 def with_row_id(df: DataFrame, load_id: str = "", keys: Sequence[str] = ()) -> DataFrame:
     """A deterministic unique `_row_id`.
 
-    With unique keys it is the hash of their values alone: it needs no shuffle and
-    stays the same from load to load. Without, the load id is part of it and identical
+    With unique keys it is the hash of their values (and of the load id, if given: leave it
+    out for ids that stay the same from load to load) and needs no shuffle. Without, identical
     rows are told apart by an ordinal: they are counted (map-side combine) and
     written out again from the count, so no task ever sorts or numbers one huge
     group; counts above a million are spread over tasks in slices.
     """
     names = df.columns
     if keys:
-        return df.withColumn("_row_id", _id_of([F.col(f"`{k}`") for k in keys], "", F.lit(0)))
+        return df.withColumn("_row_id", _id_of([F.col(f"`{k}`") for k in keys], load_id, F.lit(0)))
     counted = df.groupBy(*[F.col(f"`{c}`") for c in names]).agg(F.count(F.lit(1)).alias("__n"))
     few = counted.filter(F.col("__n") <= _CHUNK)
     few = few.withColumn("__i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)))

@@ -270,7 +270,9 @@ class _Load:
             return {root: flatten(rows)}  # its row id, of content and start, is added by the merge
         keys = self._row_keys()
         if keys or empty:
-            identified = with_row_id(snake_columns(rows), self.load_id, keys)
+            # a merged key keeps its id from load to load; an appended row is a new one each time
+            stable = keys and self.res.disposition == "merge"
+            identified = with_row_id(snake_columns(rows), "" if stable else self.load_id, keys)
         else:
             # the place in the package's files is unique and does not change: no shuffle
             place = F.concat_ws("|", F.lit(self.load_id), "_metadata.file_name", F.col("_metadata.row_index").cast("string"))
@@ -315,6 +317,8 @@ class _Load:
         # hash, the row id, is the scope, so that child rows share their root's bucket
         scope = [] if (pk and mk) else (["_row_id"] if pk else mk)
         before = dataset.table(root)
+        if before is not None:
+            _same_key_types(before.schema, tables[root].schema, pk)
         change = dataset.merge(root, tables[root], self._merge_function(), scope, buckets)
         changes = [change] + _child_changes(dataset, before, change, tables, children, buckets if pk and not mk else 1)
         dataset.commit(changes, **about)
@@ -362,6 +366,14 @@ class _Load:
         return {c.name: c.rows_written for c in changes}
 
 
+def _same_key_types(old: T.StructType, new: T.StructType, keys: list[str]) -> None:
+    """Row ids and buckets follow the text of the key, so its type must stay (integers may widen)."""
+    for k in keys:
+        a, b = old[k].dataType, new[k].dataType
+        if a != b and not (isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType)):
+            raise ValueError(f"key column {k} changed from {a.simpleString()} to {b.simpleString()}; replace the table instead")
+
+
 def _child_changes(
     dataset: Dataset, before: TableState | None, after: TableState, tables: dict[str, DataFrame], children: list[str], buckets: int
 ) -> list[TableState]:

@@ -230,3 +230,19 @@ def test_only_new_files(spark, dataset):
         run(spark, spec, dataset=dataset)
     run(spark, spec, dataset=dataset)
     assert sorted(r.high for r in dataset.read("prices").collect()) == [11.0, 12.0]
+
+
+def test_row_ids_and_key_types(spark, dataset):
+    spec = job({"type": "append"}, source_options={"row_id_keys": ["date"]})
+    for _ in range(2):
+        load(spark, dataset, spec, frame(spark, ROWS[:2]))
+    assert dataset.read("prices").select("_row_id").distinct().count() == 4
+    merge = job({"type": "merge", "strategy": "upsert", "config": {"primary_key": "k"}}, destination_table_name="m",
+                source_options={"buckets": 4})
+    load(spark, dataset, merge, spark.createDataFrame([(1, 1), (2, 2)], "k int, v int"))
+    first = {r.k: r._row_id for r in dataset.read("m").collect()}
+    load(spark, dataset, merge, spark.createDataFrame([(1, 5)], "k long, v int"))
+    rows = dataset.read("m").collect()
+    assert {(r.k, r.v) for r in rows} == {(1, 5), (2, 2)} and {r.k: r._row_id for r in rows} == first
+    with pytest.raises(ValueError, match="key column k changed"):
+        load(spark, dataset, merge, spark.createDataFrame([("1", 5)], "k string, v int"))
