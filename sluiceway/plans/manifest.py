@@ -6,7 +6,7 @@ same plan. Every rule yields an error text or NULL; `check` gathers them.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,123 +41,121 @@ NEEDED = (
 )
 
 
-def _blank(name: str) -> Column:
-    return F.coalesce(F.trim(F.col(name)), F.lit("")) == ""
+def _blank(name: str) -> str:
+    return f"coalesce(trim({name}), '') = ''"
 
 
-def effective_type() -> Column:
-    return F.coalesce("wd_type", F.lit("replace"))
+def _texts(names: Iterable[str]) -> str:
+    return ", ".join(f"'{n}'" for n in names)
 
 
-def effective_strategy() -> Column:
-    kind = effective_type()
-    default = F.when(kind == "replace", REPLACE_STRATEGIES[0]).when(kind == "merge", MERGE_STRATEGIES[0])
-    return F.coalesce("wd_strategy", default)
+def _rule(condition: str, message: str | Column) -> Column:
+    """The message where the condition holds, else NULL."""
+    return F.when(F.expr(condition), F.lit(message) if isinstance(message, str) else message)
 
 
-_NO_TEXTS = "cast(array() as array<string>)"
+def _listed(text: str, items: str) -> Column:
+    return F.concat(F.lit(text), F.expr(f"array_join(array_sort({items}), ', ')"))
 
 
-def with_config(manifest: DataFrame) -> DataFrame:
-    """Add the effective disposition and its parsed settings, each computed once.
-
-    Settings stand in the strategy's nested block, else in the flat document.
-    """
-    rows = manifest.withColumns({"__kind": effective_type(), "__strategy": effective_strategy()})
-    name = F.when(F.col("__kind") == "merge", _per_strategy(CONFIG_BLOCKS))
-    rows = rows.withColumns({"__block_name": name, "__top": F.json_object_keys("wd_config")})
-    nested = F.when(F.array_contains(F.col("__top"), F.col("__block_name")),
-                    F.call_function("get_json_object", F.col("wd_config"), F.concat(F.lit("$."), F.col("__block_name"))))
-    rows = rows.withColumn("__nested", nested)
-    rows = rows.withColumn("__block", F.when(F.col("__kind") == "merge", F.coalesce("__nested", "wd_config")))
-    rows = rows.withColumn("__doc", F.try_parse_json("__block"))
-    keys = ("primary_key", "merge_key", "natural_merge_key", "partition_merge_key", "validity_column_names")
-    return rows.withColumns({f"__{k}": _keys(k) for k in keys})
+EFFECTIVE_TYPE = "coalesce(wd_type, 'replace')"
+EFFECTIVE_STRATEGY = (
+    f"coalesce(wd_strategy, case {EFFECTIVE_TYPE} when 'replace' then '{REPLACE_STRATEGIES[0]}' when 'merge' then '{MERGE_STRATEGIES[0]}' end)"
+)
+_NO_TEXTS = "cast(array() as array<string>)"
 
 
-def _per_strategy(values: Mapping[str, str]) -> Column:
-    chain = F.lit(None).cast("string")
-    for strategy, value in values.items():
-        chain = F.when(F.col("__strategy") == strategy, F.lit(value)).otherwise(chain)
-    return chain
+def _per_strategy(values: Mapping[str, str]) -> str:
+    return "case __strategy " + " ".join(f"when '{s}' then {v}" for s, v in values.items()) + " end"
 
 
 def _keys(name: str) -> Column:
     """A key given as text or list, as a list; NULL when absent or empty."""
-    many = F.try_variant_get(F.col("__doc"), f"$.{name}", "array<string>")
-    one = F.try_variant_get(F.col("__doc"), f"$.{name}", "string")
-    given = F.coalesce(many, F.when(one.isNotNull(), F.array(one)))
-    return F.when(F.size(given) > 0, given)
+    many, one = f"try_variant_get(__doc, '$.{name}', 'array<string>')", f"try_variant_get(__doc, '$.{name}', 'string')"
+    return F.expr(f"nullif(coalesce({many}, case when {one} is not null then array({one}) end), {_NO_TEXTS})")
 
 
-def _blank_key(keys: Column) -> Column:
-    return F.coalesce(F.exists(keys, lambda k: F.coalesce(F.trim(k), F.lit("")) == ""), F.lit(False))
+def with_config(manifest: DataFrame) -> DataFrame:
+    """Add the effective disposition and its parsed settings, each computed once.
+
+    Settings stand in the strategy's nested block, else in the flat document.
+    """
+    block_name = _per_strategy({s: f"'{b}'" for s, b in CONFIG_BLOCKS.items()})
+    allowed = _per_strategy({s: f"array({_texts(keys)})" for s, keys in CONFIG_KEYS.items()})
+    rows = manifest.withColumns({"__kind": F.expr(EFFECTIVE_TYPE), "__strategy": F.expr(EFFECTIVE_STRATEGY)})
+    rows = rows.withColumns({
+        "__block_name": F.expr(f"case when __kind = 'merge' then {block_name} end"),
+        "__allowed": F.expr(allowed), "__blocks": F.expr(f"array({_texts(CONFIG_BLOCKS.values())})"),
+        "__top": F.expr("json_object_keys(wd_config)"),
+    })
+    rows = rows.withColumn("__nested", F.expr(
+        "case when array_contains(__top, __block_name) then get_json_object(wd_config, concat('$.', __block_name)) end"))
+    rows = rows.withColumn("__block", F.expr("case when __kind = 'merge' then coalesce(__nested, wd_config) end"))
+    rows = rows.withColumn("__doc", F.expr("try_parse_json(__block)"))
+    keys = ("primary_key", "merge_key", "natural_merge_key", "partition_merge_key", "validity_column_names")
+    return rows.withColumns({f"__{k}": _keys(k) for k in keys})
 
 
 def required_rules() -> list[Column]:
-    return [F.when(_blank(name), F.lit(text)) for name, text in NEEDED]
+    return [_rule(_blank(name), text) for name, text in NEEDED]
 
 
 def uri_rules() -> list[Column]:
     out = []
     for name in ("source_uri", "destination_uri"):
         error = uri_error(name, name.removesuffix("_uri"))
-        out.append(F.when(~_blank(name) & error.isNotNull(), F.concat(F.lit(f"{name}: "), error)))
+        out.append(F.when(F.expr(f"not ({_blank(name)})") & error.isNotNull(), F.concat(F.lit(f"{name}: "), error)))
     return out
 
 
 def disposition_rules() -> list[Column]:
-    kind, strategy, config = F.col("__kind"), F.col("__strategy"), F.col("wd_config")
-    merge, di, up, hist = kind == "merge", strategy == "delete-insert", strategy == "upsert", strategy == "scd2"
-    pk, mk = F.col("__primary_key"), F.col("__merge_key")
-    natural, partition, validity = F.col("__natural_merge_key"), F.col("__partition_merge_key"), F.col("__validity_column_names")
-    block, top, none = F.col("__block_name"), F.col("__top"), F.expr(_NO_TEXTS)
-    blocks = F.array(*[F.lit(b) for b in CONFIG_BLOCKS.values()])
-    foreign = F.array_remove(F.array_intersect(top, blocks), block)
-    allowed = F.split(_per_strategy({s: ",".join(keys) for s, keys in CONFIG_KEYS.items()}), ",")
-    used = F.json_object_keys("__block")
-    stray = F.when(F.col("__nested").isNotNull(), F.array_except(top, blocks)).otherwise(none)
-    unknown = F.array_sort(F.concat(F.array_except(F.array_except(used, allowed), blocks), stray))
-    sort = F.from_json(F.get_json_object("__block", "$.dedup_sort_column"), "map<string,string>")
-    needed = F.array_union(F.coalesce(pk, none), F.array_union(F.coalesce(mk, none), F.coalesce(natural, partition, none)))
-    lost = F.array_sort(F.array_intersect(needed, F.coalesce("exclude_columns", none)))
-    strategy_name = F.concat(F.lit(" merge_strategy is '"), strategy, F.lit("'"))
+    merge, scd2 = "__kind = 'merge'", "__kind = 'merge' and __strategy = 'scd2'"
+    delete_insert, upsert = "__kind = 'merge' and __strategy = 'delete-insert'", "__kind = 'merge' and __strategy = 'upsert'"
+    used = "array_except(array_except(json_object_keys(__block), __allowed), __blocks)"
+    stray = f"case when __nested is not null then array_except(__top, __blocks) else {_NO_TEXTS} end"
+    unknown = f"concat({used}, {stray})"
+    foreign = "array_remove(array_intersect(__top, __blocks), __block_name)"
+    needed = (f"array_union(coalesce(__primary_key, {_NO_TEXTS}), array_union(coalesce(__merge_key, {_NO_TEXTS}), "
+              f"coalesce(__natural_merge_key, __partition_merge_key, {_NO_TEXTS})))")
+    lost = f"array_intersect({needed}, coalesce(exclude_columns, {_NO_TEXTS}))"
+    sorts = "map_values(from_json(get_json_object(__block, '$.dedup_sort_column'), 'map<string,string>'))"
+    strategy_name = F.concat(F.lit(" merge_strategy is '"), F.col("__strategy"), F.lit("'"))
     return [
-        F.when(~kind.isin(*WD_TYPES), F.concat(F.lit("Unsupported write disposition type: "), kind)),
-        F.when((kind == "append") & (F.col("wd_strategy").isNotNull() | config.isNotNull()),
-               "No strategy or config is accepted when write_disposition type is 'append'"),
-        F.when((kind == "replace") & config.isNotNull(), "Config is not accepted when write_disposition is 'replace'"),
-        F.when((kind == "replace") & ~strategy.isin(*REPLACE_STRATEGIES), "Invalid replace strategy"),
-        F.when(merge & ~strategy.isin(*MERGE_STRATEGIES), "Invalid merge strategy"),
-        F.when(merge & config.isNotNull() & top.isNull(), "config must be a JSON object"),
-        F.when(merge & block.isNotNull() & config.isNull(), F.concat(block, F.lit(" is required when"), strategy_name)),
-        F.when(merge & (F.size(foreign) > 0), F.concat(F.lit("Only "), block, F.lit(" is accepted when"), strategy_name)),
-        F.when(merge & (F.size(unknown) > 0), F.concat(F.lit("Unknown config keys: "), F.array_join(unknown, ", "))),
-        F.when(merge & di & top.isNotNull() & pk.isNull() & mk.isNull(),
-               "At least one of 'primary' or 'merge' key(s) must be provided for delete-insert strategy"),
-        F.when(merge & up & top.isNotNull() & (pk.isNull() | _blank_key(pk)), "Primary key must be provided"),
-        F.when(merge & hist & natural.isNotNull() & partition.isNotNull(),
-               "Only one of 'natural' or 'partition' merge key(s) must be provided for scd2 strategy"),
-        F.when(merge & hist & (F.size(validity) != 2), "Validity column names must contain exactly two strings"),
-        F.when(merge & di & F.exists(F.map_values(sort), lambda d: ~d.isin("asc", "desc")), "dedup_sort_column must be 'asc' or 'desc'"),
-        F.when(merge & (F.size(lost) > 0), F.concat(F.lit("Key columns cannot be excluded: "), F.array_join(lost, ", "))),
+        _rule(f"__kind not in ({_texts(WD_TYPES)})", F.concat(F.lit("Unsupported write disposition type: "), F.col("__kind"))),
+        _rule("__kind = 'append' and (wd_strategy is not null or wd_config is not null)",
+              "No strategy or config is accepted when write_disposition type is 'append'"),
+        _rule("__kind = 'replace' and wd_config is not null", "Config is not accepted when write_disposition is 'replace'"),
+        _rule(f"__kind = 'replace' and __strategy not in ({_texts(REPLACE_STRATEGIES)})", "Invalid replace strategy"),
+        _rule(f"{merge} and __strategy not in ({_texts(MERGE_STRATEGIES)})", "Invalid merge strategy"),
+        _rule(f"{merge} and wd_config is not null and __top is null", "config must be a JSON object"),
+        _rule(f"{merge} and __block_name is not null and wd_config is null",
+              F.concat(F.col("__block_name"), F.lit(" is required when"), strategy_name)),
+        _rule(f"{merge} and size({foreign}) > 0", F.concat(F.lit("Only "), F.col("__block_name"), F.lit(" is accepted when"), strategy_name)),
+        _rule(f"{merge} and size({unknown}) > 0", _listed("Unknown config keys: ", unknown)),
+        _rule(f"{delete_insert} and __top is not null and __primary_key is null and __merge_key is null",
+              "At least one of 'primary' or 'merge' key(s) must be provided for delete-insert strategy"),
+        _rule(f"{upsert} and __top is not null and (__primary_key is null or exists(__primary_key, k -> coalesce(trim(k), '') = ''))",
+              "Primary key must be provided"),
+        _rule(f"{scd2} and __natural_merge_key is not null and __partition_merge_key is not null",
+              "Only one of 'natural' or 'partition' merge key(s) must be provided for scd2 strategy"),
+        _rule(f"{scd2} and size(__validity_column_names) != 2", "Validity column names must contain exactly two strings"),
+        _rule(f"{delete_insert} and exists({sorts}, d -> d not in ('asc', 'desc'))", "dedup_sort_column must be 'asc' or 'desc'"),
+        _rule(f"{merge} and size({lost}) > 0", _listed("Key columns cannot be excluded: ", lost)),
     ]
 
 
 def source_rules() -> list[Column]:
-    start = F.col("start_from")
-    stamped = start.startswith("timestamp:")
-    used = F.when(F.col("incremental_key").isNotNull(), F.concat(
-        F.array(F.lit("$gte")), F.when(F.col("end_position").isNotNull(), F.array(F.lit("$lt"))).otherwise(F.expr(_NO_TEXTS))
-    ))
-    clash = F.array_intersect(F.coalesce("filter_operators", F.expr(_NO_TEXTS)), used)
+    stamped = "start_from like 'timestamp:%'"
+    used = "case when end_position is null then array('$gte') else array('$gte', '$lt') end"
+    clash = f"array_intersect(coalesce(filter_operators, {_NO_TEXTS}), {used})"
     return [
-        F.when(F.col("incremental_key").isNotNull() & _blank("incremental_key"), "incremental_key: Field must be provided"),
-        F.when(F.col("boundary_mode").isNotNull() & ~F.col("boundary_mode").isin(*BOUNDARIES), "Invalid boundary mode"),
-        F.when(stamped & ~start.rlike(r"^timestamp:[+-]?\d+$"), "Invalid format for timestamp. Expected 'timestamp:<epoch_ms>'"),
-        F.when((start != "") & ~stamped & ~start.isin("earliest", "latest"),
-               "start_from must be 'earliest', 'latest', or 'timestamp:<epoch_ms>'"),
-        F.when(F.size(clash) > 0, F.concat(F.lit("Filter operators already used by the cursor: "), F.array_join(F.array_sort(clash), ", "))),
+        _rule(f"incremental_key is not null and {_blank('incremental_key')}", "incremental_key: Field must be provided"),
+        _rule(f"boundary_mode not in ({_texts(BOUNDARIES)})", "Invalid boundary mode"),
+        _rule(f"{stamped} and not regexp(start_from, '^timestamp:[+-]?[0-9]+$')",
+              "Invalid format for timestamp. Expected 'timestamp:<epoch_ms>'"),
+        _rule(f"start_from != '' and not {stamped} and start_from not in ('earliest', 'latest')",
+              "start_from must be 'earliest', 'latest', or 'timestamp:<epoch_ms>'"),
+        _rule(f"incremental_key is not null and size({clash}) > 0", _listed("Filter operators already used by the cursor: ", clash)),
     ]
 
 
@@ -176,9 +174,9 @@ def _tidy(rows: DataFrame) -> DataFrame:
 
 def route_rules() -> list[Column]:
     return [
-        F.when(~_blank("source_uri") & ~F.col("source_routable"), F.concat(F.lit("Invalid source URI scheme: "), F.col("source_scheme"))),
-        F.when(~_blank("destination_uri") & ~F.col("destination_routable"),
-               F.concat(F.lit("Invalid destination URI scheme: "), F.col("destination_scheme"))),
+        _rule(f"not ({_blank(f'{side}_uri')}) and not {side}_routable",
+              F.concat(F.lit(f"Invalid {side} URI scheme: "), F.col(f"{side}_scheme")))
+        for side in ("source", "destination")
     ]
 
 
@@ -203,9 +201,9 @@ def with_defaults(manifest: DataFrame) -> DataFrame:
     rows = with_routes(manifest)
     filled = rows.withColumns({
         "destination_table_name": F.coalesce("destination_table_name", "source_table_name"),
-        "dataset_name": F.when(~_blank("dataset_name"), F.col("dataset_name")).otherwise(F.coalesce("destination_default_dataset", F.lit(""))),
-        "wd_strategy": effective_strategy(),
-        "wd_type": effective_type(),
+        "dataset_name": F.expr(f"case when {_blank('dataset_name')} then coalesce(destination_default_dataset, '') else dataset_name end"),
+        "wd_strategy": F.expr(EFFECTIVE_STRATEGY),
+        "wd_type": F.expr(EFFECTIVE_TYPE),
         "start_from": F.coalesce("start_from", F.lit("earliest")),
         "batch_size": F.coalesce("batch_size", F.lit(100)),
         "batch_timeout": F.coalesce("batch_timeout", F.lit(5)),
