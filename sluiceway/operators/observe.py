@@ -59,37 +59,47 @@ def rate(count: Column, seconds: Column) -> Column:
     return F.when(seconds > 0, F.round(count / seconds, 2)).otherwise(F.lit(0.0))
 
 
-def step_summary(steps: DataFrame) -> DataFrame:
-    """One row per run and step: span, first error, status."""
+def step_summary(steps: DataFrame, about: tuple[str, ...] = ()) -> DataFrame:
+    """One row per run and step: span, first error, status, and facts about the run if named."""
     known = steps.filter(F.col("step").isin(*STEPS))
     span = known.groupBy("run_id", "step").agg(
         F.min("started_at").alias("start_time"),
         F.max("finished_at").alias("last_end"),
         F.count_if(F.col("finished_at").isNull()).alias("open"),
         F.min_by("error", F.when(F.col("error").isNotNull(), F.struct("started_at", "error"))).alias("error"),
+        *[F.any_value(c, True).alias(c) for c in about],
     )
     status = F.when(F.col("open") > 0, "processing").when(F.col("error").isNotNull(), "failed").otherwise("completed")
     end = F.when(F.col("open") == 0, F.col("last_end"))
     return span.select("run_id", "step", step_number(F.col("step")).alias("step_no"), "start_time",
-                       end.alias("end_time"), status.alias("status"), "error")
+                       end.alias("end_time"), status.alias("status"), "error", *about)
 
 
-def run_status(steps: DataFrame) -> DataFrame:
-    """processing while any step is open, failed after an error, else completed; errors joined in step order."""
-    summary = step_summary(steps)
+def _run_aggregates() -> list[Column]:
+    """What a run's status needs from its (at most three) step rows; errors joined in step order."""
     per_step = [F.max(F.when(F.col("step") == s, F.col("error"))) for s in STEPS]
-    joined = F.concat_ws("; ", *per_step)
-    return summary.groupBy("run_id").agg(
+    return [
         F.min("start_time").alias("start_time"),
         F.max("end_time").alias("__end"),
         F.count_if(F.col("status") == "processing").alias("__open"),
         F.count_if(F.col("error").isNotNull()).alias("__bad"),
-        joined.alias("__error"),
-    ).select(
-        "run_id", "start_time", F.when(F.col("__open") == 0, F.col("__end")).alias("end_time"),
-        F.when(F.col("__open") > 0, "processing").when(F.col("__bad") > 0, "failed").otherwise("completed").alias("status"),
-        F.when((F.col("__open") == 0) & (F.col("__bad") > 0), F.col("__error")).alias("error"),
-    )
+        F.concat_ws("; ", *per_step).alias("__error"),
+    ]
+
+
+def _run_columns() -> list[Column]:
+    """processing while any step is open, failed after an error, else completed."""
+    open_, bad = F.col("__open") > 0, F.col("__bad") > 0
+    return [
+        F.col("start_time"), F.when(~open_, F.col("__end")).alias("end_time"),
+        F.when(open_, "processing").when(bad, "failed").otherwise("completed").alias("status"),
+        F.when(~open_ & bad, F.col("__error")).alias("error"),
+    ]
+
+
+def run_status(steps: DataFrame) -> DataFrame:
+    """Span, status and joined errors of each run."""
+    return step_summary(steps).groupBy("run_id").agg(*_run_aggregates()).select("run_id", *_run_columns())
 
 
 def counters(updates: DataFrame) -> DataFrame:
@@ -148,10 +158,7 @@ def observe(steps: DataFrame, resources: DataFrame) -> DataFrame:
     The per-run map has one entry per step, and a step's list one entry per table
     of the job, both after aggregation.
     """
-    about = steps.groupBy("run_id").agg(
-        F.any_value("pipeline_name", True).alias("pipeline_name"), F.any_value("source_type", True).alias("source_type"),
-        F.any_value("destination_type", True).alias("destination_type"),
-    )
+    about = ("pipeline_name", "source_type", "destination_type")
     tables = skip_system(resources).groupBy("run_id", "step", "name").agg(
         F.sum("row_count").alias("row_count"), F.sum("file_size").alias("file_size"),
         F.min("started_at").alias("start_time"), F.max("finished_at").alias("end_time"),
@@ -159,15 +166,14 @@ def observe(steps: DataFrame, resources: DataFrame) -> DataFrame:
     lists = tables.groupBy("run_id", "step").agg(
         F.sort_array(F.collect_list(F.struct("name", "row_count", "file_size", "start_time", "end_time"))).alias("resource_metrics")
     )
-    per_step = step_summary(steps).join(lists, ["run_id", "step"], "left")
+    per_step = step_summary(steps, about).join(lists, ["run_id", "step"], "left")
     entry = F.struct("start_time", "end_time", "status", "error", "resource_metrics")
-    by_step = per_step.groupBy("run_id").agg(
-        *[F.max(F.when(F.col("step") == s, entry)).alias(f"__{s}") for s in STEPS]
+    runs = per_step.groupBy("run_id").agg(
+        *_run_aggregates(), *[F.any_value(c, True).alias(c) for c in about],
+        *[F.any_value(F.when(F.col("step") == s, entry), True).alias(f"__{s}") for s in STEPS],
     )
-    shape = per_step.select(entry.alias("e")).schema["e"].dataType.simpleString()
+    shape = runs.schema["__load"].dataType.simpleString()
     pending = F.expr(f"cast(named_struct('start_time', null, 'end_time', null, 'status', 'pending', 'error', null, "
                      f"'resource_metrics', null) as {shape})")
     metrics = F.create_map(*[x for s in STEPS for x in (F.lit(s), F.coalesce(F.col(f"__{s}"), pending))])
-    joined = about.join(run_status(steps), "run_id").join(by_step, "run_id")
-    return joined.select("run_id", "pipeline_name", "source_type", "destination_type", "start_time", "end_time", "status",
-                         "error", metrics.alias("metrics"))
+    return runs.select("run_id", *about, *_run_columns(), metrics.alias("metrics"))

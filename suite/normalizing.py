@@ -42,17 +42,18 @@ def norm_flatten(spark, sf_dir):
 
 
 @query("norm_child_table", """
-    SELECT doc_id, unnest(range(len(l)))::INT AS list_idx, unnest(l) AS line, len(l) AS lines
-    FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)
+    SELECT doc_id, list_idx, line, length(line)::INT AS chars FROM (
+        SELECT doc_id, unnest(range(len(l)))::INT AS list_idx, unnest(l) AS line
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))
 """)
 def norm_child_table(spark, sf_dir):
     """Documents with their lines as a list of objects; the child table gives back every line."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.split("text", "\n").alias("parts"))
-    nested = docs.select("doc_id", F.transform("parts", lambda p: F.struct(p.alias("line"), F.size("parts").cast("long").alias("lines"))).alias("body"))
+    nested = docs.select("doc_id", F.transform("parts", lambda p: F.struct(p.alias("line"), F.length(p).alias("chars"))).alias("body"))
     tables = relational(with_row_id(nested, keys=["doc_id"]), "doc")
     roots = tables["doc"].select("doc_id", F.col("_row_id").alias("__id"))
     return tables["doc__body"].join(roots, F.col("_parent_id") == F.col("__id")).select(
-        "doc_id", F.col("_list_idx").alias("list_idx"), "line", "lines")
+        "doc_id", F.col("_list_idx").alias("list_idx"), "line", "chars")
 
 
 @query("norm_row_id", """
