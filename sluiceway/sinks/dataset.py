@@ -248,14 +248,18 @@ class Dataset:
             touched = tuple(p for p in old.paths if _bucket_in(p) in hit)
         result = fn(self.rows(old, touched), incoming)
         left = tuple(p for p in old.paths if p not in set(touched))
-        if left and any(result.schema[f.name].dataType != f.dataType for f in old.schema.fields if f.name in result.columns):
-            # a widened column must be the same type in every file
+        if left and self._widened(old, result):
+            # a column's type must be the same in every file
             touched, left = old.paths, ()
             result = fn(self.rows(old, touched), incoming)
         new = self.stage(name, result, bucket, spread, observe)
         return replace(new, schema=self._merged_schema(old, new) if left else new.schema,
                        paths=left + new.paths, scope=tuple(scope), buckets=buckets, based_on=old.paths)
 
+    @staticmethod
+    def _widened(old: TableState, rows: DataFrame) -> bool:
+        return any(rows.schema[f.name].dataType != f.dataType for f in old.schema.fields if f.name in rows.columns)
+
     @staticmethod
     def _same_split(old: TableState, incoming: DataFrame, scope: Sequence[str], buckets: int) -> bool:
         same = old.scope == tuple(scope) and old.buckets == buckets
@@ -284,6 +288,11 @@ class Dataset:
             left = tuple(p for p in old.paths if p not in set(touched))
         target = None if old is None else self.rows(old, touched)
         versions = scd2_change(target, incoming, boundary, cfg).versions
+        if left and self._widened(old, versions):
+            # the one case that rewrites history: a column's type must be the same in every file
+            change = scd2_change(self.rows(old, old.paths), incoming, boundary, cfg)
+            versions = evolve_union(change.history.withColumn("__retired", F.lit(True)), change.versions)
+            left = ()
         bucket = F.when(F.col("__retired"), HISTORY_BUCKET).otherwise(active_bucket)
         new = self.stage(name, versions, bucket, spread, observe, without=("__retired",))
         schema = self._merged_schema(old, new) if left else new.schema

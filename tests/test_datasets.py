@@ -166,3 +166,30 @@ def test_concurrent_loads_of_different_tables_both_commit(spark, dataset, monkey
     monkeypatch.setattr(dataset, "latest", latest)
     dataset.commit([b])
     assert [seen(dataset_now, t) for t in ("a", "b", "c")] == [[1], [2], [3]]
+
+
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_type_two_history_follows_a_widened_column(spark, dataset, buckets):
+    from sluiceway.operators.scd2 import Scd2, boundary_time
+
+    def day(rows, schema, at):
+        df = spark.createDataFrame(rows, schema)
+        dataset.commit([dataset.merge_scd2("t", df, boundary_time(at), Scd2(natural_key=["k"]), buckets)])
+
+    day([(1, 1), (2, 2)], "k int, v int", "2024-01-01")
+    day([(1, 5)], "k int, v int", "2024-01-02")
+    day([(2, 2.5)], "k int, v double", "2024-01-03")
+    rows = sorted((r.k, r.v, str(r.valid_from)[:10], str(r.valid_to)[:10]) for r in dataset.read("t").collect())
+    assert rows == [(1, 1.0, "2024-01-01", "2024-01-02"), (1, 5.0, "2024-01-02", "9999-12-31"),
+                    (2, 2.0, "2024-01-01", "2024-01-03"), (2, 2.5, "2024-01-03", "9999-12-31")]
+
+
+def test_bucketed_merge_widens_every_file(spark, dataset):
+    from sluiceway.operators.merge import upsert
+
+    def fn(old, new):
+        return upsert(old, new, "k")
+
+    dataset.commit([dataset.merge("t", spark.createDataFrame([(i, i) for i in range(20)], "k int, v int"), fn, ["k"], 8)])
+    dataset.commit([dataset.merge("t", spark.createDataFrame([(3, "x")], "k int, v string"), fn, ["k"], 8)])
+    assert {r.k: r.v for r in dataset.read("t").collect()} == {i: ("x" if i == 3 else str(i)) for i in range(20)}
