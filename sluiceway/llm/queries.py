@@ -55,7 +55,7 @@ repeated AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM found, range(5) AS r
 lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM texts),
 line_counts AS (SELECT doc_id, count(*) AS n_lines, count(DISTINCT line) AS n_different FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 measures AS (
-  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(words, w -> length(w))), 0) AS BIGINT) AS word_chars,
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_lines, 0) AS n_lines, coalesce(n_lines - n_different, 0) AS n_dup_lines,
     coalesce(r.n, 0) AS n_repeat_words, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(t, '[^a-z]', '', 'g')) AS n_lower
   FROM texts LEFT JOIN repeated r USING (doc_id) LEFT JOIN line_counts USING (doc_id)),
