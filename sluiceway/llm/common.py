@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from pathlib import Path
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Texts turned into Python objects at once; bounds a worker's memory, not the rows.
 SLICE_ROWS = 256
@@ -21,6 +24,28 @@ WORD = r"[^\x20\x09-\x0D]+"
 Texts = list[str | None]
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors' Python workers, once for each Spark application."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if context.applicationId in _SHIPPED or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="sluiceway-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """mapInArrow whose function may use this package on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -55,7 +80,7 @@ def map_texts(df: DataFrame, key: str, text: str, make: Callable[[], Callable[[T
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(got[n], type=t) for n, t in zip(names, types, strict=True))], names=["_key", *names])
 
     picked = df.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").cast("string").alias("_text"))
-    return picked.mapInArrow(run, f"_key {kind}, {schema}").withColumnRenamed("_key", key)
+    return map_arrow(picked, run, f"_key {kind}, {schema}").withColumnRenamed("_key", key)
 
 
 def _arrow_type(name: str) -> pa.DataType:

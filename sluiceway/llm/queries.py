@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import bpe, rules_cascade, secrets, sharding, url_templates
+from sluiceway.llm import bpe, decontaminate, language, rules_cascade, secrets, sharding, toxicity, url_templates
 from sluiceway.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +18,11 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict for every page's url."""
     return url_templates.judge_urls(table(spark, sf_dir, "pages"))
@@ -33,17 +38,30 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digests(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of the rule cascade for every document."""
     return rules_cascade.measure(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scans": op2_secret_scans,
+    "op4_toxicity": op4_toxicity,
     "op5_url_filters": op5_url_filters,
     "op6_bpe": op6_bpe,
     "op7_sharding": op7_sharding,
+    "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
+    "op10_decontamination": op10_decontamination,
 }
 
 #: Measures of the quality rules, as common table expressions over `documents`.

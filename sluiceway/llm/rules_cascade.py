@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import Texts, map_texts, slices
+from sluiceway.llm.common import Texts, map_arrow, map_texts, slices
 
 #: Fixed values of the contract.
 SYMBOLS = b"#*$%&|<>"
@@ -160,7 +160,7 @@ def estimate_order(df: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -
         yield pa.RecordBatch.from_pydict({"rule": list(RULES), "spent": [spent[x] for x in RULES], "fired": [fired[x] for x in RULES]})
 
     sample = df.select(F.col(f"`{text}`").cast("string").alias("_text")).limit(rows)
-    got = sample.mapInArrow(trial, "rule string, spent double, fired long").groupBy("rule").agg(F.sum("spent").alias("spent"), F.sum("fired").alias("fired")).collect()
+    got = map_arrow(sample, trial, "rule string, spent double, fired long").groupBy("rule").agg(F.sum("spent").alias("spent"), F.sum("fired").alias("fired")).collect()
     gain = {r["rule"]: r["fired"] / max(r["spent"], 1e-9) for r in got}
     return sorted(RULES, key=lambda x: -gain.get(x, 0.0))
 
@@ -207,4 +207,4 @@ def keep(df: DataFrame, text: str = "text") -> DataFrame:
             for part, texts in slices(batch, at):
                 yield part.filter(pa.array([first_reject(Measures(t), order) is None for t in texts], type=pa.bool_()))
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
