@@ -313,3 +313,18 @@ def round_trip(df: DataFrame, path: str, key: str = "doc_id", text: str = "text"
         return work
 
     return map_texts(df, key, text, make, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def encode_checked(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, n_tokens, ids (decimal, joined by one space), decoded_sha256 of the text they decode to."""
+
+    def make() -> Callable[[Texts], dict[str, list]]:
+        codec = Codec(path)
+
+        def work(texts: Texts) -> dict[str, list]:
+            found = [codec.digest(t) for t in texts]
+            return {"n_tokens": [x[0] for x in found], "ids": [x[1] for x in found], "decoded_sha256": [_sha(x[2]) for x in found]}
+
+        return work
+
+    return map_texts(df, key, text, make, "n_tokens long, ids string, decoded_sha256 string")

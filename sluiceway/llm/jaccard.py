@@ -329,3 +329,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     some = each.where("set_id is not null").join(known, "set_id").select(F.col("_key").alias(key), "n_shingles", "component_id", "set_id")
     none = each.where("set_id is null").select(F.col("_key").alias(key), "n_shingles", F.col("_key").alias("component_id"), "set_id")
     return some.unionByName(none)
+
+
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of one document of each component, the one with the smallest key, with all their columns.
+
+    Rows that repeat a key count as one document and leave one row. Rows without a key stay once for each text.
+    """
+    near = cut(near_duplicates(df, key, text).select(F.col(f"`{key}`").alias("_id"), F.col("component_id").alias("_component")))
+    rows, ids = near.agg(F.count("_id"), F.countDistinct("_id")).first()
+    first = near.where("_id = _component").select(F.col("_id").alias(key)).distinct()
+    kept = df.join(first, key, "left_semi").select(df.columns)
+    if rows > ids:
+        kept = kept.dropDuplicates([key])
+    return kept if near.where("_id is null").isEmpty() else kept.unionByName(df.where(F.col(f"`{key}`").isNull()).dropDuplicates([text]))

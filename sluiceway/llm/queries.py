@@ -7,12 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import bpe, decontaminate, jaccard, language, rules_cascade, secrets, sharding, toxicity, url_templates
+from sluiceway.llm import bpe, decontaminate, jaccard, language, rules_cascade, secrets, sharding, toxicity, url_templates, weak_labels
 from sluiceway.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score, learnt from weak labels, for every document."""
+    return weak_labels.classify(table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, in nested encodings too."""
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
@@ -59,6 +64,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_secret_scans": op2_secret_scans,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_toxicity": op4_toxicity,

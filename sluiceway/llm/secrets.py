@@ -22,12 +22,13 @@ import lzma
 import re
 import zlib
 from collections import deque
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sluiceway.llm.common import Texts, map_texts
+from sluiceway.llm.common import Texts, map_arrow, map_texts, slices
 
 #: Fixed values of the contract: kinds in their order, patterns, least lengths.
 KINDS = ("assign", "access", "hex")
@@ -238,7 +239,7 @@ def mask(text: str | None, fill: str = "[secret]") -> str | None:
     """The text with every span, also those found in decoded layers, replaced; overlapping spans become one."""
     if not text:
         return text
-    _, every, _, complete = scan_nested(text)
+    _, every, _, _ = scan_nested(text)
     if not every:
         return text
     parts, last = [], 0
@@ -247,3 +248,22 @@ def mask(text: str | None, fill: str = "[secret]") -> str | None:
             parts += [text[last:start], fill]
         last = max(last, end)
     return "".join([*parts, text[last:]])
+
+
+def mask_secrets(df: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:
+    """All rows and columns, with secrets masked; the length column follows, if there is one."""
+    at = df.columns.index(text)
+    size = df.columns.index(length) if length in df.columns else None
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in slices(batch, at):
+                masked = [mask(t) for t in texts]
+                columns = list(part.columns)
+                columns[at] = pa.array(masked, part.schema.types[at])
+                if size is not None:
+                    known = part.column(size).to_pylist()
+                    columns[size] = pa.array([n if n is None or new == old else n + len(new) - len(old) for n, old, new in zip(known, texts, masked, strict=True)], part.schema.types[size])
+                yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
+
+    return map_arrow(df, run, df.schema)
