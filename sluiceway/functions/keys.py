@@ -28,14 +28,14 @@ def key_set(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     split a skewed partition of the other side or switch to a broadcast. A key
     occurs at most once per salt; add `distinct()` where each key must be single.
     """
-    named = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    named = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]
     salted = rows.select(*named, (F.spark_partition_id() % _SALTS).alias("__salt"))
     return salted.distinct().drop("__salt")
 
 
 def on_keys(keys: Sequence[str]) -> Column:
     """Null-safe equality of `keys` with the columns of a `key_set`."""
-    return reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)))
+    return reduce(Column.__and__, (F.col(f"`{k}`").eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)))
 
 
 def without_keys(rows: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,9 +51,16 @@ def with_keys(rows: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFra
 def sortable(df: DataFrame, name: str) -> Column:
     """A column usable in ORDER BY: types without an order are compared as JSON text."""
     col = F.col(f"`{name}`")
-    if isinstance(df.schema[name].dataType, (T.MapType, T.VariantType)):
-        return F.to_json(F.struct(col))
-    return col
+    return F.to_json(F.struct(col)) if _unordered(df.schema[name].dataType) else col
+
+
+def _unordered(dtype: T.DataType) -> bool:
+    """Maps and variants have no order, nor has what holds one."""
+    if isinstance(dtype, T.ArrayType):
+        return _unordered(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_unordered(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, (T.MapType, T.VariantType))
 
 
 def one_row_per_key(rows: DataFrame, keys: Sequence[str], what: str) -> DataFrame:

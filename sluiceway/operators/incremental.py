@@ -44,7 +44,14 @@ class Cursor:
         return self.end is not None
 
 
+def cursor_text(value: Column, dtype: T.DataType) -> Column:
+    """A cursor value as it is stored. An instant is its microseconds since 1970 in UTC, whatever the session's zone."""
+    return (F.unix_micros(value) if isinstance(dtype, T.TimestampType) else value).cast("string")
+
+
 def _bound(value, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.TimestampType) and isinstance(value, str) and value.lstrip("-").isdigit():
+        return F.timestamp_micros(F.lit(int(value)))
     return F.lit(value if isinstance(value, (int, float, str)) else str(value)).cast(dtype)
 
 
@@ -106,6 +113,24 @@ def cursor_metrics(cursor: Cursor) -> list[Column]:
     return [pick(col).cast("string").alias("cursor"), F.count_if(col.isNull()).alias("null_cursor")]
 
 
+def whole_ties(df: DataFrame, key: str, limit: int, rising: bool = True, last=None) -> DataFrame:
+    """About `limit` rows beyond `last` in cursor order, with every row that ties with the furthest of them.
+
+    A cursor stored after such a run has no unread row behind it, so runs with a limit load
+    everything, once. Rows up to `last` that the filter let through (a lag, a closed bound) stay.
+    """
+    dtype, col = df.schema[key].dataType, F.col(f"`{key}`")
+    fresh = df
+    if last is not None:
+        fresh = df.filter(col > _bound(last, dtype) if rising else col < _bound(last, dtype))
+    pick = F.max if rising else F.min
+    first = fresh.select(col.alias("value")).orderBy(F.col("value").asc() if rising else F.col("value").desc()).limit(abs(limit))
+    furthest = first.agg(cursor_text(pick("value"), dtype)).first()[0]  # one value
+    if furthest is None:
+        return df
+    return df.filter(col <= _bound(furthest, dtype) if rising else col >= _bound(furthest, dtype))
+
+
 def ordered(df: DataFrame, cursor: Cursor, row_order: str | None, tie_break: list[str], limit: int | None) -> DataFrame:
     """Cursor order with an optional limit, planned as one top-k."""
     if row_order not in ("asc", "desc", None):

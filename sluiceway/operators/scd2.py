@@ -81,7 +81,7 @@ def scd2_change(target: DataFrame | None, incoming: DataFrame, boundary: Column,
     own = [start, end] + ([cfg.hash_column] if cfg.hash_column else [])
     new = incoming.withColumns({"__old": F.lit(0), "__new": F.lit(1)})
     if target is None:
-        first = incoming.distinct().withColumns({start: boundary, end: open_end, "__retired": F.lit(False)})
+        first = _distinct(incoming).withColumns({start: boundary, end: open_end, "__retired": F.lit(False)})
         return Scd2Change(None, _with_id(first, incoming.columns, cfg))
 
     is_open = F.col(f"`{end}`").isNull() if cfg.active_until is None else F.col(f"`{end}`").eqNullSafe(open_end)
@@ -108,6 +108,11 @@ def scd2_change(target: DataFrame | None, incoming: DataFrame, boundary: Column,
     return Scd2Change(history, versions)
 
 
+def _distinct(rows: DataFrame) -> DataFrame:
+    """Rows without repeats; grouping takes map columns, `distinct` does not."""
+    return rows.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.lit(1).alias("__one")).drop("__one")
+
+
 def _with_id(rows: DataFrame, business: Sequence[str], cfg: Scd2) -> DataFrame:
     return rows.withColumn(cfg.hash_column, version_id(business, cfg.columns[0])) if cfg.hash_column else rows
 

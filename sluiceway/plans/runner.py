@@ -18,7 +18,7 @@ from sluiceway.functions.keys import key_set, with_keys, without_keys
 from sluiceway.functions.names import snake_case, snake_columns
 from sluiceway.operators import merge as merges
 from sluiceway.operators.dedup import dedup
-from sluiceway.operators.incremental import cursor_predicate, ordered
+from sluiceway.operators.incremental import cursor_predicate, cursor_text, ordered, whole_ties
 from sluiceway.operators.normalize import detect_iso_timestamps, flatten, relational, with_load_id, with_row_id
 from sluiceway.operators.rules import apply_rules
 from sluiceway.operators.scd2 import boundary_time, scd2
@@ -37,6 +37,8 @@ Reader = Callable[[SparkSession, str, str, Mapping], DataFrame]
 
 _HELPERS = ("__cursor", "__modified")  # columns that only feed observations
 _ACCEPTED: set[str] = set()
+# Columns that loads add to tables or to their folders.
+RESERVED = frozenset(("_row_id", "_load_id", "_root_id", "_parent_id", "__v", "__bucket", "__cursor"))
 
 
 def validate(spark: SparkSession, spec: Mapping) -> None:
@@ -124,7 +126,9 @@ def _nested(schema: T.StructType) -> bool:
 
 
 def _later(a: str, b: str, direction: str) -> str:
-    """The further of two cursor texts: numbers as numbers, dates and times as their ISO text."""
+    """The further of two cursor texts: numbers as numbers, dates and times as their ISO text. `a` is the new one."""
+    if a.lstrip("-").isdigit() and ":" in b:
+        return a  # an instant stored as text by an earlier version
     try:
         key = Decimal
         Decimal(a), Decimal(b)
@@ -151,6 +155,9 @@ class _Load:
         packages: list[TableState] = []
         try:
             df, observe = self._read(reader)
+            taken = sorted(RESERVED.intersection(df.columns).difference(res.exclude))
+            if taken:
+                raise ValueError(f"source columns {', '.join(taken)} have names that the load needs; rename or exclude them")
             nulls = None
             if res.cursor:
                 df, nulls, pick = self._new_rows(df)
@@ -186,7 +193,7 @@ class _Load:
             self.trace.add("extract", res.source, started, 0, 0)
             return {}
         except Exception as failure:
-            self.trace.add(step, res.destination, started, None, None, str(failure).split("\n")[0][:500])
+            self.trace.add(step, res.destination, started, None, None, str(failure))
             raise
         finally:
             for used in packages:
@@ -226,16 +233,21 @@ class _Load:
         pick = F.max if cursor.direction == "max" else F.min
         rows = rows.filter(key.isNotNull()).withColumn("__cursor", key)
         self._cursor_type = df.schema[cursor.key].dataType.simpleString()
-        return rows, nulls, pick("__cursor").cast("string").alias("cursor")
+        return rows, nulls, cursor_text(pick("__cursor"), df.schema[cursor.key].dataType).alias("cursor")
 
     def _limited(self, df: DataFrame) -> DataFrame:
-        """The source limit: in cursor order when there is a cursor, so that the state stays right."""
+        """The source limit. Where state is kept, whole files or whole ties from the stored cursor on, so
+        that the state never passes an unread row; `row_order` then has no say in what is read first."""
         limit, cursor = self.res.options.get("limit"), self.res.cursor
         if not limit:
             return df
+        if self.res.options.get("new_files"):
+            return whole_ties(df, "__modified", limit)
         if cursor is None:
             return limited(df, (), limit)
-        return ordered(df, cursor, self.res.options.get("row_order"), [], limit)
+        if cursor.is_backfill:
+            return ordered(df, cursor, self.res.options.get("row_order"), [], limit)
+        return whole_ties(df, "__cursor", limit, cursor.direction == "max", ledger.stored_cursor(self.dataset, self._resource_id))
 
     def _package(self, df: DataFrame, observe: list[Column]) -> TableState:
         """The rows as written files, which cuts the lineage: they are read by several plans."""
@@ -320,7 +332,7 @@ class _Load:
         if before is not None:
             _same_key_types(before.schema, tables[root].schema, pk)
         change = dataset.merge(root, tables[root], self._merge_function(), scope, buckets)
-        changes = [change] + _child_changes(dataset, before, change, tables, children, buckets if pk and not mk else 1)
+        changes = [change] + _child_changes(dataset, before, change, tables, children, buckets if pk and not mk else 1, res.strategy)
         dataset.commit(changes, **about)
         return {c.name: c.rows_written for c in changes}
 
@@ -375,22 +387,34 @@ def _same_key_types(old: T.StructType, new: T.StructType, keys: list[str]) -> No
 
 
 def _child_changes(
-    dataset: Dataset, before: TableState | None, after: TableState, tables: dict[str, DataFrame], children: list[str], buckets: int
+    dataset: Dataset, before: TableState | None, after: TableState, tables: dict[str, DataFrame], children: list[str], buckets: int, strategy: str
 ) -> list[TableState]:
-    """Child tables follow their root: children of replaced or removed roots go, those of inserted roots come."""
-    if not children:
+    """Child tables follow their root: children of replaced or removed roots go, those of inserted roots come.
+
+    Stored child tables follow too when the batch has no such list: a delete-insert replaces
+    rows whole, so their old lists go; an upsert leaves the lists of rows that live on.
+    """
+    absent = [n for n in dataset.child_tables(after.name) if n not in children]
+    if not children and not absent:
         return []
     incoming = tables[after.name].select("_row_id")
     written = dataset.rows(after, [p for p in after.paths if before is None or p not in set(before.paths)]).select("_row_id")
-    removed = incoming
+    removed, deleted = incoming, None
     if before is not None:
         dropped = dataset.rows(before, [p for p in before.paths if p not in set(after.paths)]).select("_row_id")
-        removed = incoming.union(without_keys(dropped, key_set(written, ["_row_id"]), ["_row_id"]))
+        deleted = without_keys(dropped, key_set(written, ["_row_id"]), ["_row_id"])
+        removed = incoming.union(deleted)
     touch = removed.withColumnRenamed("_row_id", "_root_id")
 
     def follow(old: DataFrame | None, new: DataFrame) -> DataFrame:
         live = with_keys(new, key_set(written, ["_row_id"]), ["_root_id"])
         return live if old is None else merges.merge_children(old, live, removed)
 
+    def leave(old: DataFrame, new: DataFrame) -> DataFrame:
+        return merges.merge_children(old, new, deleted if strategy == "upsert" else removed)
+
     scope = ["_root_id"] if buckets > 1 else []
-    return [dataset.merge(n, tables[n], follow, scope, buckets, touch=touch) for n in children]
+    changes = [dataset.merge(n, tables[n], follow, scope, buckets, touch=touch) for n in children]
+    if before is not None:
+        changes += [dataset.merge(n, dataset.rows(dataset.table(n), []), leave, scope, buckets, touch=touch) for n in absent]
+    return changes

@@ -48,6 +48,7 @@ class TableState:
     bytes_written: int = 0
     metrics: Mapping[str, object] = field(default_factory=dict)
     based_on: tuple[str, ...] | None = None  # the folders a merge or append started from
+    type2: Mapping[str, object] | None = None  # how a type-2 table marks its versions
 
     @property
     def schema_hash(self) -> str:
@@ -59,6 +60,7 @@ class TableState:
             "schema_version": self.schema_version, "previous_hashes": list(self.previous_hashes),
             "paths": list(self.paths), "scope": list(self.scope), "buckets": self.buckets,
             "rows_written": self.rows_written, "bytes_written": self.bytes_written, "changed": changed,
+            **({"type2": dict(self.type2)} if self.type2 else {}),
         }
 
     @staticmethod
@@ -66,6 +68,7 @@ class TableState:
         return TableState(
             doc["name"], T.StructType.fromJson(json.loads(doc["schema"])), tuple(doc["paths"]), tuple(doc["scope"]),
             doc["buckets"], doc["schema_version"], tuple(doc["previous_hashes"]), doc["rows_written"], doc["bytes_written"],
+            type2=doc.get("type2"),
         )
 
 
@@ -107,6 +110,11 @@ class Dataset:
         found = [t for t in (commit or self.latest())["tables"] if t["name"] == name]
         return TableState.from_json(found[0]) if found else None
 
+    def child_tables(self, root: str, commit: dict | None = None) -> list[str]:
+        """Stored tables that hold lists of a root table's rows."""
+        found = (commit or self.latest())["tables"]
+        return [t["name"] for t in found if t["name"].startswith(f"{root}__") and "_root_id" in TableState.from_json(t).schema.names]
+
     def read(self, name: str, commit: dict | None = None) -> DataFrame | None:
         state = self.table(name, commit)
         return None if state is None else self.rows(state, state.paths)
@@ -272,32 +280,46 @@ class Dataset:
         """Type-2 merge that never rewrites history.
 
         Retired versions are appended to their own bucket and stay there; only
-        active versions (of the loaded scope) are read and rewritten.
+        active versions (of the loaded scope) are read and rewritten. The table keeps
+        how its versions are marked: after a change of the active marker every active
+        version is rewritten once, other column names are refused.
         """
+        marks = {"columns": list(cfg.columns), "active_until": cfg.active_until, "hash_column": cfg.hash_column}
         scope = tuple(cfg.natural_key or cfg.partition_key)
         active_bucket = bucket_of(scope, buckets) if scope and buckets > 1 else F.lit(0)
         spread = ["__bucket"] if scope and buckets > 1 else []
         old = self.table(name)
-        touched, left = (), ()
+        touched, left, marked = (), (), (old.type2 if old is not None else None) or marks
+        for kept in ("columns", "hash_column"):
+            if marked[kept] != marks[kept]:
+                raise ValueError(f"type-2 {kept} of table {name} changed from {marked[kept]} to {marks[kept]}; replace the table instead")
+        remark = marked["active_until"] != cfg.active_until
         if old is not None:
             live = tuple(p for p in old.paths if _bucket_in(p) != HISTORY_BUCKET)
             touched = live
-            if spread and self._same_split(old, incoming, scope, buckets):
+            if spread and not remark and self._same_split(old, incoming, scope, buckets):
                 hit = {r[0] for r in incoming.select(active_bucket).distinct().collect()}  # at most `buckets` integers
                 touched = tuple(p for p in live if _bucket_in(p) in hit)
             left = tuple(p for p in old.paths if p not in set(touched))
         target = None if old is None else self.rows(old, touched)
+        if remark:
+            # outside the history folders every stored version is an active one
+            target = target.withColumn(cfg.columns[1], F.lit(cfg.active_until).cast("timestamp_ntz"))
         versions = scd2_change(target, incoming, boundary, cfg).versions
         if left and self._widened(old, versions):
             # the one case that rewrites history: a column's type must be the same in every file
-            change = scd2_change(self.rows(old, old.paths), incoming, boundary, cfg)
-            versions = evolve_union(change.history.withColumn("__retired", F.lit(True)), change.versions)
+            past = self.rows(old, tuple(p for p in old.paths if _bucket_in(p) == HISTORY_BUCKET)).withColumn("__retired", F.lit(True))
+            active = self.rows(old, live)
+            if remark:
+                active = active.withColumn(cfg.columns[1], F.lit(cfg.active_until).cast("timestamp_ntz"))
+            change = scd2_change(active, incoming, boundary, cfg)
+            versions = evolve_union(past, change.versions)
             left = ()
         bucket = F.when(F.col("__retired"), HISTORY_BUCKET).otherwise(active_bucket)
         new = self.stage(name, versions, bucket, spread, observe, without=("__retired",))
         schema = self._merged_schema(old, new) if left else new.schema
         return replace(new, schema=schema, paths=left + new.paths, scope=scope, buckets=buckets,
-                       based_on=() if old is None else old.paths)
+                       based_on=() if old is None else old.paths, type2=marks)
 
     def compact(self, name: str) -> TableState:
         """The same rows in fewer, larger files, for tables that many small appends have cut up."""

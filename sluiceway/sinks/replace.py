@@ -34,16 +34,19 @@ def replace_tables(
         emptied = [TableState(n, t.schema) for n, t in old.items() if t is not None]
         if emptied:
             dataset.commit(emptied)
+    # child tables that the new rows no longer have are emptied, or dropped, with their root
+    gone = [n for n in dataset.child_tables(next(iter(tables)), before) if n not in tables]
     staged = {n: dataset.stage(n, df, observe=observe, without=without) for n, df in tables.items()}
     if about is not None:
         commit = about(next(iter(staged.values())).metrics)
     if strategy == "staging-optimized":
-        dataset.commit(list(staged.values()), drop=list(tables), **commit)
+        dataset.commit(list(staged.values()), drop=[*tables, *gone], **commit)
         return staged
     for name, state in old.items():
         if state is not None:
             staged[name] = _keep_columns(state, staged[name])
-    dataset.commit(list(staged.values()), **commit)
+    emptied = [TableState(n, dataset.table(n, before).schema) for n in gone]
+    dataset.commit([*staged.values(), *emptied], **commit)
     return staged
 
 
