@@ -26,7 +26,7 @@ DRIVERS = {
 
 
 def jdbc_options(uri: str) -> dict[str, str]:
-    """Reader and writer options for a connection URI; only the scheme is rewritten."""
+    """Reader and writer options for a connection URI. Its query parameters, such as sslmode, stay in the URL."""
     parts = urlsplit(uri)
     scheme = parts.scheme.lower()
     if scheme not in DRIVERS:
@@ -47,17 +47,17 @@ def jdbc_options(uri: str) -> dict[str, str]:
         options["url"] = f"{prefix}md:{host}"
         options["motherduck_token"] = params.get("token", "")
     elif scheme in ("mssql", "synapse"):
-        options["url"] = f"{prefix}//{host}{port};databaseName={database}"
+        options["url"] = f"{prefix}//{host}{port};databaseName={database}" + "".join(f";{k}={v}" for k, v in params.items())
     elif scheme == "snowflake":
         names = database.split("/")
         options["url"] = f"{prefix}//{host}.snowflakecomputing.com/?db={names[0]}" + (
             f"&schema={names[1]}" if len(names) > 1 else ""
-        )
+        ) + (f"&{parts.query}" if parts.query else "")
     elif scheme == "clickhouse":
         secure = params.get("secure", "0") == "1"
         options["url"] = f"{prefix}//{host}:{params.get('http_port', '8123')}/{database}" + ("?ssl=true" if secure else "")
     else:
-        options["url"] = f"{prefix}//{host}{port}/{database}"
+        options["url"] = f"{prefix}//{host}{port}/{database}" + (f"?{parts.query}" if parts.query else "")
     return options
 
 

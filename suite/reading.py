@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.functions.uri import query_param, uri_part, with_scheme
 from sluiceway.session import scratch_dir
 from sluiceway.sources import documents, files, topics
+from sluiceway.sources.predicates import predicate
 from sluiceway.streaming import topic_stream
 from suite.common import EVENT_COLUMNS, ORDERS_COLUMNS, new_dataset, plain, query, sql_ts, table
 
@@ -46,11 +49,10 @@ def scan_jsonl(spark, sf_dir):
     return plain(files.read_files(spark, base, "events.jsonl", schema=events.schema))
 
 
-@query("scan_parquet", "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem WHERE l_quantity >= 25 AND l_returnflag = 'R'")
+@query("scan_parquet", "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem")
 def scan_parquet(spark, sf_dir):
-    """The filter and the three columns reach the scan."""
-    lines = files.read_files(spark, sf_dir, "lineitem.parquet")
-    return lines.filter((F.col("l_quantity") >= 25) & (F.col("l_returnflag") == "R")).select("l_orderkey", "l_partkey", "l_quantity")
+    """Every row; only the three columns are read."""
+    return files.read_files(spark, sf_dir, "lineitem.parquet").select("l_orderkey", "l_partkey", "l_quantity")
 
 
 @query("scan_modified_files", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
@@ -131,7 +133,27 @@ def scan_range_partitions(spark, sf_dir):
 
 @query("scan_filter", f"SELECT {ORDERS_COLUMNS} FROM orders WHERE o_totalprice > 100000 AND o_orderstatus = 'F'")
 def scan_filter(spark, sf_dir):
-    return plain(table(spark, sf_dir, "orders").filter((F.col("o_totalprice") > 100000) & (F.col("o_orderstatus") == "F")))
+    return plain(table(spark, sf_dir, "orders").filter(predicate({"o_totalprice": {"$gt": 100000}, "o_orderstatus": "F"})))
+
+
+_COMPARED = {
+    "$eq": ("o_orderpriority", "2-HIGH", "o_orderpriority = '2-HIGH'"),
+    "$ne": ("o_orderpriority", "2-HIGH", "o_orderpriority IS DISTINCT FROM '2-HIGH'"),
+    "$gt": ("o_totalprice", 150000, "o_totalprice > 150000"),
+    "$gte": ("o_custkey", 50, "o_custkey >= 50"),
+    "$lt": ("o_totalprice", 150000, "o_totalprice < 150000"),
+    "$lte": ("o_custkey", 50, "o_custkey <= 50"),
+    "$in": ("o_orderstatus", ["F", "P"], "o_orderstatus IN ('F', 'P')"),
+    "$nin": ("o_orderstatus", ["F", "P"], "(o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'P'))"),
+}
+
+
+@query("scan_filter_operators", " UNION ALL ".join(f"SELECT '{op}' AS operator, o_orderkey FROM orders WHERE {sql}" for op, (_, _, sql) in _COMPARED.items()))
+def scan_filter_operators(spark, sf_dir):
+    """Each comparison of a source filter, over all orders."""
+    orders = table(spark, sf_dir, "orders")
+    found = [orders.filter(predicate({name: {op: value}})).select(F.lit(op).alias("operator"), "o_orderkey") for op, (name, value, _) in _COMPARED.items()]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query("scan_limit", f"SELECT {ORDERS_COLUMNS} FROM orders ORDER BY orders.o_orderdate, o_orderkey LIMIT 25")

@@ -10,6 +10,7 @@ from sluiceway.operators import normalize
 from sluiceway.operators.dedup import dedup
 from sluiceway.operators.incremental import Cursor, new_rows
 from sluiceway.operators.scd2 import Scd2, boundary_time, scd2
+from sluiceway.sources import files
 from suite.catalog import QUERIES
 from suite.common import table
 
@@ -57,7 +58,8 @@ def test_cursor_reaches_the_scan(spark, sf):
 
 
 def test_columns_are_pruned(spark, sf):
-    text = plan(QUERIES["scan_parquet"](spark, sf))
+    lines = files.read_files(spark, sf, "lineitem.parquet").filter("l_quantity >= 25.0 and l_returnflag = 'R'")
+    text = plan(lines.select("l_orderkey", "l_partkey", "l_quantity"))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_returnflag:string>" in text
     assert "GreaterThanOrEqual(l_quantity,25.0)" in text
 

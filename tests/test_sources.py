@@ -56,6 +56,9 @@ def test_every_scheme_has_a_pattern():
 
 @pytest.mark.parametrize("uri, url", [
     ("postgresql://u:p%40@h:5432/d", "jdbc:postgresql://h:5432/d"),
+    ("postgresql://u:p%40@h:5432/d?sslmode=require&a=b", "jdbc:postgresql://h:5432/d?sslmode=require&a=b"),
+    ("mssql://u:p@h:1433/d?encrypt=true", "jdbc:sqlserver://h:1433;databaseName=d;encrypt=true"),
+    ("snowflake://u:p@acc/db/ds?warehouse=w", "jdbc:snowflake://acc.snowflakecomputing.com/?db=db&schema=ds&warehouse=w"),
     ("mysql://u:p@h:3306/d", "jdbc:mysql://h:3306/d"),
     ("clickhouse://clickhouse:p@h:9000/clickhouse?http_port=8443&secure=1", "jdbc:clickhouse://h:8443/clickhouse?ssl=true"),
     ("mssql://u:p@h:1433/d", "jdbc:sqlserver://h:1433;databaseName=d"),
