@@ -33,6 +33,17 @@ def key_set(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return salted.distinct().drop("__salt")
 
 
+def measured(found: DataFrame) -> DataFrame:
+    """A key set, sent to every task if its measured size is within Spark's broadcast threshold.
+
+    For key sets of written batches, which are cheap to read: the other side, the target, is then
+    never shuffled. Left to adaptive execution, the target's shuffle is written before the small size is known.
+    """
+    limit = int(found.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    size = found.agg(F.sum(F.octet_length(F.to_json(F.struct(*found.columns))) + 32)).first()[0] or 0  # one number
+    return F.broadcast(found) if size <= limit else found
+
+
 def on_keys(keys: Sequence[str]) -> Column:
     """Null-safe equality of `keys` with the columns of a `key_set`."""
     return reduce(Column.__and__, (F.col(f"`{k}`").eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)))

@@ -1,9 +1,10 @@
 """Merge dispositions: (target, incoming, keys) -> the target's new state.
 
 Every function is one lazy plan. Target rows are removed by anti-joins on narrow
-key sets, so a small incoming batch is broadcast at run time and the target is
-read once without a shuffle; a large one becomes a sort-merge join whose skewed
-target partitions adaptive execution can split.
+key sets. With `measure`, for incoming rows that are written already, the key set is
+measured first and broadcast if it is small: the target is then read without a shuffle.
+Otherwise both sides are shuffled, and adaptive execution can split skewed target
+partitions or, after the shuffle, still join by broadcast.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.functions.keys import key_list, key_set, on_keys, one_row_per_key, with_keys, without_keys
+from sluiceway.functions.keys import key_list, key_set, measured, on_keys, one_row_per_key, with_keys, without_keys
 from sluiceway.operators.dedup import dedup
 from sluiceway.operators.normalize import evolve_union
 
@@ -40,6 +41,7 @@ def delete_insert(
     merge_key: Key = None,
     hard_delete: str | None = None,
     dedup_sort: Mapping[str, str] | None = None,
+    measure: bool = False,
 ) -> DataFrame:
     """Remove target rows whose primary key or merge key arrives, then insert the arrivals.
 
@@ -55,13 +57,17 @@ def delete_insert(
     kept = target
     if pk:
         # the dedup keeps every primary key, so the narrow un-deduplicated keys suffice
-        kept = without_keys(kept, key_set(incoming, pk), pk)
+        kept = without_keys(kept, _keys(incoming, pk, measure), pk)
     if mk:
-        kept = without_keys(kept, key_set(rows, mk), mk)
+        kept = without_keys(kept, _keys(rows, mk, measure), mk)
     return evolve_union(kept, _surviving(rows, hard_delete))
 
 
-def upsert(target: DataFrame | None, incoming: DataFrame, primary_key: Key, hard_delete: str | None = None) -> DataFrame:
+def _keys(rows: DataFrame, keys: Sequence[str], measure: bool) -> DataFrame:
+    return measured(key_set(rows, keys)) if measure else key_set(rows, keys)
+
+
+def upsert(target: DataFrame | None, incoming: DataFrame, primary_key: Key, hard_delete: str | None = None, measure: bool = False) -> DataFrame:
     """Update rows whose key exists, insert the others; a repeated incoming key is an error.
 
     Columns the incoming rows lack keep the target's value. A flagged row deletes
@@ -74,11 +80,12 @@ def upsert(target: DataFrame | None, incoming: DataFrame, primary_key: Key, hard
     live = _surviving(rows, hard_delete)
     if target is None:
         return live
-    kept = without_keys(target, key_set(incoming, keys), keys)
+    arrived = _keys(incoming, keys, measure)
+    kept = without_keys(target, arrived, keys)
     carried = [c for c in target.columns if c not in incoming.columns]
     if carried:
         # only the matching target rows, found by the (broadcastable) keys, take part in the outer join
-        matched = with_keys(target, key_set(incoming, keys), keys)
+        matched = with_keys(target, arrived, keys)
         old = matched.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)],
                             *[F.col(f"`{c}`") for c in carried])
         live = live.join(old, on_keys(keys), "left").drop(*[f"__k{i}" for i in range(len(keys))])

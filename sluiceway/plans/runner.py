@@ -347,8 +347,8 @@ class _Load:
         if self.res.strategy == "scd2":
             return lambda old, new: scd2(old, new, self._boundary(), self.res.scd2())
         if self.res.strategy == "upsert":
-            return lambda old, new: merges.upsert(old, new, pk, hard_delete)
-        return lambda old, new: merges.delete_insert(old, new, pk, mk, hard_delete, sort)
+            return lambda old, new: merges.upsert(old, new, pk, hard_delete, measure=True)
+        return lambda old, new: merges.delete_insert(old, new, pk, mk, hard_delete, sort, measure=True)
 
     def _write_external(self, tables: dict[str, DataFrame], about: dict) -> dict[str, int]:
         """Tables of another system: appended, replaced, or merged by computing the new state here.

@@ -64,6 +64,17 @@ def test_columns_are_pruned(spark, sf):
     assert "GreaterThanOrEqual(l_quantity,25.0)" in text
 
 
+def test_measured_keys_leave_the_target_unshuffled(spark, sf):
+    target, batch = table(spark, sf, "orders"), table(spark, sf, "orders").limit(10)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="1MB"):
+        text = executed(merges.delete_insert(target, batch, merge_key="o_custkey", measure=True)).split("Initial Plan")[0]
+        joined = text[text.index("LeftAnti"):]
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+        assert "Exchange" not in joined[: joined.index("Scan parquet")]
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="10B"):
+        assert "SortMergeJoin" in plan(merges.delete_insert(target, batch, merge_key="o_custkey", measure=True))
+
+
 def test_dedup_limits_groups_before_the_shuffle(spark, sf):
     text = plan(dedup(table(spark, sf, "lineitem"), ["l_orderkey"], {"l_shipdate": "desc"}))
     physical = text[text.index("== Physical Plan =="):]
