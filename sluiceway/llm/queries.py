@@ -97,5 +97,6 @@ judged AS (
 """.format(symbols=rules_cascade.MAX_SYMBOLS_PERCENT, upper=rules_cascade.MAX_UPPER_PERCENT, lines=rules_cascade.MAX_DUP_LINES_PERCENT, mean=rules_cascade.MAX_MEAN_WORD)
 
 ORACLES: dict[str, str] = {
+    "op5_url_filters": url_templates.oracle_sql(),
     "op9_quality_rules": f"WITH {RULE_MEASURES} SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR more_failed) AS kept FROM judged",
 }

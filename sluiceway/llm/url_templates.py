@@ -65,8 +65,10 @@ def shape(path: Column) -> Column:
 
 
 def _similar(b1: str, n1: str, b2: str, n2: str) -> str:
-    """Two-proportion test as a condition without division."""
-    return f"power({b1} * {n2} - {b2} * {n1}, 2) * ({n1} + {n2}) <= {CRITICAL} * ({b1} + {b2}) * ({n1} + {n2} - {b1} - {b2}) * {n1} * {n2}"
+    """Two-proportion test as a condition without division, in floating point."""
+    b1, n1, b2, n2 = (f"cast({x} as double)" for x in (b1, n1, b2, n2))
+    both = f"({b1} + {b2}) * ({n1} + {n2} - {b1} - {b2}) * {n1} * {n2}"
+    return f"({b1} * {n2} - {b2} * {n1}) * ({b1} * {n2} - {b2} * {n1}) * ({n1} + {n2}) <= cast({CRITICAL} as double) * {both}"
 
 
 def build_templates(shaped: DataFrame) -> DataFrame:
@@ -115,3 +117,40 @@ def judge_urls(df: DataFrame, key: str = "page_id", url: str = "url") -> DataFra
     out = base.join(by_shape, ["host", "parts"])
     learned = F.when(F.col("purity") >= REJECT, F.lit("block")).otherwise(F.lit("allow"))
     return out.select(F.col("_key").alias(key), "host", "path", "rule", F.coalesce("said", learned).alias("verdict"), "template", "purity")
+
+
+def oracle_sql() -> str:
+    """The same tree and verdicts in DuckDB's SQL, over `pages`."""
+    rules = sorted(RULES, key=lambda r: -len(r[1]))
+
+    def pick(values: list[str]) -> str:
+        cases = []
+        for value, (_, text) in zip(values, rules, strict=True):
+            name, slash, tail = text.partition("/")
+            cases.append(f"WHEN (host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '{slash}{tail}') THEN '{value}'")
+        return f"CASE {' '.join(cases)} END"
+
+    steps = [f"""
+        urls AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        split AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM urls),
+        said AS (SELECT *, {pick([t for _, t in rules])} AS rule, {pick([v for v, _ in rules])} AS said,
+            string_split(regexp_replace(regexp_replace(regexp_replace(path, '[0-9a-f]{{16,}}', '<hex>', 'g'), '[0-9]+', '<n>', 'g'), '^/', ''), '/') AS list FROM split),
+        base AS MATERIALIZED (SELECT *, list[1:{DEPTH}] || CASE WHEN len(list) > {DEPTH} THEN [array_to_string(list[{DEPTH + 1}:], '/')] ELSE [] END AS parts FROM said),
+        t0 AS MATERIALIZED (SELECT host, parts, '' AS prefix, count(*) AS pages, count(*) FILTER (said = 'block') AS blocked, count(said) AS labelled FROM base GROUP BY host, parts)"""]
+    for k in range(DEPTH + 1):
+        steps.append(f"""
+        c{k} AS (SELECT host, prefix, parts[{k + 1}] AS seg, sum(pages) AS pages, sum(blocked) AS blocked, sum(labelled) AS labelled FROM t{k} GROUP BY ALL),
+        n{k} AS (SELECT host, prefix, count(seg) AS children, sum(pages) AS node_pages FROM c{k} GROUP BY ALL),
+        g{k} AS MATERIALIZED (SELECT c{k}.*, CASE WHEN children >= {MANY_CHILDREN} AND pages * {RARE_SHARE} < node_pages AND seg IS NOT NULL THEN '*' ELSE seg END AS general FROM c{k} JOIN n{k} USING (host, prefix)),
+        b{k} AS MATERIALIZED (SELECT host, prefix, general, sum(blocked) AS blocked, sum(labelled) AS labelled FROM g{k} GROUP BY ALL),
+        x{k} AS (SELECT * FROM b{k} WHERE general IS NOT NULL QUALIFY row_number() OVER (PARTITION BY host, prefix ORDER BY labelled DESC, general DESC, blocked DESC) = 1),
+        s{k} AS (SELECT b.host, b.prefix, b.general, CASE WHEN b.general IS NULL THEN '' ELSE '/' || CASE WHEN b.labelled >= {LEAST_LABELS} AND x.labelled >= {LEAST_LABELS}
+            AND {_similar('b.blocked', 'b.labelled', 'x.blocked', 'x.labelled')} THEN x.general ELSE b.general END END AS step FROM b{k} b LEFT JOIN x{k} x ON b.host = x.host AND b.prefix = x.prefix),
+        t{k + 1} AS MATERIALIZED (SELECT t.host, t.parts, t.prefix || s.step AS prefix, t.pages, t.blocked, t.labelled FROM t{k} t
+            JOIN g{k} g ON t.host = g.host AND t.prefix = g.prefix AND t.parts[{k + 1}] IS NOT DISTINCT FROM g.seg
+            JOIN s{k} s ON g.host = s.host AND g.prefix = s.prefix AND g.general IS NOT DISTINCT FROM s.general)""")
+    last = f"t{DEPTH + 1}"
+    return f"""WITH {",".join(steps)},
+        judged AS (SELECT host, prefix, (CAST(sum(blocked) AS DOUBLE) + {PRIOR_BLOCK}) / (CAST(sum(labelled) AS DOUBLE) + {PRIOR_PAGES}) AS purity FROM {last} GROUP BY host, prefix)
+        SELECT page_id, host, path, rule, coalesce(said, CASE WHEN purity >= {REJECT} THEN 'block' ELSE 'allow' END) AS verdict, prefix AS template, purity
+        FROM base JOIN {last} USING (host, parts) JOIN judged USING (host, prefix)"""

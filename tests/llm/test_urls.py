@@ -1,5 +1,7 @@
 import re
 
+import duckdb
+
 from sluiceway.llm import queries, url_templates
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -52,5 +54,14 @@ def test_query_against_plain_code(spark, sf):
         assert (r.host, r.path, r.rule) == (host, path, rule[0] if rule else None) and r.verdict in ("allow", "block") and (not rule or r.verdict == rule[1])
 
 
+def test_query_equals_sql(spark):
+    sf = "/root/testdata/sf0.1"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{sf}/pages.parquet')")
+    df = queries.QUERIES["op5_url_filters"](spark, sf)
+    want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.ORACLES['op5_url_filters']})").fetchall()
+    assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, want))
+
+
 def test_empty(spark):
     assert url_templates.judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
