@@ -9,9 +9,12 @@ fragments (ranges); each document's set falls into one segment a fragment.
    or two tasks hold it. A shingle in a third of all documents is one entry for each map task.
 3. Two sets link only if three quarters of either are shared, so all other sets leave. Among those that
    stay, shingles are ordered from rare to frequent, and a pair must meet in the sets' first ones (prefixes).
+   A pair's overlap lies within the shared part of either set; pairs for which that is too little leave too.
 4. Large groups are joined without their pairs: for every prefix shingle, its sets are compared with one
-   centre only, twice, and linked sets become components. Then every pair of sets that meet in a prefix and
-   lie in different components is compared. No link between components is missed; links within one change nothing.
+   centre only, and linked sets become components; turns with other centres follow while the pairs that are
+   still open outnumber the prefix entries and links are found. Then every pair of sets that meet in a prefix
+   and lie in different components is compared. No link between components is missed; links within one change
+   nothing.
 5. To compare a pair, its overlap is counted in each fragment separately and summed.
 
 Result: class and component of every document. Nulls, empty texts and texts without words have no shingle
@@ -20,6 +23,7 @@ and link with nothing; a text of fewer than WIDTH words is one shingle. Repeated
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -44,6 +48,9 @@ COUNT_FRAGMENTS = 4
 #: Words whose hash a process keeps; beyond it the table is filled anew.
 CACHE_WORDS = 300_000
 
+#: Ids of leaving documents that are broadcast at most (some 16 MB).
+BROADCAST_IDS = 1_000_000
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _FIRST, _SECOND = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -114,8 +121,12 @@ def _unpack(data: bytes) -> np.ndarray:
     return wide.reshape(-1).view("<u8")
 
 
-_SEGMENTS = "fragment int, alone binary, owners binary, lengths binary, several binary, set_id long, held array<long>"
-_SEGMENT_SCHEMA = pa.schema([("fragment", pa.int32()), ("alone", pa.binary()), ("owners", pa.binary()), ("lengths", pa.binary()), ("several", pa.binary()), ("set_id", pa.int64()), ("held", pa.list_(pa.int64()))])
+#: Packed segments of a fragment (single shingles with their owners, and shingles of several sets), or packed lists
+#: of shared shingles (owner, count, shingles) of a bucket of sets.
+_LISTS = "bucket int, names binary, counts binary, shared binary"
+_SEGMENTS = f"fragment int, alone binary, owners binary, lengths binary, several binary, {_LISTS}"
+_LIST_FIELDS = [("bucket", pa.int32()), ("names", pa.binary()), ("counts", pa.binary()), ("shared", pa.binary())]
+_SEGMENT_FIELDS = [("fragment", pa.int32()), ("alone", pa.binary()), ("owners", pa.binary()), ("lengths", pa.binary()), ("several", pa.binary()), *_LIST_FIELDS]
 
 
 def _fragment_of(shingles: np.ndarray, bits: int) -> np.ndarray:
@@ -128,10 +139,23 @@ def _reduced(shingles: np.ndarray, bits: int) -> np.ndarray:
     return (_fragment_of(shingles, bits).astype(np.uint64) << np.uint64(8 * PACKED_BYTES)) | low
 
 
-def _by_owner(owners: np.ndarray, shingles: np.ndarray) -> tuple[np.ndarray, pa.ListArray]:
-    """Owners and the list of each one's shingles; sorted by owner before."""
-    names, starts = np.unique(owners, return_index=True)
-    return names, pa.ListArray.from_arrays(pa.array(np.append(starts, len(owners)), pa.int32()), pa.array(shingles.view(np.int64)))
+def _lists(owners: np.ndarray, shingles: np.ndarray, bits: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """Shared shingles by owner, packed for each bucket of owners."""
+    order = np.argsort(owners.view(np.uint64), kind="stable")
+    owners, shingles = owners[order], shingles[order]
+    bucket = _fragment_of(_mix(owners.view(np.uint64)), bits)
+    by = np.argsort(bucket, kind="stable")
+    owners, shingles, bucket = owners[by], shingles[by], bucket[by]
+    cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    for begin, end in zip(cuts, np.append(cuts[1:], len(owners)), strict=True):
+        starts = np.flatnonzero(np.append(True, owners[begin + 1 : end] != owners[begin : end - 1]))
+        counts = np.diff(np.append(starts, end - begin)).astype(np.int32)
+        yield int(bucket[begin]), owners[begin:end][starts].tobytes(), counts.tobytes(), shingles[begin:end].astype("<u8").tobytes()
+
+
+def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in fields]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
 
 def _pack_batch(sets: dict[int, np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
@@ -153,14 +177,10 @@ def _pack_batch(sets: dict[int, np.ndarray], bits: int) -> Iterator[pa.RecordBat
         single, whose = here[~many], own[~many]
         by = np.argsort(whose, kind="stable")
         names, counts = np.unique(whose, return_counts=True)
-        rows.append((int(fragment[begin]), _pack(single[by]), names.tobytes(), counts.astype(np.int32).tobytes(), _pack(np.unique(here[many])), None, None))
-    by = np.argsort(owners[shared], kind="stable")
-    if len(by):
-        names, lists = _by_owner(owners[shared][by], _reduced(shingles[shared][by], bits))
-        none = pa.nulls(len(names), pa.binary())
-        # Dealt out evenly; fragments pass these rows on.
-        yield pa.RecordBatch.from_arrays([pa.array((names % (1 << bits)).astype(np.int32)), none, none, none, none, pa.array(names), lists], schema=_SEGMENT_SCHEMA)
-    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), _SEGMENT_SCHEMA.types, strict=True)], schema=_SEGMENT_SCHEMA)
+        rows.append((int(fragment[begin]), _pack(single[by]), names.tobytes(), counts.astype(np.int32).tobytes(), _pack(np.unique(here[many])), None, None, None, None))
+    if shared.any():  # these lists go along with the fragments, dealt out evenly
+        rows += [(bucket, None, None, None, None, bucket, *packed) for bucket, *packed in _lists(owners[shared], _reduced(shingles[shared], bits), bits)]
+    yield _batch(rows, _SEGMENT_FIELDS)
 
 
 def _packer(bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -183,8 +203,8 @@ def _packer(bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Recor
     return run
 
 
-def _join_fragment(fragment: int, alone: list[tuple[bytes, bytes, bytes]], several: list[bytes]) -> pa.RecordBatch | None:
-    """Shared shingles of one fragment, as lists by set."""
+def _join_fragment(fragment: int, bits: int, alone: list[tuple[bytes, bytes, bytes]], several: list[bytes]) -> list[tuple]:
+    """Shared shingles of one fragment, as packed lists."""
     shingles = np.concatenate([_unpack(a) for a, _, _ in alone])
     owners = np.concatenate([np.repeat(np.frombuffer(o, dtype=np.int64), np.frombuffer(n, dtype=np.int32)) for _, o, n in alone])
     order = np.lexsort((owners, shingles))
@@ -202,33 +222,58 @@ def _join_fragment(fragment: int, alone: list[tuple[bytes, bytes, bytes]], sever
             shared |= known[at] == shingles
         shingles, owners = shingles[shared], owners[shared]
     if not len(shingles):
-        return None
-    by = np.argsort(owners, kind="stable")
-    names, lists = _by_owner(owners[by], shingles[by] | (np.uint64(fragment) << np.uint64(8 * PACKED_BYTES)))
-    return pa.RecordBatch.from_arrays([pa.array(names), lists], names=["set_id", "held"])
+        return []
+    return list(_lists(owners, shingles | (np.uint64(fragment) << np.uint64(8 * PACKED_BYTES)), bits))
+
+
+def _fragment_joiner(bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Over rows sorted by fragment: one fragment is held at a time; packed lists pass."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, alone, several = None, [], []
+        for batch in batches:
+            known = batch.filter(batch.column("bucket").is_valid())
+            if known.num_rows:
+                yield known.select([n for n, _ in _LIST_FIELDS])
+            packed = batch.filter(batch.column("bucket").is_null())
+            for fragment, a, o, n, s in zip(*(packed.column(c).to_pylist() for c in ("fragment", "alone", "owners", "lengths", "several")), strict=True):
+                if fragment != now and alone:
+                    yield _batch(_join_fragment(now, bits, alone, several), _LIST_FIELDS)
+                    alone, several = [], []
+                now = fragment
+                alone.append((a, o, n))
+                several.append(s)
+        if alone:
+            yield _batch(_join_fragment(now, bits, alone, several), _LIST_FIELDS)
 
+    return run
+
+
+def _merge_bucket(lists: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
+    """One list for each set of a bucket, in order and without repeats."""
+    owners = np.concatenate([np.repeat(np.frombuffer(o, dtype=np.int64), np.frombuffer(n, dtype=np.int32)) for o, n, _ in lists])
+    shingles = np.concatenate([np.frombuffer(x, dtype="<u8") for _, _, x in lists]).view(np.int64)
+    order = np.lexsort((shingles, owners))
+    owners, shingles = owners[order], shingles[order]
+    fresh = np.append(True, (shingles[1:] != shingles[:-1]) | (owners[1:] != owners[:-1]))  # a set packed by several tasks
+    owners, shingles = owners[fresh], shingles[fresh]
+    names, starts = np.unique(owners, return_index=True)
+    held = pa.ListArray.from_arrays(pa.array(np.append(starts, len(owners)), pa.int32()), pa.array(shingles))
+    return pa.RecordBatch.from_arrays([pa.array(names), held], names=["set_id", "held"])
 
-def _join_fragments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by fragment: one fragment is held at a time; lists of known shared shingles pass."""
-    now, alone, several = None, [], []
+
+def _merge_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by bucket: one bucket is held at a time."""
+    now, lists = None, []
     for batch in batches:
-        known = batch.filter(batch.column("set_id").is_valid()).select(["set_id", "held"])
-        if known.num_rows:
-            yield known
-        packed = batch.filter(batch.column("set_id").is_null())
-        for fragment, a, o, n, s in zip(*(packed.column(c).to_pylist() for c in ("fragment", "alone", "owners", "lengths", "several")), strict=True):
-            if fragment != now and alone:
-                found = _join_fragment(now, alone, several)
-                if found is not None:
-                    yield found
-                alone, several = [], []
-            now = fragment
-            alone.append((a, o, n))
-            several.append(s)
-    if alone:
-        found = _join_fragment(now, alone, several)
-        if found is not None:
-            yield found
+        for bucket, *packed in zip(*(batch.column(n).to_pylist() for n, _ in _LIST_FIELDS), strict=True):
+            if bucket != now and lists:
+                yield _merge_bucket(lists)
+                lists = []
+            now = bucket
+            lists.append(tuple(packed))
+    if lists:
+        yield _merge_bucket(lists)
 
 
 def shared_shingles(df: DataFrame, text: str, total: int) -> DataFrame:
@@ -236,8 +281,8 @@ def shared_shingles(df: DataFrame, text: str, total: int) -> DataFrame:
     bits = max(0, min(MOST_FRAGMENTS, -(-total // FRAGMENT)) - 1).bit_length()
     packed = map_arrow(df.select(F.col(f"`{text}`").cast("string").alias("_text")), _packer(bits), _SEGMENTS)
     dealt = packed.repartition("fragment").sortWithinPartitions("fragment")
-    lists = map_arrow(dealt, _join_fragments, "set_id long, held array<long>")
-    return lists.groupBy("set_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("held")))).alias("held"))
+    lists = map_arrow(dealt, _fragment_joiner(bits), _LISTS).repartition("bucket").sortWithinPartitions("bucket")
+    return map_arrow(lists, _merge_buckets, "set_id long, held array<long>")
 
 
 def _needed(n: str) -> str:
@@ -246,15 +291,18 @@ def _needed(n: str) -> str:
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
-    """shingle, set_id, n, weight (shared part of the set, in thousandths) for the prefix of every set that can still link."""
+    """shingle, set_id, n, shared (size of the set's shared part) for the prefix of every set that can still link."""
     each = sets.select("set_id", "n", F.explode("held").alias("shingle"))
     frequency = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     ranked = each.join(frequency, "shingle").groupBy("set_id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("ranked"))
     able = ranked.where(f"size(ranked) >= {_needed('n')}")
     first = F.expr(f"slice(ranked, 1, cast(size(ranked) - {_needed('n')} + 1 as int))")
-    return able.select("set_id", "n", F.expr("size(ranked) * 1000 div n").alias("weight"), F.explode(first).alias("entry")).select(
-        F.col("entry.shingle").alias("shingle"), "set_id", "n", "weight"
+    entries = able.select("set_id", "n", F.size("ranked").alias("shared"), F.explode(first).alias("entry")).select(
+        F.col("entry.shingle").alias("shingle"), "set_id", "n", "shared"
     )
+    # An entry stays if it could link with the smallest set that meets it there.
+    smallest = entries.groupBy("shingle").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("sets")).where("sets > 1").drop("sets")
+    return entries.join(smallest, "shingle").where("7 * shared >= 3 * (n + least)").drop("least")
 
 
 def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
@@ -267,7 +315,8 @@ def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def _may_link(a: str, b: str) -> Column:
-    return F.expr(f"4 * least({a}, {b}) >= 3 * greatest({a}, {b})")
+    """Whether the overlap can suffice: it is within the shared part of either set."""
+    return F.expr(f"7 * least(shared{a}, shared{b}) >= 3 * (n{a} + n{b})")
 
 
 def merge_components(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -294,6 +343,14 @@ def merge_components(labels: DataFrame, links: DataFrame) -> DataFrame:
     return cut(joined.select("set_id", F.coalesce("to", "label").alias("label")))
 
 
+def _open_pairs(labelled: DataFrame) -> int:
+    """Pairs of sets that meet in a prefix shingle with different labels, counted without forming them."""
+    each = labelled.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("k"))
+    square = F.col("k").cast("double") * F.col("k")
+    found = each.groupBy("shingle").agg(F.sum("k").cast("double").alias("all"), F.sum(square).alias("same")).agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()[0]
+    return int(found or 0)
+
+
 def link_components(sets: DataFrame) -> DataFrame:
     """set_id, label for every set that some prefix brings together with another; sets are (set_id, n, held)."""
     prefix = cut(prefixes(sets))
@@ -301,17 +358,27 @@ def link_components(sets: DataFrame) -> DataFrame:
     in_range = F.expr(f"filter(held, x -> pmod(shiftrightunsigned(x, {8 * PACKED_BYTES - 2}), {COUNT_FRAGMENTS}) = fragment)")
     segments = cut(segments.select("set_id", "n", "fragment", in_range.alias("held")))
     labels = cut(prefix.select("set_id", F.col("set_id").alias("label")).distinct())
-    for order in (F.struct("weight", "set_id"), F.struct(F.xxhash64("set_id"), F.col("set_id"))):
+    entries = prefix.count()
+    for turn in itertools.count():
         labelled = prefix.join(labels, "set_id")
-        centre = labelled.groupBy("shingle").agg(F.max(F.struct(order.alias("order"), F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))).alias("c"), F.min("label").alias("low"), F.max("label").alias("high"))
-        centre = centre.where("low <> high").select("shingle", "c.b", "c.n_b", "c.label_b")
-        pairs = labelled.join(centre, "shingle").where(F.expr("label <> label_b") & _may_link("n", "n_b")).select(F.col("set_id").alias("a"), "b").distinct()
-        labels = merge_components(labels, overlaps(pairs, segments))
+        if _open_pairs(labelled) <= entries:
+            break
+        order = F.xxhash64("set_id", "shingle", F.lit(turn))  # another centre for each shingle, and in each turn
+        centre = labelled.groupBy("shingle").agg(
+            F.max(F.struct(order.alias("order"), F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b"), F.col("label").alias("label_b"))).alias("c"),
+            F.min("label").alias("low"), F.max("label").alias("high"),
+        )
+        centre = centre.where("low <> high").select("shingle", "c.b", "c.n_b", "c.shared_b", "c.label_b")
+        pairs = labelled.join(centre, "shingle").where(F.expr("label <> label_b") & _may_link("", "_b")).select(F.col("set_id").alias("a"), "b").distinct()
+        links = cut(overlaps(pairs, segments))
+        if links.isEmpty():
+            break
+        labels = merge_components(labels, links)
     labelled = prefix.join(labels, "set_id")
     mixed = labelled.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("shingle")
-    rest = cut(labelled.join(mixed, "shingle", "left_semi").select("shingle", "set_id", "n", "label"))
-    other = rest.select("shingle", F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-    pairs = rest.join(other, "shingle").where(F.expr("label < label_b") & _may_link("n", "n_b")).select(F.col("set_id").alias("a"), "b").distinct()
+    rest = cut(labelled.join(mixed, "shingle", "left_semi").select("shingle", "set_id", "n", "shared", "label"))
+    other = rest.select("shingle", F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b"), F.col("label").alias("label_b"))
+    pairs = rest.join(other, "shingle").where(F.expr("label < label_b") & _may_link("", "_b")).select(F.col("set_id").alias("a"), "b").distinct()
     return merge_components(labels, overlaps(pairs, segments))
 
 
@@ -337,9 +404,10 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     Rows that repeat a key count as one document and leave one row. Rows without a key stay once for each text.
     """
     near = cut(near_duplicates(df, key, text).select(F.col(f"`{key}`").alias("_id"), F.col("component_id").alias("_component")))
-    rows, ids = near.agg(F.count("_id"), F.countDistinct("_id")).first()
-    first = near.where("_id = _component").select(F.col("_id").alias(key)).distinct()
-    kept = df.join(first, key, "left_semi").select(df.columns)
+    rows, ids, leaving = near.agg(F.count("_id"), F.countDistinct("_id"), F.count(F.when(F.expr("_id <> _component"), 1))).first()
+    gone = near.groupBy(F.col("_id").alias(key)).agg(F.max(F.expr("_id = _component")).alias("first")).where("not first").select(key)
+    # Few ids go to every task, so that no text is shuffled; many are joined.
+    kept = df.join(F.broadcast(gone) if leaving <= BROADCAST_IDS else gone, key, "left_anti").where(F.col(f"`{key}`").isNotNull()).select(df.columns)
     if rows > ids:
         kept = kept.dropDuplicates([key])
     return kept if near.where("_id is null").isEmpty() else kept.unionByName(df.where(F.col(f"`{key}`").isNull()).dropDuplicates([text]))
