@@ -12,7 +12,7 @@ fragments (ranges); each document's set falls into one segment a fragment.
    A pair's overlap lies within the shared part of either set; pairs for which that is too little leave too.
 4. Large groups are joined without their pairs: for every prefix shingle, its sets are compared with one
    centre only, and linked sets become components; turns with other centres follow while the pairs that are
-   still open outnumber the prefix entries and links are found. Then every pair of sets that meet in a prefix
+   still open outnumber the prefix entries and each turn at least halves them. Then every pair of sets that meet in a prefix
    and lie in different components is compared. No link between components is missed; links within one change
    nothing.
 5. To compare a pair, its overlap is counted in each fragment separately and summed.
@@ -358,11 +358,13 @@ def link_components(sets: DataFrame) -> DataFrame:
     in_range = F.expr(f"filter(held, x -> pmod(shiftrightunsigned(x, {8 * PACKED_BYTES - 2}), {COUNT_FRAGMENTS}) = fragment)")
     segments = cut(segments.select("set_id", "n", "fragment", in_range.alias("held")))
     labels = cut(prefix.select("set_id", F.col("set_id").alias("label")).distinct())
-    entries = prefix.count()
+    entries, before = prefix.count(), float("inf")
     for turn in itertools.count():
         labelled = prefix.join(labels, "set_id")
-        if _open_pairs(labelled) <= entries:
+        still_open = _open_pairs(labelled)
+        if still_open <= entries or 2 * still_open > before:
             break
+        before = still_open
         order = F.xxhash64("set_id", "shingle", F.lit(turn))  # another centre for each shingle, and in each turn
         centre = labelled.groupBy("shingle").agg(
             F.max(F.struct(order.alias("order"), F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b"), F.col("label").alias("label_b"))).alias("c"),
