@@ -49,3 +49,27 @@ def test_odd_rows_and_files(spark, odd, odd_rows, tmp_path):
     assert sorted(str(tuple(r.record)) for r in placed) == sorted(str(tuple(r)) for r in odd.collect())
     sharding.write_shards(odd.drop("shard"), str(tmp_path / "out"), n_shards=3)
     assert spark.read.parquet(str(tmp_path / "out")).count() == len(odd_rows)
+
+
+def test_digests_come_from_placed_whole_records(spark):
+    """The digest is read off the records that place() moved, text and all other columns included."""
+    df = spark.range(40).selectExpr("id as doc_id", "repeat('x', 1000) as text", "'s' as source")
+    plan = sharding.shard_digests(df)._jdf.queryExecution().optimizedPlan().toString()
+    counted = [line for line in plan.splitlines() if "Aggregate [record" in line]
+    assert counted and "crc32" not in "".join(plan.splitlines()[1:])
+    assert set(sharding.place(df).schema["record"].dataType.names) == {"doc_id", "text", "source"}
+
+
+def test_long_texts_make_more_buckets(spark):
+    df = spark.range(64).selectExpr("id as doc_id", "repeat('x', 100000) as text")
+    assert sharding.bucket_count(df, bucket_bytes=1 << 20) == (64, 7)
+    check(sharding.shard_digests(df, bucket_bytes=1 << 20).collect(), 64, 8)
+
+
+def test_many_copies_are_dealt_out_in_runs(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES", 100)
+    df = spark.range(3000).selectExpr("if(id < 2050, 1, id) as doc_id", "'same' as text")
+    a = sharding.shard_digests(df, bucket_rows=300).collect()
+    check(a, 3000, 8)
+    assert sum(r.doc_id == 1 for r in a) == 2050
+    assert sorted(a) == sorted(sharding.shard_digests(df.repartition(5), bucket_rows=300).collect())
