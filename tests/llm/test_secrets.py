@@ -100,3 +100,23 @@ def test_query_against_plain_regex(spark, sf):
         assert r.base_sha256 == hashlib.sha256(spans_text(want).encode()).hexdigest()
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == x for _, k, _ in want) for x in range(3)]
         assert set(spans_text(want).split(",")) - {""} <= set(r.spans.split(","))
+
+
+def test_a_bomb_hides_no_other_segment_and_is_masked():
+    bomb = base64.b64encode(gzip.compress(b"a" * 3_000_000)).decode()
+    small = base64.b64encode(SECRET.encode()).decode()
+    text = f"one {bomb} two {small} three"
+    _, every, _, complete = scan_nested(text, max_decoded=1_000_000)
+    start = text.index(small)
+    assert not complete and any(start <= s < e <= start + len(small) for s, _, e in every)
+    got = mask(text, max_decoded=1_000_000)
+    assert bomb not in got and small not in got and got.startswith("one ") and got.endswith(" three")
+
+
+def test_long_texts_are_decoded_whatever_their_length():
+    """Only the surroundings of a segment are scanned again, so a text above the bound is no obstacle."""
+    code = urllib.parse.quote(SECRET.replace("password", "p%61ssword"), safe="")
+    text = "plain words " * 2000 + code + " more words" * 2000 + " " + base64.b64encode(SECRET.encode()).decode()
+    _, every, layers, complete = scan_nested(text, max_decoded=5000)
+    start = text.index(code)
+    assert complete and layers > 2 and any(start <= s < e <= start + len(code) for s, _, e in every) and every[-1][0] > start + len(code)
