@@ -138,7 +138,7 @@ def url_segments(text: str, room: Room, within: tuple[int, int]) -> tuple[list[S
     found, unread, last = [], [], 0
     if "%" not in text:
         return found, unread
-    for m in ():
+    for m in URL_PACKED.finditer(text):
         if not _meet(m.span(), within):
             continue
         plain, whole = room.inflate(unquote_to_bytes(m[0]))
@@ -227,7 +227,7 @@ def base64_segments(text: str, room: Room, within: tuple[int, int], focus: tuple
 
     def read(chars: str, places: np.ndarray, whole_run: bool) -> None:
         end = int(places[-1]) + 1
-        for shift in range(1):
+        for shift in range(4):
             data = _base64_bytes(chars[shift:])
             if not data:
                 continue
@@ -260,6 +260,12 @@ def base64_segments(text: str, room: Room, within: tuple[int, int], focus: tuple
     for m in BASE64_RUN.finditer(text):
         if _meet(m.span(), within):
             read(m[0], np.arange(m.start(), m.end()), True)
+    for m in WRAPPED_RUN.finditer(text):
+        if _meet(m.span(), focus):
+            gaps = np.ones(len(m[0]), dtype=bool)
+            for gap in _LINE_ENDS.finditer(m[0]):
+                gaps[gap.start() : gap.end()] = False
+            read(_LINE_ENDS.sub("", m[0]), m.start() + np.flatnonzero(gaps), False)
     return found, others, unread
 
 

@@ -2,6 +2,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import urllib.parse
 import zlib
@@ -102,6 +103,11 @@ def test_query_against_plain_regex(spark, sf):
         assert set(spans_text(want).split(",")) - {""} <= set(r.spans.split(","))
 
 
+def wrapped(data, width=64):
+    code = base64.b64encode(data).decode()
+    return "\n".join(code[k : k + width] for k in range(0, len(code), width))
+
+
 def test_a_bomb_hides_no_other_segment_and_is_masked():
     bomb = base64.b64encode(gzip.compress(b"a" * 3_000_000)).decode()
     small = base64.b64encode(SECRET.encode()).decode()
@@ -120,3 +126,31 @@ def test_long_texts_are_decoded_whatever_their_length():
     _, every, layers, complete = scan_nested(text, max_decoded=5000)
     start = text.index(code)
     assert complete and layers > 2 and any(start <= s < e <= start + len(code) for s, _, e in every) and every[-1][0] > start + len(code)
+
+
+def _readings():
+    raw = SECRET.encode()
+    code = base64.b64encode(raw).decode()
+    for prefix in ("https://example.com/cb/", "id-", "cookie_", "ab_", "x/"):
+        yield prefix + code
+        yield prefix + base64.b64encode(gzip.compress(raw)).decode()
+    long = b"some words of a line that is long enough to be wrapped, and more, see pass" + b'word = "hunter2222" here'
+    for data in (long, gzip.compress(long), bz2.compress(long), lzma.compress(long)):
+        yield wrapped(data)
+        yield wrapped(data).replace("\n", "\r\n  ")
+    for odd in ("\u00a0", "\u3000", "\u200b", "\ufeff", "\0"):
+        yield base64.b64encode((odd + SECRET + odd).encode()).decode()
+    for pack in (gzip.compress, bz2.compress, lzma.compress):
+        yield base64.b64encode(pack(b"first member") + pack(raw)).decode()
+    yield urllib.parse.quote_from_bytes(gzip.compress(raw))
+    yield urllib.parse.quote_from_bytes(bz2.compress(raw), safe="")
+    yield "".join(f"\\x{b:02x}" for b in zlib.compress(raw))
+    yield base64.b64encode(b"\xff\xfe" + raw + b"\xe9").decode()
+
+
+@pytest.mark.parametrize("layer", list(_readings()))
+def test_readings_of_base64_and_bytes(layer):
+    text = f"some words before {layer} and after"
+    _, every, _, complete = scan_nested(text)
+    start = text.index(layer)
+    assert complete and any(k == 0 and start <= s < e <= start + len(layer) for s, k, e in every)
