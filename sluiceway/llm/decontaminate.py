@@ -2,8 +2,10 @@
 
 Roles are swapped against web search: the test items are the indexed collection, and every passage of every
 training text is a query. Impacts are divided by the item's score for its own text, so a score is the share
-of an item that a passage holds, and one threshold serves all items. Passages overlap by half and are twice as
-long as the longest item, so an item copied into a text lies whole in one of them.
+of an item that a text holds, and one threshold serves all items. An item is looked for in windows twice as long
+as itself that overlap by half, so a copy of it lies whole in one of them. Passages are three times as long as the
+longest item and begin every third of that, so each window lies whole in the passage it begins in; they only say
+which items to look for, and a verdict does not depend on the lengths of other items.
 
 1. A block of passages is passed over if no item can reach the threshold even with all the block's terms:
    postings of rare terms are added up first and common terms count with all they could give; if that is
@@ -12,8 +14,9 @@ long as the longest item, so an item copied into a text lies whole in one of the
 2. Each passage that is left runs through WAND: lists are taken in item order, the pivot is the first
    item whose lists' maxima reach the threshold, maxima of the blocks of postings that hold it can rule it
    out and move the lists past them, and only items that survive are scored.
-3. What is retrieved is verified: question and answer (after a marker or question mark, else the last
-   sentence) must each be found in the passage, by word pairs, or by words where there is only one.
+3. What is retrieved is verified in the item's own windows: one must reach the threshold by itself, and hold
+   question and answer (after a marker or question mark, else the last sentence), each by word pairs, or by
+   words where there is only one.
 
 Items beyond `INDEX_BYTES` of text are indexed in parts, one after the other, with the document frequencies
 of all items. Null and empty texts and items match nothing. Repeated rows are searched one by one.
@@ -22,6 +25,7 @@ of all items. Null and empty texts and items match nothing. Repeated rows are se
 from __future__ import annotations
 
 import heapq
+import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
@@ -95,7 +99,9 @@ class ItemIndex:
             own = sum(impacts.values())
             for term, impact in impacts.items():
                 postings.setdefault(term, []).append((number, impact / own))
-        self.passage = 2 * max(lengths, default=1)
+        self.lengths = lengths
+        self.step = max(lengths, default=1)
+        self.passage = 3 * self.step
         self.terms = {term: k for k, term in enumerate(sorted(postings))}
         lists = [postings[t] for t in sorted(postings)]
         self.start = np.cumsum([0, *map(len, lists)])
@@ -103,6 +109,10 @@ class ItemIndex:
         self.impacts = np.array([w for x in lists for _, w in x])
         self.lists = [[i for i, _ in x] for x in lists]
         self.weights = [[w for _, w in x] for x in lists]
+        self.own: list[dict[int, float]] = [{} for _ in self.keys]
+        for term, x in enumerate(lists):
+            for item, weight in x:
+                self.own[item][term] = weight
         self.best = [max(w) for w in self.weights]
         self.block_best = [[max(w[k : k + BLOCK_POSTINGS]) for k in range(0, len(w), BLOCK_POSTINGS)] for w in self.weights]
         self.rare = np.array([len(x) <= max(4, COMMON_SHARE * n_items) for x in lists], dtype=bool)
@@ -171,35 +181,51 @@ class ItemIndex:
 
     def _passages(self, ids: np.ndarray, first: int, last: int) -> Iterator[int]:
         """Where the passages of a block begin that no pair of neighbours rules out."""
-        half = self.passage // 2
-        for start in range(first, last, 2 * half):
-            if self.block_may_match(ids[start : start + 3 * half]):
-                yield from range(start, min(start + 2 * half, last), half)
+        step = self.step
+        for start in range(first, last, 2 * step):
+            if self.block_may_match(ids[start : start + step + self.passage]):
+                yield from range(start, min(start + 2 * step, last), step)
+
+    def _windows(self, number: int, ids: np.ndarray, start: int) -> Iterator[tuple[int, int, float]]:
+        """An item's windows that begin in the first step of a passage and reach the threshold: start, end, score."""
+        length, own = self.lengths[number], self.own[number]
+        first = -(-start // length)  # windows begin at multiples of the item's length, wherever passages begin
+        last = min(-(-(start + self.step) // length), -(-len(ids) // length))
+        if first >= last:
+            return
+        base = first * length
+        part = ids[base : (last + 1) * length]
+        held: dict[int, set[int]] = {}
+        for at in np.flatnonzero(np.isin(part, np.fromiter(own, dtype=np.int64, count=len(own)))).tolist():
+            held.setdefault(at // length, set()).add(int(part[at]))
+        for k in sorted({x for y in held for x in (y - 1, y) if 0 <= x < last - first}):
+            score = math.fsum(own[t] for t in held.get(k, set()) | held.get(k + 1, set()))
+            if score >= THRESHOLD:
+                yield base + k * length, base + (k + 2) * length, score
 
     def leaks(self, text: str | None) -> list[tuple[int, float, float, float]]:
-        """Verified items of a text: number, best score, overlap of question and answer in the passage that holds most of them."""
+        """Verified items of a text: number, best score, overlap of question and answer in the window that holds most of them."""
         if not self.keys or not text:
             return []
         tokens, get = tokens_of(text), self.terms.get
         if not tokens:
             return []
         ids = np.array([get(t, -1) for t in tokens])
-        half = self.passage // 2
-        block = max(BLOCK_TOKENS // half, 1) * half  # blocks begin where passages begin, and reach to the end of the last of theirs
+        block = max(BLOCK_TOKENS // self.step, 1) * self.step  # blocks begin where passages begin, and reach to the end of the last of theirs
         found: dict[int, tuple[float, float, float]] = {}
         for first in range(0, len(tokens), block):
-            if not self.block_may_match(ids[first : first + block + half]):
+            if not self.block_may_match(ids[first : first + block - self.step + self.passage]):
                 continue
             for start in self._passages(ids, first, min(first + block, len(tokens))):
                 own = ids[start : start + self.passage]
                 terms = np.unique(own[own >= 0]).tolist()
-                for number, score in self.search(terms):
-                    passage = tokens[start : start + self.passage]
-                    asked, said = (overlap(p, passage) for p in self.parts[number])
-                    if asked >= QUESTION_SHARE and said >= ANSWER_SHARE:
-                        best = found.get(number)
-                        if best is None or (asked + said, score) > (best[1] + best[2], best[0]):
-                            found[number] = (score, asked, said)
+                for number, _ in self.search(terms):
+                    for low, high, score in self._windows(number, ids, start):
+                        asked, said = (overlap(p, tokens[low:high]) for p in self.parts[number])
+                        if asked >= QUESTION_SHARE and said >= ANSWER_SHARE:
+                            best = found.get(number)
+                            if best is None or (asked + said, score) > (best[1] + best[2], best[0]):
+                                found[number] = (score, asked, said)
         return [(number, *found[number]) for number in sorted(found)]
 
 

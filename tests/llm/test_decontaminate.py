@@ -75,3 +75,27 @@ def test_many_parts_and_odd_rows(spark, odd, odd_rows, empty):
     nothing = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_leaks(odd, nothing).count() == 0 and decontaminate.keep_clean(odd, nothing).count() == len(odd_rows)
     assert decontaminate.find_leaks(empty, items).count() == 0
+
+
+def test_a_long_item_does_not_widen_the_search_for_others():
+    """Words of a short item scattered over a text are no leak, and a copy is one, whatever other items there are."""
+    short = (1, "alpha beta gamma delta epsilon zeta eta? omega")
+    others = [(2, " ".join(f"long{k}" for k in range(5000)) + ". the end of it."), (3, "some other item? yes")]
+    filler = [f"f{k % 700}" for k in range(4000)]
+    scattered = " ".join([*filler[:300], "alpha beta gamma delta", *filler[300:1500], "delta epsilon zeta eta", *filler[1500:3000], "omega", *filler[3000:]])
+    copies = [" ".join([*filler[:k], short[1], *filler[k:]]) for k in (0, 5, 2501, 3999)]
+    for items in ([short, others[1]], [short, *others]):
+        index = make_index(items)
+        assert index.leaks(scattered) == []
+        assert all([index.keys[n] for n, *_ in index.leaks(x)] == [1] for x in copies)
+
+
+def test_windows_of_any_length_lie_in_the_passages():
+    """Copies of items of every length are found at every place, also across ends of passages and blocks."""
+    rng = random.Random(6)
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n)) + ". " + f"end{n} word{n}") for n in (3, 7, 20, 41, 60)]
+    index = make_index(items)
+    for key, text in items:
+        for place in rng.sample(range(900), 60):
+            words = [f"f{k}" for k in range(1000)]
+            assert [index.keys[n] for n, *_ in index.leaks(" ".join([*words[:place], text, *words[place:]]))] == [key]
