@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from urllib.parse import parse_qs, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluiceway.functions.uri import SCHEMES
 from sluiceway.sources import documents, files, jdbc, topics
@@ -49,7 +50,11 @@ def _read_documents(spark: SparkSession, uri: str, name: str, options: Mapping)
 
 def _read_topic(spark: SparkSession, uri: str, name: str, options: Mapping) -> DataFrame:
     envelope = topics.read_topic(spark, uri, name, options.get("start_from") or "earliest")
-    return topics.decode(envelope, options["payload"]) if options.get("payload") else envelope
+    if not options.get("payload"):
+        return envelope
+    rest = "undeclared_fields"  # as JSON text, which every merge can compare
+    rows = topics.decode(envelope, options["payload"], rest=rest, keep_mistyped=True)
+    return rows.withColumn(rest, F.to_json(rest))
 
 
 READERS: dict[str, Callable[[SparkSession, str, str, Mapping], DataFrame]] = {

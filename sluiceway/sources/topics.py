@@ -165,27 +165,73 @@ def _field(name: str, dtype: T.DataType) -> Column:
     return F.when(F.col("_m.kind") == "json", from_json).when(F.col("_m.kind") == "csv", from_csv.try_cast(dtype))
 
 
-def decode(envelope: DataFrame, payload: T.StructType | str) -> DataFrame:
+def _mistyped(name: str, dtype: T.DataType) -> Column:
+    """Whether a message has a value for the field that is not of its type; JSON null and an empty CSV value are none."""
+    path = "$['" + name.replace("'", "\\'") + "']"
+    typed = _field(name, dtype)
+    given = F.try_variant_get(F.col("_m.json"), path, "variant")
+    wrong = typed.isNull()
+    if isinstance(dtype, T.IntegralType):  # 1.5 is no whole number
+        number = F.try_variant_get(F.col("_m.json"), path, "double")
+        wrong = wrong | F.coalesce(number != typed.cast("double"), F.lit(False))
+    from_json = given.isNotNull() & ~F.coalesce(F.is_variant_null(given), F.lit(False)) & wrong
+    text = _field(name, T.StringType())
+    from_csv = text.isNotNull() & (text != "") & typed.isNull()
+    return F.when(F.col("_m.kind") == "json", from_json).when(F.col("_m.kind") == "csv", from_csv).otherwise(F.lit(False))
+
+
+def _declared(payload: T.StructType | str) -> tuple[T.StructType, list[T.StructField]]:
+    """The schema of a payload, and its fields that become columns."""
+    schema = T.StructType.fromDDL(payload) if isinstance(payload, str) else payload
+    taken = set(ENVELOPE) | {"raw"}
+    return schema, [f for f in schema.fields if f.name not in taken]
+
+
+def _rest(fields: list[T.StructField], keep_mistyped: bool) -> Column:
+    """The payload's other fields as one variant object, NULL if there are none."""
+    held = F.array(*[F.when(~_mistyped(f.name, f.dataType) if keep_mistyped else F.lit(True), F.lit(f.name)) for f in fields]).cast("array<string>")
+    held = F.array_compact(held)
+    from_json = F.map_filter(F.try_variant_get(F.col("_m.json"), "$", "map<string,variant>"), lambda k, _: ~F.array_contains(held, k))
+    pairs = F.arrays_zip(F.col("_m.headers").alias("k"), F.col("_m.values").alias("v"))
+    last = F.filter(pairs, lambda x, i: ~F.array_contains(held, x["k"]) & ~F.array_contains(F.slice(F.col("_m.headers"), i + 2, F.size("_m.headers")), x["k"]))
+    from_csv = F.map_from_entries(F.transform(last, lambda x: F.struct(x["k"], x["v"].cast("variant"))))
+    found = F.when(F.col("_m.kind") == "json", from_json).when(F.col("_m.kind") == "csv", from_csv)
+    return F.when(F.size(found) > 0, F.to_variant_object(found))
+
+
+def decode(envelope: DataFrame, payload: T.StructType | str, rest: str | None = None, keep_mistyped: bool = False) -> DataFrame:
     """Payload fields, `raw` and the envelope columns of every readable message.
 
     The schema of the payload is declared, so nothing is inferred from data.
-    Envelope columns win over payload fields of the same name.
+    Envelope columns win over payload fields of the same name. `rest` names a variant
+    column for all fields that have no column. A message with a value of another type
+    is left to `rejects`; with `keep_mistyped` it stays, and the value goes to `rest`.
     """
-    schema = T.StructType.fromDDL(payload) if isinstance(payload, str) else payload
+    if keep_mistyped and not rest:
+        raise ValueError("keep_mistyped needs a rest column")
+    schema, declared = _declared(payload)
     rows = classify(envelope).filter(F.col("_m.kind") != "rejected")
-    taken = set(ENVELOPE) | {"raw"}
-    fields = [_field(f.name, f.dataType).alias(f.name) for f in schema.fields if f.name not in taken]
+    if not keep_mistyped:
+        for f in declared:
+            rows = rows.filter(~_mistyped(f.name, f.dataType))
+    fields = [(F.when(~_mistyped(f.name, f.dataType), _field(f.name, f.dataType)) if keep_mistyped else _field(f.name, f.dataType)).alias(f.name) for f in declared]
     raw = F.when(F.col("_m.kind") == "raw", F.col("_m.text"))
     if "raw" in schema.names:
         raw = F.coalesce(raw, _field("raw", T.StringType()))
-    return rows.select(*fields, raw.alias("raw"), "offset", "partition", "timestamp", F.col("_m.key").alias("key"))
-
-
-def rejects(envelope: DataFrame) -> DataFrame:
-    """The messages `decode` leaves out, with the reason."""
-    rows = classify(envelope).filter(F.col("_m.kind") == "rejected")
-    reason = F.when(F.col("_m.text").isNull(), "null value").otherwise("not an object")
-    return rows.select("topic", "partition", "offset", F.col("_m.text").alias("value"), reason.alias("_reject_reason"))
+    others = [_rest(declared, keep_mistyped).alias(rest)] if rest else []
+    return rows.select(*fields, *others, raw.alias("raw"), "offset", "partition", "timestamp", F.col("_m.key").alias("key"))
+
+
+def rejects(envelope: DataFrame, payload: T.StructType | str | None = None) -> DataFrame:
+    """The messages `decode` leaves out, with the reason; those with values of another type need the payload's schema."""
+    reason = F.when(F.col("_m.kind") == "rejected", F.when(F.col("_m.text").isNull(), "null value").otherwise("not an object"))
+    if payload is not None:
+        wrong = [F.when(_mistyped(f.name, f.dataType), F.lit(f"{f.name} is not {f.dataType.simpleString()}")) for f in _declared(payload)[1]]
+        if wrong:
+            said = F.concat_ws("; ", *wrong)
+            reason = F.coalesce(reason, F.when(said != "", said))
+    rows = classify(envelope).withColumn("_reject_reason", reason).filter(F.col("_reject_reason").isNotNull())
+    return rows.select("topic", "partition", "offset", F.col("_m.text").alias("value"), "_reject_reason")
 
 
 def decode_avro(envelope: DataFrame, avro_schema: str) -> DataFrame:

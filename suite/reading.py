@@ -215,6 +215,31 @@ def decode_envelope(spark, sf_dir):
     return topics.decode(messages, "offset long, key string, kind string").drop("raw")
 
 
+def _loose(spark, sf_dir):
+    """Messages with a field outside the schema; those of errors have text where a number is declared."""
+    event = F.col("event_type") == "error"
+    fields = [F.when(~event, F.col("event_id")).alias("k"), F.col("user_id").alias("user")]
+    value = F.when(event, F.lit('{"k":"abc"}')).otherwise(F.to_json(F.struct(*fields)))
+    return table(spark, sf_dir, "events").select(
+        F.lit("events").alias("topic"), (F.col("user_id") % 4).cast("int").alias("partition"), F.col("event_id").alias("offset"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"), F.lit(None).cast("binary").alias("key"), value.cast("binary").alias("value"))
+
+
+@query("decode_undeclared", f"""
+    SELECT event_id AS k, '{{"user":' || user_id || '}}' AS rest, {_ENVELOPE} FROM events WHERE event_type <> 'error'
+""")
+def decode_undeclared(spark, sf_dir):
+    """Fields outside the schema are kept in one variant column."""
+    return topics.decode(_loose(spark, sf_dir), "k long", rest="rest").withColumn("rest", F.to_json("rest")).drop("raw", "key")
+
+
+@query("reject_wrong_type", """
+    SELECT event_id AS "offset", '{"k":"abc"}' AS value, 'k is not bigint' AS reason FROM events WHERE event_type = 'error'
+""")
+def reject_wrong_type(spark, sf_dir):
+    return topics.rejects(_loose(spark, sf_dir), "k long").select("offset", "value", F.col("_reject_reason").alias("reason"))
+
+
 @query("reject_non_object", """
     SELECT event_type AS topic, (user_id % 4)::INT AS partition, event_id AS "offset",
            CASE WHEN value < 10 THEN 'not an object' ELSE 'null value' END AS reason

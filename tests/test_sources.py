@@ -115,6 +115,20 @@ def test_decoding_corner_cases(spark):
     assert {r.offset: r._reject_reason for r in topics.rejects(df).collect()} == {4: "not an object", 5: "not an object", 6: "null value"}
 
 
+def test_undeclared_and_mistyped_fields_are_kept_or_rejected(spark):
+    rows = [(None, b'{"k": "abc", "x": 1}'), (None, b'{"k": 4, "x": {"y": [1]}, "timestamp": 5}'), (b"header:k,z,z", b"5,p,q"), (b"header:k", b"abc"),
+            (None, b'{"k": null}'), (b"header:k,z", b",p"), (None, b"12"), (None, b'{"k": 1.5}'), (None, b"plain")]
+    df = messages(spark, rows)
+    got = {r.offset: r for r in topics.decode(df, "k long", rest="rest").selectExpr("*", "to_json(rest) AS j").collect()}
+    assert {o: (r.k, r.j) for o, r in got.items()} == {
+        1: (4, '{"timestamp":5,"x":{"y":[1]}}'), 2: (5, '{"z":"q"}'), 4: (None, None), 5: (None, '{"z":"p"}'), 8: (None, None)}
+    assert {r.offset: r._reject_reason for r in topics.rejects(df, "k long").collect()} == {
+        0: "k is not bigint", 3: "k is not bigint", 6: "not an object", 7: "k is not bigint"}
+    kept = {r.offset: r for r in topics.decode(df, "k long", rest="rest", keep_mistyped=True).selectExpr("*", "to_json(rest) AS j").collect()}
+    assert sorted(kept) == [0, 1, 2, 3, 4, 5, 7, 8]
+    assert [(kept[o].k, kept[o].j) for o in (0, 3, 7)] == [(None, '{"k":"abc","x":1}'), (None, '{"k":"abc"}'), (None, '{"k":1.5}')]
+
+
 def test_start_positions(spark):
     df = messages(spark, [(None, b"x")] * 5)
     assert [r.offset for r in topics.from_timestamp(df, 1003).collect()] == [3, 4]
