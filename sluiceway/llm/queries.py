@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import bpe, decontaminate, jaccard, language, rules_cascade, secrets, sharding, toxicity, url_templates, weak_labels
-from sluiceway.llm.common import table
+from sluiceway.llm import bpe, conversation_sql, decontaminate, jaccard, language, prefix_trie, repair, rules_cascade, secrets, sharding, token_store, toxicity, url_templates, weak_labels
+from sluiceway.llm.common import shared_dir, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +64,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place and digest of every document's token ids, read back from a written store."""
+    return token_store.token_digests(table(spark, sf_dir, "documents"), token_store.new_folder(spark, shared_dir(spark)), BYTE_VOCABULARY)
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    return repair.repair_digests(table(spark, sf_dir, "conversations"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of rebuilt conversations."""
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_secret_scans": op2_secret_scans,
@@ -74,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
+    "op11_token_store": op11_token_store,
+    "op12_structure_repair": op12_structure_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 #: Measures of the quality rules, as common table expressions over `documents`.
@@ -97,6 +116,8 @@ judged AS (
 """.format(symbols=rules_cascade.MAX_SYMBOLS_PERCENT, upper=rules_cascade.MAX_UPPER_PERCENT, lines=rules_cascade.MAX_DUP_LINES_PERCENT, mean=rules_cascade.MAX_MEAN_WORD)
 
 ORACLES: dict[str, str] = {
+    "op12_structure_repair": conversation_sql.STRUCTURE_REPAIR,
+    "op13_prefix_trie": conversation_sql.PREFIX_TRIE,
     "op5_url_filters": url_templates.oracle_sql(),
     "op9_quality_rules": f"WITH {RULE_MEASURES} SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR more_failed) AS kept FROM judged",
 }
