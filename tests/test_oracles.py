@@ -20,13 +20,6 @@ def con(sf):
     return con
 
 
-@pytest.fixture(scope="module")
-def sf():
-    from conftest import SF
-
-    return SF
-
-
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, sf, name):
     df = QUERIES[name](spark, sf)
