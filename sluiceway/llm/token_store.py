@@ -27,9 +27,11 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import struct
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 from typing import Any
 
 import numpy as np
@@ -53,9 +55,10 @@ INDEX_KEYS = 1 << 18
 #: Documents that a reading task takes from a shard in one go, and bytes it reads at once.
 BLOCK_DOCS = 1024
 READ_BYTES = 8 << 20
-#: Chunks of text whose ids a process keeps; beyond it the table is filled anew.
-CACHE_CHUNKS = 300_000
+#: Chunks of text whose ids a process keeps in a generation, longest chunk that is kept, chunks given to the library at once.
+CACHE_CHUNKS = 500_000
 CACHE_LENGTH = 64
+JOINED_CHUNKS = 4096
 
 #: A place is (range << SEQ_BITS | shard of the range) << DOC_BITS | document of the shard.
 SEQ_BITS = 16
@@ -67,11 +70,19 @@ _HEADER = struct.Struct("<4sHHQ")
 _INDEX_MAGIC = b"SWMP"
 
 
+#: A space before white space or the end, what of it a word cannot start with, and marks that end a word.
+_ODD_SPACE = re.compile(r" (?=[\s\u180e]|$)")
+_ODD_START = re.compile(r"[\s\u180e]")
+_MARKS = ".,;:!?"
+
+
 class ChunkEncoder:
     """The tokenizers library over texts, as little-endian ids with the end id.
 
     Byte-level pre-tokenizers never join characters over a space that a non-space follows, so texts are cut
-    there and the ids of chunks are kept; with any other tokenizer file whole texts are encoded.
+    there and the ids of words are kept; with any other tokenizer file whole texts are encoded. New words go to the
+    library many at once: words of letters in one text, others with a special token between them, which
+    parts texts before they are pre-tokenized.
     """
 
     def __init__(self, vocabulary: str, end_id: int) -> None:
@@ -85,40 +96,107 @@ class ChunkEncoder:
         with open(vocabulary, encoding="utf-8") as f:
             made = json.load(f)
         kind = made["pre_tokenizer"] or {}
-        plain_added = all(not any(t[k] for k in ("single_word", "lstrip", "rstrip")) and " " not in t["content"] for t in made["added_tokens"])
-        self._cuts = made["normalizer"] is None and made["post_processor"] is None and plain_added and kind.get("type") == "ByteLevel" and kind["use_regex"] and not kind["add_prefix_space"]
+        added = [t for t in made["added_tokens"] if not any(t[k] for k in ("single_word", "lstrip", "rstrip")) and " " not in t["content"]]
+        plain = made["normalizer"] is None and made["post_processor"] is None and len(added) == len(made["added_tokens"])
+        self._cuts = plain and kind.get("type") == "ByteLevel" and kind["use_regex"] and not kind["add_prefix_space"]
+        self._border = next(((t["content"], t["id"]) for t in added if t["special"]), None)
+        self._added = [t["content"] for t in added]
         self._end = end_id.to_bytes(self.width, "little")
-        self._known: dict[str, bytes] = {}
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+        self._marks = dict(zip(_MARKS, self._encode(list(_MARKS)), strict=True))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=f"<u{self.width}").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _chunks(self, text: str) -> list[str]:
-        """Parts of a text, all but the first led by the space before them."""
-        first, *rest = text.split(" ")
-        out = [first]
-        for piece in rest:
-            if not piece or piece[0].isspace() or piece[0] == "\u180e":
-                out[-1] += " " + piece
-            else:
-                out.append(" " + piece)
+    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """What the library gives for each chunk."""
+        if not chunks:
+            return []
+        if self._border is None:
+            return self._encode(chunks)
+        content, border = self._border
+        apart = {k: ids for k, c in enumerate(chunks) if any(a in c for a in self._added) for ids in self._encode([c])}
+        joined = content.join(["" if k in apart else c for k, c in enumerate(chunks)] if apart else chunks)
+        data = self._encode([joined])[0]
+        at = np.flatnonzero(np.frombuffer(data, f"<u{self.width}") == border) * self.width
+        out = [data[low:high] for low, high in zip([0, *(at + self.width).tolist()], [*at.tolist(), len(data)], strict=True)]
+        for k, ids in apart.items():
+            out[k] = ids
         return out
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """What the library gives for each word after a space. Words of letters go to it as one text if each is one pre-token there."""
+        plain = [w for w in words if w.isalpha()]
+        out: dict[str, bytes] = {}
+        if plain:
+            encoded = self._tokenizer.encode(" " + " ".join(plain), add_special_tokens=False)
+            owners = np.array(encoded.word_ids)
+            if owners[-1] + 1 == len(plain):
+                data = np.array(encoded.ids, dtype=f"<u{self.width}").tobytes()
+                at = (np.flatnonzero(np.append(True, owners[1:] != owners[:-1])) * self.width).tolist()
+                out = {w: data[low:high] for w, low, high in zip(plain, at, [*at[1:], len(data)], strict=True)}
+        other = [w for w in words if w not in out]
+        out.update(zip(other, self._encode_chunks([" " + w for w in other]), strict=True))
+        return [out[w] for w in words]
+
+    def _words(self, text: str) -> list[str]:
+        """Parts of a text that a space parts; the library never joins two of them."""
+        words = text.split(" ")
+        if _ODD_SPACE.search(text):
+            out = words[:1]
+            for word in words[1:]:
+                if not word or _ODD_START.match(word):
+                    out[-1] += " " + word
+                else:
+                    out.append(word)
+            return out
+        return words
+
+    def _learn(self, new: list[str]) -> None:
+        """Ids of words that follow a space. A word and the mark after it are two pre-tokens."""
+        whole = [w if len(w) < 2 or w[-1] not in _MARKS or not ("A" <= w[-2] < "\u0250" and w[-2].isalpha()) else w[:-1] for w in new]
+        found: dict[str, bytes] = {}
+        unknown = []
+        for w in set(whole):
+            ids = self._young.get(w) or self._old.get(w)
+            if ids is None:
+                unknown.append(w)
+            else:
+                found[w] = ids
+        for low in range(0, len(unknown), JOINED_CHUNKS):
+            part = unknown[low : low + JOINED_CHUNKS]
+            found.update(zip(part, self._encode_words(part), strict=True))
+        self._young.update(found)
+        self._young.update((w, found[stem] + self._marks[w[-1]]) for w, stem in zip(new, whole, strict=True) if len(w) != len(stem))
+
     def __call__(self, texts: Texts) -> list[bytes]:
         if not self._cuts:
             return [ids + self._end for ids in self._encode([t or "" for t in texts])]
-        chunks = [self._chunks(t) if t else [] for t in texts]
-        new = list({c for of in chunks for c in of if c not in self._known})
-        once = {}
-        if new:
-            if len(self._known) + len(new) > CACHE_CHUNKS:
-                self._known = {}
-                new = list({c for of in chunks for c in of})
-            found = zip(new, self._encode(new), strict=True)
-            for chunk, ids in found:
-                (self._known if len(chunk) <= CACHE_LENGTH and len(self._known) < CACHE_CHUNKS else once)[chunk] = ids
-        known = self._known
-        return [b"".join([known.get(c) or once.get(c, b"") for c in of]) + self._end for of in chunks]
+        words = [self._words(t or "") for t in texts]
+        firsts = self._encode_chunks([of[0] for of in words]) if words else []
+        for of in words:
+            of[0] = ""  # its place; words that follow a space are not empty
+        used = set().union(*words)
+        missing = used.difference(self._young)
+        missing.discard("")
+        again = {w: self._old[w] for w in missing if w in self._old}
+        self._young.update(again)
+        self._learn(list(missing.difference(again)))
+        known = self._young
+        known[""] = b""
+        out = [first + b"".join(map(known.__getitem__, of)) + self._end for first, of in zip(firsts, words, strict=True)]
+        for w in [w for w in missing if len(w) > CACHE_LENGTH]:
+            del known[w]
+        if len(known) > CACHE_CHUNKS:  # words that come again move on to the next generation
+            self._young, self._old = {}, known
+        return out
+
+
+@lru_cache(maxsize=1)
+def encoder_of(vocabulary: str, end_id: int) -> ChunkEncoder:
+    """One encoder for each Python process, so that tasks share what it keeps."""
+    return ChunkEncoder(vocabulary, end_id)
 
 
 def id_width(vocabulary_size: int, end_id: int) -> int:
@@ -332,7 +410,7 @@ def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.Recor
 
 def _range_writer(folder: str, vocabulary: str, end_id: int, shard_ids: int, shard_docs: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, writer = ChunkEncoder(vocabulary, end_id), None
+        encode, writer = encoder_of(vocabulary, end_id), None
         for batch in batches:
             for part, texts in slices(batch, 1):
                 if writer is None:
