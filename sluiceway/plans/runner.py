@@ -325,13 +325,13 @@ class _Load:
             dataset.commit([change], **about)
             return {root: change.rows_written}
         pk, mk = ([snake_case(k) for k in res.keys(name)] for name in ("primary_key", "merge_key"))
-        # with both keys a row can meet its match in any bucket; with a primary key its
-        # hash, the row id, is the scope, so that child rows share their root's bucket
+        # with both keys a row can meet its match in any bucket, so only the files that hold one tell what is
+        # rewritten; with a primary key its hash, the row id, is the scope, so that child rows share their root's bucket
         scope = [] if (pk and mk) else (["_row_id"] if pk else mk)
         before = dataset.table(root)
         if before is not None:
             _same_key_types(before.schema, tables[root].schema, pk)
-        change = dataset.merge(root, tables[root], self._merge_function(), scope, buckets)
+        change = dataset.merge(root, tables[root], self._merge_function(), scope, buckets, match=[k for k in (pk, mk) if k])
         changes = [change] + _child_changes(dataset, before, change, tables, children, buckets if pk and not mk else 1, res.strategy)
         dataset.commit(changes, **about)
         return {c.name: c.rows_written for c in changes}
@@ -398,10 +398,10 @@ def _child_changes(
     if not children and not absent:
         return []
     incoming = tables[after.name].select("_row_id")
-    written = dataset.rows(after, [p for p in after.paths if before is None or p not in set(before.paths)]).select("_row_id")
+    written = dataset.rows(after, dataset.difference(after.paths, before.paths if before is not None else ())).select("_row_id")
     removed, deleted = incoming, None
     if before is not None:
-        dropped = dataset.rows(before, [p for p in before.paths if p not in set(after.paths)]).select("_row_id")
+        dropped = dataset.rows(before, dataset.difference(before.paths, after.paths)).select("_row_id")
         deleted = without_keys(dropped, key_set(written, ["_row_id"]), ["_row_id"])
         removed = incoming.union(deleted)
     touch = removed.withColumnRenamed("_row_id", "_root_id")
@@ -414,7 +414,7 @@ def _child_changes(
         return merges.merge_children(old, new, deleted if strategy == "upsert" else removed)
 
     scope = ["_root_id"] if buckets > 1 else []
-    changes = [dataset.merge(n, tables[n], follow, scope, buckets, touch=touch) for n in children]
+    changes = [dataset.merge(n, tables[n], follow, scope, buckets, touch=touch, match=[["_root_id"]]) for n in children]
     if before is not None:
-        changes += [dataset.merge(n, dataset.rows(dataset.table(n), []), leave, scope, buckets, touch=touch) for n in absent]
+        changes += [dataset.merge(n, dataset.rows(dataset.table(n), []), leave, scope, buckets, touch=touch, match=[["_root_id"]]) for n in absent]
     return changes

@@ -8,7 +8,9 @@ the incremental state and the last stream batch, so none of them can disagree
 with the data.
 
 A table may be split by a hash of its scope columns into buckets. A merge whose
-keys contain the scope rewrites only the buckets its incoming rows fall into.
+keys contain the scope rewrites only the buckets its incoming rows fall into, and of
+those only the files that hold one of their keys: the others stay by name. A state's
+paths are therefore folders and, where part of a folder was replaced, single files.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluiceway.functions.keys import key_set, measured, with_keys
 from sluiceway.operators.normalize import evolve_union
 from sluiceway.operators.scd2 import Scd2, scd2_change
 from sluiceway.sinks import storage
@@ -31,6 +34,9 @@ from sluiceway.sinks import storage
 HISTORY_BUCKET = -1
 _LAYOUT = ("__v", "__bucket")
 _COMMIT_TRIES = 10
+#: Keys of a batch that are given to the scan for stored keys as literals; more are joined.
+LITERAL_KEYS = 1000
+_LITERAL_TYPES = (T.IntegralType, T.StringType, T.DateType)
 
 
 @dataclass(frozen=True)
@@ -84,6 +90,15 @@ def bucket_of(columns: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in columns]), F.lit(buckets)).cast("int")
 
 
+def _is_folder(path: str) -> bool:
+    return "/__bucket=" not in path or "/" not in path.split("/__bucket=")[1]
+
+
+def _tail(file: str) -> str:
+    """Folders and name of a file within its table, whatever form the path before them has."""
+    return "/".join(file.split("/")[-3:])
+
+
 def _bucket_in(path: str) -> int:
     return int(path.split("/__bucket=")[1].split("/")[0])
 
@@ -128,6 +143,41 @@ class Dataset:
             self.spark.read.schema(stored).option("basePath", f"{self.base}/{state.name}").parquet(*paths).drop(*_LAYOUT)
         )
 
+    def difference(self, paths: Sequence[str], others: Sequence[str]) -> tuple[str, ...]:
+        """What `paths` hold and `others` do not. Folders named by both are left out unseen; the
+        rest is compared file by file, as one side may name a folder and the other files of it."""
+        mine, theirs = ([p for p in a if p not in set(b)] for a, b in ((paths, others), (others, paths)))
+        parents = {p.rsplit("/", 1)[0] for p in theirs}
+        kept = set(theirs) | {f for p in theirs if _is_folder(p) for f in storage.files_in(self.spark, p)} if theirs else set()
+        out: list[str] = []
+        for p in mine:
+            if _is_folder(p) and p in parents:
+                out += [f for f in storage.files_in(self.spark, p) if f not in kept]
+            elif p not in kept:
+                out.append(p)
+        return tuple(out)
+
+    def _holding(self, state: TableState, paths: Sequence[str], keys: DataFrame, match: Sequence[Sequence[str]]) -> tuple[tuple[str, ...], tuple[str, ...]]:
+        """The files below `paths`, as (with, without) a row that has, for one of the column lists in `match`, the values of a row of `keys`.
+
+        Only the key columns of the stored rows are read. Few keys go to the scan as literals, so
+        that row groups out of their range are skipped; a commit names the files anyway.
+        """
+        found: set[str] = set()
+        for columns in match:
+            stored = self.rows(state, paths).select(*[F.col(f"`{c}`") for c in columns], F.col("_metadata.file_path").alias("__file"))
+            wanted, few = key_set(keys, columns), None
+            if len(columns) == 1 and isinstance(state.schema[columns[0]].dataType, _LITERAL_TYPES):
+                few = [r[0] for r in wanted.distinct().limit(LITERAL_KEYS + 1).collect()]
+            if few is not None and len(few) <= LITERAL_KEYS and None not in few:
+                hit = stored.filter(F.col(f"`{columns[0]}`").isin(few))
+            else:
+                hit = with_keys(stored, measured(wanted), columns)
+            found.update(_tail(r[0]) for r in hit.select("__file").distinct().collect())
+        hit_folders = {t.rsplit("/", 1)[0] for t in found}
+        files = [f for p in paths for f in (storage.files_in(self.spark, p) if _is_folder(p) and "/".join(p.split("/")[-2:]) in hit_folders else [p])]
+        return tuple(f for f in files if _tail(f) in found), tuple(f for f in files if _tail(f) not in found)
+
     # ---- writing ----
 
     def stage(
@@ -237,12 +287,14 @@ class Dataset:
     def merge(
         self, name: str, incoming: DataFrame, fn: Callable[[DataFrame | None, DataFrame], DataFrame],
         scope: Sequence[str] = (), buckets: int = 1, observe: Sequence[Column] = (), touch: DataFrame | None = None,
+        match: Sequence[Sequence[str]] = (),
     ) -> TableState:
         """Apply a merge function to the part of the table that incoming rows can affect.
 
         `scope` must be part of the match key of `fn`: rows of one key then always
         share a bucket, and only buckets with incoming rows are read and rewritten.
-        `touch` names other rows whose scope decides that.
+        `match` lists the keys by which `fn` finds stored rows: files without a row that
+        has one of them stay as they are. `touch` names other rows that decide both.
         """
         old = self.table(name)
         bucket = bucket_of(scope, buckets) if scope and buckets > 1 else None
@@ -254,8 +306,11 @@ class Dataset:
         if bucket is not None and self._same_split(old, incoming, scope, buckets):
             hit = {r[0] for r in (incoming if touch is None else touch).select(bucket).distinct().collect()}  # at most `buckets` integers
             touched = tuple(p for p in old.paths if _bucket_in(p) in hit)
-        result = fn(self.rows(old, touched), incoming)
         left = tuple(p for p in old.paths if p not in set(touched))
+        if match and touched and (touch is not None or not self._retyped(old, incoming, match)) and (bucket is None or self._same_split(old, incoming, scope, buckets)):
+            touched, spared = self._holding(old, touched, incoming if touch is None else touch, match)
+            left += spared
+        result = fn(self.rows(old, touched), incoming)
         if left and self._widened(old, result):
             # a column's type must be the same in every file
             touched, left = old.paths, ()
@@ -264,6 +319,11 @@ class Dataset:
         return replace(new, schema=self._merged_schema(old, new) if left else new.schema,
                        paths=left + new.paths, scope=tuple(scope), buckets=buckets, based_on=old.paths)
 
+    @staticmethod
+    def _retyped(old: TableState, incoming: DataFrame, match: Sequence[Sequence[str]]) -> bool:
+        """Whether a key column is new or has another type than in the stored files."""
+        return any(c not in old.schema.names or old.schema[c].dataType != incoming.schema[c].dataType for columns in match for c in columns)
+
     @staticmethod
     def _widened(old: TableState, rows: DataFrame) -> bool:
         return any(rows.schema[f.name].dataType != f.dataType for f in old.schema.fields if f.name in rows.columns)
@@ -336,7 +396,9 @@ class Dataset:
             return []
         docs = [storage.read_json(self.spark, f"{self.base}/_commits/{n}") for n in names]
         used = {p for d in docs[-keep:] for t in d["tables"] for p in t["paths"]}
-        gone = sorted({p for d in docs[:-keep] for t in d["tables"] for p in t["paths"]} - used)
+        named = {p for d in docs[:-keep] for t in d["tables"] for p in t["paths"]} - used
+        folders = {p for p in named if _is_folder(p)}
+        gone = sorted(self.difference([p for p in named if p in folders or p.rsplit("/", 1)[0] not in folders], used))
         for path in gone:
             storage.remove(self.spark, path)
         return gone

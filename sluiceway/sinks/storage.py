@@ -33,6 +33,13 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in (fs.globStatus(path) or []))
 
 
+def files_in(spark: SparkSession, folder: str) -> list[str]:
+    """The data files of a folder; names that begin with a dot or an underscore are Spark's own."""
+    fs, path = _path(spark, folder)
+    found = (s.getPath() for s in (fs.listStatus(path) if fs.exists(path) else []) if s.isFile())
+    return sorted(p.toString() for p in found if p.getName()[0] not in "._")
+
+
 def size_of(spark: SparkSession, folders: list[str]) -> int:
     total = 0
     for folder in folders:

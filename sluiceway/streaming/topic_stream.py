@@ -55,7 +55,7 @@ def delete_inserter(table: str, primary_key: Sequence[str] = MESSAGE_KEY, bucket
     def fn(old: DataFrame | None, new: DataFrame) -> DataFrame:
         return merges.delete_insert(old, new, primary_key, **settings)
 
-    return Write(lambda dataset, rows, batch_id: dataset.merge(table, rows, fn, list(primary_key), buckets))
+    return Write(lambda dataset, rows, batch_id: dataset.merge(table, rows, fn, list(primary_key), buckets, match=[list(primary_key)]))
 
 
 def historian(table: str, run_time: Callable[[int], str], cfg: Scd2, buckets: int = 1) -> Write:

@@ -10,6 +10,8 @@ from sluiceway.operators import normalize
 from sluiceway.operators.dedup import dedup
 from sluiceway.operators.incremental import Cursor, new_rows
 from sluiceway.operators.scd2 import Scd2, boundary_time, scd2
+from sluiceway.plans.runner import run
+from sluiceway.sinks import storage
 from sluiceway.sources import files
 from suite.catalog import QUERIES
 from suite.common import table
@@ -145,6 +147,61 @@ def test_bucketed_merge_touches_only_its_buckets(spark, dataset):
     assert dataset.read("t").agg(F.count("k"), F.sum("v")).first()[:] == (1000, 1)
 
 
+@pytest.mark.parametrize("keys", [["k"], ["k", "g"]])
+def test_merge_rewrites_only_files_that_hold_a_key(spark, dataset, keys):
+    """Ten spread keys in a table of forty files, without buckets; rows come out as from a full rewrite."""
+    rows = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("g"), F.lit(0).alias("v")).repartitionByRange(40, "k")
+
+    def fn(old, new):
+        return merges.delete_insert(old, new, keys)
+
+    dataset.commit([dataset.append("t", rows)])
+    stored = dataset.difference(dataset.table("t").paths, ["none"])
+    before = {f for p in stored for f in storage.files_in(spark, p)}
+    arriving = spark.range(10).select((F.col("id") * 400 + 5).alias("k"), ((F.col("id") * 400 + 5) % 3).alias("g"), F.lit(1).alias("v"))
+    dataset.commit([dataset.merge("t", arriving, fn, match=[keys])])
+    after = set(dataset.table("t").paths)
+    assert len(before) == 40 and len(before & after) == 30
+    assert dataset.read("t").agg(F.count("k"), F.countDistinct("k"), F.sum("v")).first()[:] == (4000, 4000, 10)
+    new_key = arriving.limit(1).withColumn("k", F.lit(99_999).cast("long"))
+    dataset.commit([dataset.merge("t", new_key, fn, match=[keys])])
+    assert after < set(dataset.table("t").paths) and dataset.read("t").count() == 4001
+    dataset.expire()
+    assert dataset.read("t").count() == 4001
+    assert {f for p in stored for f in storage.files_in(spark, p)} == before & after  # files that no commit names are gone
+
+
+def test_both_keys_rewrite_only_files_that_hold_one(spark, dataset):
+    """Rows match by primary key or by merge key; files with neither keep their names."""
+    rows = spark.range(2000).select(F.col("id").alias("k"), F.expr("id div 10").alias("g"), F.lit("a").alias("v"))
+    dataset.commit([dataset.append("t", rows.repartitionByRange(20, "k"))])
+    before = {f for p in dataset.table("t").paths for f in storage.files_in(spark, p)}
+    arriving = rows.filter("k in (5, 1999)").withColumns({"v": F.lit("b"), "g": F.when(F.col("k") == 5, F.lit(77)).otherwise(F.col("g"))})
+    dataset.commit([dataset.merge("t", arriving, lambda old, new: merges.delete_insert(old, new, "k", "g"), match=[["k"], ["g"]])])
+    assert len(before) == 20 and len(before & set(dataset.table("t").paths)) == 17
+    gone = {k for k in range(2000) if k // 10 in (77, 199)}
+    assert {r.k: r.v for r in dataset.read("t").collect()} == {k: "b" if k in (5, 1999) else "a" for k in range(2000) if k not in gone or k in (5, 1999)}
+
+
+def test_children_follow_when_parts_of_folders_stay(spark, dataset):
+    """Roots and their lists after three loads by both keys, each of which leaves files of the one before."""
+    rows = spark.range(300).select(F.col("id").alias("k"), F.expr("id div 10").alias("g"), F.lit("a").alias("v"), F.array("id", F.col("id") + 1).alias("items"))
+    spec = {"identity": "p", "source_uri": "file:///in", "destination_uri": "file:///out", "resources": [{
+        "source_table_name": "t.parquet", "destination_table_name": "t",
+        "write_disposition_config": {"type": "merge", "strategy": "delete-insert", "config": {"primary_key": "k", "merge_key": "g"}}}]}
+    want = {}
+    with settings(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        for v, part in (("a", "true"), ("b", "k in (5, 299)"), ("c", "k = 6 or k = 120")):
+            batch = rows.filter(part).withColumn("v", F.lit(v))
+            run(spark, spec, reader=lambda *_, df=batch: df, dataset=dataset)
+            arrived = {r.k: r.g for r in batch.select("k", "g").collect()}
+            want = {k: x for k, x in want.items() if k not in arrived and x[0] not in arrived.values()} | {k: (g, v) for k, g in arrived.items()}
+    assert {r.k: (r.g, r.v) for r in dataset.read("t").collect()} == want
+    lists = dataset.read("t__items").join(dataset.read("t").select(F.col("_row_id").alias("_root_id"), "k"), "_root_id")
+    assert sorted((r.k, r.value) for r in lists.collect()) == sorted((k, k + d) for k in want for d in (0, 1))
+    assert dataset.read("t__items").count() == 2 * len(want)
+
+
 def test_history_is_not_rewritten(spark, dataset):
     def day(rows, at):
         df = spark.createDataFrame(rows, "k int, v string")
