@@ -5,8 +5,8 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from decimal import Decimal
 
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.functions.keys import key_set, with_keys, without_keys
+from sluiceway.functions.keys import key_set, measured, with_keys, without_keys
 from sluiceway.functions.names import snake_case, snake_columns
 from sluiceway.operators import merge as merges
 from sluiceway.operators.dedup import dedup
@@ -31,7 +31,8 @@ from sluiceway.sinks.replace import replace_tables
 from sluiceway.sources.documents import limited
 from sluiceway.sources.files import NoNewFiles
 from sluiceway.sources.predicates import predicate
-from sluiceway.sources.registry import open_source
+from sluiceway.sources import rejects, topics
+from sluiceway.sources.registry import archived, decoded, open_source, open_stream
 
 Reader = Callable[[SparkSession, str, str, Mapping], DataFrame]
 
@@ -90,12 +91,13 @@ def dataset_name(spec: Mapping) -> str:
 
 def run(
     spark: SparkSession, spec: Mapping, run_time: datetime | None = None, reader: Reader = open_source,
-    transform: Callable[[DataFrame], DataFrame] | None = None, dataset: Dataset | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None, dataset: Dataset | None = None, streamer: Reader = open_stream,
 ) -> dict:
     """Load every resource of a job; returns status, message, load id and rows per table.
 
-    Per resource: read, keep new rows, apply column rules, normalise, write. Data,
-    state and ledger are published by one commit per resource.
+    Per resource: read, keep new rows, apply column rules, normalise, write. Data, rejected
+    rows, state and ledger are published by one commit per resource, or per batch of one that
+    is resumed as a stream.
     """
     validate(spark, spec)
     run_time = run_time or _now()
@@ -107,7 +109,7 @@ def run(
     try:
         for res in resources(spec):
             load = _Load(spark, spec, res, dataset, load_id, run_time, trace, external)
-            counts.update(load.run(reader, transform))
+            counts.update(load.resume(streamer, transform) if res.options.get("resume") else load.run(reader, transform))
     finally:
         if trace.rows:
             trace.write(spark, dataset.base)
@@ -116,6 +118,15 @@ def run(
             "load_id": load_id, "rows": counts, "schema_hashes": hashes}
 
 
+def rejects_table(destination: str) -> str:
+    """The table that keeps a destination's rejected rows."""
+    return f"_rejects_{snake_case(destination)}"
+
+
+def _in_bucket(paths: Sequence[str], bucket: int) -> list[str]:
+    return [p for p in paths if p.endswith(f"/__bucket={bucket}")]
+
+
 def _nested(schema: T.StructType) -> bool:
     def has(t: T.DataType) -> bool:
         if isinstance(t, (T.ArrayType, T.MapType)):
@@ -149,6 +160,57 @@ class _Load:
     run_time: datetime
     trace: _Trace
     external: bool
+    progress: Mapping[str, object] | None = None  # of the stream whose batch this is
+    apart: list[TableState] = field(default_factory=list)  # rejected rows, published with the tables
+
+    def resume(self, streamer: Reader, transform: Callable[[DataFrame], DataFrame] | None) -> dict[str, int]:
+        """The resource as a stream that goes on where its checkpoint stands and ends when all is read.
+
+        Every batch is a load with a commit of its own, which carries the stream's progress: a batch that
+        is run again after a failure is skipped. With `follow` the stream runs that many seconds,
+        a batch every `batch_timeout` seconds.
+        """
+        res, options = self.res, {**self.res.options, "with_rejects": True}
+        unfit = [n for n in ("limit", "new_files", "row_order") if options.get(n)] + ["incremental_config"] * (res.cursor is not None) + ["replace"] * (res.disposition == "replace")
+        if unfit:
+            raise ValueError(f"a resumed resource keeps its own place; it cannot have {', '.join(unfit)}")
+        uri, checkpoint = self.spec["source_uri"], f"{self.dataset.base}/_checkpoints/{self._resource_id}"
+        starts = self._starts(f"{checkpoint}-start", uri, options)
+        counts: dict[str, int] = {}
+
+        def each(batch: DataFrame, batch_id: int) -> None:
+            checkpoint_id = storage.read_json(self.spark, f"{checkpoint}/metadata")["id"]
+            done = [s for s in self.dataset.latest()["streams"] if s["name"] == self._resource_id and s["checkpoint_id"] == checkpoint_id]
+            if done and batch_id <= done[0]["batch_id"]:
+                return
+            rows = batch if starts is None else topics.from_latest(batch, starts)
+            progress = {"name": self._resource_id, "checkpoint_id": checkpoint_id, "batch_id": batch_id}
+            load = _Load(self.spark, self.spec, res, self.dataset, f"{self.load_id}-{batch_id}", self.run_time, self.trace, self.external, progress)
+            for name, n in load.run(lambda *_: decoded(rows, options), transform).items():
+                counts[name] = counts.get(name, 0) + n
+
+        stream = streamer(self.spark, uri, res.source, options)
+        writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).queryName(f"{self._resource_id}-{uuid.uuid4().hex[:8]}")
+        follow = options.get("follow")
+        if follow:
+            query = writer.trigger(processingTime=f"{options.get('batch_timeout') or topics.BATCH_TIMEOUT} seconds").start()
+            query.awaitTermination(follow)
+            query.stop()
+        else:
+            query = writer.trigger(availableNow=True).start()
+            query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+        return counts
+
+    def _starts(self, folder: str, uri: str, options: Mapping) -> DataFrame | None:
+        """Start offsets of archived messages, settled by the first run: one row per topic partition."""
+        if not storage.list_names(self.spark, folder):
+            found = archived(self.spark, uri, self.res.source, options)
+            if found is None:
+                return None
+            found.write.parquet(folder)
+        return measured(self.spark.read.parquet(folder))
 
     def run(self, reader: Reader, transform: Callable[[DataFrame], DataFrame] | None) -> dict[str, int]:
         res, started, step = self.res, _now(), "extract"
@@ -162,9 +224,15 @@ class _Load:
             if res.cursor:
                 df, nulls, pick = self._new_rows(df)
                 observe.append(pick)
-            df = self._limited(df)
-            if transform:
-                df = transform(df)
+            marked = rejects.is_marked(df)
+            if marked and (transform or res.options.get("limit")):
+                # limits and transformations are of good rows; the others are read beside them
+                bad = df.filter(rejects.rejected()).select(*rejects.MARKS)
+                df = self._limited(df.filter(~rejects.rejected()).drop(*rejects.MARKS))
+                df = (transform(df) if transform else df).unionByName(bad, allowMissingColumns=True)
+            else:
+                df = self._limited(df)
+                df = transform(df) if transform else df
             df = apply_rules(df, res.exclude, res.pseudonymize, self.spec.get("salt", ""))
             if self._is_direct(df):
                 # keyed flat rows need no package: they are written once, where they stay
@@ -177,13 +245,18 @@ class _Load:
                 metrics = package.metrics
                 self.trace.add(step, res.source, started, package.rows_written, package.bytes_written)
                 started, step = _now(), "normalize"
-                rows = self.dataset.rows(package, package.paths)
+                paths, rejected_paths = (_in_bucket(package.paths, n) for n in (0, 1))
+                rows = self.dataset.rows(package, paths)
+                if marked:
+                    rows = rows.drop(*rejects.MARKS)
+                    self._keep_rejected(package, rejected_paths, started)
                 if res.options.get("detect_timestamps"):
                     rows = detect_iso_timestamps(rows)
-                tables = self._normalized(rows, empty=not package.paths)
+                tables = self._normalized(rows, empty=not paths)
                 self.trace.add(step, res.destination, started, package.rows_written, package.bytes_written)
                 started, step = _now(), "load"
                 counts = self._write(tables, self._about(metrics))
+                counts.update({t.name: t.rows_written for t in self.apart})
             for name, rows_written in counts.items():
                 self.trace.add("load", name, started, rows_written, None)
             if nulls is not None:
@@ -210,12 +283,13 @@ class _Load:
         options, observe = dict(self.res.options), []
         if options.get("new_files"):
             options["modified_after"] = ledger.stored_cursor(self.dataset, f"{self._resource_id}:files")
-        df = reader(self.spark, self.spec["source_uri"], self.res.source, options)
+        df = reader(self.spark, self.spec["source_uri"], self.res.source, {**options, "with_rejects": True})
         if options.get("new_files"):
             df = df.withColumn("__modified", F.col("_metadata.file_modification_time"))
             observe.append(F.date_format(F.max("__modified"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("files"))
         if options.get("filter"):
-            df = df.filter(predicate(options["filter"]))
+            wanted = predicate(options["filter"])
+            df = df.filter(wanted | rejects.rejected() if rejects.is_marked(df) else wanted)
         return df, observe
 
     def _new_rows(self, df: DataFrame) -> tuple[DataFrame, Observation, Column]:
@@ -229,9 +303,10 @@ class _Load:
         last = ledger.stored_cursor(self.dataset, self._resource_id)
         keep = cursor_predicate(cursor, df.schema[cursor.key].dataType, last)
         nulls = Observation(f"nulls-{uuid.uuid4().hex[:8]}")
-        rows = df.filter(keep | key.isNull()).observe(nulls, F.count_if(key.isNull()).alias("nulls"))
+        bad = rejects.rejected() if rejects.is_marked(df) else F.lit(False)
+        rows = df.filter(keep | key.isNull()).observe(nulls, F.count_if(key.isNull() & ~bad).alias("nulls"))
         pick = F.max if cursor.direction == "max" else F.min
-        rows = rows.filter(key.isNotNull()).withColumn("__cursor", key)
+        rows = rows.filter(key.isNotNull() | bad).withColumn("__cursor", F.when(~bad, key))  # a rejected row moves no cursor
         self._cursor_type = df.schema[cursor.key].dataType.simpleString()
         return rows, nulls, cursor_text(pick("__cursor"), df.schema[cursor.key].dataType).alias("cursor")
 
@@ -253,9 +328,30 @@ class _Load:
         """The rows as written files, which cuts the lineage: they are read by several plans."""
         res = self.res
         if _nested(df.schema) and res.disposition == "merge" and res.strategy == "delete-insert" and res.keys("primary_key"):
-            # children are split off later, so repeated roots have to go first
-            df = dedup(df, res.keys("primary_key"), res.config.get("dedup_sort_column"))
-        return self.dataset.stage(f"_packages/{uuid.uuid4().hex[:12]}", df, observe=observe, without=_HELPERS)
+            # children are split off later, so repeated roots have to go first; rejected rows have no key and all stay
+            if rejects.is_marked(df):
+                df = df.withColumn("__each", F.when(rejects.rejected(), F.monotonically_increasing_id()))
+                df = dedup(df, [*res.keys("primary_key"), "__each"], res.config.get("dedup_sort_column")).drop("__each")
+            else:
+                df = dedup(df, res.keys("primary_key"), res.config.get("dedup_sort_column"))
+        bucket = None
+        if rejects.is_marked(df):
+            bucket = F.when(rejects.rejected(), 1).otherwise(0)  # both parts in one pass
+            if res.exclude or res.pseudonymize:
+                df = df.withColumn(rejects.VALUE, F.lit(None).cast("string"))  # the text would show what the rules hide
+        return self.dataset.stage(f"_packages/{uuid.uuid4().hex[:12]}", df, bucket, observe=observe, without=_HELPERS)
+
+    def _keep_rejected(self, package: TableState, paths: list[str], started: datetime) -> None:
+        """Rejected rows go to a table beside the destination, published by the load's commit."""
+        if not paths:
+            return
+        bad = self.dataset.rows(package, paths).select(
+            F.lit(self.res.source).alias("resource"), F.col(rejects.REASON).alias("reason"), F.col(rejects.VALUE).alias("value"),
+            F.col(rejects.FILE).alias("file"), F.lit(self.load_id).alias("_load_id"),
+        )
+        kept = self.dataset.append(rejects_table(self.res.destination), bad)
+        self.apart.append(kept)
+        self.trace.add("extract", f"{self.res.source}:rejects", started, kept.rows_written, kept.bytes_written)
 
     def _about(self, metrics: Mapping) -> dict:
         """What the commit says about this load. A backfill or a load without new rows keeps the state."""
@@ -267,7 +363,7 @@ class _Load:
             last = ledger.stored_cursor(self.dataset, self._resource_id)
             furthest = seen if last is None else _later(seen, last, cursor.direction)
             states[self._resource_id] = {"cursor": furthest, "cursor_type": self._cursor_type}
-        return {"load_id": self.load_id, "pipeline": self.spec["identity"], "state": states}
+        return {"load_id": self.load_id, "pipeline": self.spec["identity"], "state": states, "stream": self.progress, "also": self.apart}
 
     # ---- normalise ----
 
@@ -295,7 +391,7 @@ class _Load:
     # ---- load ----
 
     def _is_direct(self, df: DataFrame) -> bool:
-        plain = self.res.disposition in ("append", "replace") and not self.external
+        plain = self.res.disposition in ("append", "replace") and not self.external and not rejects.is_marked(df)
         return plain and bool(self._row_keys()) and not _nested(df.schema) and not self.res.options.get("detect_timestamps")
 
     def _write_direct(self, tables: dict[str, DataFrame], observe: list[Column]) -> tuple[dict[str, int], Mapping]:

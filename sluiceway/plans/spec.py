@@ -25,7 +25,7 @@ _RULE_KEYS = {"exclude_columns", "pseudonymizing_columns"}
 _INCREMENTAL_KEYS = {"incremental_key", "start_position", "end_position", "lag_window", "boundary_mode", "direction"}
 _OPTION_KEYS = {
     "batch_size", "batch_timeout", "start_from", "filter", "limit", "row_order", "new_files", "schema", "buckets", "row_id_keys", "split_column",
-    "bounds", "splits", "payload", "detect_timestamps",
+    "bounds", "splits", "payload", "detect_timestamps", "resume", "follow",
 }
 
 

@@ -211,12 +211,14 @@ class Dataset:
 
     def commit(
         self, changes: Sequence[TableState], load_id: str = "", pipeline: str = "", drop: Sequence[str] = (),
-        state: Mapping[str, dict] | None = None, stream: Mapping[str, object] | None = None,
+        state: Mapping[str, dict] | None = None, stream: Mapping[str, object] | None = None, also: Sequence[TableState] = (),
     ) -> dict:
         """Publish new table states, incremental state and stream progress in one step.
 
-        Refused when a table moved on since its new state was computed.
+        Refused when a table moved on since its new state was computed. `also` are states that
+        every commit of a load carries besides its own tables.
         """
+        changes = [*changes, *also]
         for _ in range(_COMMIT_TRIES):
             doc = self._next_commit(changes, load_id, pipeline, drop, state, stream)
             try:

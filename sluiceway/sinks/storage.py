@@ -40,6 +40,12 @@ def files_in(spark: SparkSession, folder: str) -> list[str]:
     return sorted(p.toString() for p in found if p.getName()[0] not in "._")
 
 
+def set_time(spark: SparkSession, name: str, epoch_ms: int) -> None:
+    """Give a file a modification time."""
+    fs, path = _path(spark, name)
+    fs.setTimes(path, epoch_ms, -1)
+
+
 def size_of(spark: SparkSession, folders: list[str]) -> int:
     total = 0
     for folder in folders:

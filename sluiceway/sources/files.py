@@ -35,16 +35,20 @@ def read_files(
     name: str,
     schema: T.StructType | str | None = None,
     modified_after: str | datetime | None = None,
+    stream: bool = False,
     **options: str,
 ) -> DataFrame:
     """Every file whose name starts with `name`, read by the extension of `name`.
 
     Without a schema, CSV types are inferred by one more pass over the files; give
     the schema where that pass is too dear. `modified_after` keeps whole files by
-    their modification time, decided when files are listed.
+    their modification time, decided when files are listed. A `stream` needs a schema; its
+    checkpoint keeps the list of files that were read, whatever their times.
     """
     fmt = format_of(name)
-    reader = spark.read.format(fmt).options(**options)
+    reader = (spark.readStream if stream else spark.read).format(fmt).options(**options)
+    if stream:
+        reader = reader.option("maxFileAge", "36500d")
     if fmt == "csv":
         reader = reader.option("header", "true")
         reader = reader.option("enforceSchema", "false") if schema is None else reader

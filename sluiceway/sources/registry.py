@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.functions.uri import SCHEMES
-from sluiceway.sources import documents, files, jdbc, topics
+from sluiceway.sources import documents, files, jdbc, rejects, topics
 
 FAMILY = {name: family for name, family, *_ in SCHEMES}
 SOURCES = {name for name, _, is_source, *_ in SCHEMES if is_source}
@@ -29,7 +29,17 @@ def folder_of(uri: str) -> str:
 
 
 def _read_files(spark: SparkSession, uri: str, name: str, options: Mapping) -> DataFrame:
-    return files.read_files(spark, folder_of(uri), name, options.get("schema"), options.get("modified_after"))
+    """Files by prefix; with a `payload` they are archived messages, read from `start_from` on."""
+    folder, schema, after = folder_of(uri), options.get("schema"), options.get("modified_after")
+    if options.get("payload"):
+        envelope = files.read_files(spark, folder, name, schema, after)
+        kind, millis = topics.parse_start(options.get("start_from") or "earliest")
+        if kind == "latest":
+            raise ValueError("a bounded read from 'latest' is empty; use `resume`")
+        return decoded(topics.from_timestamp(envelope, millis) if kind == "timestamp" else envelope, options)
+    if options.get("with_rejects"):
+        return rejects.read_checked(spark, folder, name, schema, after)
+    return files.read_files(spark, folder, name, schema, after)
 
 
 def _read_sql(spark: SparkSession, uri: str, name: str, options: Mapping) -> DataFrame:
@@ -49,14 +59,37 @@ def _read_documents(spark: SparkSession, uri: str, name: str, options: Mapping)
 
 
 def _read_topic(spark: SparkSession, uri: str, name: str, options: Mapping) -> DataFrame:
-    envelope = topics.read_topic(spark, uri, name, options.get("start_from") or "earliest")
+    return decoded(topics.read_topic(spark, uri, name, options.get("start_from") or "earliest"), options)
+
+
+def decoded(envelope: DataFrame, options: Mapping) -> DataFrame:
+    """Messages with the fields of the declared payload; without one they stay as they are."""
     if not options.get("payload"):
         return envelope
     rest = "undeclared_fields"  # as JSON text, which every merge can compare
-    rows = topics.decode(envelope, options["payload"], rest=rest, keep_mistyped=True)
+    rows = topics.decode(envelope, options["payload"], rest=rest, keep_mistyped=True, mark=rejects.MARKS if options.get("with_rejects") else ())
     return rows.withColumn(rest, F.to_json(rest))
 
 
+def open_stream(spark: SparkSession, uri: str, name: str, options: Mapping) -> DataFrame:
+    """The same source as a stream of files or undecoded messages; `batch_size` bounds a batch (in messages, or files)."""
+    scheme, size = urlsplit(uri).scheme.lower(), options.get("batch_size")
+    family = FAMILY.get(scheme)
+    if family == "kafka":
+        return topics.stream_topic(spark, uri, name, options.get("start_from") or "earliest", size or topics.BATCH_SIZE)
+    if READERS.get(family) is not _read_files:
+        raise ValueError(f"{scheme} sources cannot be resumed as a stream; use incremental_config")
+    at_once = {"maxFilesPerTrigger": str(size)} if size else {}
+    return rejects.read_checked(spark, folder_of(uri), name, options.get("schema"), stream=True, **at_once)
+
+
+def archived(spark: SparkSession, uri: str, name: str, options: Mapping) -> DataFrame | None:
+    """Start offsets of a stream over archived messages; None for any other source, or from the beginning."""
+    if not options.get("payload") or FAMILY[urlsplit(uri).scheme.lower()] == "kafka":
+        return None
+    return topics.start_offsets(files.read_files(spark, folder_of(uri), name, options.get("schema")), options.get("start_from") or "earliest")
+
+
 READERS: dict[str, Callable[[SparkSession, str, str, Mapping], DataFrame]] = {
     "s3": _read_files, "gcs": _read_files, "azure": _read_files, "file": _read_files,
     "sql": _read_sql, "filebased": _read_sql, "snowflake": _read_sql,

@@ -6,6 +6,7 @@ Kafka source delivers them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from urllib.parse import parse_qs, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -97,6 +98,21 @@ def from_timestamp(envelope: DataFrame, epoch_ms: int) -> DataFrame:
     return _from_offsets(envelope, starts)
 
 
+def start_offsets(envelope: DataFrame, start_from: str) -> DataFrame | None:
+    """Where a stream over archived messages starts, one row per topic partition; None is the beginning.
+
+    From a time on: the first offset that is not before it, or else the end, as a broker does.
+    """
+    kind, millis = parse_start(start_from)
+    if kind == "earliest":
+        return None
+    if kind == "latest":
+        return high_watermarks(envelope)
+    return envelope.groupBy(F.col("topic").alias("__topic"), F.col("partition").alias("__partition")).agg(
+        F.coalesce(F.min(F.when(F.col("timestamp") >= millis, F.col("offset"))), F.max("offset") + 1).alias("__start")
+    )
+
+
 def high_watermarks(envelope: DataFrame) -> DataFrame:
     """The offset after the last one, per topic partition: where `latest` starts."""
     return envelope.groupBy(F.col("topic").alias("__topic"), F.col("partition").alias("__partition")).agg(
@@ -199,38 +215,47 @@ def _rest(fields: list[T.StructField], keep_mistyped: bool) -> Column:
     return F.when(F.size(found) > 0, F.to_variant_object(found))
 
 
-def decode(envelope: DataFrame, payload: T.StructType | str, rest: str | None = None, keep_mistyped: bool = False) -> DataFrame:
+def decode(envelope: DataFrame, payload: T.StructType | str, rest: str | None = None, keep_mistyped: bool = False, mark: Sequence[str] = ()) -> DataFrame:
     """Payload fields, `raw` and the envelope columns of every readable message.
 
     The schema of the payload is declared, so nothing is inferred from data.
     Envelope columns win over payload fields of the same name. `rest` names a variant
     column for all fields that have no column. A message with a value of another type
     is left to `rejects`; with `keep_mistyped` it stays, and the value goes to `rest`.
+    `mark` names three columns, for why a message is rejected, its text and its topic: all messages are returned.
     """
     if keep_mistyped and not rest:
         raise ValueError("keep_mistyped needs a rest column")
     schema, declared = _declared(payload)
-    rows = classify(envelope).filter(F.col("_m.kind") != "rejected")
-    if not keep_mistyped:
-        for f in declared:
-            rows = rows.filter(~_mistyped(f.name, f.dataType))
+    rows = classify(envelope)
+    if not mark:
+        rows = rows.filter(F.col("_m.kind") != "rejected")
+        if not keep_mistyped:
+            for f in declared:
+                rows = rows.filter(~_mistyped(f.name, f.dataType))
+    marks = [c.alias(n) for c, n in zip((_reason(None if keep_mistyped else payload), F.col("_m.text"), F.col("topic")), mark)]
     fields = [(F.when(~_mistyped(f.name, f.dataType), _field(f.name, f.dataType)) if keep_mistyped else _field(f.name, f.dataType)).alias(f.name) for f in declared]
     raw = F.when(F.col("_m.kind") == "raw", F.col("_m.text"))
     if "raw" in schema.names:
         raw = F.coalesce(raw, _field("raw", T.StringType()))
     others = [_rest(declared, keep_mistyped).alias(rest)] if rest else []
-    return rows.select(*fields, *others, raw.alias("raw"), "offset", "partition", "timestamp", F.col("_m.key").alias("key"))
+    return rows.select(*fields, *others, raw.alias("raw"), "offset", "partition", "timestamp", F.col("_m.key").alias("key"), *marks)
 
 
-def rejects(envelope: DataFrame, payload: T.StructType | str | None = None) -> DataFrame:
-    """The messages `decode` leaves out, with the reason; those with values of another type need the payload's schema."""
+def _reason(payload: T.StructType | str | None) -> Column:
+    """Why a classified message is rejected, NULL if it is not; values of another type need the payload's schema."""
     reason = F.when(F.col("_m.kind") == "rejected", F.when(F.col("_m.text").isNull(), "null value").otherwise("not an object"))
     if payload is not None:
         wrong = [F.when(_mistyped(f.name, f.dataType), F.lit(f"{f.name} is not {f.dataType.simpleString()}")) for f in _declared(payload)[1]]
         if wrong:
             said = F.concat_ws("; ", *wrong)
             reason = F.coalesce(reason, F.when(said != "", said))
-    rows = classify(envelope).withColumn("_reject_reason", reason).filter(F.col("_reject_reason").isNotNull())
+    return reason
+
+
+def rejects(envelope: DataFrame, payload: T.StructType | str | None = None) -> DataFrame:
+    """The messages `decode` leaves out, with the reason; those with values of another type need the payload's schema."""
+    rows = classify(envelope).withColumn("_reject_reason", _reason(payload)).filter(F.col("_reject_reason").isNotNull())
     return rows.select("topic", "partition", "offset", F.col("_m.text").alias("value"), "_reject_reason")
 
 

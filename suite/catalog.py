@@ -7,4 +7,5 @@ from suite import normalizing  # noqa: F401
 from suite import observing  # noqa: F401
 from suite import jobs  # noqa: F401
 from suite import consistency  # noqa: F401
+from suite import resuming  # noqa: F401
 from suite.common import ORACLES, QUERIES  # noqa: F401
