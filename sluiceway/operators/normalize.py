@@ -26,6 +26,8 @@ def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
     """The type both values fit in: numbers widen, anything simple fits text; else an error."""
     if a == b:
         return a
+    if a.simpleString() == b.simpleString():  # they differ in what may be NULL inside
+        return _nullable(a)
     if isinstance(a, T.NullType):
         return b
     if isinstance(b, T.NullType):
@@ -44,6 +46,17 @@ def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
     raise ValueError(f"no common type for {a.simpleString()} and {b.simpleString()}")
 
 
+def _nullable(t: T.DataType) -> T.DataType:
+    """The same type, with NULLs allowed in every part."""
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_nullable(t.elementType), True)
+    if isinstance(t, T.MapType):
+        return T.MapType(t.keyType, _nullable(t.valueType), True)
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True) for f in t.fields])
+    return t
+
+
 def evolve_union(old: DataFrame, new: DataFrame) -> DataFrame:
     """All rows of both; new columns are added, absent ones are NULL, types widen."""
     have, got = old.schema, new.schema

@@ -289,14 +289,14 @@ class Dataset:
     def merge(
         self, name: str, incoming: DataFrame, fn: Callable[[DataFrame | None, DataFrame], DataFrame],
         scope: Sequence[str] = (), buckets: int = 1, observe: Sequence[Column] = (), touch: DataFrame | None = None,
-        match: Sequence[Sequence[str]] = (),
+        match: Sequence[Sequence[str]] = (), affected: tuple[tuple[str, ...], tuple[str, ...]] | None = None,
     ) -> TableState:
         """Apply a merge function to the part of the table that incoming rows can affect.
 
         `scope` must be part of the match key of `fn`: rows of one key then always
         share a bucket, and only buckets with incoming rows are read and rewritten.
         `match` lists the keys by which `fn` finds stored rows: files without a row that
-        has one of them stay as they are. `touch` names other rows that decide both.
+        has one of them stay as they are. `touch` names other rows that decide both; `affected` says both at once.
         """
         old = self.table(name)
         bucket = bucket_of(scope, buckets) if scope and buckets > 1 else None
@@ -304,14 +304,7 @@ class Dataset:
         if old is None:
             new = self.stage(name, fn(None, incoming), bucket, spread, observe)
             return replace(new, scope=tuple(scope), buckets=buckets, based_on=())
-        touched = old.paths
-        if bucket is not None and self._same_split(old, incoming, scope, buckets):
-            hit = {r[0] for r in (incoming if touch is None else touch).select(bucket).distinct().collect()}  # at most `buckets` integers
-            touched = tuple(p for p in old.paths if _bucket_in(p) in hit)
-        left = tuple(p for p in old.paths if p not in set(touched))
-        if match and touched and (touch is not None or not self._retyped(old, incoming, match)) and (bucket is None or self._same_split(old, incoming, scope, buckets)):
-            touched, spared = self._holding(old, touched, incoming if touch is None else touch, match)
-            left += spared
+        touched, left = affected or self._affected(old, incoming, scope, buckets, touch, match)
         result = fn(self.rows(old, touched), incoming)
         if left and self._widened(old, result):
             # a column's type must be the same in every file
@@ -321,6 +314,30 @@ class Dataset:
         return replace(new, schema=self._merged_schema(old, new) if left else new.schema,
                        paths=left + new.paths, scope=tuple(scope), buckets=buckets, based_on=old.paths)
 
+    def _affected(
+        self, old: TableState, incoming: DataFrame, scope: Sequence[str], buckets: int, touch: DataFrame | None, match: Sequence[Sequence[str]]
+    ) -> tuple[tuple[str, ...], tuple[str, ...]]:
+        """The paths that incoming rows can affect, and the others."""
+        touched, split = old.paths, bool(scope) and buckets > 1
+        if split and self._same_split(old, incoming, scope, buckets):
+            hit = {r[0] for r in (incoming if touch is None else touch).select(bucket_of(scope, buckets)).distinct().collect()}  # at most `buckets` integers
+            touched = tuple(p for p in old.paths if _bucket_in(p) in hit)
+        left = tuple(p for p in old.paths if p not in set(touched))
+        if match and touched and (touch is not None or not self._retyped(old, incoming, match)) and (not split or self._same_split(old, incoming, scope, buckets)):
+            touched, spared = self._holding(old, touched, incoming if touch is None else touch, match)
+            left += spared
+        return touched, left
+
+    def stored(
+        self, name: str, incoming: DataFrame, arrived: DataFrame, keys: Sequence[str], buckets: int = 1
+    ) -> tuple[DataFrame | None, tuple[tuple[str, ...], tuple[str, ...]] | None]:
+        """The stored rows whose keys arrived, and for `merge` the (affected, other) paths of the table."""
+        old = self.table(name)
+        if old is None:
+            return None, None
+        affected = self._affected(old, incoming, keys, buckets, None, [keys])
+        return with_keys(self.rows(old, affected[0]), arrived, keys), affected
+
     @staticmethod
     def _retyped(old: TableState, incoming: DataFrame, match: Sequence[Sequence[str]]) -> bool:
         """Whether a key column is new or has another type than in the stored files."""

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sluiceway.plans.runner import rejects_table, run
 from sluiceway.session import scratch_dir
 from sluiceway.sinks import storage
-from suite.common import new_dataset, query, table
-from suite.reading import envelope
+from sluiceway.streaming import topic_stream
+from suite.common import new_dataset, query, sql_ts, stamp, table
+from suite.reading import _event_files, _run, _stream, envelope
 from suite.rules import job
 
 
@@ -143,3 +145,37 @@ def run_late_file(spark, sf_dir):
         run(spark, spec, dataset=dataset)
     run(spark, spec, dataset=dataset)
     return dataset.read("orders").select("id", "priority", F.lit(len(dataset.commits())).cast("long").alias("loads"))
+
+
+@query("stream_upsert_hard_delete", f"""
+    SELECT user_id, event_id, {sql_ts('ts')} AS ts, event_type FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY events.ts DESC, event_id DESC) = 1 AND event_type <> 'error'
+""")
+def stream_upsert_hard_delete(spark, sf_dir):
+    """Errors delete their user; files come in any order, so an older event must not bring a deleted user back."""
+    dataset = new_dataset(spark, "s-delete")
+    write = topic_stream.upserter("latest", ["user_id"], {"ts": "desc", "event_id": "desc"}, "gone", buckets=4)
+    as_changes = lambda batch: batch.select("user_id", "event_id", "ts", "event_type", (F.col("event_type") == "error").alias("gone"))
+    _run(spark, _stream(spark, *_event_files(spark, sf_dir)), dataset, write, as_changes)
+    return dataset.read("latest").select("user_id", "event_id", stamp("ts").alias("ts"), "event_type")
+
+
+@query("stream_upsert_partial", f"""
+    WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)
+    SELECT user_id, max(n) AS newest, {sql_ts('max(ts)')} AS ts, max_by(event_type, n) FILTER (event_id % 2 = 0) AS even_type,
+        max_by("value", n) FILTER (event_id % 2 = 1) AS odd_value
+    FROM e GROUP BY user_id
+""")
+def stream_upsert_partial(spark, sf_dir):
+    """Two streams, even and odd events, each with columns of its own; the one column of the other stays and may come late."""
+    dataset = new_dataset(spark, "s-partial")
+    events = table(spark, sf_dir, "events")
+    base = scratch_dir(spark, "partial-in")
+    order = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).alias("newest")
+    numbered = events.select("user_id", "event_id", "ts", "event_type", "value", order)
+    for k, columns in enumerate((["event_type as even_type"], ["value as odd_value"])):
+        part = numbered.filter(F.col("event_id") % 2 == k).selectExpr("user_id", "newest", "ts", *columns)
+        part.repartition(3, "ts").write.parquet(f"{base}/{k}")
+        write = topic_stream.upserter("latest", ["user_id"], {"newest": "desc"}, buckets=4)
+        _run(spark, _stream(spark, f"{base}/{k}", part.schema), dataset, write)
+    return dataset.read("latest").select("user_id", F.col("newest").cast("long").alias("newest"), stamp("ts").alias("ts"), "even_type", "odd_value")
