@@ -10,10 +10,12 @@ fragments (ranges); each document's set falls into one segment a fragment.
 3. Two sets link only if three quarters of either are shared, so all other sets leave. Among those that
    stay, shingles are ordered from rare to frequent, and a pair must meet in the sets' first ones (prefixes).
    A pair's overlap lies within the shared part of either set; pairs for which that is too little leave too.
+   A signature of each set, a bit for each shared shingle by its hash, bounds the overlap from above: a bit
+   that one set has and the other lacks stands for a shingle at least that they do not share.
 4. Large groups are joined without their pairs: for every prefix shingle, its sets are compared with one
    centre only, and linked sets become components; turns with other centres follow while the pairs that are
-   still open outnumber the prefix entries and each turn at least halves them. Then every pair of sets that meet in a prefix
-   and lie in different components is compared. No link between components is missed; links within one change
+   still open outnumber the prefix entries and each turn at least halves them. Then every pair of sets that meet in a prefix,
+   lie in different components and can link by the bounds of their signatures is compared. No link between components is missed; links within one change
    nothing.
 5. To compare a pair, its overlap is counted in each fragment separately and summed.
 
@@ -45,6 +47,8 @@ MOST_FRAGMENTS = 1 << 18
 PACKED_BYTES = 6
 #: Fragments in which the overlap of a pair is counted separately.
 COUNT_FRAGMENTS = 4
+#: 64-bit words in the signature of a set.
+SIGNATURE = 32
 #: Words whose hash a process keeps; beyond it the table is filled anew.
 CACHE_WORDS = 300_000
 
@@ -259,7 +263,12 @@ def _merge_bucket(lists: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
     owners, shingles = owners[fresh], shingles[fresh]
     names, starts = np.unique(owners, return_index=True)
     held = pa.ListArray.from_arrays(pa.array(np.append(starts, len(owners)), pa.int32()), pa.array(shingles))
-    return pa.RecordBatch.from_arrays([pa.array(names), held], names=["set_id", "held"])
+    codes = shingles.view(np.uint64)
+    bits = np.zeros(len(names) * SIGNATURE, dtype=np.uint64)
+    word = np.repeat(np.arange(len(names)), np.diff(np.append(starts, len(owners)))) * SIGNATURE + ((codes >> np.uint64(6)) % np.uint64(SIGNATURE)).astype(np.int64)
+    np.bitwise_or.at(bits, word, np.uint64(1) << (codes & np.uint64(63)))
+    signs = pa.ListArray.from_arrays(pa.array(np.arange(len(names) + 1) * SIGNATURE, pa.int32()), pa.array(bits.view(np.int64)))
+    return pa.RecordBatch.from_arrays([pa.array(names), held, signs], names=["set_id", "held", "signature"])
 
 
 def _merge_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,12 +286,12 @@ def _merge_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def shared_shingles(df: DataFrame, text: str, total: int) -> DataFrame:
-    """set_id, held: for each set its shingles that another set holds too, as 64-bit codes in order; sets without any are absent."""
+    """set_id, held, signature: for each set its shingles that another set holds too, as 64-bit codes in order, and their bits; sets without any are absent."""
     bits = max(0, min(MOST_FRAGMENTS, -(-total // FRAGMENT)) - 1).bit_length()
     packed = map_arrow(df.select(F.col(f"`{text}`").cast("string").alias("_text")), _packer(bits), _SEGMENTS)
     dealt = packed.repartition("fragment").sortWithinPartitions("fragment")
     lists = map_arrow(dealt, _fragment_joiner(bits), _LISTS).repartition("bucket").sortWithinPartitions("bucket")
-    return map_arrow(lists, _merge_buckets, "set_id long, held array<long>")
+    return map_arrow(lists, _merge_buckets, "set_id long, held array<long>, signature array<long>")
 
 
 def _needed(n: str) -> str:
@@ -319,6 +328,15 @@ def _may_link(a: str, b: str) -> Column:
     return F.expr(f"7 * least(shared{a}, shared{b}) >= 3 * (n{a} + n{b})")
 
 
+def _may_overlap(a: str, b: str) -> Column:
+    """Whether the overlap can suffice by the signatures: what one set has and the other lacks is taken off."""
+
+    def lacks(x: str, y: str) -> str:
+        return " + ".join(f"bit_count(signature{x}[{k}] & ~signature{y}[{k}])" for k in range(SIGNATURE))
+
+    return F.expr(f"7 * least(shared{a} - ({lacks(a, b)}), shared{b} - ({lacks(b, a)})) >= 3 * (n{a} + n{b})")
+
+
 def merge_components(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels (set_id, label) after links (a, b): a component's label is its smallest set id.
 
@@ -352,8 +370,10 @@ def _open_pairs(labelled: DataFrame) -> int:
 
 
 def link_components(sets: DataFrame) -> DataFrame:
-    """set_id, label for every set that some prefix brings together with another; sets are (set_id, n, held)."""
+    """set_id, label for every set that some prefix brings together with another; sets are (set_id, n, held, signature)."""
     prefix = cut(prefixes(sets))
+    signatures = sets.select("set_id", "signature")
+    of_a, of_b = (signatures.select(F.col("set_id").alias(x), F.col("signature").alias(f"signature_{x}")) for x in "ab")
     segments = sets.select("set_id", "n", F.explode(F.sequence(F.lit(0), F.lit(COUNT_FRAGMENTS - 1))).alias("fragment"), "held")
     in_range = F.expr(f"filter(held, x -> pmod(shiftrightunsigned(x, {8 * PACKED_BYTES - 2}), {COUNT_FRAGMENTS}) = fragment)")
     segments = cut(segments.select("set_id", "n", "fragment", in_range.alias("held")))
@@ -371,16 +391,18 @@ def link_components(sets: DataFrame) -> DataFrame:
             F.min("label").alias("low"), F.max("label").alias("high"),
         )
         centre = centre.where("low <> high").select("shingle", "c.b", "c.n_b", "c.shared_b", "c.label_b")
-        pairs = labelled.join(centre, "shingle").where(F.expr("label <> label_b") & _may_link("", "_b")).select(F.col("set_id").alias("a"), "b").distinct()
+        pairs = labelled.join(centre, "shingle").where(F.expr("label <> label_b") & _may_link("", "_b"))
+        pairs = pairs.select(F.col("set_id").alias("a"), "b", F.col("n").alias("n_a"), "n_b", F.col("shared").alias("shared_a"), "shared_b").distinct()
+        pairs = pairs.join(of_a, "a").join(of_b, "b").where(_may_overlap("_a", "_b")).select("a", "b")
         links = cut(overlaps(pairs, segments))
         if links.isEmpty():
             break
         labels = merge_components(labels, links)
     labelled = prefix.join(labels, "set_id")
     mixed = labelled.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("shingle")
-    rest = cut(labelled.join(mixed, "shingle", "left_semi").select("shingle", "set_id", "n", "shared", "label"))
-    other = rest.select("shingle", F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b"), F.col("label").alias("label_b"))
-    pairs = rest.join(other, "shingle").where(F.expr("label < label_b") & _may_link("", "_b")).select(F.col("set_id").alias("a"), "b").distinct()
+    rest = cut(labelled.join(mixed, "shingle", "left_semi").join(signatures, "set_id").select("shingle", "set_id", "n", "shared", "label", "signature"))
+    other = rest.select("shingle", *[F.col(c).alias(d) for c, d in (("set_id", "b"), ("n", "n_b"), ("shared", "shared_b"), ("label", "label_b"), ("signature", "signature_b"))])
+    pairs = rest.join(other, "shingle").where(F.expr("label < label_b") & _may_link("", "_b") & _may_overlap("", "_b")).select(F.col("set_id").alias("a"), "b").distinct()
     return merge_components(labels, overlaps(pairs, segments))
 
 
@@ -390,7 +412,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     classes = each.where("set_id is not null").groupBy("set_id").agg(F.min("_key").alias("first"), F.first("n_shingles").alias("n"))
     total = each.agg(F.sum("n_shingles")).first()[0] or 0
     shared = shared_shingles(df, text, total).where("size(held) > 0")
-    sets = cut(shared.join(classes.select("set_id", "n"), "set_id").where(f"size(held) >= {_needed('n')}").select("set_id", "n", "held"))
+    sets = cut(shared.join(classes.select("set_id", "n"), "set_id").where(f"size(held) >= {_needed('n')}").select("set_id", "n", "held", "signature"))
     labels = link_components(sets)
     grouped = classes.join(labels, "set_id", "left").select("set_id", "first", F.coalesce("label", "set_id").alias("label"))
     lowest = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
@@ -403,13 +425,23 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of one document of each component, the one with the smallest key, with all their columns.
 
-    Rows that repeat a key count as one document and leave one row. Rows without a key stay once for each text.
+    Where keys repeat, a document is a key with a text: rows that repeat both leave one row, and no
+    text goes because another one has its key. Rows without a key stay once for each text.
     """
+    keyed, document = df.where(F.col(f"`{key}`").isNotNull()), "_keep_one_document"
+    rows, ids, nulls = df.agg(F.count(f"`{key}`"), F.countDistinct(f"`{key}`"), F.count_if(F.col(f"`{key}`").isNull())).first()
+    if rows == ids:
+        kept = _firsts(keyed, key, text)
+    else:
+        digest = F.md5(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary"))
+        named = keyed.withColumn(document, F.struct(F.col(f"`{key}`").alias("key"), digest.alias("text")))
+        kept = _firsts(named, document, text).dropDuplicates([document]).drop(document)
+    return kept.unionByName(df.where(F.col(f"`{key}`").isNull()).dropDuplicates([text])) if nulls else kept
+
+
+def _firsts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows whose key is the smallest of its component."""
     near = cut(near_duplicates(df, key, text).select(F.col(f"`{key}`").alias("_id"), F.col("component_id").alias("_component")))
-    rows, ids, leaving = near.agg(F.count("_id"), F.countDistinct("_id"), F.count(F.when(F.expr("_id <> _component"), 1))).first()
-    gone = near.groupBy(F.col("_id").alias(key)).agg(F.max(F.expr("_id = _component")).alias("first")).where("not first").select(key)
+    gone = near.where("_id <> _component").select(F.col("_id").alias(key)).distinct()
     # Few ids go to every task, so that no text is shuffled; many are joined.
-    kept = df.join(F.broadcast(gone) if leaving <= BROADCAST_IDS else gone, key, "left_anti").where(F.col(f"`{key}`").isNotNull()).select(df.columns)
-    if rows > ids:
-        kept = kept.dropDuplicates([key])
-    return kept if near.where("_id is null").isEmpty() else kept.unionByName(df.where(F.col(f"`{key}`").isNull()).dropDuplicates([text]))
+    return df.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, key, "left_anti").select(df.columns)

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -121,3 +122,22 @@ def test_odd_rows(odd, odd_rows, empty):
     assert kept.columns == odd.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 3, 4, 5, 6, 7, 8]
     assert jaccard.near_duplicates(empty).count() == 0
+
+
+def test_no_text_goes_because_its_key_repeats(spark):
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    rows = [(1, a), (1, b), (2, b), (3, a), (3, a), (4, a + " more"), (5, None), (5, ""), (5, "x"), (6, b), (None, a), (None, a)]
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, a), (1, a), (1, b), (5, ""), (5, "x")]
+
+
+def test_signatures_never_hide_a_link():
+    """Taking off the bits of one set that the other lacks never goes below the true overlap."""
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64)) for n in (3, 40, 400, 4000)]
+    sets += [np.unique(np.concatenate([s[: len(s) * 4 // 5], rng.integers(0, 1 << 62, len(s) // 5, dtype=np.uint64)])) for s in sets]
+    lists = [(np.array([k], dtype=np.int64).tobytes(), np.array([len(s)], dtype=np.int32).tobytes(), s.astype("<u8").tobytes()) for k, s in enumerate(sets)]
+    bits = {r["set_id"]: r["signature"] for r in jaccard._merge_bucket(lists).to_pylist()}
+    for i, j in itertools.permutations(range(len(sets)), 2):
+        lacking = sum((x & ~y & (1 << 64) - 1).bit_count() for x, y in zip(bits[i], bits[j], strict=True))
+        assert len(np.intersect1d(sets[i], sets[j])) <= len(sets[i]) - lacking
