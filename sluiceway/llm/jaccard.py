@@ -48,7 +48,7 @@ PACKED_BYTES = 6
 #: Fragments in which the overlap of a pair is counted separately.
 COUNT_FRAGMENTS = 4
 #: 64-bit words in the signature of a set.
-SIGNATURE = 32
+SIGNATURE = 16
 #: Words whose hash a process keeps; beyond it the table is filled anew.
 CACHE_WORDS = 300_000
 
@@ -315,9 +315,12 @@ def prefixes(sets: DataFrame) -> DataFrame:
 
 
 def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link: overlap counted in each fragment, then summed."""
+    """The pairs (a, b) that link: overlap counted in each fragment, then summed. The sets on the right are picked out by
+    the exchange that brings those on the left, so that all segments are dealt out once."""
+    pairs = cut(pairs)
     left = segments.select(F.col("set_id").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("held").alias("held_a"))
     right = segments.select(F.col("set_id").alias("b"), "fragment", F.col("n").alias("n_b"), F.col("held").alias("held_b"))
+    right = right.join(pairs.select("b").distinct(), "b", "left_semi")
     partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("held_a", "held_b")).alias("both"))
     total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("both").alias("both"))
     return total.where("7 * both >= 3 * (n_a + n_b)").select("a", "b")  # 4 * both >= 3 * (n_a + n_b - both)
@@ -374,7 +377,8 @@ def link_components(sets: DataFrame) -> DataFrame:
     prefix = cut(prefixes(sets))
     signatures = sets.select("set_id", "signature")
     of_a, of_b = (signatures.select(F.col("set_id").alias(x), F.col("signature").alias(f"signature_{x}")) for x in "ab")
-    segments = sets.select("set_id", "n", F.explode(F.sequence(F.lit(0), F.lit(COUNT_FRAGMENTS - 1))).alias("fragment"), "held")
+    met = prefix.select("set_id").distinct()
+    segments = sets.join(met, "set_id", "left_semi").select("set_id", "n", F.explode(F.sequence(F.lit(0), F.lit(COUNT_FRAGMENTS - 1))).alias("fragment"), "held")
     in_range = F.expr(f"filter(held, x -> pmod(shiftrightunsigned(x, {8 * PACKED_BYTES - 2}), {COUNT_FRAGMENTS}) = fragment)")
     segments = cut(segments.select("set_id", "n", "fragment", in_range.alias("held")))
     labels = cut(prefix.select("set_id", F.col("set_id").alias("label")).distinct())
