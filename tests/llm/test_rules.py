@@ -70,3 +70,12 @@ def test_base_against_plain_regex(spark, sf):
         repeats = naive_repeats(words)
         assert (r.n_words, r.word_chars, r.n_repeat_words) == (len(words), sum(map(len, words)), repeats)
         assert r.base_failed == (len(words) < 10 or 100 * repeats > 20 * len(words)) and not (r.base_failed and r.kept)
+
+
+def test_sample_moves_no_text(spark, odd, odd_rows):
+    """The order's sample is drawn in place: no exchange, and about as many rows as asked for."""
+    assert rules_cascade.sample_texts(odd, rows=len(odd_rows)).count() == len(odd_rows)
+    many = spark.range(0, 20_000, numPartitions=8).selectExpr("id as doc_id", "concat('text ', id) as text")
+    few = rules_cascade.sample_texts(many)
+    assert abs(few.count() - rules_cascade.SAMPLE_ROWS) < 150
+    assert "Exchange" not in few._jdf.queryExecution().executedPlan().toString()
