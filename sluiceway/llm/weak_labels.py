@@ -241,12 +241,17 @@ def vote_counts(df: DataFrame, text: str) -> dict[int, int]:
     return {r["pattern"]: r["n"] for r in rows}
 
 
+def sample_texts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """One text for each of at most SAMPLE_DOCS ids, the smallest where an id has several; a repeated id counts once."""
+    ids = df.select(F.col(f"`{key}`").alias("_key")).where("_key is not null").distinct()
+    sample = ids.orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE_DOCS)
+    texts = df.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").cast("string").alias("_text")).join(F.broadcast(sample), "_key")
+    return texts.groupBy("_key").agg(F.min("_text").alias("_text")).select("_text")
+
+
 def learn(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[LabelModel, np.ndarray]:
     """The label model from all rows, and the scorer's weights from the sample."""
     model = LabelModel(vote_counts(df, text))
-    ids = df.select(F.col(f"`{key}`").alias("_key")).where("_key is not null").distinct()
-    sample = ids.orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE_DOCS)
-    texts = df.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").cast("string").alias("_text")).join(F.broadcast(sample), "_key").select("_text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
@@ -259,7 +264,7 @@ def learn(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Label
                     "values": pa.array([list(r.values()) for r in rows], pa.list_(pa.float32())),
                 })
 
-    got = map_arrow(texts, run, "pattern long, slots array<int>, values array<float>").toArrow()
+    got = map_arrow(sample_texts(df, key, text), run, "pattern long, slots array<int>, values array<float>").toArrow()
     patterns, slots, values = (got.column(c).to_pylist() for c in ("pattern", "slots", "values"))
     rows = [dict(zip(s, v, strict=True)) for s, v in zip(slots, values, strict=True)]
     order = sorted(range(len(rows)), key=lambda k: (patterns[k], slots[k]))  # sums in a fixed order

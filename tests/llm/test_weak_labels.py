@@ -56,3 +56,12 @@ def test_odd_rows(odd, odd_rows, empty):
     got = weak_labels.classify(odd).collect()
     assert len(got) == len(odd_rows) and all(0 <= r.score <= 1 for r in got)
     assert weak_labels.classify(empty).count() == 0
+
+
+def test_sample_takes_a_repeated_id_once(spark, monkeypatch):
+    monkeypatch.setattr(weak_labels, "SAMPLE_DOCS", 5)
+    rows = spark.range(10_000).selectExpr("1L as doc_id", "concat('b', id) as text").unionByName(spark.range(2, 50).selectExpr("id as doc_id", "'plain words' as text"))
+    assert weak_labels.sample_texts(rows, "doc_id", "text").count() == 5
+    monkeypatch.setattr(weak_labels, "SAMPLE_DOCS", 100)
+    texts = [r[0] for r in weak_labels.sample_texts(rows, "doc_id", "text").collect()]
+    assert len(texts) == 49 and texts.count("b0") == 1
