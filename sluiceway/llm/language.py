@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from sluiceway.llm.common import Texts, map_arrow, map_texts, slices
 
-#: Bounds of the training sample.
+#: Bounds of the training sample: documents of a language, and languages (the most frequent ones).
 PER_LANGUAGE = 600
+MOST_LANGUAGES = 1000
 TRAIN_WINDOWS = 8
 
 #: The network.
@@ -183,11 +184,17 @@ class Tables:
 
 
 def training_windows(df: DataFrame, key: str, text: str, lang: str, eligible: Column) -> tuple[np.ndarray, list[str]]:
-    """Windows of the bounded sample and the language of each."""
-    ids = df.where(eligible & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(f"`{key}`").alias("_key"), F.col(f"`{lang}`").cast("string").alias("_lang"))
+    """Windows of the bounded sample and the language of each; an id counts once, with its smallest language and text."""
+    rows = df.where(eligible).select(F.col(f"`{key}`").alias("_key"), F.col(f"`{lang}`").cast("string").alias("_lang"), F.col(f"`{text}`").cast("string").alias("_text"))
+    rows = rows.where("_key is not null and _lang is not null and _text is not null")
+    ids = rows.groupBy("_key").agg(F.min("_lang").alias("_lang"))
+    totals = ids.groupBy("_lang").agg(F.count(F.lit(1)).alias("_ids")).orderBy(F.desc("_ids"), "_lang").limit(MOST_LANGUAGES)
+    # The smallest hashes of a language all lie in this share of it, but for a chance of some 10 ** -500.
+    rank = F.xxhash64("_key").cast("double") / 2.0**64 + 0.5
+    low = ids.join(F.broadcast(totals), "_lang").where(rank * F.col("_ids") <= 4 * PER_LANGUAGE)
     order = Window.partitionBy("_lang").orderBy(F.xxhash64("_key"), "_key")
-    sample = ids.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= PER_LANGUAGE).select("_key", "_lang").dropDuplicates(["_key"])
-    texts = df.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").cast("string").alias("_text")).join(F.broadcast(sample), "_key").select("_lang", "_text")
+    sample = low.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= PER_LANGUAGE).select("_key", "_lang")
+    texts = rows.join(F.broadcast(sample), ["_key", "_lang"]).groupBy("_key", "_lang").agg(F.min("_text").alias("_text")).select("_lang", "_text")
 
     def cut_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

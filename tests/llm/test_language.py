@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from sluiceway.llm import language, queries
 from sluiceway.llm.language import ByteNetwork, windows_of
@@ -55,3 +56,22 @@ def test_odd_rows(spark, odd, odd_rows, empty):
     assert language.identify(empty).count() == 0
     none = odd.selectExpr("doc_id", "text", "cast(null as string) as lang")
     assert {r.lang_pred for r in language.identify(none).collect()} == {"und"}
+
+
+def test_training_takes_a_repeated_id_once(spark, monkeypatch):
+    monkeypatch.setattr(language, "PER_LANGUAGE", 5)
+    repeated = spark.range(10_000).selectExpr("1L as doc_id", "concat('text ', id) as text", "if(id % 2 = 0, 'en', 'fr') as lang")
+    others = spark.range(2, 300).selectExpr("id as doc_id", "concat('word', id) as text", "if(id % 3 = 0, 'fr', 'en') as lang")
+    rows, names = language.training_windows(repeated.unionByName(others), "doc_id", "text", "lang", F.lit(True))
+    assert len(rows) == 10 and sorted(names) == ["en"] * 5 + ["fr"] * 5 and len({r.tobytes() for r in rows}) == 10
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 1)
+    assert set(language.training_windows(others, "doc_id", "text", "lang", F.lit(True))[1]) == {"en"}
+
+
+def test_threshold_keeps_the_smallest_hashes(spark, monkeypatch):
+    """The hash threshold before the ranking changes nothing in the sample."""
+    monkeypatch.setattr(language, "PER_LANGUAGE", 100)
+    rows = spark.range(3000).selectExpr("id as doc_id", "concat('w', id) as text", "if(id % 3 = 0, 'fr', 'en') as lang")
+    got = {bytes(r).rstrip().decode() for r in language.training_windows(rows, "doc_id", "text", "lang", F.lit(True))[0]}
+    ranked = sorted(rows.withColumn("h", F.xxhash64("doc_id")).collect(), key=lambda r: r.h)
+    assert got == {r.text for x in ("fr", "en") for r in [r for r in ranked if r.lang == x][:100]}
