@@ -178,8 +178,12 @@ def held_out(key: str) -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Lexicon:
-    """The lexicon from the bounded labelled sample: folds 0 and 1 are counted, fold 3 fits the curve."""
-    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key)).groupBy(F.col(f"`{key}`").alias("_key")).agg(F.max(F.col(label).cast("int")).alias("_toxic"))
+    """The lexicon from the bounded labelled sample: folds 0 and 1 are counted, fold 3 fits the curve.
+
+    Labels other than 0 and 1 are no labels; the larger one counts where a key has both.
+    """
+    stated = labels.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{label}`").cast("double").alias("_toxic")).where(F.col("_key").isNotNull() & F.col("_toxic").isin(0.0, 1.0) & ~held_out("_key"))
+    known = stated.groupBy("_key").agg(F.max(F.col("_toxic").cast("int")).alias("_toxic"))
     sample = known.orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE_DOCS)
     texts = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").cast("string").alias("_text")).join(F.broadcast(sample), "_key")
     texts = cut(texts.select("_toxic", (_fold("_key") == 3).alias("_fit"), "_text"))

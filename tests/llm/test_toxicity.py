@@ -61,3 +61,12 @@ def test_odd_rows(spark, odd, odd_rows, empty):
     assert {r.score for r in toxicity.score(odd, none).collect()} == {0.0}
     labels = spark.createDataFrame([(1, 1, 1), (1, 1, 0), (None, 1, 1), (9, 1, None), (5, 0, 0)], "doc_id long, quality int, toxic int")
     assert toxicity.score(odd, labels).count() == len(odd_rows) and toxicity.score(empty, labels).count() == 0
+
+
+def test_other_labels_are_no_labels(spark):
+    words = spark.range(400).selectExpr("id as doc_id", "if(id % 4 = 0, 'you idiot moron', 'a kind word here') as text")
+    right = words.selectExpr("doc_id", "if(doc_id % 4 = 0, 1, 0) as toxic")
+    other = right.unionByName(spark.range(400).selectExpr("id as doc_id", "if(id % 2 = 0, 2, -1) as toxic"))
+    want, got = ({r.doc_id: (r.score, r.predicted) for r in toxicity.score(words, x).collect()} for x in (right, other))
+    assert got == want and {p for _, p in got.values()} == {0, 1}
+    assert {r.score for r in toxicity.score(words, words.selectExpr("doc_id", "2 as toxic")).collect()} == {0.0}
