@@ -82,6 +82,7 @@ class ItemIndex:
 
     def __init__(self, items: list[tuple[object, str]], frequency: dict[bytes, int], n_items: int, mean_length: float):
         self.keys, self.parts, lengths = [], [], []
+        self.key_type: pa.DataType | None = None  # as Spark sends the keys; inferred if unset
         postings: dict[bytes, list[tuple[int, float]]] = {}
         for key, text in items:
             tokens = tokens_of(text)
@@ -252,12 +253,14 @@ def build_indexes(items: DataFrame, key: str = "item_id", text: str = "text", in
     parts = max(1, -(-size // index_bytes))
     for part in range(parts):
         own = rows.where(F.pmod(F.xxhash64("key", "text"), F.lit(parts)) == part) if parts > 1 else rows
-        held = own.orderBy("key", "text").collect()  # within index_bytes
+        held = own.orderBy("key", "text").toArrow()  # within index_bytes
         wanted = terms.where("term is not null")
         if parts > 1:
             wanted = wanted.join(map_arrow(own, count, "term binary, df long, length long").select("term").distinct(), "term")
         frequency = {bytes(r["term"]): r["df"] for r in wanted.select("term", "df").toLocalIterator()}
-        yield ItemIndex([(r["key"], r["text"]) for r in held], frequency, n_items, mean)
+        index = ItemIndex(list(zip(held.column("key").to_pylist(), held.column("text").to_pylist(), strict=True)), frequency, n_items, mean)
+        index.key_type = held.schema.field("key").type
+        yield index
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -281,7 +284,7 @@ def _finder(shared) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBa
                 if rows:
                     which, numbers, scores, asked, said = map(list, zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0).take(pa.array(which)), pa.array([index.keys[n] for n in numbers]), *(pa.array(x, pa.float64()) for x in (scores, asked, said))],
+                        [part.column(0).take(pa.array(which)), pa.array([index.keys[n] for n in numbers], index.key_type), *(pa.array(x, pa.float64()) for x in (scores, asked, said))],
                         names=["_key", "_item", "score", "question_overlap", "answer_overlap"],
                     )
 

@@ -99,3 +99,15 @@ def test_windows_of_any_length_lie_in_the_passages():
         for place in rng.sample(range(900), 60):
             words = [f"f{k}" for k in range(1000)]
             assert [index.keys[n] for n, *_ in index.leaks(" ".join([*words[:place], text, *words[place:]]))] == [key]
+
+
+@pytest.mark.parametrize("kind", ["int", "smallint", "string", "double", "decimal(12,2)", "date", "timestamp", "binary"])
+def test_items_with_ids_of_any_type(spark, kind):
+    of = {"date": "date_add(date'2020-01-01', cast(id as int))", "timestamp": "timestamp_seconds(id)", "binary": "cast(cast(id as string) as binary)"}.get(kind, f"cast(id as {kind})")
+    text = "concat('What colour is the bird number', id, ' of the old garden? It is blue', id, '.')"
+    items = spark.range(3).selectExpr(f"if(id = 2, null, {of}) as item_id", f"{text} as text")
+    docs = spark.range(4).selectExpr("id as doc_id", f"{text} as text")
+    got = decontaminate.find_leaks(docs, items)
+    assert got.schema["item_id"].dataType == items.schema["item_id"].dataType
+    want = {(r.id, r.item) for r in spark.range(3).selectExpr("id", f"if(id = 2, null, {of}) as item").collect()}
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want
