@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 # The steps of a run in order, and names that are not user tables.
 STEPS = ("extract", "normalize", "load")
-SYSTEM_MARK = "_pipeline_state"
-SYSTEM_NAMES = ("Resources",)
+STATE_TABLE = "_pipeline_state"
+SYSTEM_NAMES = (STATE_TABLE, "Resources")
 
 
 def step_number(step: Column) -> Column:
@@ -27,10 +27,10 @@ def step_number(step: Column) -> Column:
 
 
 def skip_system(df: DataFrame, name: str = "name", label: str | None = None) -> DataFrame:
-    """Leave out the state table and the resource counter."""
-    keep = ~F.col(name).isin(*SYSTEM_NAMES) & ~F.col(name).contains(SYSTEM_MARK)
+    """Leave out the state table and the resource counter, by their whole names; with `label`, also what is labelled with the state table."""
+    keep = ~F.col(name).isin(*SYSTEM_NAMES)
     if label:
-        keep = keep & ~F.coalesce(F.col(label).contains(SYSTEM_MARK), F.lit(False))
+        keep = keep & ~F.coalesce(F.col(label) == STATE_TABLE, F.lit(False))
     return df.filter(keep)
 
 

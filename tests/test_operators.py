@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from sluiceway.functions.names import snake_case, snake_columns
 from sluiceway.functions.text import canonical_text
-from sluiceway.operators import merge as merges
+from sluiceway.operators import merge as merges, observe
 from sluiceway.operators.dedup import dedup
 from sluiceway.operators.incremental import Cursor, new_rows
 from sluiceway.operators.normalize import detect_iso_timestamps, evolve_union, flatten, relational, wider_type, with_row_id
@@ -229,3 +229,11 @@ def test_maps_become_child_tables(spark):
     df = spark.range(1).select("id", F.create_map(F.lit("a"), F.lit(1)).alias("m"))
     child = relational(with_row_id(df, keys=["id"]), "t")["t__m"]
     assert [(r.key, r.value) for r in child.collect()] == [("a", 1)]
+
+
+def test_system_names_are_whole_names(spark):
+    """A user's table whose name only holds the state table's name is a table like others."""
+    rows = [("_pipeline_state", None), ("Resources", None), ("sales_pipeline_state", None), ("sales", "_pipeline_state"), ("sales", "my_pipeline_state_2"), ("sales", None)]
+    df = spark.createDataFrame(rows, "name string, label string")
+    assert sorted(r.name for r in observe.skip_system(df).collect()) == ["sales", "sales", "sales", "sales_pipeline_state"]
+    assert sorted((r.name, r.label or "") for r in observe.skip_system(df, "name", "label").collect()) == [("sales", ""), ("sales", "my_pipeline_state_2"), ("sales_pipeline_state", "")]
