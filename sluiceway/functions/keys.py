@@ -77,16 +77,12 @@ def _unordered(dtype: T.DataType) -> bool:
 def one_row_per_key(rows: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
     """The same rows, failing at run time when a key occurs twice.
 
-    Counted with a map-side combine, so even a key held by a third of the rows
-    reaches its reducer as one row per map task. The check sits in a filter,
-    which column pruning cannot remove.
+    The keys alone are counted, with a map-side combine, so even a key held by a third of
+    the rows reaches its reducer as one row per map task. The rows wait for the outcome, a
+    scalar subquery in a filter, and are neither shuffled nor sorted for it.
     """
-    rest = [c for c in rows.columns if c not in keys]
-    counted = rows.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
-        F.count(F.lit(1)).alias("__n"), F.first(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("__row")
-        if rest else F.lit(None).alias("__row")
-    )
     message = F.concat(F.lit(f"{what}: more than one row for key ("), F.lit(", ".join(keys)), F.lit(") = "),
                        F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys])))
-    single = counted.filter(F.when(F.col("__n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
-    return single.select(*[F.col(f"`{c}`") if c in keys else F.col(f"__row.`{c}`").alias(c) for c in rows.columns])
+    counted = rows.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
+    failed = counted.agg(F.max(F.when(F.col("__n") > 1, F.raise_error(message).cast("boolean"))))
+    return rows.filter(failed.scalar().isNull())

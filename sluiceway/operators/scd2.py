@@ -76,6 +76,7 @@ def scd2_change(target: DataFrame | None, incoming: DataFrame, boundary: Column,
     """
     start, end = cfg.columns
     open_end = F.lit(cfg.active_until).cast("timestamp_ntz")
+    arrived = incoming
     if cfg.natural_key:
         incoming = one_row_per_key(incoming, cfg.natural_key, "scd2")
     own = [start, end] + ([cfg.hash_column] if cfg.hash_column else [])
@@ -89,7 +90,7 @@ def scd2_change(target: DataFrame | None, incoming: DataFrame, boundary: Column,
     outside = None
     scope = cfg.natural_key or cfg.partition_key
     if scope:
-        loaded = key_set(incoming, scope)
+        loaded = key_set(arrived, scope)
         outside = without_keys(active, loaded, scope)
         active = with_keys(active, loaded, scope)
     old = active.drop(*[c for c in own if c != start]).withColumns({"__old": F.lit(1), "__new": F.lit(0)})

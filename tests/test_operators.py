@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluiceway.functions.keys import one_row_per_key
 from sluiceway.functions.names import snake_case, snake_columns
 from sluiceway.functions.text import canonical_text
 from sluiceway.operators import merge as merges, observe
@@ -237,3 +238,25 @@ def test_system_names_are_whole_names(spark):
     df = spark.createDataFrame(rows, "name string, label string")
     assert sorted(r.name for r in observe.skip_system(df).collect()) == ["sales", "sales", "sales", "sales_pipeline_state"]
     assert sorted((r.name, r.label or "") for r in observe.skip_system(df, "name", "label").collect()) == [("sales", ""), ("sales", "my_pipeline_state_2"), ("sales_pipeline_state", "")]
+
+
+def test_unique_keys_are_checked_apart_from_the_rows(spark, tmp_path):
+    """Keys are counted by a hash aggregate; the rows are not shuffled, sorted or aggregated, and a repeated key fails."""
+    rows = spark.range(1000).selectExpr("id % 999 as k", "if(id % 5 = 0, null, cast(id as string)) as t", "array(id) as list", "map('a', id) as m")
+    rows.where("k > 0").write.parquet(f"{tmp_path}/good")
+    rows.write.parquet(f"{tmp_path}/bad")
+    good = one_row_per_key(spark.read.parquet(f"{tmp_path}/good"), ["k"], "upsert")
+    assert good.count() == 998 and good.columns == rows.columns
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    main = plan.split("Subqueries")[0] if "Subqueries" in plan else plan
+    assert "first(" not in main and "struct" not in main.split("subquery")[0]
+    bad = spark.read.parquet(f"{tmp_path}/bad")
+    with pytest.raises(Exception, match=r'more than one row for key \(k\) = \{"k":0\}'):
+        one_row_per_key(bad, ["k"], "upsert").collect()
+    with pytest.raises(Exception, match="more than one row for key"):
+        one_row_per_key(bad, ["k"], "upsert").select("t").write.parquet(f"{tmp_path}/out")
+    nulls = spark.createDataFrame([(None, "a"), (None, "b")], "`k.x` string, v string")
+    with pytest.raises(Exception, match="more than one row"):
+        one_row_per_key(nulls, ["k.x"], "upsert").collect()
+    assert one_row_per_key(nulls.limit(0), ["k.x"], "upsert").count() == 0
