@@ -49,6 +49,8 @@ PACKED_BYTES = 6
 COUNT_FRAGMENTS = 4
 #: 64-bit words in the signature of a set.
 SIGNATURE = 16
+#: 64-bit values of a written frame that one task reads at least (4 MB), so that few rows make few tasks and files.
+TASK_VALUES = 1 << 19
 #: Words whose hash a process keeps; beyond it the table is filled anew.
 CACHE_WORDS = 300_000
 
@@ -337,6 +339,14 @@ def _may_overlap(a: str, b: str) -> Column:
     return F.expr(f"7 * least(shared{a} - ({lacks(a, b)}), shared{b} - ({lacks(b, a)})) >= 3 * (n{a} + n{b})")
 
 
+def _dense(df: DataFrame, width: Column | int) -> DataFrame:
+    """The same rows, written to the shared folder and read in as few tasks as their size (values a row) allows."""
+    written = cut(df)
+    values = written.agg(F.sum(F.lit(width) if isinstance(width, int) else width)).first()[0] or 0
+    tasks = int(values) // TASK_VALUES + 1
+    return written.coalesce(tasks) if tasks < written.rdd.getNumPartitions() else written
+
+
 def merge_components(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels (set_id, label) after links (a, b): a component's label is its smallest set id.
 
@@ -345,20 +355,20 @@ def merge_components(labels: DataFrame, links: DataFrame) -> DataFrame:
     """
     of_a, of_b = (labels.select(F.col("set_id").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
     edges = links.join(of_a, "a").join(of_b, "b").where("label_a <> label_b").select(F.least("label_a", "label_b").alias("x"), F.greatest("label_a", "label_b").alias("y")).distinct()
-    edges = cut(edges.union(edges.select("y", "x")))
+    edges = _dense(edges.union(edges.select("y", "x")), 2)
     if edges.isEmpty():
         return labels
     nodes = edges.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("to")).withColumnRenamed("x", "node")
+    nodes = _dense(nodes, 2)
     while True:
-        nodes = cut(nodes)
         jumped = nodes.join(nodes.select(F.col("node").alias("to"), F.col("to").alias("further")), "to").select("node", F.col("to").alias("was"), F.col("further").alias("to"))
         around = edges.join(jumped.select(F.col("node").alias("y"), F.col("to").alias("seen")), "y").groupBy(F.col("x").alias("node")).agg(F.min("seen").alias("seen"))
-        after = cut(jumped.join(around, "node").select("node", "was", F.least("to", "seen").alias("to")))
+        after = _dense(jumped.join(around, "node").select("node", "was", F.least("to", "seen").alias("to")), 3)
         nodes = after.select("node", "to")
         if after.where("was <> to").isEmpty():
             break
     joined = labels.join(nodes.withColumnRenamed("node", "label"), "label", "left")
-    return cut(joined.select("set_id", F.coalesce("to", "label").alias("label")))
+    return _dense(joined.select("set_id", F.coalesce("to", "label").alias("label")), 2)
 
 
 def _open_pairs(labelled: DataFrame) -> int:
@@ -371,14 +381,14 @@ def _open_pairs(labelled: DataFrame) -> int:
 
 def link_components(sets: DataFrame) -> DataFrame:
     """set_id, label for every set that some prefix brings together with another; sets are (set_id, n, held, signature)."""
-    prefix = cut(prefixes(sets))
+    prefix = _dense(prefixes(sets), 4)
     signatures = sets.select("set_id", "signature")
     of_a, of_b = (signatures.select(F.col("set_id").alias(x), F.col("signature").alias(f"signature_{x}")) for x in "ab")
     met = prefix.select("set_id").distinct()
     segments = sets.join(met, "set_id", "left_semi").select("set_id", "n", F.explode(F.sequence(F.lit(0), F.lit(COUNT_FRAGMENTS - 1))).alias("fragment"), "held")
     in_range = F.expr(f"filter(held, x -> pmod(shiftrightunsigned(x, {8 * PACKED_BYTES - 2}), {COUNT_FRAGMENTS}) = fragment)")
-    segments = cut(segments.select("set_id", "n", "fragment", in_range.alias("held")))
-    labels = cut(prefix.select("set_id", F.col("set_id").alias("label")).distinct())
+    segments = _dense(segments.select("set_id", "n", "fragment", in_range.alias("held")), F.size("held") + 3)
+    labels = _dense(prefix.select("set_id", F.col("set_id").alias("label")).distinct(), 2)
     entries, before = prefix.count(), float("inf")
     for turn in itertools.count():
         labelled = prefix.join(labels, "set_id")
@@ -395,13 +405,13 @@ def link_components(sets: DataFrame) -> DataFrame:
         pairs = labelled.join(centre, "shingle").where(F.expr("label <> label_b") & _may_link("", "_b"))
         pairs = pairs.select(F.col("set_id").alias("a"), "b", F.col("n").alias("n_a"), "n_b", F.col("shared").alias("shared_a"), "shared_b").distinct()
         pairs = pairs.join(of_a, "a").join(of_b, "b").where(_may_overlap("_a", "_b")).select("a", "b")
-        links = cut(overlaps(pairs, segments))
+        links = _dense(overlaps(pairs, segments), 2)
         if links.isEmpty():
             break
         labels = merge_components(labels, links)
     labelled = prefix.join(labels, "set_id")
     mixed = labelled.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("shingle")
-    rest = cut(labelled.join(mixed, "shingle", "left_semi").join(signatures, "set_id").select("shingle", "set_id", "n", "shared", "label", "signature"))
+    rest = _dense(labelled.join(mixed, "shingle", "left_semi").join(signatures, "set_id").select("shingle", "set_id", "n", "shared", "label", "signature"), SIGNATURE + 5)
     other = rest.select("shingle", *[F.col(c).alias(d) for c, d in (("set_id", "b"), ("n", "n_b"), ("shared", "shared_b"), ("label", "label_b"), ("signature", "signature_b"))])
     pairs = rest.join(other, "shingle").where(F.expr("label < label_b") & _may_link("", "_b") & _may_overlap("", "_b")).select(F.col("set_id").alias("a"), "b").distinct()
     return merge_components(labels, overlaps(pairs, segments))
