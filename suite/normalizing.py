@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sluiceway.functions.names import snake_columns
@@ -64,8 +65,11 @@ def norm_child_table(spark, sf_dir):
 def norm_row_id(spark, sf_dir):
     """Every row twice, and many rows alike: as many ids as rows."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    ids = with_row_id(lines.unionByName(lines), load_id="load-1")
-    return ids.groupBy("l_orderkey", "l_linenumber").agg(F.countDistinct("_row_id").alias("row_ids"))
+    ids = with_row_id(lines.unionByName(lines), load_id="load-1").select("l_orderkey", "l_linenumber", F.unhex("_row_id").alias("id"))
+    # the ids of a key, in order, are counted as they pass: one sort of partitions that lie by key already, no table of all ids in memory
+    of_key = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("id")
+    numbered = ids.withColumns({"row_ids": F.dense_rank().over(of_key).cast("long"), "__next": F.lead("id").over(of_key)})
+    return numbered.filter(F.col("__next").isNull()).select("l_orderkey", "l_linenumber", "row_ids")
 
 
 @query("norm_load_id", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal, 'load-7' AS _load_id FROM supplier")

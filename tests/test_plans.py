@@ -222,3 +222,12 @@ def test_no_cross_join_anywhere(spark, sf, name):
     text = plan(QUERIES[name](spark, sf))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython"):
         assert node not in text
+
+
+def test_ids_of_rows_are_counted_without_a_table_of_them(spark, sf):
+    """The ids are counted in order as they pass; an aggregate over them would hold every id of a partition in memory, or spill."""
+    counted = QUERIES["norm_row_id"](spark, sf)
+    assert not [line for line in plan(counted).splitlines() if "Aggregate" in line and ("distinct" in line or "_row_id" in line)]
+    assert counted.schema.simpleString() == "struct<l_orderkey:bigint,l_linenumber:int,row_ids:bigint>"
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    assert counted.agg(F.sum("row_ids")).first()[0] == 2 * lines.count()
