@@ -112,6 +112,20 @@ def run_topic_latest(spark, sf_dir):
     return dataset.read("messages").select("offset", "partition")
 
 
+def _at_rank(rows, column, rank, bins=1024):
+    """The whole number at a place (from 0) of the sorted column: the range that holds it is cut into ever smaller ones by their counts, no row is collected."""
+    low, high = rows.agg(F.min(column), F.max(column)).first()
+    while low < high:
+        width = (high - low) // bins + 1
+        counts = rows.filter(F.col(column).between(low, high)).groupBy(F.expr(f"({column} - ({low}L)) div {width}L").alias("bin")).count()
+        for found in sorted(counts.collect()):  # at most `bins` rows
+            if rank < found["count"]:
+                break
+            rank -= found["count"]
+        low, high = low + found["bin"] * width, min(high, low + (found["bin"] + 1) * width - 1)
+    return low
+
+
 @query("run_topic_since", """
     WITH e AS (SELECT event_id, event_type, user_id % 4 AS p, epoch_us(ts) // 1000 AS ms FROM events),
     t AS (SELECT ms AS since FROM e ORDER BY ms LIMIT 1 OFFSET (SELECT count(*) // 2 FROM e)),
@@ -122,8 +136,8 @@ def run_topic_since(spark, sf_dir):
     """A bounded run over the archive from a time on: every partition from its first message that is not older."""
     base, uri = _folder(spark, "since-in")
     _archive(spark, sf_dir, base, "true", 3)
-    times = envelope(spark, sf_dir).select("timestamp").orderBy("timestamp")
-    since = times.offset(times.count() // 2).first()[0]
+    times = envelope(spark, sf_dir).select("timestamp")
+    since = _at_rank(times, "timestamp", times.count() // 2)
     dataset = new_dataset(spark, "since")
     run(spark, job("since", _resumed(f"timestamp:{since}", resume=False), source_uri=uri), dataset=dataset)
     return dataset.read("messages").select("offset", "partition")

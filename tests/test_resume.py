@@ -148,3 +148,12 @@ def test_a_source_that_is_no_stream(spark, dataset):
     job = {**spec("/nowhere", "a", resume=True), "source_uri": "postgresql://u:p@h:5432/d"}
     with pytest.raises(ValueError, match="cannot be resumed"):
         run(spark, job, dataset=dataset)
+
+
+def test_the_middle_time_is_found_by_counts(spark):
+    """The place in the sorted times is found without collecting them, also among ties and below zero."""
+    from suite.resuming import _at_rank
+
+    values = [5, 5, 5, 9, -4_000_000, -3, -3, 1_700_000_000_123, 1_700_000_000_124]
+    rows = spark.createDataFrame([(v,) for v in values], "t long").coalesce(1).cache()
+    assert [_at_rank(rows, "t", r) for r in (0, 2, 4, 8)] == [sorted(values)[r] for r in (0, 2, 4, 8)]
