@@ -36,7 +36,7 @@ def _read_files(spark: SparkSession, uri: str, name: str, options: Mapping) -> D
         kind, millis = topics.parse_start(options.get("start_from") or "earliest")
         if kind == "latest":
             raise ValueError("a bounded read from 'latest' is empty; use `resume`")
-        return decoded(topics.from_timestamp(envelope, millis) if kind == "timestamp" else envelope, options)
+        return decoded(topics.spread(topics.from_timestamp(envelope, millis) if kind == "timestamp" else envelope), options)
     if options.get("with_rejects"):
         return rejects.read_checked(spark, folder, name, schema, after)
     return files.read_files(spark, folder, name, schema, after)
@@ -80,7 +80,8 @@ def open_stream(spark: SparkSession, uri: str, name: str, options: Mapping) -> D
     if READERS.get(family) is not _read_files:
         raise ValueError(f"{scheme} sources cannot be resumed as a stream; use incremental_config")
     at_once = {"maxFilesPerTrigger": str(size)} if size else {}
-    return rejects.read_checked(spark, folder_of(uri), name, options.get("schema"), stream=True, **at_once)
+    rows = rejects.read_checked(spark, folder_of(uri), name, options.get("schema"), stream=True, **at_once)
+    return topics.spread(rows) if options.get("payload") else rows
 
 
 def archived(spark: SparkSession, uri: str, name: str, options: Mapping) -> DataFrame | None:

@@ -113,6 +113,11 @@ def start_offsets(envelope: DataFrame, start_from: str) -> DataFrame | None:
     )
 
 
+def spread(envelope: DataFrame) -> DataFrame:
+    """Archived messages, dealt out evenly: one task reads a row group of a file, and to decode a message costs far more than to move it."""
+    return envelope.hint("rebalance")
+
+
 def high_watermarks(envelope: DataFrame) -> DataFrame:
     """The offset after the last one, per topic partition: where `latest` starts."""
     return envelope.groupBy(F.col("topic").alias("__topic"), F.col("partition").alias("__partition")).agg(
@@ -129,7 +134,7 @@ def from_latest(envelope: DataFrame, watermarks: DataFrame) -> DataFrame:
 
 def _from_offsets(envelope: DataFrame, starts: DataFrame) -> DataFrame:
     on = (F.col("topic") == F.col("__topic")) & (F.col("partition") == F.col("__partition"))
-    joined = envelope.join(starts, on, "inner").filter(F.col("offset") >= F.col("__start"))
+    joined = envelope.join(F.broadcast(starts), on, "inner").filter(F.col("offset") >= F.col("__start"))
     return joined.drop("__topic", "__partition", "__start")
 
 

@@ -157,3 +157,18 @@ def test_the_middle_time_is_found_by_counts(spark):
     values = [5, 5, 5, 9, -4_000_000, -3, -3, 1_700_000_000_123, 1_700_000_000_124]
     rows = spark.createDataFrame([(v,) for v in values], "t long").coalesce(1).cache()
     assert [_at_rank(rows, "t", r) for r in (0, 2, 4, 8)] == [sorted(values)[r] for r in (0, 2, 4, 8)]
+
+
+def test_one_file_of_messages_is_decoded_by_several_tasks(spark, dataset):
+    """A row group is read by one task; the messages are dealt out before they are decoded, in a resumed and in a bounded run."""
+    base = scratch_dir(spark, "in")
+    rows = spark.range(0, 100_000, 1, 1).selectExpr(
+        "'t' as topic", "0 as partition", "id as offset", "id as timestamp", "cast(null as binary) as key", "cast(concat('{\"k\":', id, ',\"x\":\"', sha2(string(id), 256), '\"}') as binary) as value")
+    rows.write.parquet(f"{base}/m.parquet.1")
+    for options in ({"resume": True}, {"start_from": "timestamp:10"}):
+        job = spec(base, "m.parquet", payload="k long, x string", **options)
+        seen = set(dataset.table("t").paths) if dataset.table("t") else set()
+        run(spark, job, dataset=dataset)
+        new = [f for p in dataset.table("t").paths if p not in seen for f in storage.files_in(spark, p)]
+        assert len(new) > 1
+    assert dataset.read("t").count() == 100_000 + 99_990
