@@ -250,6 +250,7 @@ class _Load:
                 if marked:
                     rows = rows.drop(*rejects.MARKS)
                     self._keep_rejected(package, rejected_paths, started)
+                rows = self._without_repeats(rows, packages)
                 if res.options.get("detect_timestamps"):
                     rows = detect_iso_timestamps(rows)
                 tables = self._normalized(rows, empty=not paths)
@@ -327,13 +328,6 @@ class _Load:
     def _package(self, df: DataFrame, observe: list[Column]) -> TableState:
         """The rows as written files, which cuts the lineage: they are read by several plans."""
         res = self.res
-        if _nested(df.schema) and res.disposition == "merge" and res.strategy == "delete-insert" and res.keys("primary_key"):
-            # children are split off later, so repeated roots have to go first; rejected rows have no key and all stay
-            if rejects.is_marked(df):
-                df = df.withColumn("__each", F.when(rejects.rejected(), F.monotonically_increasing_id()))
-                df = dedup(df, [*res.keys("primary_key"), "__each"], res.config.get("dedup_sort_column")).drop("__each")
-            else:
-                df = dedup(df, res.keys("primary_key"), res.config.get("dedup_sort_column"))
         bucket = None
         if rejects.is_marked(df):
             bucket = F.when(rejects.rejected(), 1).otherwise(0)  # both parts in one pass
@@ -341,6 +335,22 @@ class _Load:
                 df = df.withColumn(rejects.VALUE, F.lit(None).cast("string"))  # the text would show what the rules hide
         return self.dataset.stage(f"_packages/{uuid.uuid4().hex[:12]}", df, bucket, observe=observe, without=_HELPERS)
 
+    def _without_repeats(self, rows: DataFrame, packages: list[TableState]) -> DataFrame:
+        """One row per primary key, where children are split off later. The keys of the written package are
+        counted; only rows whose key repeats are shuffled whole, and without any the package serves as it is."""
+        res, keys = self.res, self.res.keys("primary_key")
+        if not (_nested(rows.schema) and res.disposition == "merge" and res.strategy == "delete-insert" and keys):
+            return rows
+        named = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]
+        repeated = rows.groupBy(*named).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1).drop("__n")
+        if repeated.isEmpty():
+            return rows
+        found = measured(repeated)
+        firsts = dedup(with_keys(rows, found, keys), keys, res.config.get("dedup_sort_column"))
+        package = self.dataset.stage(f"_packages/{uuid.uuid4().hex[:12]}", without_keys(rows, found, keys).unionByName(firsts))
+        packages.append(package)
+        return self.dataset.rows(package, package.paths)
+
     def _keep_rejected(self, package: TableState, paths: list[str], started: datetime) -> None:
         """Rejected rows go to a table beside the destination, published by the load's commit."""
         if not paths:

@@ -231,3 +231,26 @@ def test_ids_of_rows_are_counted_without_a_table_of_them(spark, sf):
     assert counted.schema.simpleString() == "struct<l_orderkey:bigint,l_linenumber:int,row_ids:bigint>"
     lines = spark.read.parquet(f"{sf}/lineitem.parquet")
     assert counted.agg(F.sum("row_ids")).first()[0] == 2 * lines.count()
+
+
+def test_nested_rows_with_unique_keys_are_not_shuffled(spark, dataset):
+    """Before lists are split off, keys alone are counted: whole rows move only where a key repeats."""
+    spec = {"identity": "p", "source_uri": "file:///in", "destination_uri": "file:///out", "salt": "s", "resources": [{
+        "source_table_name": "t", "destination_table_name": "t",
+        "write_disposition_config": {"type": "merge", "strategy": "delete-insert", "config": {"primary_key": "id", "dedup_sort_column": {"at": "desc"}}}}]}
+    staged, stage = [], dataset.stage
+
+    def noted(name, df, *args, **more):
+        if name.startswith("_packages/"):
+            staged.append(plan(df))
+        return stage(name, df, *args, **more)
+
+    dataset.stage = noted
+    unique = spark.range(0, 50, 1, 2).selectExpr("id", "id as at", "array(id, id + 1) as body")
+    run(spark, spec, reader=lambda *_: unique, dataset=dataset)
+    assert len(staged) == 1 and "Exchange" not in staged[0]
+    repeats = unique.union(spark.sql("select 7L, 100L, array(-1L)")).union(spark.sql("select null, 1L, array(-2L) union all select null, 2L, array(-3L)"))
+    run(spark, spec, reader=lambda *_: repeats, dataset=dataset)
+    assert sorted((r.id is None, r.id or 0, r.at) for r in dataset.read("t").collect()) == sorted([(False, k, 100 if k == 7 else k) for k in range(50)] + [(True, 0, 2)])
+    assert sorted(r.value for r in dataset.read("t__body").filter("value < 0").collect()) == [-3, -1]
+    assert dataset.read("t__body").count() == 49 * 2 + 2
