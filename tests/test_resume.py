@@ -172,3 +172,18 @@ def test_one_file_of_messages_is_decoded_by_several_tasks(spark, dataset):
         new = [f for p in dataset.table("t").paths if p not in seen for f in storage.files_in(spark, p)]
         assert len(new) > 1
     assert dataset.read("t").count() == 100_000 + 99_990
+
+
+def test_repeats_of_nested_rows_beside_rejected_ones(spark, dataset):
+    """Repeated keys leave their newest row, a flagged one deletes, and every rejected line stays."""
+    base = scratch_dir(spark, "in")
+    merge = {"type": "merge", "strategy": "delete-insert", "config": {"primary_key": "id", "hard_delete_column": "gone", "dedup_sort_column": {"at": "desc"}}}
+    job = spec(base, "a.jsonl", merge, schema="id long, at long, gone boolean, body array<string>")
+    lines(spark, base, "a.jsonl", '{"id": 1, "at": 1, "body": ["a", "b"]}', '{"id": 1, "at": 2, "body": ["c"]}', '{"id": 2, "at": 1, "body": ["d"]}', '{"id"', '{"id"', "7")
+    run(spark, job, dataset=dataset)
+    assert sorted(r.value for r in dataset.read("t__body").collect()) == ["c", "d"] and len(kept(dataset)) == 3
+    base = scratch_dir(spark, "in")
+    lines(spark, base, "a.jsonl", '{"id": 2, "at": 3, "gone": true, "body": []}', '{"id": 2, "at": 2, "body": ["late"]}', '{"id": 3, "at": 1, "body": ["e"]}')
+    run(spark, {**job, "source_uri": f"file://{base.removeprefix('file:')}"}, dataset=dataset)
+    assert sorted(r.id for r in dataset.read("t").collect()) == [1, 3]
+    assert sorted(r.value for r in dataset.read("t__body").collect()) == ["c", "e"]
