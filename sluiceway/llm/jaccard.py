@@ -7,6 +7,8 @@ fragments (ranges); each document's set falls into one segment a fragment.
 2. Fragments find shared shingles: each map task packs its segments by fragment, shingles that only one of its
    sets holds with that set, others once without sets. In a fragment a shingle counts as shared if two sets
    or two tasks hold it. A shingle in a third of all documents is one entry for each map task.
+   That is done for the low part of the order first. Linked sets lack a quarter of either at most, also there, so
+   only sets that share enough of their low part have the rest of it packed, from their texts read again.
 3. Two sets link only if three quarters of either are shared, so all other sets leave. Among those that
    stay, shingles are ordered from rare to frequent, and a pair must meet in the sets' first ones (prefixes).
    A pair's overlap lies within the shared part of either set; pairs for which that is too little leave too.
@@ -26,7 +28,7 @@ and link with nothing; a text of fewer than WIDTH words is one shingle. Repeated
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import Texts, as_words, cut, map_arrow, map_texts, slices
+from sluiceway.llm.common import cut, map_arrow, slices
 
 #: Words in a shingle. Sets link when 4 * overlap >= 3 * union (similarity 0.75).
 WIDTH = 5
@@ -51,6 +53,12 @@ COUNT_FRAGMENTS = 4
 SIGNATURE = 16
 #: 64-bit values of a written frame that one task reads at least (4 MB), so that few rows make few tasks and files.
 TASK_VALUES = 1 << 19
+#: Shingles below it are the low part of the order, three eighths of all.
+LOW = np.uint64(3 << 61)
+#: Bytes of text that stand for a shingle where their number is estimated.
+SHINGLE_BYTES = 6
+#: Bits of the table of keys (4 MB) that says whose texts are read again; keys that share a bit are read in vain.
+KEY_BITS = 1 << 25
 #: Words whose hash a process keeps; beyond it the table is filled anew.
 CACHE_WORDS = 300_000
 
@@ -68,33 +76,35 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _WordHashes(dict):
+    """Hashes of words, as bytes."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        found = self[word] = xxhash.xxh64_intdigest(word).to_bytes(8, "little")
+        return found
+
+
 class Shingler:
     """Sorted distinct shingle hashes of texts."""
 
     def __init__(self) -> None:
-        self._known: dict[bytes, int] = {}
-
-    def _hash(self, word: bytes) -> int:
-        found = self._known.get(word)
-        if found is None:
-            if len(self._known) >= CACHE_WORDS:
-                self._known.clear()
-            found = self._known[word] = xxhash.xxh64_intdigest(word)
-        return found
+        self._hashes = _WordHashes()
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = [w.lower() for w in as_words(text)] if text else []
+        words = text.encode("utf-8", "surrogatepass").lower().split() if text else []  # bytes: A-Z and ASCII white space only
         if not words:
             return np.zeros(0, dtype=np.uint64)
         if len(words) < WIDTH:
             return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))], dtype=np.uint64)
-        known = self._known
-        hashes = np.array([known.get(w) or self._hash(w) for w in words], dtype=np.uint64)
+        hashes = np.frombuffer(b"".join(map(self._hashes.__getitem__, words)), dtype="<u8").astype(np.uint64, copy=False)
         n = len(words) - WIDTH + 1
         code = hashes[:n]
         for k in range(1, WIDTH):
             code = _mix(code * _ODD) ^ hashes[k : n + k]
-        return np.unique(_mix(code * _ODD))
+        code = np.sort(_mix(code * _ODD))
+        return code[np.append(True, code[1:] != code[:-1])]
 
 
 def set_id(shingles: np.ndarray) -> int | None:
@@ -102,21 +112,6 @@ def set_id(shingles: np.ndarray) -> int | None:
     return int(np.array(xxhash.xxh3_64_intdigest(shingles.tobytes()), dtype=np.uint64).view(np.int64)) if len(shingles) else None
 
 
-def document_sets(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key, n_shingles, set_id."""
-
-    def make() -> Callable[[Texts], dict[str, list]]:
-        shingle = Shingler()
-
-        def work(texts: Texts) -> dict[str, list]:
-            sets = [shingle(t) for t in texts]
-            return {"n_shingles": [len(s) for s in sets], "set_id": [set_id(s) for s in sets]}
-
-        return work
-
-    return map_texts(df, key, text, make, "n_shingles long, set_id long")
-
-
 def _pack(values: np.ndarray) -> bytes:
     return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :PACKED_BYTES].tobytes()
 
@@ -135,6 +130,10 @@ _LIST_FIELDS = [("bucket", pa.int32()), ("names", pa.binary()), ("counts", pa.bi
 _SEGMENT_FIELDS = [("fragment", pa.int32()), ("alone", pa.binary()), ("owners", pa.binary()), ("lengths", pa.binary()), ("several", pa.binary()), *_LIST_FIELDS]
 
 
+#: What is known of a document; its row goes along with the segments.
+_DOCUMENT = ["_key", "n_shingles", "n_low", "set_id"]
+
+
 def _fragment_of(shingles: np.ndarray, bits: int) -> np.ndarray:
     return (shingles >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(shingles), dtype=np.int64)
 
@@ -189,15 +188,57 @@ def _pack_batch(sets: dict[int, np.ndarray], bits: int) -> Iterator[pa.RecordBat
     yield _batch(rows, _SEGMENT_FIELDS)
 
 
-def _packer(bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _after_nulls(batch: pa.RecordBatch, fields: list[pa.Field]) -> pa.RecordBatch:
+    """The batch behind further columns without values."""
+    return pa.RecordBatch.from_arrays([*(pa.nulls(batch.num_rows, f.type) for f in fields), *batch.columns], names=[*(f.name for f in fields), *batch.schema.names])
+
+
+def _low_packer(bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Over keys and texts: a row for every document, dealt out evenly, and the segments of the low part."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle, sets, held, passed, fields = Shingler(), {}, 0, 0, []
+        for batch in batches:
+            fields = [pa.field("_key", batch.schema.field(0).type), *(pa.field(n, pa.int64()) for n in _DOCUMENT[1:])]
+            for part, texts in slices(batch, 1):
+                found = [shingle(t) for t in texts]
+                names, low = [set_id(s) for s in found], [s[: np.searchsorted(s, LOW)] for s in found]
+                place = pa.array((np.arange(passed, passed + len(texts)) % (1 << 16)).astype(np.int32))
+                passed += len(texts)
+                known = [part.column(0), *(pa.array(c, pa.int64()) for c in ([len(s) for s in found], [len(s) for s in low], names))]
+                row = {"fragment": place, "bucket": place}
+                yield pa.RecordBatch.from_arrays(
+                    [*known, *(row[n] if n in row else pa.nulls(len(texts), t) for n, t in _SEGMENT_FIELDS)], names=[*_DOCUMENT, *(n for n, _ in _SEGMENT_FIELDS)]
+                )
+                for name, s in zip(names, low, strict=True):
+                    if len(s) and name not in sets:
+                        sets[name] = s
+                        held += len(s)
+                    if held >= PACKED:
+                        yield from (_after_nulls(b, fields) for b in _pack_batch(sets, bits))
+                        sets, held = {}, 0
+        if sets:
+            yield from (_after_nulls(b, fields) for b in _pack_batch(sets, bits))
+
+    return run
+
+
+def _packer(bits: int, wanted: np.ndarray | None = None) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Over texts: the segments of all shingles. Over texts and places of their keys: those above the low part, of the wanted ones."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, sets, held = Shingler(), {}, 0
         for batch in batches:
+            if wanted is not None:
+                place = batch.column(1).to_numpy()
+                batch = batch.filter(pa.array((wanted[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
             for _, texts in slices(batch, 0):
                 for text in texts:
                     found = shingle(text)
                     name = set_id(found)
-                    if name is not None and name not in sets:
+                    if wanted is not None:
+                        found = found[np.searchsorted(found, LOW) :]
+                    if len(found) and name not in sets:
                         sets[name] = found
                         held += len(found)
                     if held >= PACKED:
@@ -232,25 +273,26 @@ def _join_fragment(fragment: int, bits: int, alone: list[tuple[bytes, bytes, byt
     return list(_lists(owners, shingles | (np.uint64(fragment) << np.uint64(8 * PACKED_BYTES)), bits))
 
 
-def _fragment_joiner(bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Over rows sorted by fragment: one fragment is held at a time; packed lists pass."""
+def _fragment_joiner(bits: int, more: Sequence[str] = ()) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Over rows sorted by fragment: one fragment is held at a time; packed lists pass, and rows with values in further columns."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, alone, several = None, [], []
+        now, alone, several, fields = None, [], [], []
         for batch in batches:
+            fields = [batch.schema.field(n) for n in more]
             known = batch.filter(batch.column("bucket").is_valid())
             if known.num_rows:
-                yield known.select([n for n, _ in _LIST_FIELDS])
+                yield known.select([*more, *(n for n, _ in _LIST_FIELDS)])
             packed = batch.filter(batch.column("bucket").is_null())
             for fragment, a, o, n, s in zip(*(packed.column(c).to_pylist() for c in ("fragment", "alone", "owners", "lengths", "several")), strict=True):
                 if fragment != now and alone:
-                    yield _batch(_join_fragment(now, bits, alone, several), _LIST_FIELDS)
+                    yield _after_nulls(_batch(_join_fragment(now, bits, alone, several), _LIST_FIELDS), fields)
                     alone, several = [], []
                 now = fragment
                 alone.append((a, o, n))
                 several.append(s)
         if alone:
-            yield _batch(_join_fragment(now, bits, alone, several), _LIST_FIELDS)
+            yield _after_nulls(_batch(_join_fragment(now, bits, alone, several), _LIST_FIELDS), fields)
 
     return run
 
@@ -287,13 +329,53 @@ def _merge_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield _merge_bucket(lists)
 
 
-def shared_shingles(df: DataFrame, text: str, total: int) -> DataFrame:
-    """set_id, held, signature: for each set its shingles that another set holds too, as 64-bit codes in order, and their bits; sets without any are absent."""
-    bits = max(0, min(MOST_FRAGMENTS, -(-total // FRAGMENT)) - 1).bit_length()
-    packed = map_arrow(df.select(F.col(f"`{text}`").cast("string").alias("_text")), _packer(bits), _SEGMENTS)
-    dealt = packed.repartition("fragment").sortWithinPartitions("fragment")
-    lists = map_arrow(dealt, _fragment_joiner(bits), _LISTS).repartition("bucket").sortWithinPartitions("bucket")
-    return map_arrow(lists, _merge_buckets, "set_id long, held array<long>, signature array<long>")
+def _count_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed lists to (set_id, shared): a set packed by several tasks may count shingles repeatedly."""
+    for batch in batches:
+        for names, counts in zip(batch.column("names").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(names, dtype=np.int64)), pa.array(np.frombuffer(counts, dtype=np.int32).astype(np.int64))], names=["set_id", "shared"])
+
+
+def _dealt(packed: DataFrame) -> DataFrame:
+    return packed.repartition("fragment").sortWithinPartitions("fragment")
+
+
+def low_part(df: DataFrame, key: str, text: str, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Every document (_key, n_shingles, n_low, set_id), and packed lists of the shared shingles of the low part."""
+    kind = df.schema[key].dataType.simpleString()
+    picked = df.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").cast("string").alias("_text"))
+    known = f"_key {kind}, n_shingles long, n_low long, set_id long"
+    packed = map_arrow(picked, _low_packer(bits), f"{known}, {_SEGMENTS}")
+    found = cut(map_arrow(_dealt(packed), _fragment_joiner(bits, _DOCUMENT), f"{known}, {_LISTS}"))
+    return found.where("n_shingles is not null").select(_DOCUMENT), found.where("names is not null").select([n for n, _ in _LIST_FIELDS])
+
+
+def _place(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BITS))
+
+
+def _key_table(keys: DataFrame) -> np.ndarray:
+    """The places of keys as a table of bits, of a fixed size however many they are."""
+    place, table = _place(F.col("_key")) + 1, np.zeros(KEY_BITS // 8, dtype=np.uint8)
+    parts = keys.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    for part in parts.toLocalIterator():
+        bits = np.frombuffer(part["bits"], dtype=np.uint8)
+        table[(part["part"] - 1) * len(bits) : part["part"] * len(bits)] = bits
+    return table
+
+
+def shared_shingles(df: DataFrame, key: str, text: str, classes: DataFrame, lists: DataFrame, bits: int) -> DataFrame:
+    """set_id, n, held, signature of the sets that can link: shingles that another set holds too, as 64-bit codes in order, and their bits.
+
+    A set that lacks more of its low part than it may lack of the whole links with nothing.
+    """
+    shared = map_arrow(lists, _count_lists, "set_id long, shared long").groupBy("set_id").agg(F.sum("shared").alias("shared"))
+    able = cut(classes.join(shared, "set_id", "left").where(f"n_low - coalesce(shared, 0) <= n - {_needed('n')}").select("set_id", "n", F.col("first").alias("_key")))
+    texts = df.select(F.col(f"`{text}`").cast("string").alias("_text"), _place(F.col(f"`{key}`")).alias("_place"))
+    high = map_arrow(_dealt(map_arrow(texts, _packer(bits, _key_table(able)), _SEGMENTS)), _fragment_joiner(bits), _LISTS)
+    dealt = lists.union(high).repartition("bucket").sortWithinPartitions("bucket")
+    merged = map_arrow(dealt, _merge_buckets, "set_id long, held array<long>, signature array<long>")
+    return merged.join(able.select("set_id", "n"), "set_id").where(f"size(held) >= {_needed('n')}").select("set_id", "n", "held", "signature")
 
 
 def _needed(n: str) -> str:
@@ -331,12 +413,12 @@ def _may_link(a: str, b: str) -> Column:
 
 
 def _may_overlap(a: str, b: str) -> Column:
-    """Whether the overlap can suffice by the signatures: what one set has and the other lacks is taken off."""
+    """Whether the overlap can suffice by the signatures: what one set has and the other lacks is taken off all that the signature stands for."""
 
     def lacks(x: str, y: str) -> str:
         return " + ".join(f"bit_count(signature{x}[{k}] & ~signature{y}[{k}])" for k in range(SIGNATURE))
 
-    return F.expr(f"7 * least(shared{a} - ({lacks(a, b)}), shared{b} - ({lacks(b, a)})) >= 3 * (n{a} + n{b})")
+    return F.expr(f"7 * least(signed{a} - ({lacks(a, b)}), signed{b} - ({lacks(b, a)})) >= 3 * (n{a} + n{b})")
 
 
 def _dense(df: DataFrame, width: Column | int) -> DataFrame:
@@ -382,8 +464,8 @@ def _open_pairs(labelled: DataFrame) -> int:
 def link_components(sets: DataFrame) -> DataFrame:
     """set_id, label for every set that some prefix brings together with another; sets are (set_id, n, held, signature)."""
     prefix = _dense(prefixes(sets), 4)
-    signatures = sets.select("set_id", "signature")
-    of_a, of_b = (signatures.select(F.col("set_id").alias(x), F.col("signature").alias(f"signature_{x}")) for x in "ab")
+    signatures = sets.select("set_id", "signature", F.size("held").alias("signed"))
+    of_a, of_b = (signatures.select(F.col("set_id").alias(x), F.col("signature").alias(f"signature_{x}"), F.col("signed").alias(f"signed_{x}")) for x in "ab")
     met = prefix.select("set_id").distinct()
     segments = sets.join(met, "set_id", "left_semi").select("set_id", "n", F.explode(F.sequence(F.lit(0), F.lit(COUNT_FRAGMENTS - 1))).alias("fragment"), "held")
     in_range = F.expr(f"filter(held, x -> pmod(shiftrightunsigned(x, {8 * PACKED_BYTES - 2}), {COUNT_FRAGMENTS}) = fragment)")
@@ -411,20 +493,19 @@ def link_components(sets: DataFrame) -> DataFrame:
         labels = merge_components(labels, links)
     labelled = prefix.join(labels, "set_id")
     mixed = labelled.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("shingle")
-    rest = _dense(labelled.join(mixed, "shingle", "left_semi").join(signatures, "set_id").select("shingle", "set_id", "n", "shared", "label", "signature"), SIGNATURE + 5)
-    other = rest.select("shingle", *[F.col(c).alias(d) for c, d in (("set_id", "b"), ("n", "n_b"), ("shared", "shared_b"), ("label", "label_b"), ("signature", "signature_b"))])
+    rest = _dense(labelled.join(mixed, "shingle", "left_semi").join(signatures, "set_id").select("shingle", "set_id", "n", "shared", "label", "signature", "signed"), SIGNATURE + 6)
+    other = rest.select("shingle", *[F.col(c).alias(d) for c, d in (("set_id", "b"), ("n", "n_b"), ("shared", "shared_b"), ("label", "label_b"), ("signature", "signature_b"), ("signed", "signed_b"))])
     pairs = rest.join(other, "shingle").where(F.expr("label < label_b") & _may_link("", "_b") & _may_overlap("", "_b")).select(F.col("set_id").alias("a"), "b").distinct()
     return merge_components(labels, overlaps(pairs, segments))
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles, component_id (smallest key linked by a chain of links), set_id for every row."""
-    each = cut(document_sets(df, key, text).withColumnRenamed(key, "_key"))
-    classes = each.where("set_id is not null").groupBy("set_id").agg(F.min("_key").alias("first"), F.first("n_shingles").alias("n"))
-    total = each.agg(F.sum("n_shingles")).first()[0] or 0
-    shared = shared_shingles(df, text, total).where("size(held) > 0")
-    sets = cut(shared.join(classes.select("set_id", "n"), "set_id").where(f"size(held) >= {_needed('n')}").select("set_id", "n", "held", "signature"))
-    labels = link_components(sets)
+    total = (df.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0) // SHINGLE_BYTES
+    bits = max(0, min(MOST_FRAGMENTS, -(-total // FRAGMENT)) - 1).bit_length()
+    each, lists = low_part(df, key, text, bits)
+    classes = each.where("set_id is not null").groupBy("set_id").agg(F.min("_key").alias("first"), F.first("n_shingles").alias("n"), F.first("n_low").alias("n_low"))
+    labels = link_components(cut(shared_shingles(df, key, text, classes, lists, bits)))
     grouped = classes.join(labels, "set_id", "left").select("set_id", "first", F.coalesce("label", "set_id").alias("label"))
     lowest = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
     known = grouped.join(lowest, "label").select("set_id", "component_id")

@@ -106,6 +106,36 @@ def test_large_group_of_copies_and_fragments(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
 
 
+def test_signatures_with_shingles_of_a_set_that_leaves(spark):
+    """What two linked texts share with a third one that links with nothing takes nothing off their overlap."""
+    rows = []
+    for k in range(8):
+        common, tails = [f"c{k}_{i}" for i in range(34)], [[f"t{k}_{j}_{i}" for i in range(5)] for j in range(2)]
+        rows += [(10 * k + j, " ".join(common + tail)) for j, tail in enumerate(tails)]
+        rows.append((10 * k + 2, " ".join(w for j, tail in enumerate(tails) for w in [*common[-4:], *tail, *(f"f{k}_{j}_{i}" for i in range(200))])))
+    want = brute(rows)
+    assert all(want[10 * k + 1][1] == 10 * k and want[10 * k + 2][1] == 10 * k + 2 for k in range(8))
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
+def test_only_sets_that_can_link_pack_the_rest(monkeypatch):
+    """The low part comes with a row for every document; above it only texts of wanted keys are packed."""
+    texts = [" ".join(f"w{k}_{i}" for i in range(50)) for k in range(6)] + [None, "a b"]
+    batch = pa.RecordBatch.from_pydict({"k": pa.array([*range(7), None], pa.int64()), "t": pa.array(texts, pa.string())})
+    shingle = jaccard.Shingler()
+    sets = {jaccard.set_id(s): s for s in map(shingle, texts) if len(s)}
+    size = lambda batches: sum(len(a) for b in batches for a in b.column("alone").to_pylist() if a) // jaccard.PACKED_BYTES
+    low = list(jaccard._low_packer(2)([batch]))
+    documents = [r for b in low for r in b.to_pylist() if r["n_shingles"] is not None]
+    assert [(r["_key"], r["n_shingles"]) for r in documents] == [*((k, 46) for k in range(6)), (6, 0), (None, 1)]
+    assert size(low) == sum(r["n_low"] for r in documents) == sum(int((s < jaccard.LOW).sum()) for s in sets.values())
+    wanted = np.zeros(2, dtype=np.uint8)
+    wanted[1] |= 1 << 3  # place 11
+    again = pa.RecordBatch.from_pydict({"t": pa.array(texts, pa.string()), "p": pa.array([11, *range(1, 8)], pa.int64())})
+    assert size(jaccard._packer(2, wanted)([again])) == int((shingle(texts[0]) >= jaccard.LOW).sum())
+
+
 def test_query_equals_brute_force(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = queries.QUERIES["op3_ngram_jaccard"](spark, sf).collect()
