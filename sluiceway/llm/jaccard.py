@@ -478,7 +478,7 @@ def link_components(sets: DataFrame) -> DataFrame:
         if still_open <= entries or 2 * still_open > before:
             break
         before = still_open
-        order = F.xxhash64("set_id", "shingle", F.lit(turn))  # another centre for each shingle, and in each turn
+        order = F.xxhash64("set_id", F.lit(turn))  # other centres in each turn; shingles of one group mostly share theirs, so a set meets few
         centre = labelled.groupBy("shingle").agg(
             F.max(F.struct(order.alias("order"), F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b"), F.col("label").alias("label_b"))).alias("c"),
             F.min("label").alias("low"), F.max("label").alias("high"),
