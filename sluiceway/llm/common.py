@@ -107,6 +107,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_estimates(df: DataFrame) -> DataFrame:
+    """As cut, and without the estimated size and the constraints that a checkpoint inherits from its plan.
+
+    A join's estimate is the product of its sides, so in a loop of joins the inherited numbers double their
+    digits in each round, until the driver spends its time and memory on them alone.
+    """
+    written, spark = cut(df)._jdf, df.sparkSession
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(written.queryExecution().analyzed().rdd(), written.schema(), False), spark)
+
+
 def as_words(text: str | None) -> list[bytes]:
     """Words of a text in UTF-8: bytes.split() parts at ASCII white space only."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

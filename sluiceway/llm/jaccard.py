@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import cut, map_arrow, slices
+from sluiceway.llm.common import cut, cut_estimates, map_arrow, slices
 
 #: Words in a shingle. Sets link when 4 * overlap >= 3 * union (similarity 0.75).
 WIDTH = 5
@@ -51,6 +51,9 @@ PACKED_BYTES = 6
 COUNT_FRAGMENTS = 4
 #: 64-bit words in the signature of a set.
 SIGNATURE = 16
+#: Sets of a block that are held together where the sets of a shingle are compared, and pairs compared at once.
+BLOCK = 4096
+COMPARED = 1 << 15
 #: 64-bit values of a written frame that one task reads at least (4 MB), so that few rows make few tasks and files.
 TASK_VALUES = 1 << 19
 #: Shingles below it are the low part of the order, three eighths of all.
@@ -421,9 +424,84 @@ def _may_overlap(a: str, b: str) -> Column:
     return F.expr(f"7 * least(signed{a} - ({lacks(a, b)}), signed{b} - ({lacks(b, a)})) >= 3 * (n{a} + n{b})")
 
 
+def _compare(group: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs of a group that lie in different components, on both sides of it if it has sides, and can link by their bounds.
+
+    Sets are in order of their components, large ones first, so that a set is held against those of later components only.
+    """
+    _, number, sizes = np.unique(group["label"], return_inverse=True, return_counts=True)
+    order = np.lexsort((number, -sizes[number]))
+    n, shared, signed, side = (group[c][order] for c in ("n", "shared", "signed", "side"))
+    words = group["signature"][order]
+    bits, by_word, ordered = np.bitwise_count(words).sum(axis=1, dtype=np.int64), np.ascontiguousarray(words.T), number[order]
+    starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    after = np.repeat(np.append(starts[1:], len(order)), np.diff(np.append(starts, len(order))))
+    sided, begin = side.min() != side.max(), 0
+    while begin < len(order) and after[begin] < len(order):
+        first = after[begin]
+        rows, columns = slice(begin, min(len(order), begin + max(1, COMPARED // (len(order) - first)))), slice(first, len(order))
+        begin = rows.stop
+        least = 3 * (n[rows, None] + n[None, columns])
+        able = 7 * np.minimum(shared[rows, None], shared[None, columns]) >= least
+        if rows.stop > first:
+            able &= after[rows, None] <= np.arange(first, len(order))
+        if sided:
+            able &= side[rows, None] != side[None, columns]
+        if not able.any():
+            continue
+        common = np.zeros(able.shape, dtype=np.int64)
+        for word in by_word:
+            common += np.bitwise_count(word[rows, None] & word[None, columns])
+        lacking = np.minimum((signed - bits)[rows, None], (signed - bits)[None, columns]) + common
+        i, j = np.nonzero(able & (7 * lacking >= least))
+        if len(i):
+            yield order[rows][i], order[columns][j]
+
+
+def _group_comparer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by group (shingle, x, y): one group is held at a time; its pairs that can link."""
+
+    def numbers(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        plain = {c: batch.column(c).to_numpy() for c in ("shingle", "x", "y", "set_id", "label", "n", "shared", "signed", "side")}
+        return plain | {"signature": batch.column("signature").flatten().to_numpy().view(np.uint64).reshape(-1, SIGNATURE)}
+
+    def compared(parts: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        group = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]} if len(parts) > 1 else parts[0]
+        ids = group["set_id"]
+        for i, j in _compare(group):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], names=["a", "b"])
+
+    now, held = None, []
+    for batch in batches:
+        rows = numbers(batch)
+        keys = np.stack([rows[c] for c in ("shingle", "x", "y")])
+        cuts = np.append(np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)))[: batch.num_rows], batch.num_rows)
+        for begin, end in itertools.pairwise(cuts):
+            if (key := tuple(keys[:, begin])) != now and held:
+                yield from compared(held)
+                held = []
+            now = key
+            held.append({c: v[begin:end] for c, v in rows.items()})
+    if held:
+        yield from compared(held)
+
+
+def open_pairs(labelled: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Pairs (a, b) that meet in a prefix shingle, lie in different components and can link by the bounds of their signatures.
+
+    The sets of a shingle are compared in blocks; a shingle of many sets has several, and each pair of its blocks is a group of its own.
+    """
+    mixed = labelled.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).where("low <> high").select("shingle", "blocks")
+    rest = labelled.join(mixed, "shingle").join(signatures, "set_id").withColumn("own", F.pmod(F.xxhash64("set_id", "shingle"), "blocks"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rest = rest.select("shingle", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "set_id", "label", *(F.col(c).cast("long").alias(c) for c in ("n", "shared", "signed")), F.col("own").alias("side"), "signature")
+    dealt = rest.repartition("shingle", "x", "y").sortWithinPartitions("shingle", "x", "y")
+    return map_arrow(dealt, _group_comparer, "a long, b long").distinct()
+
+
 def _dense(df: DataFrame, width: Column | int) -> DataFrame:
     """The same rows, written to the shared folder and read in as few tasks as their size (values a row) allows."""
-    written = cut(df)
+    written = cut_estimates(df)
     values = written.agg(F.sum(F.lit(width) if isinstance(width, int) else width)).first()[0] or 0
     tasks = int(values) // TASK_VALUES + 1
     return written.coalesce(tasks) if tasks < written.rdd.getNumPartitions() else written
@@ -492,10 +570,7 @@ def link_components(sets: DataFrame) -> DataFrame:
             break
         labels = merge_components(labels, links)
     labelled = prefix.join(labels, "set_id")
-    mixed = labelled.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("shingle")
-    rest = _dense(labelled.join(mixed, "shingle", "left_semi").join(signatures, "set_id").select("shingle", "set_id", "n", "shared", "label", "signature", "signed"), SIGNATURE + 6)
-    other = rest.select("shingle", *[F.col(c).alias(d) for c, d in (("set_id", "b"), ("n", "n_b"), ("shared", "shared_b"), ("label", "label_b"), ("signature", "signature_b"), ("signed", "signed_b"))])
-    pairs = rest.join(other, "shingle").where(F.expr("label < label_b") & _may_link("", "_b") & _may_overlap("", "_b")).select(F.col("set_id").alias("a"), "b").distinct()
+    pairs = _dense(open_pairs(labelled, signatures), 2)
     return merge_components(labels, overlaps(pairs, segments))
 
 

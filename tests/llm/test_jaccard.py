@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from sluiceway.llm import jaccard, queries
 
@@ -171,3 +172,54 @@ def test_signatures_never_hide_a_link():
     for i, j in itertools.permutations(range(len(sets)), 2):
         lacking = sum((x & ~y & (1 << 64) - 1).bit_count() for x, y in zip(bits[i], bits[j], strict=True))
         assert len(np.intersect1d(sets[i], sets[j])) <= len(sets[i]) - lacking
+
+
+def test_estimates_do_not_grow_in_a_loop_of_joins(spark):
+    """The driver's estimate of a frame that is joined and written again and again keeps its digits: a checkpoint's doubled them each time."""
+    frame = spark.createDataFrame([(1, 2), (2, 2)], "node long, to long")
+    for _ in range(4):
+        further = frame.select(F.col("node").alias("to"), F.col("to").alias("further"))
+        frame = jaccard._dense(frame.join(further, "to").select("node", F.col("further").alias("to")), 2)
+    assert sorted(map(tuple, frame.collect())) == [(1, 2), (2, 2)]
+    assert frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 100
+
+
+@pytest.mark.parametrize("block", [7, 4096])
+def test_open_pairs_are_those_of_all_pairs(spark, block, monkeypatch):
+    """Groups compared in blocks give each pair of different components that can link, and no other."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = random.Random(3)
+    sets, entries = {}, []
+    for k in range(60):
+        n = rng.randint(8, 14)
+        words = [-1 if rng.random() < 0.7 else rng.getrandbits(63) for _ in range(jaccard.SIGNATURE)]
+        sets[k] = (n, rng.randint(n - 2, n), rng.choice([0, 0, 0, *range(1, 9)]), words, n if k % 3 else 1024)
+    for shingle in range(5):
+        entries += [(shingle, k) for k in sets if shingle == 0 or rng.random() < 0.3]
+    entries += [(9, 3), (9, 4), (-5, 1)]
+
+    def can_link(a, b):
+        (n, shared, label, words, signed), (n_b, shared_b, label_b, words_b, signed_b) = sets[a], sets[b]
+        lacks = lambda x, y: sum((u & ~v & (1 << 64) - 1).bit_count() for u, v in zip(x, y, strict=True))
+        return label != label_b and min(7 * min(shared, shared_b), 7 * min(signed - lacks(words, words_b), signed_b - lacks(words_b, words))) >= 3 * (n + n_b)
+
+    want = {(a, b) for s in {s for s, _ in entries} for a, b in itertools.combinations(sorted(k for t, k in entries if t == s), 2) if can_link(a, b)}
+    labelled = spark.createDataFrame([(s, k, *sets[k][:3]) for s, k in entries], "shingle long, set_id long, n int, shared int, label long")
+    signatures = spark.createDataFrame([(k, v[3], v[4]) for k, v in sets.items()], "set_id long, signature array<long>, signed int")
+    got = [tuple(r) for r in jaccard.open_pairs(labelled, signatures).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
+
+
+def test_compared_piece_by_piece(monkeypatch):
+    """The pieces in which a group is compared change nothing, with sides and without."""
+    rng = np.random.default_rng(5)
+    k = 40
+    group = {"label": rng.integers(0, 6, k), "n": rng.integers(9, 13, k), "shared": np.full(k, 11), "signed": rng.integers(9, 13, k), "side": np.zeros(k, dtype=np.int64)}
+    group["signature"] = (np.uint64(1) << rng.integers(0, 3, (k, jaccard.SIGNATURE), dtype=np.uint64))
+    for sides in (group["side"], rng.integers(0, 2, k)):
+        found = []
+        for cells in (1, 50, 1 << 15):
+            monkeypatch.setattr(jaccard, "COMPARED", cells)
+            found.append(sorted(tuple(sorted(p)) for i, j in jaccard._compare(group | {"side": sides}) for p in zip(i.tolist(), j.tolist(), strict=True)))
+        assert found[0] == found[1] == found[2] == sorted(set(found[0]))
+        assert all(group["label"][a] != group["label"][b] and (sides is group["side"] or sides[a] != sides[b]) for a, b in found[0])
