@@ -51,6 +51,8 @@ PACKED_BYTES = 6
 COUNT_FRAGMENTS = 4
 #: 64-bit words in the signature of a set.
 SIGNATURE = 16
+#: Edges between components that one task follows at most (16 MB).
+EDGES = 1 << 20
 #: Sets of a block that are held together where the sets of a shingle are compared, and pairs compared at once.
 BLOCK = 4096
 COMPARED = 1 << 15
@@ -499,25 +501,55 @@ def open_pairs(labelled: DataFrame, signatures: DataFrame) -> DataFrame:
     return map_arrow(dealt, _group_comparer, "a long, b long").distinct()
 
 
-def _dense(df: DataFrame, width: Column | int) -> DataFrame:
-    """The same rows, written to the shared folder and read in as few tasks as their size (values a row) allows."""
+def _sized(df: DataFrame, width: Column | int) -> tuple[DataFrame, int]:
+    """The same rows, written to the shared folder and read in as few tasks as their size (values a row) allows, and that size."""
     written = cut_estimates(df)
-    values = written.agg(F.sum(F.lit(width) if isinstance(width, int) else width)).first()[0] or 0
-    tasks = int(values) // TASK_VALUES + 1
-    return written.coalesce(tasks) if tasks < written.rdd.getNumPartitions() else written
+    values = int(written.agg(F.sum(F.lit(width) if isinstance(width, int) else width)).first()[0] or 0)
+    tasks = values // TASK_VALUES + 1
+    return written.coalesce(tasks) if tasks < written.rdd.getNumPartitions() else written, values
+
+
+def _dense(df: DataFrame, width: Column | int) -> DataFrame:
+    return _sized(df, width)[0]
+
+
+def _contract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over all edges (x, y): every node and the smallest node of its component."""
+    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+    if not parts:
+        return
+    x, y = (np.concatenate(c) for c in zip(*parts, strict=True))
+    names, places = np.unique(np.concatenate([x, y]), return_inverse=True)
+    x, y = places[: len(x)], places[len(x) :]
+    to = np.arange(len(names))
+    while len(x):  # a tree's root takes the smallest root that an edge leads to, then trees become stars
+        np.minimum.at(to, np.maximum(x, y), np.minimum(x, y))
+        while (further := to[to] != to).any():
+            to[further] = to[to[further]]
+        x, y = to[x], to[y]
+        x, y = x[x != y], y[x != y]
+    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(names[to])], names=["node", "to"])
 
 
 def merge_components(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels (set_id, label) after links (a, b): a component's label is its smallest set id.
 
-    Components shrink to nodes and links to edges between them; each node takes the smallest label around
-    it, then the label of that label, until nothing changes.
+    Components shrink to nodes and links to edges between them. Up to `EDGES` edges are followed in one task;
+    of more, each node takes the smallest label around it, then the label of that label, until nothing changes.
     """
     of_a, of_b = (labels.select(F.col("set_id").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
     edges = links.join(of_a, "a").join(of_b, "b").where("label_a <> label_b").select(F.least("label_a", "label_b").alias("x"), F.greatest("label_a", "label_b").alias("y")).distinct()
-    edges = _dense(edges.union(edges.select("y", "x")), 2)
-    if edges.isEmpty():
+    edges, values = _sized(edges, 2)
+    if not values:
         return labels
+    nodes = map_arrow(edges.coalesce(1), _contract, "node long, to long") if values <= 2 * EDGES else _settled(edges)
+    joined = labels.join(nodes.withColumnRenamed("node", "label"), "label", "left")
+    return _dense(joined.select("set_id", F.coalesce("to", "label").alias("label")), 2)
+
+
+def _settled(edges: DataFrame) -> DataFrame:
+    """Every node of the edges (x, y) and the smallest node of its component."""
+    edges = _dense(edges.union(edges.select("y", "x")), 2)
     nodes = edges.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("to")).withColumnRenamed("x", "node")
     nodes = _dense(nodes, 2)
     while True:
@@ -526,9 +558,7 @@ def merge_components(labels: DataFrame, links: DataFrame) -> DataFrame:
         after = _dense(jumped.join(around, "node").select("node", "was", F.least("to", "seen").alias("to")), 3)
         nodes = after.select("node", "to")
         if after.where("was <> to").isEmpty():
-            break
-    joined = labels.join(nodes.withColumnRenamed("node", "label"), "label", "left")
-    return _dense(joined.select("set_id", F.coalesce("to", "label").alias("label")), 2)
+            return nodes
 
 
 def _open_pairs(labelled: DataFrame) -> int:
@@ -565,8 +595,8 @@ def link_components(sets: DataFrame) -> DataFrame:
         pairs = labelled.join(centre, "shingle").where(F.expr("label <> label_b") & _may_link("", "_b"))
         pairs = pairs.select(F.col("set_id").alias("a"), "b", F.col("n").alias("n_a"), "n_b", F.col("shared").alias("shared_a"), "shared_b").distinct()
         pairs = pairs.join(of_a, "a").join(of_b, "b").where(_may_overlap("_a", "_b")).select("a", "b")
-        links = _dense(overlaps(pairs, segments), 2)
-        if links.isEmpty():
+        links, found = _sized(overlaps(pairs, segments), 2)
+        if not found:
             break
         labels = merge_components(labels, links)
     labelled = prefix.join(labels, "set_id")

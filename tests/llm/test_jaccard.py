@@ -223,3 +223,20 @@ def test_compared_piece_by_piece(monkeypatch):
             found.append(sorted(tuple(sorted(p)) for i, j in jaccard._compare(group | {"side": sides}) for p in zip(i.tolist(), j.tolist(), strict=True)))
         assert found[0] == found[1] == found[2] == sorted(set(found[0]))
         assert all(group["label"][a] != group["label"][b] and (sides is group["side"] or sides[a] != sides[b]) for a, b in found[0])
+
+
+@pytest.mark.parametrize("edges", [0, 1 << 20])
+def test_components_of_links(spark, edges, monkeypatch):
+    """Components are the same whether one task follows the edges or frames do."""
+    monkeypatch.setattr(jaccard, "EDGES", edges)
+    rng = random.Random(4)
+    names = [rng.getrandbits(64) - (1 << 63) for _ in range(80)]
+    links = [(names[k], names[k + 1]) for k in range(30)] + [(names[rng.randrange(40, 70)], names[rng.randrange(40, 70)]) for _ in range(25)]
+    want = {k: k for k in names}
+    for _ in names:
+        for a, b in links:
+            want[a] = want[b] = min(want[a], want[b])
+    labels = spark.createDataFrame([(k, k) for k in names], "set_id long, label long")
+    once = jaccard.merge_components(labels, spark.createDataFrame(links[:20], "a long, b long"))
+    got = jaccard.merge_components(once, spark.createDataFrame(links, "a long, b long"))
+    assert sorted(map(tuple, got.collect())) == sorted(want.items())
