@@ -11,14 +11,16 @@ fragments (ranges); each document's set falls into one segment a fragment.
    only sets that share enough of their low part have the rest of it packed, from their texts read again.
 3. Two sets link only if three quarters of either are shared, so all other sets leave. Among those that
    stay, shingles are ordered from rare to frequent, and a pair must meet in the sets' first ones (prefixes).
-   A pair's overlap lies within the shared part of either set; pairs for which that is too little leave too.
+   A pair's overlap lies within the shared part of either set, from the first shingle in which they meet on;
+   pairs for which that is too little leave too.
    A signature of each set, a bit for each shared shingle by its hash, bounds the overlap from above: a bit
    that one set has and the other lacks stands for a shingle at least that they do not share.
 4. Large groups are joined without their pairs: for every prefix shingle, its sets are compared with one
    centre only, and linked sets become components; turns with other centres follow while the pairs that are
    still open outnumber the prefix entries and each turn at least halves them. Then every pair of sets that meet in a prefix,
-   lie in different components and can link by the bounds of their signatures is compared. No link between components is missed; links within one change
-   nothing.
+   lie in different components and can link by the bounds of their signatures is compared: signatures of a
+   shingle's sets block by block in memory, the rest in full. No link between components is missed; links within one
+   change nothing.
 5. To compare a pair, its overlap is counted in each fragment separately and summed.
 
 Result: class and component of every document. Nulls, empty texts and texts without words have no shingle
@@ -335,10 +337,24 @@ def _merge_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _count_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed lists to (set_id, shared): a set packed by several tasks may count shingles repeatedly."""
+    """Packed lists to (set_id, shared), summed as they come: a set packed by several tasks may count shingles repeatedly."""
+    parts, held = [], 0
+
+    def summed() -> pa.RecordBatch:
+        names, places = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        sums = np.zeros(len(names), dtype=np.int64)
+        np.add.at(sums, places, np.concatenate([p[1] for p in parts]))
+        return pa.RecordBatch.from_arrays([pa.array(names), pa.array(sums)], names=["set_id", "shared"])
+
     for batch in batches:
         for names, counts in zip(batch.column("names").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(names, dtype=np.int64)), pa.array(np.frombuffer(counts, dtype=np.int32).astype(np.int64))], names=["set_id", "shared"])
+            parts.append((np.frombuffer(names, dtype=np.int64), np.frombuffer(counts, dtype=np.int32)))
+            held += len(parts[-1][0])
+        if held >= PACKED:
+            yield summed()
+            parts, held = [], 0
+    if parts:
+        yield summed()
 
 
 def _dealt(packed: DataFrame) -> DataFrame:
@@ -363,7 +379,7 @@ def _key_table(keys: DataFrame) -> np.ndarray:
     """The places of keys as a table of bits, of a fixed size however many they are."""
     place, table = _place(F.col("_key")) + 1, np.zeros(KEY_BITS // 8, dtype=np.uint8)
     parts = keys.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    for part in parts.toLocalIterator():
+    for part in parts.collect():  # 1 024 parts of 4 KB at most
         bits = np.frombuffer(part["bits"], dtype=np.uint8)
         table[(part["part"] - 1) * len(bits) : part["part"] * len(bits)] = bits
     return table
@@ -374,7 +390,8 @@ def shared_shingles(df: DataFrame, key: str, text: str, classes: DataFrame, list
 
     A set that lacks more of its low part than it may lack of the whole links with nothing.
     """
-    shared = map_arrow(lists, _count_lists, "set_id long, shared long").groupBy("set_id").agg(F.sum("shared").alias("shared"))
+    by_bucket = lists.select("bucket", "names", "counts").repartition("bucket")  # a set is counted in one task, however many fragments it has
+    shared = map_arrow(by_bucket, _count_lists, "set_id long, shared long").groupBy("set_id").agg(F.sum("shared").alias("shared"))
     able = cut(classes.join(shared, "set_id", "left").where(f"n_low - coalesce(shared, 0) <= n - {_needed('n')}").select("set_id", "n", F.col("first").alias("_key")))
     texts = df.select(F.col(f"`{text}`").cast("string").alias("_text"), _place(F.col(f"`{key}`")).alias("_place"))
     high = map_arrow(_dealt(map_arrow(texts, _packer(bits, _key_table(able)), _SEGMENTS)), _fragment_joiner(bits), _LISTS)
@@ -389,16 +406,17 @@ def _needed(n: str) -> str:
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
-    """shingle, set_id, n, shared (size of the set's shared part) for the prefix of every set that can still link."""
+    """shingle, set_id, n, shared (shingles of the set's shared part from this one on) for the prefix of every set that can still link."""
     each = sets.select("set_id", "n", F.explode("held").alias("shingle"))
     frequency = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     ranked = each.join(frequency, "shingle").groupBy("set_id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("ranked"))
     able = ranked.where(f"size(ranked) >= {_needed('n')}")
     first = F.expr(f"slice(ranked, 1, cast(size(ranked) - {_needed('n')} + 1 as int))")
-    entries = able.select("set_id", "n", F.size("ranked").alias("shared"), F.explode(first).alias("entry")).select(
-        F.col("entry.shingle").alias("shingle"), "set_id", "n", "shared"
+    entries = able.select("set_id", "n", F.size("ranked").alias("size"), F.posexplode(first).alias("place", "entry")).select(
+        F.col("entry.shingle").alias("shingle"), "set_id", "n", F.expr("size - place").alias("shared")
     )
-    # An entry stays if it could link with the smallest set that meets it there.
+    # Two sets that link do so by their first common shingle: there, all that they share lies from it on. An entry
+    # stays if it could be the first one with the smallest set that meets it there.
     smallest = entries.groupBy("shingle").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("sets")).where("sets > 1").drop("sets")
     return entries.join(smallest, "shingle").where("7 * shared >= 3 * (n + least)").drop("least")
 
@@ -413,7 +431,7 @@ def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def _may_link(a: str, b: str) -> Column:
-    """Whether the overlap can suffice: it is within the shared part of either set."""
+    """Whether the overlap can suffice if this shingle is the first common one: it is within the shared part of either set from there on."""
     return F.expr(f"7 * least(shared{a}, shared{b}) >= 3 * (n{a} + n{b})")
 
 
@@ -571,7 +589,7 @@ def _open_pairs(labelled: DataFrame) -> int:
 
 def link_components(sets: DataFrame) -> DataFrame:
     """set_id, label for every set that some prefix brings together with another; sets are (set_id, n, held, signature)."""
-    prefix = _dense(prefixes(sets), 4)
+    prefix, values = _sized(prefixes(sets), 4)
     signatures = sets.select("set_id", "signature", F.size("held").alias("signed"))
     of_a, of_b = (signatures.select(F.col("set_id").alias(x), F.col("signature").alias(f"signature_{x}"), F.col("signed").alias(f"signed_{x}")) for x in "ab")
     met = prefix.select("set_id").distinct()
@@ -579,7 +597,7 @@ def link_components(sets: DataFrame) -> DataFrame:
     in_range = F.expr(f"filter(held, x -> pmod(shiftrightunsigned(x, {8 * PACKED_BYTES - 2}), {COUNT_FRAGMENTS}) = fragment)")
     segments = _dense(segments.select("set_id", "n", "fragment", in_range.alias("held")), F.size("held") + 3)
     labels = _dense(prefix.select("set_id", F.col("set_id").alias("label")).distinct(), 2)
-    entries, before = prefix.count(), float("inf")
+    entries, before = values // 4, float("inf")
     for turn in itertools.count():
         labelled = prefix.join(labels, "set_id")
         still_open = _open_pairs(labelled)
@@ -593,7 +611,7 @@ def link_components(sets: DataFrame) -> DataFrame:
         )
         centre = centre.where("low <> high").select("shingle", "c.b", "c.n_b", "c.shared_b", "c.label_b")
         pairs = labelled.join(centre, "shingle").where(F.expr("label <> label_b") & _may_link("", "_b"))
-        pairs = pairs.select(F.col("set_id").alias("a"), "b", F.col("n").alias("n_a"), "n_b", F.col("shared").alias("shared_a"), "shared_b").distinct()
+        pairs = pairs.select(F.col("set_id").alias("a"), "b", F.col("n").alias("n_a"), "n_b").distinct()
         pairs = pairs.join(of_a, "a").join(of_b, "b").where(_may_overlap("_a", "_b")).select("a", "b")
         links, found = _sized(overlaps(pairs, segments), 2)
         if not found:

@@ -240,3 +240,31 @@ def test_components_of_links(spark, edges, monkeypatch):
     once = jaccard.merge_components(labels, spark.createDataFrame(links[:20], "a long, b long"))
     got = jaccard.merge_components(once, spark.createDataFrame(links, "a long, b long"))
     assert sorted(map(tuple, got.collect())) == sorted(want.items())
+
+
+def test_counts_of_lists_are_summed(monkeypatch):
+    """A set in several lists of a task comes out once, or once for each full load, with the same sum."""
+    lists = [([3, -2, 7], [1, 2, 3]), ([-2], [5]), ([7, 3], [1, 1])]
+    rows = [(np.array(names, dtype=np.int64).tobytes(), np.array(counts, dtype=np.int32).tobytes()) for names, counts in lists]
+    batches = [pa.RecordBatch.from_pydict({"names": [r[0]], "counts": [r[1]]}) for r in rows]
+    for held, most in ((jaccard.PACKED, 3), (4, 5)):
+        monkeypatch.setattr(jaccard, "PACKED", held)
+        got = [r for b in jaccard._count_lists(batches) for r in b.to_pylist()]
+        sums = {k: sum(r["shared"] for r in got if r["set_id"] == k) for k in (-2, 3, 7)}
+        assert sums == {-2: 7, 3: 2, 7: 4} and len(got) == most
+    assert list(jaccard._count_lists([])) == []
+
+
+def test_prefix_entries_hold_what_lies_ahead(spark):
+    """Each further shingle of a prefix leaves one shared shingle less, and all linked pairs still meet."""
+    rng = random.Random(6)
+    rows = [(k, 40, sorted(rng.sample(range(38), 36))) for k in range(12)]
+    got = jaccard.prefixes(spark.createDataFrame(rows, "set_id long, n long, held array<long>")).collect()
+    by_set = {}
+    for r in got:
+        by_set.setdefault(r.set_id, []).append(r.shared)
+    held = {k: set(h) for k, _, h in rows}
+    assert all(len(set(v)) == len(v) and 35 <= min(v) and max(v) <= 36 for v in by_set.values())
+    meet = {(a.set_id, b.set_id) for a in got for b in got if a.shingle == b.shingle and 7 * min(a.shared, b.shared) >= 3 * (a.n + b.n)}
+    linked = [(a, b) for a, b in itertools.combinations(held, 2) if 7 * len(held[a] & held[b]) >= 240]
+    assert linked and all(p in meet for p in linked)
